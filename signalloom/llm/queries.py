@@ -8,20 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from signalloom.llm.common import documents
+from signalloom.llm.multiset_hash import edited_fingerprints
 from signalloom.llm.prefix_bpe import round_trip
 from signalloom.llm.token_counts import count_tokens
+from signalloom.llm.vector_search import top_k
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
+
+
+def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op10_prefix_bpe)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_counts": op1_token_counts, "op10_prefix_bpe": op10_prefix_bpe}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
