@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from signalloom.llm.common import documents
+from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
 from signalloom.llm.prefix_bpe import round_trip
 from signalloom.llm.token_counts import count_tokens
@@ -26,11 +27,15 @@ def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op10_prefix_bpe)
+OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op6_mixing, op10_prefix_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
