@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from signalloom.llm.common import documents
+from signalloom.llm.lattice_lm import score
 from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
 from signalloom.llm.prefix_bpe import round_trip
@@ -36,11 +37,15 @@ def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op6_mixing, op8_wavelet, op10_prefix_bpe)
+OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op6_mixing, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
