@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalloom.llm.common import documents
 from signalloom.llm.lattice_lm import score
 from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
 from signalloom.llm.prefix_bpe import round_trip
+from signalloom.llm.simhash import as_hex, near_duplicates
 from signalloom.llm.token_counts import count_tokens
 from signalloom.llm.vector_search import top_k
 from signalloom.llm.wavelet import encode_and_read_back
@@ -21,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), width=3).select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
 
@@ -45,7 +51,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op3_top_k, op5_multiset_hash, op6_mixing, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
+OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op5_multiset_hash, op6_mixing, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
