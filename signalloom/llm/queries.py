@@ -14,6 +14,7 @@ from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
 from signalloom.llm.prefix_bpe import round_trip
 from signalloom.llm.simhash import as_hex, near_duplicates
+from signalloom.llm.suffix_dedup import remove_repeats
 from signalloom.llm.token_counts import count_tokens
 from signalloom.llm.vector_search import top_k
 from signalloom.llm.wavelet import encode_and_read_back
@@ -39,6 +40,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), size=400).drop("kept")
+
+
 def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -51,7 +56,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op5_multiset_hash, op6_mixing, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
+OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
