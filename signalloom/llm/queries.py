@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.llm.common import documents
+from signalloom.llm.language_id import identify
 from signalloom.llm.lattice_lm import score
 from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
@@ -32,6 +33,10 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
@@ -56,7 +61,7 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
+OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op4_language_id, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
