@@ -155,3 +155,12 @@ def deal(mixed: DataFrame, seed: int = 42) -> DataFrame:
     """The mix itself: a row per copy with its shard and place, shuffled within the shard."""
     rows = mixed.select("*", F.posexplode("shards").alias("copy", "shard"))
     return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("doc_id", "copy", F.lit(seed)), "doc_id", "copy")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int = 16) -> DataFrame:
+    """docs (with doc_id, text, source), each row as often as the mix takes it; columns stay as they are."""
+    taken = mix(docs, weights, most, shards).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").distinct()
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    rows = docs.withColumn("_words", size)
+    same = rows["doc_id"].eqNullSafe(taken["_id"]) & rows["source"].eqNullSafe(taken["_source"]) & (rows["_words"] == taken["_size"])
+    return rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)

@@ -11,6 +11,7 @@ import base64
 import functools
 import hashlib
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -153,6 +154,22 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     return raw(ids)
 
 
+def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with ids (array<int>), n_tokens, ids_sha256 (of the ids as decimal text joined by commas) and decoded_sha256 (of the bytes that they decode to)."""
+
+    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(texts: pd.Series) -> pd.DataFrame:
+        of, rows = encoder(path, pattern), []
+        for t in texts:
+            said = of.encode(t) if t else ""
+            ids = said.split(",") if said else []
+            rows.append((np.array(ids, np.int32), len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode(list(map(int, ids)))).hexdigest()))
+        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.withColumn("_bpe", digests(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns), "_bpe.ids", "_bpe.n_tokens", "_bpe.ids_sha256", "_bpe.decoded_sha256")
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text, decode its ids, and give digests of both: id, n_tokens, ids_sha256, decoded_sha256.
 

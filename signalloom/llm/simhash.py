@@ -5,10 +5,15 @@ their blocks are equal; so each choice of so many blocks is a key, pairs that sh
 distance decides. Only distinct fingerprints are joined. A key that many fingerprints share isn't joined pair by pair: its
 fingerprints go by all values within d / 2 bits instead (for d = 2, themselves and their one-bit neighbours), which any two linked ones have in common, and
 which can't gather more than 65 of them.
+
+For texts that are alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say) 64 bits
+are too few for any block to be surely equal. There fingerprints have some thousand bits in many blocks, one of which close pairs share
+with high probability; the Hamming distance of the whole fingerprints again decides.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -102,3 +107,121 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
 
 def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+#: Wide fingerprints: blocks of so many bits, and how many; the bits that candidates are looked at by first, and how many may differ.
+WIDE_BLOCK, WIDE_BLOCKS = 18, 56
+FIRST_BITS, FIRST_DISTANCE = 64, 20
+WIDE = WIDE_BLOCK * WIDE_BLOCKS
+#: Members of a bucket that are compared with each other; those of a larger one go by their likeness to its first member until so few are left.
+BUCKET = 64
+SPREAD = np.random.default_rng(42).integers(0, 1 << 63, -(-WIDE // 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def wide_fingerprint(text: str, width: int) -> np.ndarray:
+    """WIDE bits (padded to whole longs) of the set of a text's shingles."""
+    hashes = np.unique(shingle_hashes(text, width))
+    counts = np.zeros(64 * len(SPREAD), np.int64)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(hashes), 255):
+            mixed = hashes[i : i + 255, None] * SPREAD[None, :]
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            counts += np.add.reduce(np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    bits = (2 * counts > len(hashes)).astype(np.uint8)
+    bits[WIDE:] = 0
+    return bits
+
+
+def most_differing(similarity: float) -> int:
+    """How many bits two sets of equal size and this Jaccard similarity differ in on average, and a standard deviation more."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(p * WIDE + math.sqrt(p * (1 - p) * WIDE))
+
+
+def bucket_pairs(keys: np.ndarray, nodes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of rows sorted by key: those in one bucket whose first bits are close."""
+    a, b, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], first.view(np.uint64)  # bits of signed numbers are counted without the sign
+    close = lambda x, y: np.bitwise_count(x ^ y) <= FIRST_DISTANCE
+    stay, starts, sizes = [np.zeros(0, np.int64)], *np.unique(keys, return_index=True, return_counts=True)[1:]
+    for s, n in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
+        left = np.arange(s, s + n)
+        while len(left) > BUCKET:
+            like = close(first[left[1:]], first[left[0]])
+            b.append(nodes[left[1:][like]])
+            a.append(np.full(len(b[-1]), nodes[left[0]]))
+            left = left[1:][~like]
+        stay.append(left)
+    small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= BUCKET), sizes))
+    at = np.concatenate([small, *stay])
+    at = at[np.argsort(keys[at], kind="stable")]
+    keys, nodes, first = keys[at], nodes[at], first[at]
+    for d in range(1, BUCKET):
+        same = np.flatnonzero(keys[:-d] == keys[d:]) if len(keys) > d else []
+        if not len(same):
+            break
+        hit = same[close(first[same], first[same + d])]
+        a.append(nodes[hit])
+        b.append(nodes[hit + d])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, text_hash, component_id: the smallest id in the group of texts alike to this degree, taken transitively.
+
+    text_hash tells apart rows of one id. Pairs at the similarity itself are found with a probability of about 0.8, pairs 0.05 above it
+    with over 0.98. Texts without words (null ones too) are alike. Null ids come last; repeated rows come repeated. An empty table gives an empty result.
+    """
+
+    @F.pandas_udf("binary")
+    def wide(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.packbits(wide_fingerprint(t or "", width), bitorder="little").tobytes() for t in texts])
+
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash.alias("text_hash"), wide(F.col(text_col)).alias("fp")), "wide-rows")
+    nodes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")).select("fp", "first", F.xxhash64("fp").alias("node")), "wide-nodes")
+
+    @F.pandas_udf("keys array<long>, first long")
+    def blocks(fps: pd.Series) -> pd.DataFrame:
+        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
+        cut = bits[:, :WIDE].reshape(len(fps), WIDE_BLOCKS, WIDE_BLOCK)
+        values = cut @ (1 << np.arange(WIDE_BLOCK)) + (np.arange(WIDE_BLOCKS) << WIDE_BLOCK)
+        return pd.DataFrame({"keys": list(values.astype(np.int64)), "first": np.packbits(bits[:, :FIRST_BITS], axis=1, bitorder="little").view(np.int64).ravel()})
+
+    keyed = nodes.select("node", blocks("fp").alias("b")).select("node", "b.first", F.explode("b.keys").alias("key"))
+
+    def candidates(batches):
+        held = None
+        for batch in batches:
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            whole = (batch.key != batch.key.iloc[-1]).to_numpy()  # the last bucket may go on in the next batch
+            held, done = batch[~whole], batch[whole]
+            if len(done):
+                yield pd.DataFrame(dict(zip("ab", bucket_pairs(done.key.to_numpy(), done.node.to_numpy(), done["first"].to_numpy()))))
+        if held is not None:
+            yield pd.DataFrame(dict(zip("ab", bucket_pairs(held.key.to_numpy(), held.node.to_numpy(), held["first"].to_numpy()))))
+
+    found = keyed.repartition("key").sortWithinPartitions("key", "node").mapInPandas(candidates, "a long, b long").distinct()
+
+    @F.pandas_udf("int")
+    def distance(x: pd.Series, y: pd.Series) -> pd.Series:
+        both = [np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y)]
+        return pd.Series(np.bitwise_count(both[0] ^ both[1]).sum(axis=1, dtype=np.int32))
+
+    fps = nodes.select("node", "fp")
+    pairs = found.join(fps.select(F.col("node").alias("a"), F.col("fp").alias("x")), "a").join(fps.select(F.col("node").alias("b"), F.col("fp").alias("y")), "b")
+    roots = components(pairs.where(distance("x", "y") <= most_differing(similarity)).select("a", "b"))
+    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(placed.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "text_hash", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs (with doc_id and text) less all but one of each group of near copies: that with the smallest id, and of equal ids the smallest hash of the text. Columns stay as they are."""
+    groups = near_copies(docs, width, similarity)
+    one = groups.groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "text_hash")).alias("one"))
+    one = one.select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("_of"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
+    rows = rows.join(one, F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return rows.select("row.*")

@@ -292,3 +292,17 @@ def remove_repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", tex
     rows = keyed(docs, id_col, text_col)
     joined = rows.join(repeated_windows(rows, size), KEY, "left")
     return joined.select("doc_id", removal(F.col("text"), F.col("spans"), size).alias("r")).select("doc_id", "r.*")
+
+
+def cut_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
+    """docs (with doc_id, text and n_chars) with the texts that remove_repeats leaves, less code points cut in two, and their lengths; texts that lost all their words go with their rows."""
+    whole = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = whole.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"), *docs.columns)
+    spans = repeated_windows(rows, size)
+
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, each: pd.Series) -> pd.Series:
+        return pd.Series([t if of is None or not len(of) else kept_bytes(t.encode(), of, size)[0].decode(errors="ignore") for t, of in zip(texts, each)])
+
+    left = rows.join(spans, KEY, "left").withColumn("text", kept("text", "spans")).withColumn("n_chars", F.length("text").cast("long"))
+    return left.where(F.col("spans").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
