@@ -24,6 +24,8 @@ MOD = 1 << 32
 RANGE = 64
 #: Ranges of ids that are looked through together for the next one in use.
 SPAN = 4096
+#: Stands for the range of null ids, below all others.
+NO_ID = -(1 << 62)
 PIECES = r"(?<=[.!?\n])(?![.!?\n])"
 
 
@@ -94,24 +96,23 @@ def with_next(docs: DataFrame) -> DataFrame:
     Rows are laid out by ranges of ids; the text that a range's last row needs is the first of the next range in use,
     which is found over ranges, not rows.
     """
-    rows = docs.withColumn("part", F.floor(F.col("doc_id") / F.lit(RANGE)).cast("long"))
+    rows = docs.withColumn("part", F.coalesce(F.floor(F.col("doc_id") / F.lit(RANGE)).cast("long"), F.lit(NO_ID)))
     down = Window.partitionBy("part").orderBy(F.desc("doc_id"), "text")
     laid = rows.select("part", "doc_id", "text", F.row_number().over(down).alias("rn"), F.lead("text").over(down).alias("next_text"))
 
     used = rows.select("part").distinct().withColumn("span", F.floor(F.col("part") / F.lit(SPAN)).cast("long"))
     spans = used.groupBy("span").agg(F.max("part").alias("top"))
-    by_span = Window.orderBy(F.desc_nulls_last("span"))
+    by_span = Window.orderBy(F.desc("span"))
     everything = by_span.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     is_last = F.row_number().over(by_span) == F.count(F.lit(1)).over(everything)
     tops = spans.select("span", F.when(is_last, F.first("top").over(everything)).otherwise(F.lead("top").over(by_span)).alias("next_top"))
-    in_span = Window.partitionBy("span").orderBy(F.desc_nulls_last("part"))
-    links = used.withColumn("has", F.lead(F.lit(1)).over(in_span)).withColumn("below", F.lead("part").over(in_span)).alias("u")
-    links = links.join(tops.alias("t"), F.col("u.span").eqNullSafe(F.col("t.span")))
-    links = links.select("part", F.when(F.col("has") == 1, F.col("below")).otherwise(F.col("next_top")).alias("next_part"))
-
-    first = laid.where("rn = 1").select(F.col("part").alias("first_part"), F.col("text").alias("first_text"))
-    following = links.join(first, links.next_part.eqNullSafe(first.first_part)).select(F.col("part").alias("for_part"), "first_text")
-    joined = laid.join(following, laid.part.eqNullSafe(following.for_part), "left")
+    in_span = Window.partitionBy("span").orderBy(F.desc("part"))
+    links = used.withColumn("below", F.lead("part").over(in_span)).join(tops, "span")
+    links = links.select("part", F.coalesce("below", "next_top").alias("next_part"))
+
+    first = laid.where("rn = 1").select(F.col("part").alias("next_part"), F.col("text").alias("first_text"))
+    following = links.join(first, "next_part").select("part", "first_text")
+    joined = laid.join(following, "part", "left")
     return joined.select("part", "rn", "doc_id", "text", F.coalesce("next_text", "first_text").alias("next_text"))
 
 
