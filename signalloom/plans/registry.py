@@ -1,15 +1,498 @@
-"""Every query of the engine by name, and its SQL."""
+"""Every query of the engine by name, over the driver's tables, and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from signalloom.functions import extract, keys, text
+from signalloom.functions import vocabulary as v
+from signalloom.functions.lexicon import agencies, is_critical, tags
+from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search
+from signalloom.plans import bindings as b
+from signalloom.session import ship
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def joined(c: str):
+    return F.array_join(c, ",").alias(c)
+
+
+def whole_text():
+    return F.concat("title", F.lit(" "), "body_text")
+
+
+# -- tags, tiers and routing --
+
+
+@query(f"{b.BASE} SELECT item_id, array_to_string(kw, ',') AS tags FROM classified")
+def lexicon_tags(spark, sf):
+    return b.items(spark, sf).select("item_id", F.array_join(tags(whole_text(), b.DOMAINS), ",").alias("tags"))
+
+
+@query(f"{b.BASE} SELECT tag, count(*) AS n FROM (SELECT unnest(kw) AS tag FROM classified) GROUP BY tag")
+def lexicon_breakdown(spark, sf):
+    return b.items(spark, sf).select(F.explode(tags(whole_text(), b.DOMAINS)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {b.ITEMS} SELECT lang, count(*) AS n, count(*) FILTER ({b.sql_has('folded', b.URGENT)}) AS critical FROM items GROUP BY lang")
+def critical_flag_by_lang(spark, sf):
+    return b.items(spark, sf).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_critical(whole_text(), b.URGENT)).alias("critical"))
+
+
+@query(f"{b.BASE} SELECT item_id, array_to_string(labels, ',') AS labels, confidence, round(confidence * 100, 1) AS score FROM classified")
+def classify_tiers(spark, sf):
+    return classify.classify(b.items(spark, sf), b.DOMAINS).select("item_id", joined("labels"), F.col("confidence"), keys.percent(F.col("confidence")).alias("score"))
+
+
+@query(
+    f"""{b.BASE}, p AS (SELECT CAST(doc_id AS VARCHAR) AS pid, CASE WHEN toxic = 1 THEN 0.9 END AS mc FROM labels WHERE quality = 1)
+SELECT item_id, CASE WHEN len(kw) >= 2 OR pid IS NULL THEN array_to_string(labels, ',') ELSE array_to_string(list_concat(['POLITICAL'], list_filter(kw, lambda x: x <> 'POLITICAL')), ',') END AS labels,
+CASE WHEN len(kw) >= 2 OR pid IS NULL THEN confidence ELSE coalesce(mc, 0.5) END AS confidence FROM classified LEFT JOIN p ON item_id = pid"""
+)
+def classify_with_predictions(spark, sf):
+    known = b.table(spark, sf, "labels").where("quality = 1")
+    predictions = known.select(F.col("doc_id").cast("string").alias("item_id"), F.array(F.lit("POLITICAL"), F.lit("NO_SUCH_LABEL")).alias("model_labels"), F.when(F.col("toxic") == 1, 0.9).alias("model_confidence"), F.lit("table").alias("model_reasoning"))
+    return classify.classify(b.items(spark, sf), b.DOMAINS, predictions).select("item_id", joined("labels"), "confidence")
+
+
+@query(f"{b.BASE}, t AS (SELECT unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS target FROM classified WHERE confidence >= 0.55) SELECT target, count(*) AS n FROM t GROUP BY target")
+def route_fanout_counts(spark, sf):
+    routed = routing.fan_out(classify.classify(b.items(spark, sf), b.DOMAINS))
+    return routed.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"{b.BASE} SELECT item_id, array_to_string({b.sql_targets(v.TARGETS, v.HUB)}, ',') AS targets FROM classified")
+def resolve_targets(spark, sf):
+    rows = classify.classify(b.items(spark, sf), b.DOMAINS)
+    return rows.select("item_id", F.array_join(routing.targets(F.col("labels")), ",").alias("targets"))
+
+
+@query(
+    f"""{b.BASE}, e AS (SELECT CAST(doc_id AS VARCHAR) AS eid FROM labels WHERE toxic = 1), r AS (SELECT *, {b.sql_targets(v.TARGETS, v.HUB)} AS t FROM classified LEFT JOIN e ON item_id = eid)
+SELECT item_id, CASE WHEN confidence < 0.55 THEN '' WHEN eid IS NULL THEN array_to_string(t, ',') ELSE array_to_string(list_filter(t, lambda x: x <> 'hub'), ',') END AS dispatched_to,
+CASE WHEN confidence < 0.55 THEN 'skipped' WHEN eid IS NOT NULL THEN 'failed' ELSE 'ok' END AS status FROM r"""
+)
+def dispatch_records(spark, sf):
+    failed = b.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("item_id"), F.lit("hub").alias("target"), F.lit("unreachable").alias("error"))
+    rows = routing.dispatch_records(classify.classify(b.items(spark, sf), b.DOMAINS), F.lit("2026-01-01 00:00:00").cast("timestamp"), failed)
+    return rows.select("item_id", joined("dispatched_to"), "status")
+
+
+def label_records(spark, sf):
+    state = F.when(F.col("quality") == 1, "ok").when(F.col("toxic") == 1, "failed").otherwise("skipped")
+    return b.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("item_id"), state.alias("status"))
+
+
+STATES = "st AS (SELECT CAST(doc_id AS VARCHAR) AS sid, CASE WHEN quality = 1 THEN 'ok' WHEN toxic = 1 THEN 'failed' ELSE 'skipped' END AS status FROM labels)"
+
+
+@query(f"WITH {b.ITEMS}, {STATES} SELECT coalesce(status, 'pending') AS dispatch_status, count(*) AS n FROM items LEFT JOIN st ON item_id = sid GROUP BY 1")
+def dispatch_status_breakdown(spark, sf):
+    return routing.dispatch_state(b.items(spark, sf), label_records(spark, sf)).groupBy("dispatch_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {b.ITEMS}, {STATES} SELECT count(*) AS ingested, count(*) FILTER (status = 'ok') AS dispatched, count(*) FILTER (status = 'skipped') AS gated FROM items LEFT JOIN st ON item_id = sid")
+def run_summary(spark, sf):
+    return routing.run_summary(b.items(spark, sf), label_records(spark, sf))
+
+
+@query(f"{b.BASE}, {STATES} SELECT item_id, captured_at, coalesce(status, 'pending') AS dispatch_status FROM classified LEFT JOIN st ON item_id = sid WHERE list_contains(labels, 'SAFETY_COMPLIANCE') AND coalesce(status, 'pending') = 'pending' ORDER BY captured_at DESC, item_id LIMIT 50")
+def items_topk(spark, sf):
+    rows = routing.dispatch_state(classify.classify(b.items(spark, sf), b.DOMAINS), label_records(spark, sf))
+    return search.latest_items(rows, "SAFETY_COMPLIANCE", "pending", 50).select("item_id", "captured_at", "dispatch_status")
+
+
+@query(f"{b.BASE} SELECT item_id, CASE WHEN list_contains(['water', 'hub'], t) THEN 'tags' ELSE '' END || CASE WHEN t = 'finance' THEN 'money' ELSE '' END AS extra, t AS target, title FROM (SELECT *, unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS t FROM classified WHERE confidence >= 0.55)")
+def payload_fields(spark, sf):
+    rows = classify.with_flags(classify.enrich(classify.classify(b.items(spark, sf), b.DOMAINS)), b.URGENT, b.DOMAINS)
+    made = routing.payloads(routing.fan_out(rows), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    names = F.json_object_keys("payload")
+    extra = F.concat(F.when(F.array_contains(names, "domain_tags"), "tags").otherwise(""), F.when(F.array_contains(names, "recipients"), "money").otherwise(""))
+    return made.select("item_id", "target", extra.alias("extra"), F.get_json_object("payload", "$.title").alias("title"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 8000 THEN substr(text, 1, 8000) || '… [truncated]' ELSE text END AS body FROM documents")
+def payload_bound(spark, sf):
+    return b.table(spark, sf, "documents").select("doc_id", routing.bounded_body(F.col("text")).alias("body"))
+
+
+@query()
+def bounded_events(spark, sf):
+    rows = b.table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), F.lit("finance").alias("target"), F.to_json(F.struct(F.col("text").alias("body_text"), "lang")).alias("payload"))
+    return routing.bounded_events(rows, "signal_ready")
+
+
+# -- keys and de-duplication --
+
+
+@query("SELECT page_id, substr(sha256(url || '|' || strftime(make_timestamp((1700000000 + page_id) * 1000000 + (page_id % 3) * 250), '%Y-%m-%dT%H:%M:%S') || CASE WHEN page_id % 3 = 0 THEN '' ELSE '.' || lpad(CAST((page_id % 3) * 250 AS VARCHAR), 6, '0') END || '+00:00'), 1, 16) AS item_id FROM pages")
+def item_id_hash(spark, sf):
+    ts = F.timestamp_micros((F.lit(1_700_000_000) + F.col("page_id")) * 1_000_000 + F.col("page_id") % 3 * 250)
+    return b.table(spark, sf, "pages").select("page_id", keys.item_id(F.col("url"), ts).alias("item_id"))
+
+
+@query("SELECT text, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
+def raw_dedup_first(spark, sf):
+    return dedup.first_wins(b.table(spark, sf, "documents"), ["text"], F.col("doc_id")).select("text", "doc_id", "source")
+
+
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
+def events_last_wins(spark, sf):
+    return dedup.last_wins(b.table(spark, sf, "events"), ["user_id"], "event_id").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_mktsegment END AS c_mktsegment FROM customer UNION ALL SELECT -1 - c_custkey, 'new' FROM customer WHERE c_custkey % 3 = 0")
+def upsert_by_key(spark, sf):
+    old = b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    third = old.where("c_custkey % 3 = 0").select("c_custkey", F.lit("new").alias("c_mktsegment"))
+    return dedup.upsert(old, third.unionByName(third.withColumn("c_custkey", F.lit(-1) - F.col("c_custkey"))), ["c_custkey"])
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'absent' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0")
+def insert_absent(spark, sf):
+    c = b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return dedup.insert_absent(c.where("c_custkey % 2 = 0"), c.where("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("absent")), ["c_custkey"])
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'patched' ELSE s_name END AS s_name, s_nationkey FROM supplier")
+def patch_rows(spark, sf):
+    s = b.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return dedup.patch(s, s.where("s_suppkey % 4 = 0").select("s_suppkey", F.lit("patched").alias("s_name"), F.lit(None).cast("int").alias("s_nationkey")), "s_suppkey")
+
+
+@query("SELECT p_name, 'SRC-RSS-' || trim(regexp_replace(upper(p_name), '[^A-Z0-9]+', '-', 'g'), '-') AS source_id, trim(regexp_replace(lower(strip_accents(p_name)), '[^a-z0-9]+', '-', 'g'), '-') AS slug, count(*) AS n FROM part GROUP BY p_name")
+def feed_slug_ids(spark, sf):
+    rows = b.table(spark, sf, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("p_name", text.upper_slug(F.col("p_name"), "SRC-RSS-").alias("source_id"), text.slug(F.col("p_name")).alias("slug"), "n")
+
+
+@query("SELECT doc_id, lower(strip_accents(left(text, 200))) AS folded, trim(regexp_replace(lower(strip_accents(left(text, 200))), '[^a-z0-9]+', ' ', 'g')) AS words FROM documents")
+def fold_texts(spark, sf):
+    start = F.substring("text", 1, 200)
+    return b.table(spark, sf, "documents").select("doc_id", text.fold(start).alias("folded"), text.fold_words(start).alias("words"))
+
+
+@query("SELECT o_orderkey, 'PR-CONTRACT-' || strftime(o_orderdate, '%Y%m%d') || '-' || lower(o_orderpriority[3:]) || '-' || o_custkey AS matter, lower('mat-' || o_custkey) || '::contract-record::' || o_orderkey AS key FROM (SELECT *, replace(o_orderpriority, ' ', '-') AS p FROM orders) WHERE NOT contains(o_orderpriority, ' ')")
+def matter_keys(spark, sf):
+    o = b.table(spark, sf, "orders").where(~F.contains("o_orderpriority", F.lit(" ")))
+    title = F.concat(F.expr("substring(o_orderpriority, 3)"), F.lit(" !"), "o_custkey")
+    return o.select("o_orderkey", keys.matter_id(F.lit("contract"), title, F.col("o_orderdate").cast("string")).alias("matter"), keys.record_key(F.concat(F.lit("mat-"), "o_custkey"), F.lit("Contract record"), F.lit(""), F.col("o_orderkey").cast("string")).alias("key"))
+
+
+# -- extraction --
+
+AMOUNT_TEXT = [
+    ("'US$' || k || '.5 million for works, $' || k || ' each'", "k * 1000000 + 500000"), ("k || ' millones de dólares y $1,' || lpad(CAST(k AS STRING), 3, '0')", "greatest(k * 1000000, 1000 + k)"),
+    ("'€' || k || ' million'", "NULL"), ("'1.2 mil millones USD; $' || (1000 + k)", "1200000000"), ("'cost: $' || (5000 + k) || '.25'", "5000.25 + k"),
+]
+_text = "CASE o_orderkey % 5 " + " ".join(f"WHEN {i} THEN {t}" for i, (t, _) in enumerate(AMOUNT_TEXT)) + " END"
+_amount = "CASE o_orderkey % 5 " + " ".join(f"WHEN {i} THEN {a}" for i, (_, a) in enumerate(AMOUNT_TEXT)) + " END"
+
+
+@query(f"SELECT o_orderkey, CAST({_amount} AS DOUBLE) AS amount FROM (SELECT *, o_custkey % 900 + 1 AS k FROM orders)")
+def money_max(spark, sf):
+    rows = b.table(spark, sf, "orders").withColumn("k", F.col("o_custkey") % 900 + 1)
+    return rows.select("o_orderkey", extract.headline_amount(F.expr(_text)).alias("amount"))
+
+
+@query(
+    """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Corp' || c_custkey || ' of Works' WHEN 1 THEN 'Acme' || c_custkey || ' JV' WHEN 2 THEN '' ELSE 'Node' || c_custkey END AS recipients,
+CASE c_custkey % 4 WHEN 0 THEN 'award_announced' WHEN 2 THEN 'award_announced' WHEN 3 THEN 'rfp_open' END AS stage, CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE 'procurement' END AS beat, CASE c_custkey % 4 WHEN 2 THEN 'FEMA' ELSE '' END AS agencies FROM customer"""
+)
+def recipients_extract(spark, sf):
+    """Of each kind of sentence: who got the award, at what stage, through which agency."""
+    key = F.col("c_custkey")
+    body = F.when(key % 4 == 0, F.concat(F.lit("it was awarded to Corp"), key, F.lit(" of Works; awarded to CORP"), key, F.lit(" OF WORKS")))
+    body = body.when(key % 4 == 1, F.concat(F.lit("work by Acme"), key, F.lit(" JV, then"))).when(key % 4 == 2, "aviso de adjudicación: awarded to FEMA").otherwise("a request for proposals")
+    source = F.concat(F.lit("Node"), key)
+    title = F.when(key % 4 == 3, F.concat(F.lit("from "), source)).otherwise("news")
+    whole = F.concat(title, F.lit(" "), body)
+    return b.table(spark, sf, "customer").select("c_custkey", F.array_join(extract.recipients(title, body, source), ",").alias("recipients"), extract.stage(whole).alias("stage"), extract.beat(whole).alias("beat"), F.array_join(agencies(whole), ",").alias("agencies"))
+
+
+@query()
+def html_title_paragraphs(spark, sf):
+    return b.table(spark, sf, "pages").select("page_id", extract.page_texts(F.col("html")).alias("t")).select("page_id", "t.title", "t.body")
+
+
+# -- ledger and streams --
+
+
+@query(
+    f"""{b.BASE} SELECT 'SIG-' || item_id AS signal_id, lower(labels[1]) || '_signal' AS signal_type, title, substr(body_text, 1, 500) AS summary,
+CASE WHEN source_name = 'src1' THEN 'KNOWN-1' ELSE 'SRC-RSS-' || upper(source_name) END AS source_id, captured_at, lower(labels[1]) AS beat, round(confidence * 100, 1) AS confidence_score, array_to_string(labels, ',') AS labels FROM classified"""
+)
+def signal_projection(spark, sf):
+    known = spark.createDataFrame([("src1", "KNOWN-1")], "source_name string, source_id string")
+    rows = ledger.to_signals(classify.classify(b.items(spark, sf), b.DOMAINS), known)
+    return rows.select("signal_id", "signal_type", "title", "summary", "source_id", "captured_at", "beat", "confidence_score", joined("labels"))
+
+
+@query(f"{b.BASE} SELECT item_id, CASE WHEN title = '' THEN '(untitled signal)' ELSE title END AS title, substr(body_text, 1, 500) AS body_text, upper(source_name[1]) || source_name[2:] AS source_name, confidence, array_to_string(labels, ',') AS labels FROM classified")
+def signals_to_items(spark, sf):
+    rows = ledger.to_items(ledger.to_signals(classify.classify(b.items(spark, sf), b.DOMAINS)))
+    return rows.select("item_id", "title", "body_text", "source_name", "confidence", joined("labels"))
+
+
+@query(f"{b.BASE} SELECT lower(labels[1]) AS beat, count(*) AS n FROM classified GROUP BY 1")
+def beat_counts(spark, sf):
+    return ledger.to_signals(classify.classify(b.items(spark, sf), b.DOMAINS)).groupBy("beat").agg(F.count(F.lit(1)).alias("n")).orderBy("beat")
+
+
+def parts(spark, sf):
+    return ledger.streams(b.signals(spark, sf), b.registry(spark, sf), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+
+
+@query(f"WITH {b.SIGNALS}, f AS (SELECT src, arg_min(source_id, line) AS ref, arg_min(confidence, line) AS confidence, arg_min(captured_at, line) AS created_at FROM ids GROUP BY src) SELECT src AS source_id, coalesce(nullif(family, ''), 'unknown') AS source_type, coalesce(nullif(name, ''), f.ref) AS source_name, f.ref AS source_ref, confidence, created_at FROM f LEFT JOIN reg ON f.ref = reg.ref")
+def stream_sources(spark, sf):
+    return parts(spark, sf)["sources"].select("source_id", "source_type", "source_name", "source_ref", "confidence", "created_at")
+
+
+ENTITIES = f"""m AS (SELECT line, 0 AS k, ent AS entity_id, src AS source_id, coalesce(title, matter_id) AS name, 'public_matter' AS entity_type, confidence FROM ids
+UNION ALL SELECT line, 1, {b.sql_fid('ent', "'agency'", b.sql_norm('agency'))}, src, agency, 'agency', confidence FROM ids
+UNION ALL SELECT line, 2, {b.sql_fid('ent', "'municipality'", b.sql_norm('municipality'))}, src, municipality, 'municipality', 0.95 FROM ids WHERE municipality IS NOT NULL)"""
+
+
+@query(f"WITH {b.SIGNALS}, {ENTITIES}, r AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY line, k) AS rn FROM m) SELECT entity_id, source_id, name, {b.sql_norm('name')} AS normalized_name, entity_type, confidence FROM r WHERE rn = 1")
+def stream_entities(spark, sf):
+    return parts(spark, sf)["entities"].select("entity_id", "source_id", "name", "normalized_name", "entity_type", "confidence")
+
+
+@query(
+    f"""WITH {b.SIGNALS}, e AS (SELECT line, ent, src, confidence, 'involves_agency' AS rel, {b.sql_fid('ent', "'agency'", b.sql_norm('agency'))} AS other FROM ids
+UNION ALL SELECT line, ent, src, confidence, 'located_in', {b.sql_fid('ent', "'municipality'", b.sql_norm('municipality'))} FROM ids WHERE municipality IS NOT NULL),
+k AS (SELECT *, {b.sql_fid('rel', 'ent', 'rel', 'other')} AS id FROM e), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY line) AS rn FROM k)
+SELECT id AS relationship_id, src AS source_id, ent AS source_entity_id, other AS target_entity_id, rel AS relationship_type, confidence FROM r WHERE rn = 1"""
+)
+def stream_relationships(spark, sf):
+    return parts(spark, sf)["relationships"].select("relationship_id", "source_id", "source_entity_id", "target_entity_id", "relationship_type", "confidence")
+
+
+@query(f"WITH {b.SIGNALS}, r AS (SELECT *, row_number() OVER (PARTITION BY signal_id ORDER BY line DESC) AS rn FROM ids) SELECT {b.sql_fid('obs', chr(39) + 'signal' + chr(39), 'signal_id')} AS observation_id, ent AS entity_id, src AS source_id, signal_type AS observation_type, captured_at AS observed_at, title, beat, confidence FROM r WHERE rn = 1")
+def stream_observations(spark, sf):
+    return parts(spark, sf)["observations"].select("observation_id", "entity_id", "source_id", "observation_type", "observed_at", "attributes.title", "attributes.beat", "confidence")
+
+
+# -- joins and look-ups --
+
+
+@query("SELECT s_suppkey, coalesce(CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 5 = 1 THEN NULL ELSE n_name END, 'unknown') AS n_name, CAST(coalesce(n_regionkey, -1) AS VARCHAR) AS n_regionkey FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON s_nationkey = n_nationkey")
+def registry_left_join_default(spark, sf):
+    n = b.table(spark, sf, "nation").where("n_nationkey < 20")
+    name = F.when(F.col("n_nationkey") % 5 == 0, "").when(F.col("n_nationkey") % 5 != 1, F.col("n_name"))
+    dimension = n.select(F.col("n_nationkey").cast("int").alias("s_nationkey"), name.alias("n_name"), "n_regionkey")
+    rows = lookup.with_defaults(b.table(spark, sf, "supplier"), dimension, "s_nationkey", {"n_name": F.lit("unknown"), "n_regionkey": F.lit("-1")})
+    return rows.select("s_suppkey", "n_name", "n_regionkey")
+
+
+@query("SELECT c_custkey, coalesce(string_agg(o_orderkey, ',' ORDER BY o_orderkey), '') AS orders, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+def nested_signals(spark, sf):
+    o = b.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus")
+    rows = lookup.nested(b.table(spark, sf, "customer").select("c_custkey"), o, "c_custkey", "orders")
+    return rows.select("c_custkey", F.array_join(F.transform("orders", lambda x: x["o_orderkey"].cast("string")), ",").alias("orders"), F.size("orders").cast("long").alias("n"))
+
+
+@query("WITH d AS (SELECT doc_id, text, source FROM documents), k AS (SELECT text, min(doc_id) AS m FROM d WHERE doc_id % 2 = 0 GROUP BY text), s AS (SELECT source, n_chars, min(doc_id) AS m FROM documents WHERE doc_id % 2 = 0 AND n_chars > 100 GROUP BY ALL) SELECT doc_id, coalesce(k.m, s.m) AS duplicate_of FROM documents LEFT JOIN k USING (text) LEFT JOIN s USING (source, n_chars)")
+def duplicate_guard(spark, sf):
+    d = b.table(spark, sf, "documents")
+    rows = lookup.first_match(d.select("doc_id", "text", "source", "n_chars"), d.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "old"), [(["text"], None), (["source", "n_chars"], F.col("n_chars") > 100)], "old", "duplicate_of")
+    return rows.select("doc_id", "duplicate_of")
+
+
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)")
+def registry_anti(spark, sf):
+    known = b.table(spark, sf, "customer").where("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("o_custkey"))
+    return lookup.missing_references(b.table(spark, sf, "orders"), known, "o_custkey")
+
+
+GAZETTEER = "f AS (SELECT c_custkey AS id, 'Río ' || (c_custkey % 500) AS name FROM customer WHERE c_custkey % 500 < 450 AND c_custkey < 950), i AS (SELECT 'rio ' || (id % 500) AS key, count(*) AS n, min(id) AS id FROM f GROUP BY 1)"
+
+
+@query(f"WITH {GAZETTEER} SELECT o_orderkey, CASE WHEN n IS NULL THEN 'unresolved' WHEN n > 1 THEN 'collision_review_required' ELSE 'resolved' END AS resolution_status, CASE WHEN n = 1 THEN id END AS canonical_id, CASE WHEN n > 1 THEN n END AS candidate_count FROM orders LEFT JOIN i ON key = 'rio ' || (o_custkey % 600)")
+def gazetteer_resolve(spark, sf):
+    c = b.table(spark, sf, "customer").where("c_custkey % 500 < 450 and c_custkey < 950")
+    name = F.concat(F.lit("Río "), F.col("c_custkey") % 500)
+    features = c.select(F.col("c_custkey").alias("canonical_id"), name.alias("canonical_name"), F.upper(name).alias("normalized_name"), F.lit("river").alias("feature_type"), F.lit("hydro").alias("group"))
+    o = b.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit(" RIO--"), F.col("o_custkey") % 600).alias("place"))
+    return lookup.resolve_places(o, features, "place").select("o_orderkey", "resolution_status", "canonical_id", "candidate_count")
+
+
+# -- search and order --
+
+
+@query("SELECT p_partkey, p_name, p_brand FROM part WHERE contains(lower(p_name), 'red') OR contains(lower(p_brand), 'red') OR contains(lower(p_type), 'red')")
+def text_search(spark, sf):
+    return search.text_search(b.table(spark, sf, "part"), "  ReD ", ["p_name", "p_brand", "p_type"]).select("p_partkey", "p_name", "p_brand")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')")
+def criteria_filter(spark, sf):
+    return search.criteria(b.table(spark, sf, "orders"), {"o_orderstatus": "F", "o_orderpriority": ["1-URGENT", "5-LOW"]}).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS score FROM customer ORDER BY score DESC NULLS LAST, c_custkey LIMIT 200")
+def sorted_page(spark, sf):
+    rows = b.table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("score"))
+    return search.page(rows, "-score", "c_custkey", 200)
+
+
+# -- lifecycle and entities --
+
+MATTER_TRIGGERS = "CASE WHEN c_custkey % 11 = 0 THEN 'contract_awarded' ELSE 'rumour' END"
+
+
+def matters(spark, sf):
+    key = F.col("c_custkey")
+    stage = F.when(key % 13 == 0, "officialized").when(key % 13 == 1, "no_such_stage").otherwise("public_signal")
+    none = F.array().cast("array<string>")
+    return b.table(spark, sf, "customer").select(
+        F.concat(F.lit("MAT-"), key).alias("matter_id"), F.col("c_name").alias("title"), F.lit("contract").alias("matter_type"), stage.alias("status_lifecycle"), F.expr(f"array({MATTER_TRIGGERS})").alias("handoff_triggers"),
+        F.when(key % 17 == 0, F.concat(F.lit("ID-"), key)).otherwise("").alias("official_identifier"), F.lit(None).cast("string").alias("official_source_url"), F.col("c_acctbal").alias("confidence_score"), F.lit(None).cast("double").alias("amount_confirmed"),
+        F.array("c_mktsegment").alias("agencies"), none.alias("organizations"), none.alias("record_ids"), F.lit("").alias("sync_status"), F.lit(None).cast("string").alias("last_handoff_candidate_id"), F.lit(None).cast("timestamp").alias("first_seen_at"),
+    )
+
+
+def matter_signals(spark, sf):
+    o = b.table(spark, sf, "orders")
+    trigger = F.when(F.col("o_orderkey") % 50 == 0, F.array(F.lit("payment_issued"))).otherwise(F.array().cast("array<string>"))
+    return o.select(F.concat(F.lit("SIG-"), "o_orderkey").alias("signal_id"), F.concat(F.lit("MAT-"), "o_custkey").alias("matter_id"), trigger.alias("handoff_triggers"), F.lit("raw").alias("handoff_status"))
+
+
+READY = f"rd AS (SELECT c_custkey, c_name, c_mktsegment, {MATTER_TRIGGERS} = 'contract_awarded' OR c_custkey % 17 = 0 OR c_custkey % 13 = 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 0) AS ready FROM customer)"
+
+
+@query(f"WITH {READY} SELECT 'MAT-' || c_custkey AS matter_id, ready AS is_ready, CASE WHEN ready THEN 'ready' ELSE 'watching' END AS badge FROM rd")
+def handoff_ready(spark, sf):
+    rows = lifecycle.ready(matters(spark, sf), matter_signals(spark, sf))
+    return rows.select("matter_id", "is_ready", lifecycle.badge(F.col("is_ready")).alias("badge"))
+
+
+def store(spark, sf):
+    m = matters(spark, sf)
+    candidates = m.where("matter_id like '%7'").select(F.concat(F.lit("C-"), "matter_id").alias("candidate_id"), "matter_id", "title", F.lit("ready_for_review").alias("status"), F.lit("").alias("target_record_type"), F.lit("").alias("trigger_summary"), F.array().cast("array<string>").alias("linked_signal_ids"), F.lit(0.0).alias("confidence_score"), F.lit(None).cast("string").alias("record_id"), F.lit(None).cast("string").alias("reviewer_note"))
+    records = m.where("matter_id like '%77'").select(F.concat(F.lit("R-"), "matter_id").alias("record_id"), "matter_id", F.lit("contract_record").alias("record_type"), "title", "official_identifier", F.lit("").alias("official_source_url"), "amount_confirmed", F.col("agencies").alias("parties"), F.array(F.lit("SIG-old")).alias("linked_signal_ids"), F.lit("").alias("linked_candidate_id"), F.lit("").alias("sync_status"))
+    records = records.withColumn("canonical_key", keys.record_key(F.col("matter_id"), F.col("record_type"), F.col("official_identifier"), F.col("official_source_url"), F.col("title")))
+    return {"matters": m, "signals": matter_signals(spark, sf), "candidates": candidates, "records": records}
+
+
+NOW = "timestamp'2026-01-01 00:00:00'"
+
+
+@query(f"WITH {READY}, s AS (SELECT 'MAT-' || o_custkey AS matter_id, count(*) AS n FROM orders GROUP BY 1), a AS (SELECT 'MAT-' || c_custkey AS matter_id, {MATTER_TRIGGERS} AS t FROM rd JOIN customer USING (c_custkey) WHERE ready AND NOT (('MAT-' || c_custkey) LIKE '%7')) SELECT 'handoff-' || matter_id || '-1767225600000' AS candidate_id, matter_id, 'ready_for_review' AS status, t AS trigger_summary, coalesce(n, 0) AS n_signals FROM a LEFT JOIN s USING (matter_id) UNION ALL SELECT 'C-MAT-' || c_custkey, 'MAT-' || c_custkey, 'ready_for_review', '', 0 FROM customer WHERE ('MAT-' || c_custkey) LIKE '%7'")
+def handoff_evaluate(spark, sf):
+    return lifecycle.evaluate(store(spark, sf), F.expr(NOW))["candidates"].select("candidate_id", "matter_id", "status", "trigger_summary", F.size("linked_signal_ids").cast("long").alias("n_signals"))
+
+
+@query("WITH m AS (SELECT 'MAT-' || c_custkey AS matter_id, c_custkey AS k FROM customer WHERE ('MAT-' || c_custkey) LIKE '%7'), s AS (SELECT 'MAT-' || o_custkey AS matter_id, count(*) AS n FROM orders GROUP BY 1) SELECT matter_id, CASE WHEN matter_id LIKE '%77' THEN 'R-' || matter_id ELSE 'record-' || matter_id || '-1767225600000' END AS record_id, CASE WHEN matter_id LIKE '%77' THEN 'linked_existing' ELSE 'created_local' END AS sync_status, coalesce(n, 0) + CASE WHEN matter_id LIKE '%77' THEN 1 ELSE 0 END AS n_signals FROM m LEFT JOIN s USING (matter_id)")
+def handoff_accept(spark, sf):
+    s = store(spark, sf)
+    done = lifecycle.accept(s, s["candidates"].select("candidate_id"), F.expr(NOW))
+    return done["records"].select("matter_id", "record_id", "sync_status", F.size("linked_signal_ids").cast("long").alias("n_signals"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal / 100 >= 95 THEN 'T1 confirmado' WHEN c_acctbal / 100 >= 85 THEN 'Oficial preliminar' WHEN c_acctbal / 100 >= 70 THEN 'Corroborado' WHEN c_acctbal / 100 >= 50 THEN 'Monitor' WHEN c_acctbal / 100 >= 30 THEN 'Débil' ELSE 'No publicar como hecho' END AS band FROM customer")
+def confidence_bands(spark, sf):
+    return b.table(spark, sf, "customer").select("c_custkey", keys.band(F.col("c_acctbal") / 100).alias("band"))
+
+
+CLAIMS = ["rights reserved", "worthless", "ésen"]
+_hits = "list_filter([" + ", ".join(f"CASE WHEN contains(t, '{c}') THEN '{o}' END" for c, o in (("rights reserved", "rights reserved"), ("worthless", "worthless"), ("esen", "ésen"))) + "], lambda x: x IS NOT NULL)"
+
+
+@query(f"WITH d AS (SELECT doc_id, {_hits.replace('(t,', '(lower(strip_accents(text)),')} AS h FROM documents) SELECT doc_id, array_to_string(h, ',') AS matches, CASE WHEN len(h) = 0 THEN 'clean' WHEN doc_id % 2 = 0 THEN 'needs_review' ELSE 'blocked_official_claim' END AS status FROM d")
+def language_guard(spark, sf):
+    stage = F.when(F.col("doc_id") % 2 == 0, "officialized").otherwise("unheard_of")
+    rows = b.table(spark, sf, "documents").select("doc_id", lifecycle.language_guard(F.col("text"), stage, CLAIMS).alias("g"))
+    return rows.select("doc_id", F.array_join("g.blocked_matches", ",").alias("matches"), "g.status")
+
+
+@query("WITH s AS (SELECT * FROM (VALUES ('raw_observation', 0), ('public_signal', 1), ('developing_matter', 2), ('pending_officialization', 3), ('officialized', 4), ('execution_amendment', 5), ('audit_dispute_impact', 6)) AS t(stage, o)) SELECT c_custkey, stage, o <= CASE WHEN c_custkey % 13 = 0 THEN 4 ELSE 1 END AS reached FROM customer CROSS JOIN s")
+def stage_timeline(spark, sf):
+    rows = lifecycle.timeline(matters(spark, sf).select(F.expr("substring(matter_id, 5)").cast("long").alias("c_custkey"), "status_lifecycle"))
+    return rows.select("c_custkey", "stage", "reached")
+
+
+def entity_mentions(spark, sf):
+    s = b.signals(spark, sf).select("line", "signal_id", "agencies", F.col("municipalities").alias("entities"))
+    none = F.array().cast("array<string>")
+    m = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("line"), none.alias("agencies"), F.array("s_name", F.lit("  Líow ")).alias("people"), F.array(F.lit("??")).alias("organizations"))
+    return entities.mentions(s, m)
+
+
+@query(f"WITH {b.SIGNALS}, m AS (SELECT agency AS name, 'agency' AS type, signal_id, 0 AS part, line, 0 AS place FROM sig UNION ALL SELECT municipality, 'entity', signal_id, 0, line, 1 FROM sig WHERE municipality IS NOT NULL UNION ALL SELECT s_name, 'person', NULL, 1, s_suppkey, 1 FROM supplier UNION ALL SELECT 'Líow', 'person', NULL, 1, s_suppkey, 1.5 FROM supplier), k AS (SELECT *, replace({b.sql_norm('name')}, ' ', '-') AS slug FROM m) SELECT slug, arg_min(name, (part, line, place)) AS name, CASE WHEN bool_or(type = 'agency') THEN 'agency' ELSE arg_min(type, (part, line, place)) END AS type, count(*) AS mention_count, count(DISTINCT signal_id) AS n_signals FROM k WHERE slug <> '' GROUP BY slug")
+def entity_rollup(spark, sf):
+    rows = entities.profiles(entity_mentions(spark, sf))
+    return rows.select("slug", "name", "type", "mention_count", F.size("signal_ids").cast("long").alias("n_signals")).orderBy(F.desc("mention_count"), "name")
+
+
+@query(f"WITH {b.SIGNALS} SELECT line, signal_id FROM sig WHERE signal_id IN (SELECT signal_id FROM sig WHERE {b.sql_norm('agency')} = 'low')")
+def entity_semi(spark, sf):
+    return entities.signals_of(b.signals(spark, sf), entities.profiles(entity_mentions(spark, sf)), "low").select("line", "signal_id")
+
+
+# -- sets, quality, scores and JSON --
+
+
+@query("WITH e AS (SELECT user_id, list_sort(list_distinct(list(event_type) FILTER (event_id % 2 = 0))) AS a, list_sort(list_distinct(list(event_type) FILTER (event_id % 2 = 1))) AS c FROM events GROUP BY user_id) SELECT user_id, array_to_string(list_sort(list_distinct(list_concat(coalesce(a, []), coalesce(c, [])))), ',') AS both_sets, array_to_string(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(c, []), x)), ',') AS missing, array_to_string(list_filter(coalesce(a, []), lambda x: list_contains(coalesce(c, []), x)), ',') AS shared FROM e")
+def set_ops_arrays(spark, sf):
+    of = lambda r: F.array_sort(F.collect_set(F.when(F.col("event_id") % 2 == r, F.col("event_type"))))
+    rows = b.table(spark, sf, "events").groupBy("user_id").agg(of(0).alias("a"), of(1).alias("c"))
+    return rows.select("user_id", F.array_join(F.array_sort(F.array_union("a", "c")), ",").alias("both_sets"), F.array_join(F.array_except("a", "c"), ",").alias("missing"), F.array_join(F.array_intersect("a", "c"), ",").alias("shared"))
+
+
+@query("SELECT l_orderkey, l_linenumber, array_to_string(list_filter([CASE WHEN l_discount > 0.08 THEN 'confidence' END, CASE WHEN l_returnflag = 'R' THEN 'evidence_tier' END], lambda x: x IS NOT NULL), ',') AS faults FROM lineitem WHERE l_discount > 0.08 OR l_returnflag = 'R'")
+def dq_findings(spark, sf):
+    rows = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.lit("x").alias("item_id"), F.when(F.col("l_discount") > 0.08, 1.5).otherwise(F.col("l_discount")).alias("confidence"), F.when(F.col("l_returnflag") == "R", "T9").otherwise("T1").alias("evidence_tier"), F.array(F.lit("l")).alias("labels"))
+    return quality.quarantine(rows, quality.item_faults())[1].select("l_orderkey", "l_linenumber", F.array_join("faults", ",").alias("faults"))
+
+
+@query("SELECT 'schema:events_' || CASE WHEN event_id % 4 IN (0, 1) THEN 'line_' || event_id ELSE 'missing_' || event_id END AS finding_id, CASE event_id % 4 WHEN 0 THEN 'line is not valid JSON' WHEN 1 THEN 'line is not a JSON object' ELSE 'row missing required fields' END AS message, event_id + 1 AS line FROM events WHERE event_id % 4 <> 3 AND event_id % 20 <> 0")
+def ledger_findings(spark, sf):
+    e = b.table(spark, sf, "events")
+    value = F.when(F.col("event_id") % 20 == 0, "  ").when(F.col("event_id") % 4 == 0, "{bad").when(F.col("event_id") % 4 == 1, "[1]").when(F.col("event_id") % 4 == 2, F.col("props")).otherwise('{"signal_id": "s", "title": null}')
+    found = quality.ledger_findings(e.select(F.col("event_id").alias("line"), value.alias("value")), ["signal_id", "title"], "events")
+    return found.select("finding_id", "message", "line")
+
+
+@query("SELECT count(*) AS cells, count(DISTINCT o_orderkey) AS distinct_ids, count(DISTINCT o_orderkey % 100) AS distinct_rows, count(DISTINCT o_orderkey // 100) AS distinct_columns, count(*) FILTER (o_orderkey % 100 > 89 OR o_orderkey // 100 > 9) AS out_of_range, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS unknown_class, FALSE AS is_whole FROM orders")
+def grid_coverage(spark, sf):
+    cells = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cell_id"), (F.col("o_orderkey") % 100).alias("row_index"), F.floor(F.col("o_orderkey") / 100).alias("column_index"), F.col("o_orderstatus").alias("classification"))
+    return quality.grid_coverage(cells, 90, 10, ["F", "O"])
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(spark, sf):
+    return b.table(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+
+
+@query("SELECT event_id, round(value / 100, 3) AS confidence, least(greatest(value / 100, 0), 1) AS clamped FROM events WHERE value = round(value, 1)")
+def score_scales(spark, sf):
+    e = b.table(spark, sf, "events").where(F.col("value") == F.round("value", 1))
+    return e.select("event_id", F.round(F.col("value") / 100, 3).alias("confidence"), keys.clamp(F.col("value") / 100).alias("clamped"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
