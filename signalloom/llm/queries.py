@@ -19,6 +19,7 @@ from signalloom.llm.suffix_dedup import remove_repeats
 from signalloom.llm.token_counts import count_tokens
 from signalloom.llm.vector_search import top_k
 from signalloom.llm.wavelet import encode_and_read_back
+from signalloom.session import ship
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +65,27 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op4_language_id, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
 
 
+#: Where SQL can express an operator. The others are tested against brute force, exact round trips or held-out accuracy.
+SQL = {
+    "op3_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+}
+
+
+def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in OPERATORS}
+    return {f.__name__: shipped(f) for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
