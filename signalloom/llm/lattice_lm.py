@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from signalloom.llm.common import id_crc_mod, keep
 
 #: Documents whose ids fall into one range of so many integers are scored together.
-RANGE = 2048
+RANGE = 4096
 #: Added to each piece's count.
 SMOOTH = 0.5
 MARK = "▁"
@@ -123,7 +123,7 @@ def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (id_crc_mod(F.col(id_col), folds) == 0).alias("held_out"))
     rows = rows.withColumn("range", F.floor(F.col("doc_id") / F.lit(RANGE)).cast("long"))
     used = keep(used_words(rows), "lm-used")
-    words = used.groupBy("word").agg(F.sum("c").alias("c"))
+    words = keep(used.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
 
     ends = rows.where(~F.col("held_out")).count()
     of = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
