@@ -68,7 +68,8 @@ def feed_registry(spark: SparkSession, feeds: list[dict]) -> DataFrame:
 
 def time_of(*texts: Column, now: Column) -> Column:
     """The first of several date texts that is one (RFC 822 or ISO-8601), else now."""
-    read = [F.try_to_timestamp(strip(t), F.lit(f)) for t in texts for f in ("EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss zzz")]
+    bare = [F.regexp_replace(strip(t), r"^[A-Za-z]{3},\s*", "") for t in texts]
+    read = [F.try_to_timestamp(t, F.lit(f)) for t in bare for f in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z")]
     return F.coalesce(*read, *(t.try_cast("timestamp") for t in texts), now)
 
 
