@@ -1,9 +1,11 @@
 """Language-model scores by subword lattice likelihood.
 
 A word is a path through a lattice of vocabulary pieces; the model gives a text the probability of all its paths
-together, by forward recursion in log space. The vocabulary is given; its unigram scores come from the training
-documents, whose distinct words are counted over the whole corpus, cut into pieces by the vocabulary's own tokenizer and weighed by their
-counts. Scores are worked out once for each distinct word of the corpus, not for each place where it stands.
+together, by forward recursion in log space. The vocabulary is given; its unigram scores come from the distinct words of the
+training documents, cut into pieces by the vocabulary's own tokenizer: pieces that begin a word are weighed among
+themselves, the others together with the word's end. A word that training documents have is an arc of its own from start to end, with its
+count less a discount over the count of all tokens; what the discounts leave is the chance of going by pieces. Scores are worked out
+once for each distinct word of the corpus, not for each place where it stands.
 
 Documents are laid out in ranges of ids. Each range's distinct words meet their counts and scores in a join by word and come back to the
 range, so no machine needs more of the vocabulary than its own documents use.
@@ -47,16 +49,17 @@ def pieces(path: str):
 
 
 class Lattice:
-    """log_weights: natural logarithms by piece id."""
+    """log_weights: natural logarithms by piece id; stop: that of a word's end, spell: that of going by pieces at all."""
 
-    def __init__(self, path: str, log_weights: np.ndarray):
+    def __init__(self, path: str, log_weights: np.ndarray, stop: float = 0.0, spell: float = 0.0):
+        self.around = stop + spell
         _, whole, of_byte = pieces(path)
         self.weight = {p: float(log_weights[i]) for p, i in whole.items()}
         self.of_byte = [float(log_weights[i]) for i in of_byte]
         self.longest = max(map(len, whole), default=1)
 
-    def log_probability(self, word: str) -> float:
-        """Of all ways to make the word, its start marked, from pieces; a character that is no piece is made of its bytes."""
+    def log_probability(self, word: str, arc: float | None = None) -> float:
+        """Of all ways to make the word, its start marked, from pieces, and by the arc of its own (a logarithm), if it has one. A character that is no piece is made of its bytes."""
         s, weight = MARK + word, self.weight.get
         n = len(s)
         into: list[list[float] | None] = [None] * (n + 1)
@@ -77,8 +80,9 @@ class Lattice:
                     into[j] = [so_far + w]
                 else:
                     into[j].append(so_far + w)
-        top = max(into[n])
-        return top + math.log(sum([math.exp(x - top) for x in into[n]]))
+        last = [x + self.around for x in into[n]] + ([] if arc is None else [arc])
+        top = max(last)
+        return top + math.log(sum([math.exp(x - top) for x in last]))
 
 
 def used_words(rows: DataFrame) -> DataFrame:
@@ -96,14 +100,14 @@ def used_words(rows: DataFrame) -> DataFrame:
 
 
 def piece_counts(words: DataFrame, path: str) -> dict[int, int]:
-    """How often the training words' pieces occur. What comes to the driver is bounded by the vocabulary."""
+    """How often pieces occur in the distinct training words. What comes to the driver is bounded by the vocabulary."""
 
     def cut(batches):
         sp, got = pieces(path)[0], np.zeros(pieces(path)[0].get_piece_size(), np.int64)
         for batch in batches:
-            for ids, c in zip(sp.encode([w.decode() for w in batch.word], num_threads=1), batch.c):
+            for ids in sp.encode([w.decode() for w in batch.word], num_threads=1):
                 for i in ids:
-                    got[i] += c
+                    got[i] += 1
         some = np.flatnonzero(got)
         yield pd.DataFrame({"piece": some, "n": got[some]})
 
@@ -126,23 +130,35 @@ def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col:
     words = keep(used.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
 
     ends = rows.where(~F.col("held_out")).count()
-    of = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    of = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
     n, v = of.n + ends, of.v + (ends > 0)
+    discount = min(0.9, max(0.1, of.once / (of.once + 2 * of.twice))) if of.once + of.twice else 0.5
+    spell = discount * v / n if n else 1.0
 
     sp, whole, of_byte = pieces(path)
     weights = np.full(sp.get_piece_size(), SMOOTH)
     for piece, times in piece_counts(words, path).items():
         weights[piece] += times
-    total = weights[[*whole.values(), *of_byte]].sum() + ends + SMOOTH
-    learnt = spark.sparkContext.broadcast(np.log(weights / total))  # as long as the vocabulary
-    end_score = math.log10((ends + SMOOTH) / total)
+    first = np.array([i for p, i in whole.items() if p.startswith(MARK)])
+    later = np.array([*(i for p, i in whole.items() if not p.startswith(MARK)), *of_byte])
+    stops = of.v + SMOOTH
+    rest = weights[later].sum() + stops
+    weights[first] /= weights[first].sum()
+    weights[later] /= rest
+    learnt = spark.sparkContext.broadcast(np.log(weights))  # as long as the vocabulary
+    stop = math.log(stops / rest)
+
+    def own(c: int) -> float | None:
+        return math.log((c - discount) / n) if c else None
+
+    end_score = (own(ends) if ends else math.log(spell) + stop) / math.log(10)
 
     @F.pandas_udf("double")
-    def log10_probability(ws: pd.Series) -> pd.Series:
-        lattice = Lattice(path, learnt.value)
-        return pd.Series([lattice.log_probability(w.decode()) / math.log(10) for w in ws], dtype="float64")
+    def log10_probability(ws: pd.Series, cs: pd.Series) -> pd.Series:
+        lattice = Lattice(path, learnt.value, stop, math.log(spell))
+        return pd.Series([lattice.log_probability(w.decode(), own(c)) / math.log(10) for w, c in zip(ws, cs)], dtype="float64")
 
-    scored = words.select("word", "c", log10_probability("word").alias("p"))
+    scored = words.select("word", "c", log10_probability("word", "c").alias("p"))
     local = used.select("range", "word").join(scored, "word")
 
     def base(c):
