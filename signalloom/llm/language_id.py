@@ -73,15 +73,18 @@ class FtrlProximal:
 
 
 def temperature(logits: list[np.ndarray], labels: list[int]) -> float:
-    """The temperature under which the labels are likeliest."""
-    if not logits:
+    """The temperature under which the labels are likeliest, if one more of them than is seen were wrong (without that, labels that are all right would ask for certainty)."""
+    if not logits or len(logits[0]) < 2:
         return 1.0
     z, y = np.array(logits), np.array(labels)
+    wrong = 1 / (len(y) + 2)
+    wanted = np.full(z.shape, wrong / (z.shape[1] - 1))
+    wanted[np.arange(len(y)), y] = 1 - wrong
 
     def loss(t: float) -> float:
         s = z / t
         s -= s.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(y)), y]).mean())
+        return float((np.log(np.exp(s).sum(axis=1)) - (wanted * s).sum(axis=1)).mean())
 
     return min(np.exp(np.linspace(math.log(0.02), math.log(20), 200)).tolist(), key=loss)
 
