@@ -8,7 +8,7 @@ import pytest
 
 from signalloom.plans import registry
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
