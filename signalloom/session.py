@@ -8,11 +8,16 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Rows that Python functions get at once; texts are long.
+BATCH = 1000
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
 
 
 def ship(spark: SparkSession) -> None:
-    """Give workers this package, so that Python functions run where it isn't installed. Once per Spark application."""
+    """Give workers this package, so that Python functions run where it isn't installed (once per Spark application), and small batches of rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH:
+        spark.conf.set(key, str(BATCH))
     context = spark.sparkContext
     if getattr(context, "_signalloom_shipped", False):
         return
