@@ -113,8 +113,8 @@ def as_hex(fp: Column) -> Column:
 WIDE_BLOCK, WIDE_BLOCKS = 18, 56
 FIRST_BITS, FIRST_DISTANCE = 64, 20
 WIDE = WIDE_BLOCK * WIDE_BLOCKS
-#: Members of a bucket that are compared with each other; those of a larger one go by their likeness to its first member until so few are left.
-BUCKET = 64
+#: Members of a bucket that are compared with each other; in a larger one those like its first member are linked to that alone, then those like the next, until so few are left.
+BUCKET = 4
 SPREAD = np.random.default_rng(42).integers(0, 1 << 63, -(-WIDE // 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
