@@ -40,3 +40,27 @@ def id_crc_mod(doc_id: Column, n: int) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+class Remembered(dict):
+    """Key -> work(key), worked out when first asked for. Of what it has worked out it keeps the most recent, from `most` to twice as many keys; long keys it does not keep."""
+
+    def __init__(self, most: int, longest: int = 64):
+        super().__init__()
+        self.most, self.longest, self.older = most, longest, {}
+
+    def work(self, key):
+        raise NotImplementedError
+
+    def make_room(self, n: int = 1) -> None:
+        if len(self) + n > self.most:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, key):
+        if (got := self.older.get(key)) is None:
+            got = self.work(key)
+        if len(key) <= self.longest:
+            self.make_room()
+            self[key] = got
+        return got

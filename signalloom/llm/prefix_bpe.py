@@ -17,8 +17,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pieces whose ids a worker remembers, and token pairs whose fit it remembers; beyond that it starts afresh.
-REMEMBERED = 250_000
+from signalloom.llm.common import Remembered
+
+#: Distinct pieces whose ids a worker remembers, and token pairs whose fit it remembers.
+REMEMBERED, FITS = 250_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -26,19 +28,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class PrefixEncoder(dict):
+class PrefixEncoder(Remembered):
     """Piece -> ids as decimal text joined by commas, worked out when first asked for."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__()
+        super().__init__(REMEMBERED)
         self.ranks = read_ranks(path)
         self.token = {r: t for t, r in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
+        self.said = {str(r): t for r, t in self.token.items()}
+        self.reach = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.usable: dict[bytes, int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         for rank, token in sorted(self.token.items()):
             if len(token) == 1:
                 self.usable[token] = rank
@@ -57,7 +60,7 @@ class PrefixEncoder(dict):
 
     def fit(self, a: int, b: int) -> bool:
         """Whether merging the bytes of a and b gives just these two tokens: no merge across their border comes before both are whole."""
-        if (known := self.fits.get((a, b))) is None:
+        if (known := self.fits.get(a << 32 | b)) is None:
             known, x, y, before = True, a, b, 1 << 60
             while True:
                 if self.joined.get((x, y), before) < before:
@@ -71,16 +74,16 @@ class PrefixEncoder(dict):
                     before, y = y + 1, self.halves[y][0]
                 else:
                     break
-            if len(self.fits) >= 4 * REMEMBERED:
+            if len(self.fits) >= FITS:
                 self.fits.clear()
-            self.fits[a, b] = known
+            self.fits[a << 32 | b] = known
         return known
 
     def extend(self, piece: bytes, last: list[int]) -> list[int]:
         """Append to last (the last token of each shorter prefix) what the rest of the piece needs. Appending bytes needs no more than this."""
         usable, fit = self.usable.get, self.fit
         for end in range(len(last) + 1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
+            for start in range(max(0, end - self.reach), end):
                 t = usable(piece[start:end])
                 if t is not None and (not start or fit(last[start - 1], t)):
                     last.append(t)
@@ -96,7 +99,7 @@ class PrefixEncoder(dict):
             old = len(now) - 1 - shift
             inside = len(now) > at + len(added) and len(self.token[now[-1]]) <= len(now) - at - len(added)
             same = same + 1 if inside and last[old] == now[-1] else 0
-            if same >= self.longest:
+            if same >= self.reach:
                 now += last[old + 1 :]
         return new, now
 
@@ -111,13 +114,8 @@ class PrefixEncoder(dict):
         whole = self.ranks.get(piece)
         return [whole] if whole is not None else self.walk(piece, self.extend(piece, []))
 
-    def __missing__(self, piece: str) -> str:
-        ids = ",".join(map(str, self.encode_piece(piece.encode())))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+    def work(self, piece: str) -> str:
+        return ",".join(map(str, self.encode_piece(piece.encode())))
 
     def encode(self, text: str) -> str:
         """The text's ids as decimal text joined by commas."""
@@ -126,6 +124,10 @@ class PrefixEncoder(dict):
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
+    def decode_said(self, said: list[str]) -> bytes:
+        """What ids written as decimal text stand for."""
+        return b"".join(map(self.said.__getitem__, said))
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> PrefixEncoder:
@@ -163,7 +165,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
         for t in texts:
             said = of.encode(t) if t else ""
             ids = said.split(",") if said else []
-            rows.append((np.array(ids, np.int32), len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode(list(map(int, ids)))).hexdigest()))
+            rows.append((np.array(ids, np.int32), len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest()))
         return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.withColumn("_bpe", digests(F.coalesce(F.col(text_col), F.lit(""))))
@@ -182,8 +184,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         of, rows = encoder(path, pattern), []
         for t in texts:
             said = of.encode(t) if t else ""
-            ids = list(map(int, said.split(","))) if said else []
-            rows.append((len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode(ids)).hexdigest()))
+            ids = said.split(",") if said else []
+            rows.append((len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     got = docs.select(F.col(id_col).alias("doc_id"), digests(F.coalesce(F.col(text_col), F.lit(""))).alias("d"))
