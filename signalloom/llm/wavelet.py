@@ -9,8 +9,11 @@ planes alone. Python is needed since Spark has no operators on packed bits.
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,17 +21,25 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import keep
+from signalloom.llm.common import Remembered, keep
 
 #: Documents whose ids fall into one range of so many integers share a shard; so many shards share a span.
 SHARD, SPAN = 512, 1024
 #: Bits between running counts.
 BLOCK = 512
 MAGIC = b"WVM1"
-#: Distinct chunks whose ids a worker remembers; beyond that it starts afresh.
-REMEMBERED = 400_000
-#: Code points that are white space to every tokenizer, so that a text can be cut there.
-BLANK = " \t\n\r"
+#: Distinct chunks, and parts of them, whose ids a worker remembers, and half as many again of those before.
+CHUNKS, PARTS = 50_000, 800_000
+#: Code points that are white space to every tokenizer, so that a text can be cut there; those that are to Python alone.
+BLANK, NO_BLANK = " \t\n\r", "\x1c\x1d\x1e\x1f"
+#: Letters whose lower case and composition are beyond doubt, and marks, which the vocabulary's pattern cuts off from letters.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+#: The pattern on these characters.
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9{BLANK}]+")
+SAFE = re.compile(f"[!-~{LETTERS}{BLANK}]+")
+#: Bytes of plain words, marks and blanks (two bytes from À to ÿ), and a table that makes all marks points.
+PLAIN = f"{BLANK}{MARKS}ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz".encode() + bytes([0xC3, *range(0x80, 0xC0)])
+MARKED = bytes(ord(".") if chr(b) in MARKS else b for b in range(256))
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
@@ -111,30 +122,67 @@ class WaveletMatrix:
         return now
 
 
-class ChunkEncoder(dict):
-    """Chunk between blanks -> its ids as little-endian bytes, worked out by the tokenizer when first asked for.
+class ChunkEncoder(Remembered):
+    """Chunk between blanks -> its ids as little-endian bytes.
 
-    The vocabulary's tokenizer drops white space and never looks across it, nor do its special tokens hold any.
+    The vocabulary's tokenizer drops white space and never looks across it, nor do its special tokens hold any. Nor does it
+    look across the border of plain letters and a single mark: texts and lines of these alone are cut into lower-case words and
+    marks, which are far fewer than chunks. Words that are new go to the tokenizer a batch at a time.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(CHUNKS)
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.cut = str.maketrans(BLANK, " " * len(BLANK))
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes() if chunk else b""
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+        self.parts = _Parts(self.tokenizer)
+
+    def work(self, chunk: str) -> bytes:
+        return self.parts.work(chunk)
+
+    def cut(self, text: str, whole: bool = True) -> list[tuple[Remembered, list[str]]]:
+        """A text as runs of keys, each with where they are looked up."""
+        raw = text.encode()
+        if not raw.translate(None, PLAIN) and b".." not in raw.translate(MARKED) and "×" not in text and "÷" not in text:
+            for mark in MARKS:
+                text = text.replace(mark, f" {mark} ")
+            return [(self.parts, text.lower().split())]
+        if whole and "\n" in text:
+            return [x for line in text.split("\n") for x in self.cut(line, False)]
+        if SAFE.fullmatch(text) and "<|" not in text:
+            return [(self.parts, PIECES.findall(text.lower()))]
+        return [(self, re.split(f"[{BLANK}]+", text) if any(c in text for c in NO_BLANK) else text.split())]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) for t in texts]
+        self.parts.learn(set().union(*(keys for runs in cut for of, keys in runs if of is self.parts)))
+        return [b"".join([b"".join(map(of.__getitem__, keys)) for of, keys in runs]) for runs in cut]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.translate(self.cut).split(" ")))
+        return self.encode_all([text])[0]
+
+
+class _Parts(Remembered):
+    def __init__(self, tokenizer):
+        super().__init__(PARTS)
+        self.tokenizer = tokenizer
+
+    def work(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes() if part else b""
+
+    def learn(self, parts: set[str]) -> None:
+        """Have parts ready, by one call of the tokenizer for all that are new."""
+        missing, new = [p for p in parts if p not in self], []
+        self.make_room(len(missing))
+        for p in missing:
+            if (got := self.older.get(p)) is None:
+                new.append(p)
+            else:
+                self[p] = got
+        for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            if len(part) <= self.longest:
+                self[part] = array("I", got.ids).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -155,7 +203,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id"
         texts, known = rows.text.tolist(), rows.doc_id.notna().to_numpy()
         doc_ids = [int(d) if k else None for d, k in zip(rows.doc_id, known)]
         order = sorted(range(len(texts)), key=lambda i: (known[i], doc_ids[i] or 0, texts[i]))
-        each = [of.encode(texts[i]) + end for i in order]
+        each = [ids + end for ids in of.encode_all([texts[i] for i in order])]
         ids = np.frombuffer(b"".join(each), "<u4")
         file = zstandard.ZstdCompressor(level=1).compress(build(ids, max(of.bits, end_id.bit_length())))
         return pd.DataFrame({"shard": [key[0]], "n_tokens": [len(ids)], "doc_ids": [[doc_ids[i] for i in order]], "lengths": [[len(e) // 4 for e in each]], "file": [file]})
