@@ -6,9 +6,10 @@ distance decides. Only distinct fingerprints are joined. A key that many fingerp
 fingerprints go by all values within d / 2 bits instead (for d = 2, themselves and their one-bit neighbours), which any two linked ones have in common, and
 which can't gather more than 65 of them.
 
-For texts that are alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say) 64 bits
-are too few for any block to be surely equal. There fingerprints have some thousand bits in many blocks, one of which close pairs share
-with high probability; the Hamming distance of the whole fingerprints again decides.
+For texts that are alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say) fingerprints
+don't do. There the sets of shingles themselves are compared. With all shingles in one order, two sets so much alike share one of the
+first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key that many
+share are compared with two of them first; afterwards those that aren't in one component yet are compared with each other.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,112 +111,187 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-#: Wide fingerprints: blocks of so many bits, and how many; the bits that candidates are looked at by first, and how many may differ.
-WIDE_BLOCK, WIDE_BLOCKS = 18, 56
-FIRST_BITS, FIRST_DISTANCE = 64, 20
-WIDE = WIDE_BLOCK * WIDE_BLOCKS
-#: Members of a bucket that are compared with each other; in a larger one those like its first member are linked to that alone, then those like the next, until so few are left.
-BUCKET = 4
-SPREAD = np.random.default_rng(42).integers(0, 1 << 63, -(-WIDE // 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def wide_fingerprint(text: str, width: int) -> np.ndarray:
-    """WIDE bits (padded to whole longs) of the set of a text's shingles."""
-    hashes = np.unique(shingle_hashes(text, width))
-    counts = np.zeros(64 * len(SPREAD), np.int64)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(hashes), 255):
-            mixed = hashes[i : i + 255, None] * SPREAD[None, :]
-            mixed ^= mixed >> np.uint64(32)
-            mixed *= np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-            counts += np.add.reduce(np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
-    bits = (2 * counts > len(hashes)).astype(np.uint8)
-    bits[WIDE:] = 0
-    return bits
-
-
-def most_differing(similarity: float) -> int:
-    """How many bits two sets of equal size and this Jaccard similarity differ in on average, and a standard deviation more."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(p * WIDE + math.sqrt(p * (1 - p) * WIDE))
-
-
-def bucket_pairs(keys: np.ndarray, nodes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of rows sorted by key: those in one bucket whose first bits are close."""
-    a, b, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], first.view(np.uint64)  # bits of signed numbers are counted without the sign
-    close = lambda x, y: np.bitwise_count(x ^ y) <= FIRST_DISTANCE
-    stay, starts, sizes = [np.zeros(0, np.int64)], *np.unique(keys, return_index=True, return_counts=True)[1:]
-    for s, n in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
-        left = np.arange(s, s + n)
-        while len(left) > BUCKET:
-            like = close(first[left[1:]], first[left[0]])
-            b.append(nodes[left[1:][like]])
-            a.append(np.full(len(b[-1]), nodes[left[0]]))
-            left = left[1:][~like]
-        stay.append(left)
+#: One text in so many is looked at to tell which shingles are common: those in LEAST_COMMON of its texts and in one of COMMON_SHARE, so that there are at most so many times the shingles of a text.
+COMMON_OF, LEAST_COMMON, COMMON_SHARE = 16, 8, 2000
+#: Members of a bucket that are compared with each other at once; those of a larger one go to two of them first.
+BUCKET = 8
+#: What sums of similarities may be off by, which aren't whole numbers.
+SLACK = 1e-9
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text or "", width))
+
+
+def prefix_of(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first hashes of a set, common ones last, of which two sets of this Jaccard similarity share one at least: all but as many as they share, and one more."""
+    if not len(hashes):
+        return hashes
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        hashes = hashes[np.argsort(common[at] == hashes, kind="stable")]
+    return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - SLACK) + 1]
+
+
+def may_be_alike(n: np.ndarray, at: np.ndarray, m: np.ndarray, bt: np.ndarray, similarity: float) -> np.ndarray:
+    """If sets of n and m hashes, the first that they share being in place at and bt of their orders, can be alike to this degree."""
+    shared = np.minimum(n - at, m - bt)
+    return shared * (1 + similarity) >= similarity * (n + m) - SLACK
+
+
+def first_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key: pairs of each small bucket that may be alike, and those of a large bucket's members with its first one and with the first of middling size."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    starts, sizes = np.unique(keys, return_index=True, return_counts=True)[1:]
+    for s, k in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
+        of, size = nodes[s : s + k], n[s : s + k]
+        low, high = np.percentile(size, [40, 60], method="nearest")
+        middle = np.flatnonzero((size >= low) & (size <= high))
+        for leader in {int(of.argmin()), int(middle[of[middle].argmin()])}:
+            hit = np.minimum(size, size[leader]) >= similarity * np.maximum(size, size[leader]) - SLACK
+            a.append(np.full(hit.sum(), of[leader]))
+            b.append(of[hit])
     small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= BUCKET), sizes))
-    at = np.concatenate([small, *stay])
-    at = at[np.argsort(keys[at], kind="stable")]
-    keys, nodes, first = keys[at], nodes[at], first[at]
+    keys, nodes, n, at = keys[small], nodes[small], n[small], at[small]
     for d in range(1, BUCKET):
         same = np.flatnonzero(keys[:-d] == keys[d:]) if len(keys) > d else []
         if not len(same):
             break
-        hit = same[close(first[same], first[same + d])]
+        hit = same[may_be_alike(n[same], at[same], n[same + d], at[same + d], similarity)]
         a.append(nodes[hit])
         b.append(nodes[hit + d])
     return np.concatenate(a), np.concatenate(b)
 
 
+def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, roots: np.ndarray, similarity: float):
+    """Of large buckets' rows sorted by key: all pairs that may be alike and don't have the same root, in parts."""
+    for s, k in zip(*np.unique(keys, return_index=True, return_counts=True)[1:]):
+        by = np.argsort(roots[s : s + k], kind="stable") + s
+        of, m, place, root = nodes[by], n[by], at[by], roots[by]
+        _, first, count = np.unique(root, return_index=True, return_counts=True)
+        most = int(count.argmax())  # members of the largest group are looked at from the others only
+        outside = np.flatnonzero((np.arange(k) < first[most]) | (np.arange(k) >= first[most] + count[most]))
+        for i in outside.tolist():
+            hit = (root != root[i]) & may_be_alike(m[i], place[i], m, place, similarity)
+            if hit.any():
+                yield np.full(hit.sum(), of[i]), of[hit]
+
+
+def buckets(batches, columns: list[str]):
+    """Arrays of the columns, key first, of whole buckets from batches sorted by key. Parts of one that goes on are put together once."""
+    held: list = []
+    for batch in batches:
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+        if not len(now[0]):
+            continue
+        if held and now[0][0] == now[0][-1] == held[-1][0][-1]:
+            held.append(now)
+            continue
+        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on in the next batch
+        if not held or cut or now[0][0] != held[-1][0][-1]:
+            whole = [*held, [x[:cut] for x in now]]
+            yield [np.concatenate(x) for x in zip(*whole)]
+            held = []
+        held.append([x[cut:] for x in now])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
+def as_pairs(a: np.ndarray, b: np.ndarray):
+    """a, b: the smaller and the larger node of different ones, once each, as a batch of rows."""
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b], axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+
+def common_shingles(texts: DataFrame, width: int) -> np.ndarray:
+    """Hashes (sorted) of shingles that many texts (text, text_hash) have, by a look at a part of them. What is common only settles an order."""
+
+    def of(batches):
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, width).view(np.int64))], names=["h"])
+
+    part = texts.where(F.pmod("text_hash", F.lit(COMMON_OF)) == 0).dropDuplicates(["text_hash"])
+    least = max(LEAST_COMMON, part.select("text_hash").count() // COMMON_SHARE)
+    counted = part.select("text").mapInArrow(of, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r.h for r in counted.select("h").collect()], np.int64).view(np.uint64))
+
+
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, text_hash, component_id: the smallest id in the group of texts alike to this degree, taken transitively.
 
-    text_hash tells apart rows of one id. Pairs at the similarity itself are found with a probability of about 0.8, pairs 0.05 above it
-    with over 0.98. Texts without words (null ones too) are alike. Null ids come last; repeated rows come repeated. An empty table gives an empty result.
+    Two texts are alike if their sets of shingles have this Jaccard similarity or more; every such pair is found, and no other linked.
+    text_hash tells apart rows of one id. Texts without words (null ones too) are alike. Null ids come last; repeated rows come repeated. An empty table gives an empty result.
     """
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
+
+    @F.pandas_udf("node long, n int, prefix array<long>")
+    def sets(of: pd.Series) -> pd.DataFrame:
+        found = [shingle_set(t, width) for t in of]
+        prefixes = [prefix_of(h, common.value, similarity).view(np.int64) for h in found]
+        return pd.DataFrame({"node": np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], np.uint64).view(np.int64), "n": [len(h) for h in found], "prefix": prefixes})
+
+    rows = keep(texts.select("doc_id", "text_hash", sets("text").alias("s")).select("doc_id", "text_hash", "s.*"), "copies-rows")
+    one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "text_hash")).alias("one")
+    nodes = keep(rows.groupBy("node").agg(one, F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("node", "n", "prefix", "one.doc_id", "one.text_hash"), "copies-nodes")
+
+    keyed = nodes.select("node", "n", F.posexplode("prefix").alias("at", "key")).select("key", "node", "n", "at")
+    columns = ["key", "node", "n", "at"]
 
-    @F.pandas_udf("binary")
-    def wide(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.packbits(wide_fingerprint(t or "", width), bitorder="little").tobytes() for t in texts])
+    def shared(batches):
+        for whole in buckets(batches, columns):
+            _, at, size = np.unique(whole[0], return_inverse=True, return_counts=True)
+            many = size[at] > 1
+            yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (*whole, size[at])], names=[*columns, "size"])
 
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    rows = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash.alias("text_hash"), wide(F.col(text_col)).alias("fp")), "wide-rows")
-    nodes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")).select("fp", "first", F.xxhash64("fp").alias("node")), "wide-nodes")
+    met = keep(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(shared, "key long, node long, n int, at int, size long"), "copies-met")
 
-    @F.pandas_udf("keys array<long>, first long")
-    def blocks(fps: pd.Series) -> pd.DataFrame:
-        bits = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
-        cut = bits[:, :WIDE].reshape(len(fps), WIDE_BLOCKS, WIDE_BLOCK)
-        values = cut @ (1 << np.arange(WIDE_BLOCK)) + (np.arange(WIDE_BLOCKS) << WIDE_BLOCK)
-        return pd.DataFrame({"keys": list(values.astype(np.int64)), "first": np.packbits(bits[:, :FIRST_BITS], axis=1, bitorder="little").view(np.int64).ravel()})
+    def first(batches):
+        for key, node, n, at in buckets(batches, columns):
+            yield as_pairs(*first_pairs(key, node, n.astype(np.int64), at.astype(np.int64), similarity))
 
-    keyed = nodes.select("node", blocks("fp").alias("b")).select("node", "b.first", F.explode("b.keys").alias("key"))
+    def others(batches):
+        for key, node, n, at, root in buckets(batches, [*columns, "root"]):
+            for a, b in other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity):
+                yield as_pairs(a, b)
 
-    def candidates(batches):
-        held = None
+    def set_bytes(batches):
         for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            whole = (batch.key != batch.key.iloc[-1]).to_numpy()  # the last bucket may go on in the next batch
-            held, done = batch[~whole], batch[whole]
-            if len(done):
-                yield pd.DataFrame(dict(zip("ab", bucket_pairs(done.key.to_numpy(), done.node.to_numpy(), done["first"].to_numpy()))))
-        if held is not None:
-            yield pd.DataFrame(dict(zip("ab", bucket_pairs(held.key.to_numpy(), held.node.to_numpy(), held["first"].to_numpy()))))
-
-    found = keyed.repartition("key").sortWithinPartitions("key", "node").mapInPandas(candidates, "a long, b long").distinct()
-
-    @F.pandas_udf("int")
-    def distance(x: pd.Series, y: pd.Series) -> pd.Series:
-        both = [np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y)]
-        return pd.Series(np.bitwise_count(both[0] ^ both[1]).sum(axis=1, dtype=np.int32))
-
-    fps = nodes.select("node", "fp")
-    pairs = found.join(fps.select(F.col("node").alias("a"), F.col("fp").alias("x")), "a").join(fps.select(F.col("node").alias("b"), F.col("fp").alias("y")), "b")
-    roots = components(pairs.where(distance("x", "y") <= most_differing(similarity)).select("a", "b"))
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            made = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "hashes"])
+
+    @F.pandas_udf("boolean")
+    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for p, q in zip(x, y):
+            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            out.append(both >= similarity * (len(p) + len(q) - both) - SLACK)
+        return pd.Series(out, dtype=bool)
+
+    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    hashes = keep(found.select("node", "text").mapInArrow(set_bytes, "node long, hashes binary").dropDuplicates(["node"]), "copies-sets")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        joined = pairs.distinct().join(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").join(hashes.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+        return joined.where(alike("x", "y")).select("a", "b")
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("key").sortWithinPartitions("key", "node")
+
+    links = keep(links_of(dealt(met.select(columns)).mapInArrow(first, "a long, b long")), "copies-links")
+    large = met.where(F.col("size") > BUCKET).drop("size")
+    rooted = large.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = keep(rooted.select(*columns, "root"), "copies-rooted")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    links = links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(others, "a long, b long")))
+    roots = components(links)
+    placed = nodes.select("node", F.col("doc_id").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(placed.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "text_hash", "component_id")
+    return rows.select("doc_id", "text_hash", "node").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "text_hash", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
