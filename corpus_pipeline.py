@@ -33,9 +33,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts less each string of 400 bytes that also starts elsewhere; documents of which no word is left go."""
+    """Texts less each passage of over 50 words that also stands elsewhere; documents of which no word is left go."""
     ship(spark)
-    return cut_repeats(docs.select(COLUMNS), size=400)
+    return cut_repeats(docs.select(COLUMNS), words=51)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -294,15 +294,103 @@ def remove_repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", tex
     return joined.select("doc_id", removal(F.col("text"), F.col("spans"), size).alias("r")).select("doc_id", "r.*")
 
 
-def cut_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
-    """docs (with doc_id, text and n_chars) with the texts that remove_repeats leaves, less code points cut in two, and their lengths; texts that lost all their words go with their rows."""
+#: Words that are hashed together to choose places in windows of words.
+GRAM = 26
+
+
+def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte behind its last."""
+    data = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], (data == 32) | ((data >= 9) & (data <= 13)), [True]]).astype(np.int8)))
+    return edges[::2], edges[1::2]
+
+
+def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each n hashes in a row."""
+    out, length, block, span, by = None, 0, h, 1, ODD
+    with np.errstate(over="ignore"):
+        while n:
+            if n & 1:  # the block stands before what there is
+                out = block if out is None else block[: max(len(out) - span, 0)] * np.uint64(pow(int(ODD), length, 1 << 64)) + out[span:]
+                length += span
+            n >>= 1
+            if n:
+                block, by, span = block[: max(len(block) - span, 0)] * by + block[span:], by * by, 2 * span
+        out = out ^ (out >> np.uint64(32))
+        out *= ODD
+        return out ^ (out >> np.uint64(29))
+
+
+def word_windows(raw: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of so many words: a hash of them, the place of the GRAM words that it chooses (the least hash, the first on ties), and the hash of these."""
+    each = np.array([xxhash.xxh3_64_intdigest(w) for w in raw.split()], np.uint64)
+    windows, step, parts = len(each) - words + 1, (1 << PLACE_BITS) - words, []
+    for at in range(0, max(windows, 0), step):
+        h = each[at : min(at + step, windows) + words - 1]
+        grams = run_hashes(h, GRAM)
+        place = least_places(grams, words - GRAM + 1)
+        parts.append((run_hashes(h, words).view(np.int64), place + at, grams[place].view(np.int64)))
+    return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, np.int64),) * 3
+
+
+def repeated_word_windows(rows: DataFrame, words: int) -> DataFrame:
+    """k1, k2 and starts: per document (of rows: k1, k2, text) the first words of the windows of so many words that also start elsewhere.
+
+    Equal windows choose alike, so only windows whose choice is made at two places at least are compared, by hashes.
+    """
+
+    def choose(batches):
+        for batch in batches:
+            out = []
+            for k1, k2, text in zip(batch.k1, batch.k2, batch.text):
+                _, place, lead = word_windows(text.encode(), words)
+                if len(place):
+                    lead = lead[np.concatenate([[True], place[1:] != place[:-1]])]
+                    out.append((np.full(len(lead), k1), np.full(len(lead), k2), lead))
+            if out:
+                yield pd.DataFrame(dict(zip(("k1", "k2", "lead"), map(np.concatenate, zip(*out)))))
+
+    every = keep(rows.select("k1", "k2", "text").mapInPandas(choose, "k1 long, k2 long, lead long"), "word-choices")
+    shared = every.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lead")
+    leads = every.distinct().join(shared, "lead").groupBy(*KEY).agg(F.collect_list("lead").alias("leads"))
+
+    def compare(batches):
+        for batch in batches:
+            out = []
+            for k1, k2, text, wanted in zip(batch.k1, batch.k2, batch.text, batch.leads):
+                whole, _, lead = word_windows(text.encode(), words)
+                at = np.flatnonzero(np.isin(lead, wanted))
+                out.append((np.full(len(at), k1), np.full(len(at), k2), at, lead[at], whole[at]))
+            yield pd.DataFrame(dict(zip(("k1", "k2", "start", "lead", "whole"), map(np.concatenate, zip(*out)))))
+
+    looked = rows.select("k1", "k2", "text").join(leads, KEY).mapInPandas(compare, "k1 long, k2 long, start long, lead long, whole long")
+    looked = keep(looked, "word-windows")
+    alike = looked.groupBy("whole", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("whole", "lead")
+    return keep(looked.join(alike, ["whole", "lead"]).groupBy(*KEY).agg(F.collect_set("start").alias("starts")), "word-starts")
+
+
+def cut_repeats(docs: DataFrame, words: int = 51) -> DataFrame:
+    """docs (with doc_id, text and n_chars) less each word of a run of so many words that also starts elsewhere, in the same text or another, and the blanks within such runs; texts that lost all their words go with their rows.
+
+    Words are told apart by their bytes, whatever blanks lie between them. `words` is at least GRAM.
+    """
+    if words < GRAM:
+        raise ValueError(f"words must be at least {GRAM}")
     whole = docs.withColumn("text", F.coalesce("text", F.lit("")))
     rows = whole.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"), *docs.columns)
-    spans = repeated_windows(rows, size)
+    found = repeated_word_windows(rows, words)
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, each: pd.Series) -> pd.Series:
-        return pd.Series([t if of is None or not len(of) else kept_bytes(t.encode(), of, size)[0].decode(errors="ignore") for t, of in zip(texts, each)])
-
-    left = rows.join(spans, KEY, "left").withColumn("text", kept("text", "spans")).withColumn("n_chars", F.length("text").cast("long"))
-    return left.where(F.col("spans").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+        out = []
+        for t, starts in zip(texts, each):
+            if starts is not None and len(starts):
+                raw, starts = t.encode(), np.sort(np.asarray(starts))
+                first, behind = word_places(raw)
+                spans = [{"lo": a, "hi": b} for a, b in zip(first[starts].tolist(), behind[starts + words - 1].tolist())]
+                t = kept_bytes(raw, spans, 0)[0].decode()
+            out.append(t)
+        return pd.Series(out)
+
+    left = rows.join(found, KEY, "left").withColumn("text", kept("text", "starts")).withColumn("n_chars", F.length("text").cast("long"))
+    return left.where(F.col("starts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
