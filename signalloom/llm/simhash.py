@@ -15,6 +15,8 @@ share are compared with two of them first; afterwards those that aren't in one c
 from __future__ import annotations
 
 import math
+import zlib
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -235,13 +237,15 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
 
     rows = keep(texts.select("doc_id", "text_hash", sets("text").alias("s")).select("doc_id", "text_hash", "s.*"), "copies-rows")
     one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "text_hash")).alias("one")
-    nodes = keep(rows.groupBy("node").agg(one, F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("node", "n", "prefix", "one.doc_id", "one.text_hash"), "copies-nodes")
+    nodes = keep(rows.groupBy("node").agg(one).select("node", "one.doc_id", "one.text_hash"), "copies-nodes")
 
-    keyed = nodes.select("node", "n", F.posexplode("prefix").alias("at", "key")).select("key", "node", "n", "at")
+    keyed = rows.select("node", "n", F.posexplode("prefix").alias("at", "key")).select("key", "node", "n", "at")
     columns = ["key", "node", "n", "at"]
 
     def shared(batches):
         for whole in buckets(batches, columns):
+            new = np.concatenate([[True], (whole[0][1:] != whole[0][:-1]) | (whole[1][1:] != whole[1][:-1])])  # rows of one set come once
+            whole = [x[new] for x in whole]
             _, at, size = np.unique(whole[0], return_inverse=True, return_counts=True)
             many = size[at] > 1
             yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (*whole, size[at])], names=[*columns, "size"])
@@ -257,37 +261,40 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             for a, b in other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity):
                 yield as_pairs(a, b)
 
-    def set_bytes(batches):
+    def packed(batches):
+        seen: set[int] = set()  # repeated rows of one id come once
         for batch in batches:
-            made = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "hashes"])
+            got = {n: t for n, t in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()) if n not in seen}
+            seen |= got.keys()
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array([zlib.compress(t.encode()) for t in got.values()], pa.binary())], names=["node", "packed"])
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+        of, out = lru_cache(256)(lambda z: shingle_set(zlib.decompress(z).decode(), width)), []
+        for p, q in zip(map(of, x), map(of, y)):
             both = len(np.intersect1d(p, q, assume_unique=True))
             out.append(both >= similarity * (len(p) + len(q) - both) - SLACK)
         return pd.Series(out, dtype=bool)
 
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("key").sortWithinPartitions("key", "node")
+
+    pairs = keep(dealt(met.select(columns)).mapInArrow(first, "a long, b long").distinct(), "copies-pairs")
+    large = met.where(F.col("size") > BUCKET).drop("size")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
+    wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    hashes = keep(found.select("node", "text").mapInArrow(set_bytes, "node long, hashes binary").dropDuplicates(["node"]), "copies-sets")
+    known = keep(found.select("node", "text").mapInArrow(packed, "node long, packed binary"), "copies-texts")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        joined = pairs.distinct().join(hashes.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").join(hashes.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+        joined = pairs.join(known.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b").join(known.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
         return joined.where(alike("x", "y")).select("a", "b")
 
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition("key").sortWithinPartitions("key", "node")
-
-    links = keep(links_of(dealt(met.select(columns)).mapInArrow(first, "a long, b long")), "copies-links")
-    large = met.where(F.col("size") > BUCKET).drop("size")
+    links = keep(links_of(pairs), "copies-links")
     rooted = large.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = keep(rooted.select(*columns, "root"), "copies-rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    links = links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(others, "a long, b long")))
+    links = links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(others, "a long, b long").distinct()))
     roots = components(links)
     placed = nodes.select("node", F.col("doc_id").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
