@@ -8,16 +8,20 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-#: Rows that Python functions get at once; texts are long.
-BATCH = 1000
+#: Rows, and bytes of them, that Python functions get at once: texts are long.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
 
 
 def ship(spark: SparkSession) -> None:
-    """Give workers this package, so that Python functions run where it isn't installed (once per Spark application), and small batches of rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH:
-        spark.conf.set(key, str(BATCH))
+    """Give workers this package, so that Python functions run where it isn't installed (once per Spark application).
+
+    Batches that go to Python are made smaller for the whole session, unless it asks for smaller ones still: a query runs after this returns.
+    """
+    for key, most in BATCHES.items():
+        asked = spark.conf.get(key, None) or ""
+        if not asked.isdigit() or not 0 < int(asked) <= most:
+            spark.conf.set(key, str(most))
     context = spark.sparkContext
     if getattr(context, "_signalloom_shipped", False):
         return
