@@ -16,13 +16,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Folders made for applications that name none, by application.
+LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of this machine only where the session names none."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Without one, only a session on one machine gets a folder of that machine."""
+    context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="signalloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in LOCAL:
+            LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="signalloom-")
+        found = LOCAL[context.applicationId]
+    return f"{found.rstrip('/')}/signalloom-{context.applicationId}"
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -30,7 +38,37 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete tables that keep() wrote; nothing that is still to be worked out may read them."""
+    for df in kept:
+        _delete(df.sparkSession, df._kept_at)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete all tables that keep() wrote in this application, once every result that reads them has been written elsewhere."""
+    _delete(spark, shared_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_MODEL: dict = {}
+
+
+def one_model(make, *args):
+    """make(*args), held until another model is asked for: workers outlive stages, and would pile up the models of all of them."""
+    key = (make, *args)
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = make(*args)
+    return _MODEL[key]
 
 
 def id_crc_mod(doc_id: Column, n: int) -> Column:

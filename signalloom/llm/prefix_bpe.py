@@ -8,19 +8,19 @@ grow without encoding it anew, and after an edit needs new work only until the s
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import Remembered
+from signalloom.llm.common import Remembered, one_model
 
-#: Distinct pieces whose ids a worker remembers, and token pairs whose fit it remembers.
-REMEMBERED, FITS = 250_000, 300_000
+#: Distinct pieces whose ids a worker remembers, and as many of those before; token pairs whose fit it remembers.
+REMEMBERED, FITS = 400_000, 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,18 +35,25 @@ class PrefixEncoder(Remembered):
         super().__init__(REMEMBERED)
         self.ranks = read_ranks(path)
         self.token = {r: t for t, r in self.ranks.items()}
-        self.said = {str(r): t for r, t in self.token.items()}
+        self.size = {r: len(t) for r, t in self.token.items()}
+        self.name = {r: str(r) for r in self.token}
+        self.said = {self.name[r]: t for r, t in self.token.items()}
         self.reach = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
-        self.usable: dict[bytes, int] = {}
+        usable: dict[bytes, int] = {}
         self.fits: dict[int, bool] = {}
         for rank, token in sorted(self.token.items()):
             if len(token) == 1:
-                self.usable[token] = rank
+                usable[token] = rank
             elif parts := self._last_merge(token, rank):
-                self.usable[token], self.halves[rank], self.joined[parts] = rank, parts, rank
+                usable[token], self.halves[rank], self.joined[parts] = rank, parts, rank
+        # all tokens that end at a byte, longest first, of which most byte strings have few
+        self.ends = ahocorasick.Automaton()
+        for token, rank in usable.items():
+            self.ends.add_word(token.decode("latin-1"), (len(token), rank))
+        self.ends.make_automaton()
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one, or None if merging its bytes never gets there."""
@@ -60,34 +67,34 @@ class PrefixEncoder(Remembered):
 
     def fit(self, a: int, b: int) -> bool:
         """Whether merging the bytes of a and b gives just these two tokens: no merge across their border comes before both are whole."""
-        if (known := self.fits.get(a << 32 | b)) is None:
-            known, x, y, before = True, a, b, 1 << 60
-            while True:
-                if self.joined.get((x, y), before) < before:
-                    known = False
-                    break
-                # undo whichever of the two was made last; a merge across the border must then come before it
-                undo_x = x in self.halves and (y not in self.halves or x > y)
-                if undo_x:
-                    before, x = x, self.halves[x][1]
-                elif y in self.halves:
-                    before, y = y + 1, self.halves[y][0]
-                else:
-                    break
-            if len(self.fits) >= FITS:
-                self.fits.clear()
-            self.fits[a << 32 | b] = known
-        return known
+        x, y, before, halves, joined = a, b, 1 << 60, self.halves, self.joined
+        while joined.get((x, y), before) >= before:
+            # undo whichever of the two was made last; a merge across the border must then come before it
+            if x in halves and (y not in halves or x > y):
+                before, x = x, halves[x][1]
+            elif y in halves:
+                before, y = y + 1, halves[y][0]
+            else:
+                return True
+        return False
 
     def extend(self, piece: bytes, last: list[int]) -> list[int]:
         """Append to last (the last token of each shorter prefix) what the rest of the piece needs. Appending bytes needs no more than this."""
-        usable, fit = self.usable.get, self.fit
-        for end in range(len(last) + 1, len(piece) + 1):
-            for start in range(max(0, end - self.reach), end):
-                t = usable(piece[start:end])
-                if t is not None and (not start or fit(last[start - 1], t)):
-                    last.append(t)
-                    break
+        done, fits, fit = len(last), self.fits, self.fit
+        first = max(0, done + 1 - self.reach)  # no token that ends behind what is done starts before this
+        for at, (size, t) in self.ends.iter(piece[first:].decode("latin-1")):
+            at += first
+            if at == done:
+                if size <= at:
+                    before = last[at - size]
+                    if (known := fits.get(before << 32 | t)) is None:
+                        if len(fits) >= FITS:
+                            fits.clear()
+                        known = fits[before << 32 | t] = fit(before, t)
+                    if not known:
+                        continue
+                last.append(t)
+                done += 1
         return last
 
     def edit(self, piece: bytes, last: list[int], at: int, removed: int, added: bytes) -> tuple[bytes, list[int]]:
@@ -104,10 +111,10 @@ class PrefixEncoder(Remembered):
         return new, now
 
     def walk(self, piece: bytes, last: list[int]) -> list[int]:
-        out, end = [], len(piece)
+        out, end, size = [], len(piece), self.size
         while end:
             out.append(t := last[end - 1])
-            end -= len(self.token[t])
+            end -= size[t]
         return out[::-1]
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -115,11 +122,41 @@ class PrefixEncoder(Remembered):
         return [whole] if whole is not None else self.walk(piece, self.extend(piece, []))
 
     def work(self, piece: str) -> str:
-        return ",".join(map(str, self.encode_piece(piece.encode())))
+        return ",".join([self.name[t] for t in self.encode_piece(piece.encode())])
+
+    def learn(self, pieces: set[str]) -> None:
+        """Have pieces ready. New ones come in order, so that each goes on from the prefix that it shares with the one before."""
+        new, last, before = sorted([p.encode() for p in pieces if p not in self]), [], b""
+        self.make_room(len(new))
+        older, names = self.older, self.name
+        for piece in new:
+            text = piece.decode()
+            if (known := older.get(text)) is None:
+                if (whole := self.ranks.get(piece)) is not None:
+                    known = names[whole]
+                else:
+                    same = 0
+                    for a, b in zip(before, piece):
+                        if a != b:
+                            break
+                        same += 1
+                    before, last = piece, self.extend(piece, last[:same])
+                    known = ",".join([names[t] for t in self.walk(piece, last)])
+            self[text] = known
+
+    def encode_all(self, texts: list[str]) -> list[str]:
+        """Each text's ids as decimal text joined by commas."""
+        cut = [self.pattern.findall(t) for t in texts]
+        pieces = set().union(*cut)
+        self.learn(pieces)
+        out = [",".join(map(self.__getitem__, of)) for of in cut]
+        for piece in pieces:
+            if len(piece) > self.longest:
+                self.pop(piece, None)
+        return out
 
     def encode(self, text: str) -> str:
-        """The text's ids as decimal text joined by commas."""
-        return ",".join(map(self.__getitem__, self.pattern.findall(text)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -129,9 +166,8 @@ class PrefixEncoder(Remembered):
         return b"".join(map(self.said.__getitem__, said))
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> PrefixEncoder:
-    return PrefixEncoder(path, pattern)
+    return one_model(PrefixEncoder, path, pattern)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -139,8 +175,8 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        of = encoder(path, pattern)
-        return pd.Series([list(map(int, s.split(","))) if t and (s := of.encode(t)) else [] for t in texts])
+        said = encoder(path, pattern).encode_all([t or "" for t in texts])
+        return pd.Series([np.fromstring(s, np.int32, sep=",") for s in said])
 
     return ids(text)
 
@@ -156,20 +192,25 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     return raw(ids)
 
 
+def digests(path: str, pattern: str, texts: pd.Series, with_ids: bool) -> pd.DataFrame:
+    """What each text (none null) is encoded to and decoded from."""
+    of, rows = encoder(path, pattern), []
+    for said in of.encode_all(texts.tolist()):
+        ids = said.split(",") if said else []
+        row = (len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest())
+        rows.append((np.fromstring(said, np.int32, sep=","), *row) if with_ids else row)
+    return pd.DataFrame(rows, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with ids (array<int>), n_tokens, ids_sha256 (of the ids as decimal text joined by commas) and decoded_sha256 (of the bytes that they decode to)."""
 
     @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(texts: pd.Series) -> pd.DataFrame:
-        of, rows = encoder(path, pattern), []
-        for t in texts:
-            said = of.encode(t) if t else ""
-            ids = said.split(",") if said else []
-            rows.append((np.array(ids, np.int32), len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest()))
-        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def made(texts: pd.Series) -> pd.DataFrame:
+        return digests(path, pattern, texts, True)
 
-    rows = docs.withColumn("_bpe", digests(F.coalesce(F.col(text_col), F.lit(""))))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns), "_bpe.ids", "_bpe.n_tokens", "_bpe.ids_sha256", "_bpe.decoded_sha256")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), made(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("bpe"))
+    return rows.select("row.*", "bpe.ids", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,13 +221,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(texts: pd.Series) -> pd.DataFrame:
-        of, rows = encoder(path, pattern), []
-        for t in texts:
-            said = of.encode(t) if t else ""
-            ids = said.split(",") if said else []
-            rows.append((len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    got = docs.select(F.col(id_col).alias("doc_id"), digests(F.coalesce(F.col(text_col), F.lit(""))).alias("d"))
+    def made(texts: pd.Series) -> pd.DataFrame:
+        return digests(path, pattern, texts, False)
+
+    got = docs.select(F.col(id_col).alias("doc_id"), made(F.coalesce(F.col(text_col), F.lit(""))).alias("d"))
     return got.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")

@@ -6,7 +6,6 @@ Python is needed since merging is a loop whose next step depends on the last one
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 
@@ -15,6 +14,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalloom.llm.common import one_model
+
 #: How a byte-level vocabulary file splits text before merging (fixed value of the format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct words whose counts a worker remembers; beyond that it starts afresh.
@@ -89,9 +90,8 @@ class MergeCounter(dict):
         return len(parts) - 1 + sum(sum(map(self.__getitem__, self.split.findall(p))) for p in parts)
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str) -> MergeCounter:
-    return MergeCounter(path)
+    return one_model(MergeCounter, path)
 
 
 def token_count(text: Column, path: str) -> Column:
