@@ -1,117 +1,179 @@
 """Language-model scores by subword lattice likelihood.
 
-A word is a path through a lattice of vocabulary pieces; the model gives a text the probability of all its paths
-together, by forward recursion in log space. The vocabulary is given; its unigram scores come from the distinct words of the
-training documents, cut into pieces by the vocabulary's own tokenizer: pieces that begin a word are weighed among
-themselves, the others together with the word's end. A word that training documents have is an arc of its own from start to end, with its
-count less a discount over the count of all tokens; what the discounts leave is the chance of going by pieces. Scores are worked out
-once for each distinct word of the corpus, not for each place where it stands.
-
-Documents are laid out in ranges of ids. Each range's distinct words meet their counts and scores in a join by word and come back to the
-range, so no machine needs more of the vocabulary than its own documents use.
+A word, its start marked, is a lattice whose arcs are pieces of a given vocabulary; the model gives it the probability of all paths
+together, by forward recursion in log space, and a text the product of its words' and its end's. Each arc weighs by its
+piece's unigram score, whatever the word: the vocabulary's own scores are the prior, and training text adds how often it has
+each piece (its distinct words, cut by the vocabulary's tokenizer, weighed by how often they occur). A word's
+probability depends on the word alone, so it is worked out once for each distinct word of the corpus, not for each place where it stands.
+
+Documents stay where they are read. They are laid out in chunks: rows with the chunk's distinct words and each
+document's words as numbers. Chunks' words meet their counts and probabilities in a join by word, and come back by chunk and number; no
+text is shuffled, and no task needs more of the corpus's vocabulary than its own chunk has.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-from collections import Counter
+from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import id_crc_mod, keep
+from signalloom.llm.common import discard, id_crc_mod, keep, one_model
 
-#: Documents whose ids fall into one range of so many integers are scored together.
-RANGE = 4096
-#: Added to each piece's count.
-SMOOTH = 0.5
+#: Bytes of text that fill a chunk; a document isn't split.
+CHUNK = 8 << 20
+#: What the prior adds to the pieces' counts, as a mean over pieces.
+PRIOR = 0.5
+#: Words of which one task works out the probability.
+WORDS = 50_000
 MARK = "▁"
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of texts (strings, none null): their distinct words, lower-cased from A to Z, as bytes; each place's word, by number; and how many words each text has."""
+    texts = texts.cast(pa.large_binary())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    solid = ~BLANK[data]
+    new = solid.copy()
+    new[1:] &= ~solid[:-1]
+    first = bounds[:-1][bounds[:-1] < bounds[1:]]
+    new[first] = solid[first]
+    at, upto = np.flatnonzero(new), np.cumsum(solid, dtype=np.int64)
+    offsets = np.append(upto[at] - 1, upto[-1] if len(upto) else 0)
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(LOWER[data][solid])]).dictionary_encode()
+    return words.dictionary.cast(pa.binary()), words.indices.to_numpy(), np.diff(np.searchsorted(at, bounds))
+
+
+class Vocabulary:
+    """The tokenizer; ids of pieces that stand for text, by piece; ids of the 256 byte pieces; the prior of each id, 1 in sum.
+
+    A file's scores are logarithms of probabilities, or, if it was made by merging, the merges' ranks with a minus; then a piece of rank r
+    has a prior in proportion to 1 / (r + 1). Bytes, and pieces without a rank of their own, have that of the last rank.
+    """
 
-def words_of(text: str) -> list[bytes]:
-    """Lower-cased words, as bytes: bytes.split() cuts at just the six ASCII white-space bytes."""
-    return text.encode().translate(LOWER).split()
+    def __init__(self, path: str):
+        import sentencepiece
 
+        self.tokenizer = sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = sp.get_piece_size()
+        self.whole = {sp.id_to_piece(i): i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
+        self.of_byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        scores = np.array([sp.get_score(i) for i in range(n)])
+        ids = sorted(self.whole.values())
+        ranks = bool((scores == np.round(scores)).all() and len(np.unique(scores[ids])) > 1)
+        prior = np.maximum(1 / (1 - scores), 1 / (n + 1)) if ranks else np.exp(scores)
+        text = np.zeros(n, bool)
+        text[ids] = text[self.of_byte] = True
+        prior[self.of_byte] = prior[ids].min() if ids else 1.0
+        self.prior = np.where(text, prior, 0.0) / prior[text].sum()
 
-@functools.lru_cache(maxsize=2)
-def pieces(path: str):
-    """The tokenizer; the ids of its pieces that stand for text, by piece; the ids of its 256 byte pieces."""
-    import sentencepiece
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    n = sp.get_piece_size()
-    whole = {sp.id_to_piece(i): i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
-    return sp, whole, [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+def vocabulary(path: str) -> Vocabulary:
+    return one_model(Vocabulary, path)
 
 
 class Lattice:
-    """log_weights: natural logarithms by piece id; stop: that of a word's end, spell: that of going by pieces at all."""
-
-    def __init__(self, path: str, log_weights: np.ndarray, stop: float = 0.0, spell: float = 0.0):
-        self.around = stop + spell
-        _, whole, of_byte = pieces(path)
-        self.weight = {p: float(log_weights[i]) for p, i in whole.items()}
-        self.of_byte = [float(log_weights[i]) for i in of_byte]
-        self.longest = max(map(len, whole), default=1)
-
-    def log_probability(self, word: str, arc: float | None = None) -> float:
-        """Of all ways to make the word, its start marked, from pieces, and by the arc of its own (a logarithm), if it has one. A character that is no piece is made of its bytes."""
-        s, weight = MARK + word, self.weight.get
-        n = len(s)
-        into: list[list[float] | None] = [None] * (n + 1)
-        into[0] = [0.0]
-        for i in range(n):
-            here, into[i] = into[i], None
-            if here is None:
-                continue
-            top = max(here)
-            so_far = top if len(here) == 1 else top + math.log(sum([math.exp(x - top) for x in here]))
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                w = weight(s[i:j])
-                if w is None:
-                    if j > i + 1:
-                        continue
-                    w = sum(self.of_byte[b] for b in s[i].encode())
-                if into[j] is None:
-                    into[j] = [so_far + w]
-                else:
-                    into[j].append(so_far + w)
-        last = [x + self.around for x in into[n]] + ([] if arc is None else [arc])
-        top = max(last)
-        return top + math.log(sum([math.exp(x - top) for x in last]))
-
-
-def used_words(rows: DataFrame) -> DataFrame:
-    """range, word, c: each range's distinct words and how often its training documents have them."""
-
-    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        known, seen = Counter(), set()
-        for text, held_out in zip(rows.text, rows.held_out):
-            (seen if held_out else known).update(words_of(text))
-        seen -= known.keys()
-        words = [*known, *seen]
-        return pd.DataFrame({"range": [key[0]] * len(words), "word": words, "c": [*known.values(), *[0] * len(seen)]})
-
-    return rows.groupBy("range").applyInPandas(count, "range long, word binary, c long")
+    """log_weights: natural logarithms by piece id."""
+
+    def __init__(self, known: Vocabulary, log_weights: np.ndarray):
+        self.arcs = ahocorasick.Automaton()
+        for piece, i in known.whole.items():
+            self.arcs.add_word(piece, (len(piece), float(log_weights[i])))
+        self.arcs.make_automaton()
+        self.of_byte = [float(log_weights[i]) for i in known.of_byte]
+
+    def log_probability(self, word: str) -> float:
+        """Of all ways to make the word, its start marked, from pieces. A character that is no piece is made of its bytes."""
+        text = MARK + word
+        upto, at, ways, alone = [0.0], 0, [], False
+        for end, (size, weight) in self.arcs.iter(text):
+            while end > at:
+                upto.append(self._sum(text[at], ways, alone, upto[at]))
+                at, ways, alone = at + 1, [], False
+            ways.append(upto[end + 1 - size] + weight)
+            alone = alone or size == 1
+        for at in range(at, len(text)):
+            upto.append(self._sum(text[at], ways, alone, upto[at]))
+            ways, alone = [], False
+        return upto[-1]
+
+    def _sum(self, character: str, ways: list[float], alone: bool, before: float) -> float:
+        """The logarithm of the sum over ways to end behind a character; alone: whether it is a piece."""
+        if not alone:
+            ways.append(before + sum([self.of_byte[b] for b in character.encode("utf-8", "surrogatepass")]))
+        if len(ways) == 1:
+            return ways[0]
+        top = max(ways)
+        return top + math.log(sum([math.exp(x - top) for x in ways]))
+
+
+def laid_out(rows: DataFrame) -> DataFrame:
+    """One row per chunk of rows (doc_id, text, held_out): chunk, words and counts (distinct words, and how often its training documents have them), ends (how many these are), doc_ids, held_out, sizes (words of each document), numbers (each place's word; packed)."""
+    names = ["chunk", "words", "counts", "ends", "doc_ids", "held_out", "sizes", "numbers"]
+    schema = "chunk long, words array<binary>, counts array<long>, ends long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, numbers binary"
+
+    def lay(batches):
+        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def row():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            words, numbers, sizes = words_of(rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string()))
+            held_out = rows.column("held_out").to_numpy()
+            counts = np.bincount(numbers[np.repeat(~held_out, sizes)], minlength=len(words))
+            whole = [pa.array([part << 32 | seq]), one(words), one(pa.array(counts, pa.int64())), pa.array([int((~held_out).sum())]), one(rows.column("doc_id").combine_chunks()), one(pa.array(held_out)), one(pa.array(sizes, pa.int64()))]
+            return pa.RecordBatch.from_arrays([*whole, pa.array([zstandard.ZstdCompressor(level=1).compress(numbers.astype("<i4"))], pa.binary())], names=names)
+
+        def one(values):
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= CHUNK:
+                yield row()
+                held, size, seq = [], 0, seq + 1
+        if size:
+            yield row()
+
+    return rows.mapInArrow(lay, schema)
 
 
 def piece_counts(words: DataFrame, path: str) -> dict[int, int]:
-    """How often pieces occur in the distinct training words. What comes to the driver is bounded by the vocabulary."""
+    """How often pieces occur in training text, its words (word, c) cut by the vocabulary's tokenizer. What comes to the driver is bounded by the vocabulary."""
 
     def cut(batches):
-        sp, got = pieces(path)[0], np.zeros(pieces(path)[0].get_piece_size(), np.int64)
+        sp = vocabulary(path).tokenizer
+        got = np.zeros(sp.get_piece_size(), np.int64)
         for batch in batches:
-            for ids in sp.encode([w.decode() for w in batch.word], num_threads=1):
-                for i in ids:
-                    got[i] += 1
+            c = batch.column("c").to_numpy()
+            each = sp.encode([w.decode(errors="replace") for w in batch.column("word").to_pylist()], num_threads=1)
+            sizes = np.fromiter(map(len, each), np.int64, len(each))
+            ids = np.fromiter((i for ids in each for i in ids), np.int64, int(sizes.sum()))
+            np.add.at(got, ids, np.repeat(c, sizes))
         some = np.flatnonzero(got)
-        yield pd.DataFrame({"piece": some, "n": got[some]})
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(got[some])], names=["piece", "n"])
+
+    return {r.piece: r.n for r in words.where("c > 0").mapInArrow(cut, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
 
-    return {r.piece: r.n for r in words.where("c > 0").mapInPandas(cut, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+
+def unigram(known: Vocabulary, counts: dict[int, int], ends: int) -> tuple[np.ndarray, float]:
+    """Log weights by piece id, and that of a text's end, which is a piece as well: counts and prior, over the sum of all."""
+    weights = known.prior * PRIOR * np.count_nonzero(known.prior)
+    for piece, times in counts.items():
+        weights[piece] += times
+    whole = weights.sum() + ends + PRIOR
+    return np.log(np.where(weights > 0, weights, PRIOR) / whole), math.log((ends + PRIOR) / whole)
 
 
 def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,59 +183,50 @@ def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col:
     documents have), train_tokens, base_score (unigram words with `add` added to each count), score (the lattice's log10
     probability). A null text is an empty one, whose only token is its end. A null id counts as the empty text for the
     fold. Repeated rows count each time. Words of any length are scored whole. An empty table gives an empty result;
-    without training documents all counts are 0. Other columns are ignored.
+    without training documents all counts are 0 and the prior alone weighs. Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (id_crc_mod(F.col(id_col), folds) == 0).alias("held_out"))
-    rows = rows.withColumn("range", F.floor(F.col("doc_id") / F.lit(RANGE)).cast("long"))
-    used = keep(used_words(rows), "lm-used")
-    words = keep(used.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
-
-    ends = rows.where(~F.col("held_out")).count()
-    of = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
+    chunks = keep(laid_out(rows), "lm-chunks")
+    used = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts")
+    words = keep(used.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c")), "lm-words")
+    ends = chunks.agg(F.coalesce(F.sum("ends"), F.lit(0)).alias("n")).first().n
+    of = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count(F.lit(1)).alias("all")).first()
     n, v = of.n + ends, of.v + (ends > 0)
-    discount = min(0.9, max(0.1, of.once / (of.once + 2 * of.twice))) if of.once + of.twice else 0.5
-    spell = discount * v / n if n else 1.0
-
-    sp, whole, of_byte = pieces(path)
-    weights = np.full(sp.get_piece_size(), SMOOTH)
-    for piece, times in piece_counts(words, path).items():
-        weights[piece] += times
-    first = np.array([i for p, i in whole.items() if p.startswith(MARK)])
-    later = np.array([*(i for p, i in whole.items() if not p.startswith(MARK)), *of_byte])
-    stops = of.v + SMOOTH
-    rest = weights[later].sum() + stops
-    weights[first] /= weights[first].sum()
-    weights[later] /= rest
-    learnt = spark.sparkContext.broadcast(np.log(weights))  # as long as the vocabulary
-    stop = math.log(stops / rest)
-
-    def own(c: int) -> float | None:
-        return math.log((c - discount) / n) if c else None
 
-    end_score = (own(ends) if ends else math.log(spell) + stop) / math.log(10)
+    known = Vocabulary(path)
+    weights, end = unigram(known, piece_counts(words, path), ends)
+    learnt, end_score = spark.sparkContext.broadcast(weights), end / math.log(10)  # as long as the vocabulary
 
     @F.pandas_udf("double")
-    def log10_probability(ws: pd.Series, cs: pd.Series) -> pd.Series:
-        lattice = Lattice(path, learnt.value, stop, math.log(spell))
-        return pd.Series([lattice.log_probability(w.decode(), own(c)) / math.log(10) for w, c in zip(ws, cs)], dtype="float64")
+    def log10_probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        lattice = Lattice(vocabulary(path), learnt.value)
+        for batch in batches:
+            yield pd.Series([lattice.log_probability(w.decode(errors="replace")) / math.log(10) for w in batch], dtype="float64")
 
-    scored = words.select("word", "c", log10_probability("word", "c").alias("p"))
-    local = used.select("range", "word").join(scored, "word")
+    scored = keep(words.repartition(max(1, -(-of["all"] // WORDS))).select("word", "c", log10_probability("word").alias("p")), "lm-scored")
+    discard(words)
+    local = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word")).join(scored, "word").select("of", "number", "c", "p")
 
     def base(c):
         return np.log10((c + add) / (n + add * (v + 1)))
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-    def score_range(rows: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
-        at = {w: i for i, w in enumerate(vocabulary.word)}
-        c, p = vocabulary.c.to_numpy(np.int64), vocabulary.p.to_numpy(np.float64)
-        b, out = base(c), []
-        for doc_id, text, held_out in zip(rows.doc_id, rows.text, rows.held_out):
-            i = np.fromiter(map(at.__getitem__, words_of(text)), np.int64)
-            out.append((None if doc_id != doc_id or doc_id is None else int(doc_id), held_out, len(i) + 1, int((c[i] > 0).sum()) + (ends > 0), n, float(b[i].sum() + base(ends)), float(p[i].sum() + end_score)))
-        made = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        return made.astype({"doc_id": "Int64"})
-
-    return rows.groupBy("range").cogroup(local.groupBy("range")).applyInPandas(score_range, schema)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def score_chunk(documents: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        number = vocabulary.column("number").to_numpy()
+        c, p = np.zeros(len(number), np.int64), np.zeros(len(number))
+        c[number], p[number] = vocabulary.column("c").to_numpy(), vocabulary.column("p").to_numpy()
+        out = []
+        for row in documents.select(["doc_ids", "held_out", "sizes", "numbers"]).to_pylist():
+            sizes = np.array(row["sizes"], np.int64)
+            at = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["numbers"]), "<i4")
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            total = lambda x: np.bincount(doc, x[at], len(sizes))  # noqa: E731, B023
+            n_known = total((c > 0).astype(np.float64)).astype(np.int64) + (ends > 0)
+            columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"]), pa.array(sizes + 1), pa.array(n_known), pa.array(np.full(len(sizes), n)), pa.array(total(base(c)) + base(ends)), pa.array(total(p) + end_score)]
+            out.append(pa.Table.from_arrays(columns, names))
+        return pa.concat_tables(out)
+
+    laid = chunks.select("chunk", "doc_ids", "held_out", "sizes", "numbers")
+    return laid.groupBy("chunk").cogroup(local.groupBy("of")).applyInArrow(score_chunk, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
