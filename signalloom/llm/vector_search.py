@@ -2,8 +2,9 @@
 
 Candidates are dealt into tiles, which hold them dimension by dimension. For each query a tile's scores grow by one
 block of dimensions at a time; after each block the candidates go whose score so far, plus the most that the remaining
-dimensions can add (the product of the remaining norms), stays below the k-th best so far. Queries come in blocks, so
-each task holds one block of queries and one tile. Python is needed since which candidates are left decides the next step.
+dimensions can add (the product of the remaining norms), stays below the k-th best so far. Queries are dealt into blocks, so
+each task holds one block of queries and one tile. Both are dealt by hash into as many as a count asks for, so neither depends on which ids
+there are. Python is needed since which candidates are left decides the next step.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK, TILE, DIMS = 1024, 4096, 16
+#: Queries and candidates that meet in one task at most, and dimensions that are added at a time.
+QUERY_BLOCK, TILE, DIMS = 4096, 32768, 16
 
 
 def tail_norms(rows: np.ndarray) -> np.ndarray:
@@ -23,7 +25,7 @@ def tail_norms(rows: np.ndarray) -> np.ndarray:
 
 
 def best_in_tile(q_ids, queries, ids, rows, k):
-    """For each query (id, vector) its k best of a tile: yields (query_id, ids, scores), ties to smaller ids."""
+    """For each query (id, vector) its k best of a tile: yields ids and scores, ties to smaller ids. Rows with the query's id are its own."""
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     across, tails, q_tails = np.ascontiguousarray(rows.T), tail_norms(rows), tail_norms(queries)
@@ -38,36 +40,47 @@ def best_in_tile(q_ids, queries, ids, rows, k):
                 stay = score + room >= least
                 left, score = left[stay], score[stay]
         top = np.lexsort((ids[left], -score))[:k]
-        yield qid, ids[left[top]], score[top]
+        yield ids[left[top]], score[top]
+
+
+def square(vectors) -> np.ndarray:
+    """Vectors as rows; those that are shorter than others go on with zeros."""
+    width = max(map(len, vectors), default=0)
+    return np.array([np.pad(np.asarray(v, np.int64), (0, width - len(v))) for v in vectors], np.int64).reshape(len(vectors), width)
 
 
 def top_k(vectors: DataFrame, every: int, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """The k rows with the highest integer inner product for each row whose id is divisible by `every`, among all rows but itself.
+    """The k rows with the highest integer inner product for each row whose id is divisible by `every`, among all rows but its own.
 
     Components become floor(scale * x), x as double. Result: query_id, rank (from 1), vec_id, score; ties go to the
     smaller id, and a query with fewer than k others gets them all. Rows with a null id, a null vector, or a null or
-    non-finite component take no part; of rows with one id, that with the smallest vector does. Vectors may differ in
-    length: missing components count as 0. An empty table gives an empty result; other columns are ignored.
+    non-finite component take no part. Of a repeated id every row counts: each as a candidate, each, if it is asked for, with a list of its own; rows of one id are no
+    candidates of each other. Vectors may differ in length: missing components count as 0. An empty table gives an empty result; other columns are ignored.
     """
     whole = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
     fine = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(fine).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = rows.where(F.col("vec_id") % every == 0).withColumn("block", F.floor(F.col("vec_id") / F.lit(every * QUERY_BLOCK)).cast("long"))
-    blocks = [r.block for r in asked.select("block").distinct().collect()]  # one number for every so many queries
-    tiles = max(1, -(-vectors.count() // TILE))
-    across = rows.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(tiles))).withColumn("block", F.explode(F.array(*map(F.lit, blocks)).cast("array<long>")))
-    asked = asked.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)).cast("array<long>")))
+    # of queries that are alike in id and vector one is looked up, for all of them
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times"))
+    number = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.lit(n))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    size = vectors.count()
+    tiles = max(1, -(-size // TILE), min(vectors.sparkSession.sparkContext.defaultParallelism, size // 1024))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    across = rows.withColumn("tile", number(tiles)).withColumn("block", each(blocks))
+    asked = asked.withColumns({"of": F.xxhash64("v"), "block": number(blocks)}).withColumn("tile", each(tiles))
 
     def search(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out = [(np.empty(0, np.int64),) * 3]
+        out: list = [(np.zeros(0, np.int64),) * 5]
         if len(queries) and len(found):
-            width = max(map(len, [*queries.v, *found.v]))
-            square = lambda vs: np.array([np.pad(np.asarray(v, np.int64), (0, width - len(v))) for v in vs], np.int64).reshape(len(vs), width)
-            for qid, ids, scores in best_in_tile(queries.vec_id.to_numpy(), square(queries.v), found.vec_id.to_numpy(), square(found.v), k):
-                out.append((np.full(len(ids), qid), ids, scores))
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
+            both = square([*queries.v, *found.v])
+            ids = queries.vec_id.to_numpy()
+            for qid, of, times, (near, scores) in zip(ids, queries["of"], queries.times, best_in_tile(ids, both[: len(ids)], found.vec_id.to_numpy(), both[len(ids) :], k)):
+                out.append((np.full(len(near), qid), np.full(len(near), of), np.full(len(near), times), near, scores))
+        return pd.DataFrame(dict(zip(("query_id", "of", "times", "vec_id", "score"), map(np.concatenate, zip(*out)))))
 
-    parts = asked.groupBy("block", "tile").cogroup(across.groupBy("block", "tile")).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    schema = "query_id long, of long, times long, vec_id long, score long"
+    parts = asked.groupBy("block", "tile").cogroup(across.groupBy("block", "tile")).applyInPandas(search, schema)
+    best = Window.partitionBy("query_id", "of").orderBy(F.desc("score"), "vec_id")
+    found = parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("again")).drop("again")
