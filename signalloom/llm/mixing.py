@@ -19,6 +19,8 @@ from signalloom.llm.common import WORD, keep
 
 #: Documents that a leaf, which is filled one document at a time, holds on average.
 LEAF = 64
+#: Words that a shard is to hold, and the fewest shards.
+SHARD_WORDS, LEAST_SHARDS = 1 << 24, 16
 
 
 def uniform(*of) -> Column:
@@ -97,13 +99,14 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return node.select(F.col("first").alias("shard"), F.inline("has"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int = 16, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int | None = None, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """What a mix takes of each document, and the shards that its copies go to.
 
     One row per input row: doc_id, source, size (words; of a null text 0), source_size, target, copies, taken (size * copies),
-    shards (array, one per copy that has words). Sources sorted by code point, null last, weigh by `weights`, repeating. No
+    shards and orders (arrays: for each copy the shard that it goes to, and the number by which the shard is shuffled). Sources sorted by code point, null last, weigh by `weights`, repeating. No
     document is taken more than `most` times. A source's taken words stay below its target by less than the smallest
-    document of its last leaf that was left out. Rows alike in id, source and size are taken alike. Null ids are ids like any other. An empty
+    document of its last leaf that was left out. There are as many shards as the words ask for (SHARD_WORDS each) unless a number is given, but no more than
+    blocks are drawn. Rows alike in id, source and size are taken alike. Null ids are ids like any other. An empty
     table gives an empty result; other columns are ignored.
     """
     sizes = keep(sized(docs, id_col, text_col, source_col), "mix-sizes")
@@ -141,6 +144,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     # blocks of each pass, the last being those of which only some documents are taken
     turn = F.explode(F.sequence(F.lit(1), F.col("passes") + F.when(F.coalesce("extra", F.lit(1)) > 0, 1).otherwise(0)))
     drawn = blocks.where((F.col("passes") > 0) | F.col("extra").isNull() | (F.col("extra") > 0)).select("rank", "block", turn.alias("turn"))
+    if shards is None:
+        words = per.agg(F.sum("source_size").alias("n")).first().n or 0
+        shards = max(LEAST_SHARDS, min(-(-words // SHARD_WORDS), drawn.count()))
     quotas = keep(split_quotas(drawn.groupBy("rank").agg(F.count(F.lit(1)).alias("quota")), shards, seed + 5), "mix-quotas")
     ends = quotas.withColumn("end", F.sum("quota").over(Window.partitionBy("rank").orderBy("shard"))).groupBy("rank").agg(F.array_sort(F.collect_list("end")).alias("ends"))
     place = F.row_number().over(Window.partitionBy("rank").orderBy(F.xxhash64("rank", "block", "turn", F.lit(seed + 6)), "block", "turn"))
@@ -148,19 +154,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     dealt = dealt.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "shard")))["shard"].alias("block_shards"))
     copies = F.col("passes") + F.col("extra")
     rows = rows.join(dealt, ["rank", "block"], "left").withColumn("copies", copies).withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), F.when(F.col("copies") > 0, F.slice("block_shards", 1, F.greatest("copies", F.lit(1)))).otherwise(F.array().cast("array<int>")).alias("shards"))
+    taken = F.when(F.col("copies") > 0, F.slice("block_shards", 1, F.greatest("copies", F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    orders = F.transform("shards", lambda shard, copy: F.xxhash64("doc_id", "source", copy, F.lit(seed + 7)))
+    rows = rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), taken.alias("shards"))
+    return rows.withColumn("orders", orders)
 
 
-def deal(mixed: DataFrame, seed: int = 42) -> DataFrame:
-    """The mix itself: a row per copy with its shard and place, shuffled within the shard."""
-    rows = mixed.select("*", F.posexplode("shards").alias("copy", "shard"))
-    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("doc_id", "copy", F.lit(seed)), "doc_id", "copy")
+def deal(mixed: DataFrame) -> DataFrame:
+    """The mix itself, from rows with shards and orders: a row per copy with its shard and order, each shard's rows together and shuffled."""
+    rows = mixed.select("*", F.posexplode(F.arrays_zip("shards", "orders")).alias("copy", "to")).select("*", F.col("to.shards").alias("shard"), F.col("to.orders").alias("order")).drop("to")
+    return rows.repartition("shard").sortWithinPartitions("shard", "order", "copy")
 
 
-def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int = 16) -> DataFrame:
-    """docs (with doc_id, text, source), each row as often as the mix takes it; columns stay as they are."""
-    taken = mix(docs, weights, most, shards).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").distinct()
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int | None = None) -> DataFrame:
+    """docs (with doc_id, text, source), each row as often as the mix takes it, dealt to shards and shuffled within them; columns stay as they are, whatever their names."""
+    mixed = mix(docs, weights, most, shards).where("copies > 0").select("doc_id", "source", "size", "shards", "orders").distinct()
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
-    rows = docs.withColumn("_words", size)
-    same = rows["doc_id"].eqNullSafe(taken["_id"]) & rows["source"].eqNullSafe(taken["_source"]) & (rows["_words"] == taken["_size"])
-    return rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), size.alias("of_size"))
+    same = F.col("of_id").eqNullSafe(F.col("doc_id")) & F.col("of_source").eqNullSafe(F.col("source")) & (F.col("of_size") == F.col("size"))
+    return deal(rows.join(mixed, same).select("row", "shards", "orders")).select("row.*")

@@ -1,8 +1,12 @@
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
-from signalloom.llm.mixing import deal, mix, split_quotas, targets
+import xxhash
+from pyspark.sql import functions as F
+
+from signalloom.llm.mixing import deal, mix, mixed_documents, split_quotas, targets
 
 SCHEMA = "doc_id long, text string, source string, n_chars long, size long, words long"
 
@@ -25,6 +29,56 @@ def brute_targets(size, weights=(5, 2, 1), most=3):
         full |= over
 
 
+def spark_hash(*values):
+    """xxhash64 of longs and ("int", value) pairs, null ones left out."""
+    h = 42
+    for v in values:
+        if v is not None:
+            raw = v[1].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+            h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_copies(rows, target, most=3, seed=42, leaf=64):
+    """How often each (id, source, size) is taken, by plain loops over blocks, leaves and documents."""
+    times = Counter((i, s, words(t)) for i, t, s in rows)
+    out = {}
+    order = sorted((s for s in target if s is not None), key=lambda s: s.encode()) + [None] * (None in target)
+    for rank, source in enumerate(order, 1):
+        docs = [d for d in times if d[1] == source]
+        weigh = lambda ds: sum(d[2] * times[d] for d in ds)
+        whole = weigh(docs)
+        passes = min(int(target[source] / whole + 1e-12), most) if whole else 0
+        need = target[source] - passes * whole if whole and passes < most else 0.0
+        out.update({d: passes for d in docs})
+
+        def filled(docs, parts, salt, need):
+            """Parts that fit; the documents of the part that the need ends in, and what is missing of it."""
+            of = defaultdict(list)
+            for d in docs:
+                of[spark_hash(d[0], ("int", seed + salt)) % parts].append(d)
+            taken, upto = [], 0
+            for b in sorted(of, key=lambda b: (spark_hash(("int", rank), b, ("int", seed + salt + 1)), b)):
+                lack, upto = need - upto, upto + weigh(of[b])
+                if upto <= need:
+                    taken += of[b]
+                elif lack > 0:
+                    return taken, of[b], lack
+            return taken, [], 0
+
+        taken, cut, lack = filled(docs, max(1, math.ceil(math.sqrt(len(docs) / leaf))), 1, need)
+        if cut:
+            more, last, lack = filled(cut, max(1, math.ceil(len(cut) / leaf)), 3, lack)
+            taken += more
+            for d in sorted(last, key=lambda d: (d[2] * times[d], d[0] is not None, d[0] or 0), reverse=True):
+                if d[2] * times[d] <= lack:
+                    lack -= d[2] * times[d]
+                    taken.append(d)
+        for d in taken:
+            out[d] += 1
+    return out
+
+
 def words(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
@@ -50,8 +104,36 @@ def test_targets_and_taken_words(spark):
         assert want[s] - 60 <= taken[s] <= want[s] + 1e-6, (s, want[s], taken[s])
     again = mix(spark.createDataFrame(make(rows[::-1]), SCHEMA)).collect()
     assert Counter(map(str, got)) == Counter(map(str, again))
-    dealt = deal(mix(spark.createDataFrame(make(rows[:50]), SCHEMA), shards=3))
-    assert dealt.count() > 0
+    assert {(r.doc_id, r.source, r["size"]): r.copies for r in got} == brute_copies(rows, want)
+
+
+def test_copies_are_dealt_to_shards_and_shuffled(spark):
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randint(1, 60), rng.choice("aab")) for i in range(2000)] + [(None, "x y", "a"), (5, None, "a")]
+    mixed = mix(spark.createDataFrame(make(rows), SCHEMA), shards=5).cache()
+    want = Counter((r.doc_id, r.source, r["size"], s) for r in mixed.collect() for s in r.shards)
+    dealt = deal(mixed).withColumn("at", F.monotonically_increasing_id()).collect()
+    assert Counter((r.doc_id, r.source, r["size"], r.shard) for r in dealt) == want and len(want) > 1000
+    by_shard = defaultdict(list)
+    for r in sorted(dealt, key=lambda r: r.at):
+        by_shard[r.shard].append((r.order, r.doc_id))
+    assert sorted(by_shard) == list(range(5))
+    for of in by_shard.values():
+        assert of == sorted(of, key=lambda x: x[0])
+        ids = [i for _, i in of if i is not None]
+        rising = sum(a < b for a, b in zip(ids, ids[1:])) / len(ids)
+        assert 0.4 < rising < 0.6  # in no order of ids
+    assert all(len(r.shards) == len(r.orders) == r.copies for r in mixed.collect())
+
+
+def test_mixed_documents_keep_their_columns(spark):
+    rows = [(i, f"word {i} " * 5, "a" if i % 3 else "b", i, i, i) for i in range(300)] + [(1, None, None, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, row long, shards long")
+    copies = {(r.doc_id, r.source): r.copies for r in mix(docs).collect()}
+    got = mixed_documents(docs)
+    assert got.columns == docs.columns
+    assert Counter(map(tuple, got.collect())) == Counter({r: copies[r[0], r[2]] for r in rows if copies[r[0], r[2]]})
+    assert mixed_documents(docs.limit(0)).collect() == []
 
 
 def test_quotas_stay_exact_and_shards_even(spark):
