@@ -13,6 +13,7 @@ from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import mentions, pattern
 from signalloom.functions.text import bind, fold, strip
 
+# The forms of amounts, and below the cues of recipients.
 _SCALE = "|".join(sorted(map(re.escape, v.SCALES), key=len, reverse=True))
 _NUMBER = r"(\d[\d,]*(?:\.\d+)?)"
 #: Amounts in dollars: $ before a scaled number, a dollar word behind one, or $ before a plain number of four digits or more.
@@ -49,6 +50,7 @@ def beat(text: Column, procurement: list[str] = v.PROCUREMENT) -> Column:
     return F.when(mentions(fold(F.coalesce(text, F.lit(""))), procurement, False), "procurement")
 
 
+# What a name looks like.
 _TOKEN = r"[A-Z0-9][A-Za-z0-9.&'\-]*"
 _ENTITY = rf"{_TOKEN}(?:\s+(?:de|del|of|and|y|la|el|los|the|{_TOKEN}))*"
 #: Cues that name who got an award, each with the name in its first group.

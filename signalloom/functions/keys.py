@@ -62,5 +62,10 @@ def clamp(x: Column) -> Column:
     return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
 
 
+def per_hundred(score: Column, digits: int = 3) -> Column:
+    """A score from 0 to 100 as one from 0 to 1, rounded half away from zero as a decimal number; none counts as 0."""
+    return F.round(F.coalesce(score, F.lit(0)).cast("decimal(18,6)") * F.lit("0.01").cast("decimal(3,2)"), digits).cast("double")
+
+
 def percent(confidence: Column) -> Column:
     return F.round(confidence * 100, 1)

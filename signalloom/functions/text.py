@@ -29,8 +29,8 @@ ACCENTED, PLAIN = _accents()
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents, within Spark's own functions (letters of the Latin blocks)."""
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case without accents, within Spark's own functions (letters of the Latin blocks). Texts of ASCII alone, one byte a character, have none."""
+    return bind(F.lower(text), lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(F.translate(t, ACCENTED, PLAIN)))
 
 
 def fold_exact(text: Column) -> Column:

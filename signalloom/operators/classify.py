@@ -15,7 +15,8 @@ def item_text() -> Column:
 
 
 def with_keyword_labels(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS) -> DataFrame:
-    return items.withColumn("keyword_labels", tags(item_text(), lexicon))
+    """items with keyword_labels, worked out once: a generator of one row, which the optimizer doesn't copy into the filters and columns that use it."""
+    return items.select("*", F.explode(F.array(tags(item_text(), lexicon))).alias("keyword_labels"))
 
 
 def classify(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS, predictions: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from signalloom.functions.text import slug, strip
 
 
 def mentions(signals: DataFrame, matters: DataFrame) -> DataFrame:
-    """name, type, signal_id and the place in order of every mention. signals: line, signal_id, agencies, entities; matters: line, agencies, people, organizations."""
+    """slug, name, type, signal_id and the place in order of every mention; names without a slug are none. signals: line, signal_id, agencies, entities; matters: line, agencies, people, organizations."""
 
     def of(df: DataFrame, part: int, column: str, kind: str, place: int, signal_id) -> DataFrame:
         rows = df.select(F.lit(part).alias("part"), "line", F.lit(place).alias("place"), F.posexplode(column).alias("pos", "name"), signal_id.alias("signal_id"), F.lit(kind).alias("type"))
@@ -21,21 +21,20 @@ def mentions(signals: DataFrame, matters: DataFrame) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    out = out.withColumn("name", strip(F.coalesce("name", F.lit(""))))
+    return out.withColumn("slug", slug(F.col("name"))).where("slug <> ''")
 
 
 def profiles(mentioned: DataFrame) -> DataFrame:
-    """slug, name and type of the first mention (agency, if any mention says so), mention_count, signal_ids (sorted)."""
-    rows = mentioned.withColumn("name", strip(F.coalesce("name", F.lit("")))).withColumn("slug", slug(F.col("name"))).where("slug <> ''")
-    return rows.groupBy("slug").agg(
+    """slug, name and type of the first mention (agency, if any mention says so), mention_count, n_signals. A name may be in any number of signals: they are counted, and found by signals_of."""
+    return mentioned.groupBy("slug").agg(
         F.min_by("name", "at").alias("name"),
         F.when(F.bool_or(F.col("type") == "agency"), "agency").otherwise(F.min_by("type", "at")).alias("type"),
         F.count(F.lit(1)).alias("mention_count"),
-        F.array_sort(F.collect_set("signal_id")).alias("signal_ids"),
+        F.count_distinct("signal_id").alias("n_signals"),
     )
 
 
-def signals_of(signals: DataFrame, profile: DataFrame, name_slug: str) -> DataFrame:
+def signals_of(signals: DataFrame, mentioned: DataFrame, name_slug: str) -> DataFrame:
     """The signals that mention a name."""
-    ids = profile.where(F.col("slug") == name_slug).select(F.explode("signal_ids").alias("signal_id"))
-    return signals.join(ids, "signal_id", "left_semi")
+    return signals.join(mentioned.where(F.col("slug") == name_slug).select("signal_id"), "signal_id", "left_semi")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalloom.functions import vocabulary as v
-from signalloom.functions.keys import clamp, hash_id, percent
+from signalloom.functions.keys import clamp, hash_id, per_hundred, percent
 from signalloom.functions.text import filled, fold_words, title_of_id, upper_slug
 from signalloom.operators.dedup import first_wins, last_wins
 
@@ -45,8 +47,12 @@ def check_ledger(signals: DataFrame) -> None:
         raise ValueError("empty ledger" if not n.n else f"{n.made_up} synthetic rows")
 
 
+# Fixed value: how rows of the streams are said to be made.
+METHOD = "deterministic_signal_projection"
+
+
 def lineage(phase: str, inputs: list[str]) -> Column:
-    return F.struct(F.lit("ledger.streams").alias("producer_script"), F.lit(phase).alias("producer_phase"), F.array(*map(F.lit, inputs)).alias("source_inputs"), F.lit("deterministic_signal_projection").alias("extraction_method"))
+    return F.struct(F.lit("ledger.streams").alias("producer_script"), F.lit(phase).alias("producer_phase"), F.array(*map(F.lit, inputs)).alias("source_inputs"), F.lit(METHOD).alias("extraction_method"))
 
 
 def streams(signals: DataFrame, registry: DataFrame, now: Column, jurisdiction: str = "PR", inputs: list[str] | None = None) -> dict[str, DataFrame]:
@@ -58,7 +64,7 @@ def streams(signals: DataFrame, registry: DataFrame, now: Column, jurisdiction:
     inputs = inputs or ["signals", "source_registry"]
     reg = registry.select(F.col("source_id").alias("_ref"), F.col("name").alias("_name"), F.col("source_family").alias("_family"))
     rows = signals.withColumns({
-        "_created": F.coalesce("captured_at", now), "_confidence": F.round(F.coalesce("confidence_score", F.lit(0.0)) / 100, 3), "_ref": F.col("source_id"),
+        "_created": F.coalesce("captured_at", now), "_confidence": per_hundred(F.col("confidence_score")), "_ref": F.col("source_id"),
         "_matter": filled(F.col("matter_id"), F.col("signal_id")), "_synthetic": F.coalesce("is_synthetic", F.lit(False)),
     })
     rows = rows.withColumns({"_source": hash_id("src", filled(F.col("source_id"), F.lit("unknown"))), "_entity": hash_id("ent", F.lit("matter"), F.col("_matter"))})
@@ -88,7 +94,8 @@ def streams(signals: DataFrame, registry: DataFrame, now: Column, jurisdiction:
 
 
 def refuse_synthetic(parts: dict[str, DataFrame]) -> None:
-    """For production: no row of any stream may be synthetic."""
-    n = sum(df.where("synthetic").count() for df in parts.values())
+    """For production: no row of any stream may be synthetic. One job looks at all streams."""
+    each = [df.select("synthetic") for df in parts.values()]
+    n = reduce(DataFrame.union, each).agg(F.count_if("synthetic").alias("n")).first().n
     if n:
         raise ValueError(f"{n} synthetic rows are not allowed in production")

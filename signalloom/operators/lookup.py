@@ -16,7 +16,7 @@ def with_defaults(df: DataFrame, dimension: DataFrame, on: str, defaults: dict[s
 
 
 def nested(parents: DataFrame, children: DataFrame, on: str, name: str) -> DataFrame:
-    """parents with an array of their children's rows, empty where there are none."""
+    """parents with an array of their children's rows, empty where there are none: for parents of as many children as a row can hold. To count them, aggregate them (views.matter_counts)."""
     rows = children.groupBy(on).agg(F.array_sort(F.collect_list(F.struct(*(c for c in children.columns if c != on)))).alias(name))
     empty = F.array().cast(rows.schema[name].dataType)
     return parents.join(rows, on, "left").withColumn(name, F.coalesce(name, empty))

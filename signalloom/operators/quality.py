@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,47 @@ def item_faults() -> Column:
     return F.filter(F.array(*rules), lambda x: x.isNotNull())
 
 
+def required_fields(schema: str | None) -> list[str]:
+    """The fields that a JSON schema requires; none if it is no JSON."""
+    try:
+        found = json.loads(schema or "").get("required", [])
+    except (ValueError, AttributeError):
+        return []
+    return [f for f in found if isinstance(f, str)]
+
+
+def schema_faults(df: DataFrame, schema: dict) -> Column:
+    """Names of the columns that break a flat JSON schema: required ones that are missing or null, and values outside an enum, a range, a length or a pattern."""
+    faults = []
+    for name in dict.fromkeys([*schema.get("required", []), *schema.get("properties", {})]):
+        rule = schema.get("properties", {}).get(name, {})
+        if name not in df.columns:
+            faults += [F.lit(name)] if name in schema.get("required", []) else []
+            continue
+        c, tests = F.col(f"`{name}`"), []
+        if "enum" in rule:
+            tests.append(c.isin(*(x for x in rule["enum"] if x is not None)))
+        tests += [test(c, rule[key]) for key, test in LIMITS.items() if key in rule]
+        fine = F.lit(True)
+        for test in tests:
+            fine = fine & test
+        absent = F.lit(name not in schema.get("required", []))
+        faults.append(F.when(~F.when(c.isNull(), absent).otherwise(F.coalesce(fine, F.lit(False))), F.lit(name)))
+    return F.filter(F.array(*faults), lambda x: x.isNotNull()) if faults else F.array().cast("array<string>")
+
+
+LIMITS: dict[str, Callable] = {
+    "minimum": lambda c, x: c >= x, "maximum": lambda c, x: c <= x, "minLength": lambda c, x: F.length(c) >= x, "maxLength": lambda c, x: F.length(c) <= x,
+    "pattern": lambda c, x: c.rlike(x), "minItems": lambda c, x: F.size(c) >= x, "maxItems": lambda c, x: F.size(c) <= x, "const": lambda c, x: c == F.lit(x),
+}
+
+
+def coverage_faults(total: Column, automated: Column, queued: Column, queued_total: Column) -> Column:
+    """Names of the sums that don't hold: automated and queued together are all, and the queued of each kind (a map) together are the queued."""
+    by_kind = F.aggregate(F.map_values(queued), F.lit(0).cast("long"), lambda s, x: s + x)
+    return F.filter(F.array(F.when(automated + queued_total != total, "total"), F.when(by_kind != queued_total, "queued")), lambda x: x.isNotNull())
+
+
 def quarantine(df: DataFrame, faults: Column) -> tuple[DataFrame, DataFrame]:
     """Rows without faults, and the others with theirs."""
     rows = df.withColumn("faults", faults)

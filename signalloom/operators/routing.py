@@ -1,16 +1,14 @@
-"""Fan-out of items to targets, payloads and dispatch records."""
+"""Fan-out of items to targets, payloads, dispatch records and bounded events."""
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalloom.functions import vocabulary as v
 from signalloom.functions.keys import iso
-from signalloom.functions.text import truncated
+from signalloom.functions.text import bind, truncated
+from signalloom.operators.dedup import last_wins
 
 BASE = ["item_id", "source_url", "source_name", "title", "body_text", "published_at", "captured_at", "evidence_tier", "labels", "confidence", "classifier_reasoning"]
 FINANCE = ["municipalities", "recipients", "agencies", "estimated_value", "signal_stage", "beat"]
@@ -45,6 +43,13 @@ def payloads(routed: DataFrame, routed_at: Column, finance=v.FINANCE_TARGETS, wa
     return routed.select("item_id", "target", both.alias("payload"))
 
 
+#: What a payload may hold, for reading it back.
+PAYLOAD = (
+    "schema_version string, item_id string, source_url string, source_name string, title string, body_text string, published_at string, captured_at string, evidence_tier string, labels array<string>, confidence double, "
+    "classifier_reasoning string, routed_to string, routed_at string, is_critical boolean, municipalities array<string>, recipients array<string>, agencies array<string>, estimated_value double, signal_stage string, beat string, domain_tags array<string>"
+)
+
+
 def dispatch_records(items: DataFrame, dispatched_at: Column, errors: DataFrame | None = None, of: dict[str, str] = v.TARGETS, hub: str = v.HUB, threshold: float = v.GATE) -> DataFrame:
     """A record per item: item_id, dispatched_to, dispatched_at, status, error. errors: item_id, target, error of writes that failed.
 
@@ -65,15 +70,23 @@ def dispatch_records(items: DataFrame, dispatched_at: Column, errors: DataFrame
 
 
 def dispatch_state(items: DataFrame, records: DataFrame) -> DataFrame:
-    """items with dispatch (struct or null) and dispatch_status (pending without a record)."""
-    one = records.select("item_id", F.struct(*(c for c in records.columns if c != "item_id")).alias("dispatch"))
+    """items with dispatch (struct or null) and dispatch_status (pending without a record). Of several records of an item the last counts, by dispatched_at if there is one."""
+    names = sorted((c for c in records.columns if c != "item_id"), key=lambda c: c != "dispatched_at")
+    one = last_wins(records, ["item_id"], *names).select("item_id", F.struct(*names).alias("dispatch"))
     return items.join(one, "item_id", "left").withColumn("dispatch_status", F.coalesce("dispatch.status", F.lit("pending")))
 
 
 def run_summary(items: DataFrame, records: DataFrame) -> DataFrame:
-    """ingested, dispatched (ok) in one row."""
-    states = dispatch_state(items, records)
-    return states.agg(F.count(F.lit(1)).alias("ingested"), F.count_if(F.col("dispatch_status") == "ok").alias("dispatched"), F.count_if(F.col("dispatch_status") == "skipped").alias("gated"))
+    """One row: ingested, dispatched (ok), gated (skipped), and breakdown (a map of each state's count)."""
+    states = dispatch_state(items, records).groupBy("dispatch_status").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda state: F.coalesce(F.sum(F.when(F.col("dispatch_status") == state, F.col("n"))), F.lit(0)).cast("long")
+    breakdown = F.map_from_entries(F.array_sort(F.collect_list(F.struct("dispatch_status", "n"))))
+    return states.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("ingested"), of("ok").alias("dispatched"), of("skipped").alias("gated"), breakdown.alias("breakdown"))
+
+
+def emit_summary(sent: DataFrame) -> DataFrame:
+    """One row: emitted and failed, of events with an error (null where none)."""
+    return sent.agg(F.count_if(F.col("error").isNull()).alias("emitted"), F.count_if(F.col("error").isNotNull()).alias("failed"))
 
 
 #: Characters of a body, and of a whole event.
@@ -81,25 +94,32 @@ MOST_BODY, MOST_EVENT, LEAST_BODY = 8000, 60_000, 100
 MARKER = "… [truncated]"
 
 
-def bounded_events(rows: DataFrame, event_type: str) -> DataFrame:
-    """item_id, target, event: payloads (JSON) wrapped for sending. Bodies are cut to MOST_BODY characters and then halved until the event is short enough."""
-
-    @F.pandas_udf("string")
-    def bound(item_ids: pd.Series, targets: pd.Series, payload: pd.Series) -> pd.Series:
-        out = []
-        for item_id, target, p in zip(item_ids, targets, payload):
-            signal = json.loads(p)
-            event = {"event_type": event_type, "client_payload": {"item_id": item_id, "repo": target, "signal": signal}}
-            body = signal.get("body_text")
-            if isinstance(body, str) and len(body) > MOST_BODY:
-                signal["body_text"] = body[:MOST_BODY] + MARKER
-            while signal.get("body_text") and len(json.dumps(event["client_payload"])) > MOST_EVENT:
-                half = signal["body_text"][: len(signal["body_text"]) // 2]
-                signal["body_text"] = half + MARKER if len(half) >= LEAST_BODY else ""
-            out.append(json.dumps(event, ensure_ascii=False))
-        return pd.Series(out)
-
-    return rows.select("item_id", "target", bound("item_id", "target", "payload").alias("event"))
+def ascii_length(text: Column) -> Column:
+    """Characters of a JSON text in which all beyond ASCII are written as \\u and four digits."""
+    return F.length(text) + 5 * F.regexp_count(text, F.lit(r"[^\x00-\x7F]")) + 6 * F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+
+
+def bounded_events(rows: DataFrame, event_type: str, most: int = MOST_EVENT) -> DataFrame:
+    """item_id, target, event (JSON), event_chars (of its payload): rows (item_id, target, signal: a struct with body_text) wrapped for sending.
+
+    Bodies are cut to MOST_BODY characters. If the payload is still longer than `most`, the first of the body's halves, marked, half of that, and so on, that fits
+    stays; one under LEAST_BODY characters isn't worth sending and is empty.
+    """
+    payload = lambda body: F.struct("item_id", F.col("target").alias("repo"), F.col("signal").withField("body_text", body).alias("signal"))
+    size = lambda body: ascii_length(F.to_json(payload(body), {"ignoreNullFields": "false"}))
+    half = lambda t: F.floor(F.length(t) / 2).cast("int")
+    shorter = lambda t: F.when(half(t) >= LEAST_BODY, F.concat(F.substring(t, F.lit(1), half(t)), F.lit(MARKER))).otherwise("")
+    turns = F.sequence(F.lit(1), F.lit(MOST_BODY.bit_length()))
+
+    def chosen(body: Column) -> Column:
+        smaller = F.aggregate(turns, F.array(body), lambda done, _: F.concat(done, F.array(shorter(F.element_at(done, -1)))))
+        fitting = F.try_element_at(F.filter(smaller, lambda t: size(t) <= most), F.lit(1))
+        return F.when(body.isNull() | (size(body) <= most), body).otherwise(F.coalesce(fitting, F.lit("")))
+
+    rows = rows.withColumn("signal", F.col("signal").withField("body_text", bind(bounded_body(F.col("signal.body_text")), chosen)))
+    whole = F.struct("item_id", F.col("target").alias("repo"), "signal")
+    event = F.to_json(F.struct(F.lit(event_type).alias("event_type"), whole.alias("client_payload")), {"ignoreNullFields": "false"})
+    return rows.select("item_id", "target", event.alias("event"), ascii_length(F.to_json(whole, {"ignoreNullFields": "false"})).cast("long").alias("event_chars"))
 
 
 def bounded_body(text: Column, most: int = MOST_BODY) -> Column:

@@ -72,9 +72,10 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as sources; their families are missing or empty for some."""
-    s = table(spark, sf_dir, "supplier").where("s_suppkey < 30")
-    return s.select(F.concat(F.lit("SRC-"), "s_suppkey").alias("source_id"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 3 == 0, "").when(F.col("s_suppkey") % 3 == 1, "family").alias("source_family"))
+    """Suppliers as sources; some have ids that no signal names, and families are missing or empty for some."""
+    s = table(spark, sf_dir, "supplier")
+    unheard = F.when(F.col("s_suppkey") % 4 == 3, "none-").otherwise("")
+    return s.select(F.concat(F.lit("SRC-"), unheard, "s_suppkey").alias("source_id"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 3 == 0, "").when(F.col("s_suppkey") % 3 == 1, "family").alias("source_family"))
 
 
 def sql_fid(prefix: str, *parts: str) -> str:
@@ -89,5 +90,5 @@ def sql_norm(x: str) -> str:
 SIGNALS = f"""sig AS (SELECT o_orderkey AS line, 'SIG-' || (o_orderkey // 2) AS signal_id, 'MAT-' || o_custkey AS matter_id, lower(o_orderstatus) || '_signal' AS signal_type, c_name AS title,
   'SRC-' || (o_custkey % 40) AS source_id, o_orderdate AS captured_at, lower(c_mktsegment) AS beat, n_name AS municipality, substr(o_orderpriority, 3) AS agency, round(round(o_totalprice % 100, 0) / 100, 3) AS confidence
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
-reg AS (SELECT 'SRC-' || s_suppkey AS ref, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' WHEN s_suppkey % 3 = 1 THEN 'family' END AS family FROM supplier WHERE s_suppkey < 30),
+reg AS (SELECT 'SRC-' || CASE WHEN s_suppkey % 4 = 3 THEN 'none-' ELSE '' END || s_suppkey AS ref, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' WHEN s_suppkey % 3 = 1 THEN 'family' END AS family FROM supplier),
 ids AS (SELECT *, {sql_fid('src', 'source_id')} AS src, {sql_fid('ent', "'matter'", 'matter_id')} AS ent FROM sig)"""

@@ -89,12 +89,13 @@ def resolve_targets(spark, sf):
 @query(
     f"""{b.BASE}, e AS (SELECT CAST(doc_id AS VARCHAR) AS eid FROM labels WHERE toxic = 1), r AS (SELECT *, {b.sql_targets(v.TARGETS, v.HUB)} AS t FROM classified LEFT JOIN e ON item_id = eid)
 SELECT item_id, CASE WHEN confidence < 0.55 THEN '' WHEN eid IS NULL THEN array_to_string(t, ',') ELSE array_to_string(list_filter(t, lambda x: x <> 'hub'), ',') END AS dispatched_to,
-CASE WHEN confidence < 0.55 THEN 'skipped' WHEN eid IS NOT NULL THEN 'failed' ELSE 'ok' END AS status FROM r"""
+CASE WHEN confidence < 0.55 THEN 'skipped' WHEN eid IS NOT NULL THEN 'failed' ELSE 'ok' END AS status,
+CASE WHEN confidence < 0.55 THEN printf('confidence %.2f below 0.55', confidence) WHEN eid IS NOT NULL THEN 'hub: unreachable' END AS error FROM r"""
 )
 def dispatch_records(spark, sf):
     failed = b.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("item_id"), F.lit("hub").alias("target"), F.lit("unreachable").alias("error"))
     rows = routing.dispatch_records(classify.classify(b.items(spark, sf), b.DOMAINS), F.lit("2026-01-01 00:00:00").cast("timestamp"), failed)
-    return rows.select("item_id", joined("dispatched_to"), "status")
+    return rows.select("item_id", joined("dispatched_to"), "status", "error")
 
 
 def label_records(spark, sf):
@@ -110,15 +111,16 @@ def dispatch_status_breakdown(spark, sf):
     return routing.dispatch_state(b.items(spark, sf), label_records(spark, sf)).groupBy("dispatch_status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {b.ITEMS}, {STATES} SELECT count(*) AS ingested, count(*) FILTER (status = 'ok') AS dispatched, count(*) FILTER (status = 'skipped') AS gated FROM items LEFT JOIN st ON item_id = sid")
+@query(f"WITH {b.ITEMS}, {STATES} SELECT count(*) AS ingested, count(*) FILTER (status = 'ok') AS dispatched, count(*) FILTER (status = 'skipped') AS gated, count(*) FILTER (status IS NULL) AS pending FROM items LEFT JOIN st ON item_id = sid")
 def run_summary(spark, sf):
-    return routing.run_summary(b.items(spark, sf), label_records(spark, sf))
+    return routing.run_summary(b.items(spark, sf), label_records(spark, sf)).select("ingested", "dispatched", "gated", F.coalesce(F.col("breakdown")["pending"], F.lit(0)).alias("pending"))
 
 
 @query(f"{b.BASE}, {STATES} SELECT item_id, captured_at, coalesce(status, 'pending') AS dispatch_status FROM classified LEFT JOIN st ON item_id = sid WHERE list_contains(labels, 'SAFETY_COMPLIANCE') AND coalesce(status, 'pending') = 'pending' ORDER BY captured_at DESC, item_id LIMIT 50")
 def items_topk(spark, sf):
-    rows = routing.dispatch_state(classify.classify(b.items(spark, sf), b.DOMAINS), label_records(spark, sf))
-    return search.latest_items(rows, "SAFETY_COMPLIANCE", "pending", 50).select("item_id", "captured_at", "dispatch_status")
+    # states are cheap to find, so labels are worked out for pending items alone
+    pending = routing.dispatch_state(b.items(spark, sf), label_records(spark, sf)).where("dispatch_status = 'pending'")
+    return search.latest_items(classify.classify(pending, b.DOMAINS), "SAFETY_COMPLIANCE", "pending", 50).select("item_id", "captured_at", "dispatch_status")
 
 
 @query(f"{b.BASE} SELECT item_id, CASE WHEN list_contains(['water', 'hub'], t) THEN 'tags' ELSE '' END || CASE WHEN t = 'finance' THEN 'money' ELSE '' END AS extra, t AS target, title FROM (SELECT *, unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS t FROM classified WHERE confidence >= 0.55)")
@@ -135,10 +137,22 @@ def payload_bound(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", routing.bounded_body(F.col("text")).alias("body"))
 
 
-@query()
+_event = "to_json(struct_pack(item_id := doc_id, repo := 'finance', signal := struct_pack(body_text := body, lang := lang, note := note)))::VARCHAR"
+_event_chars = f"length(regexp_replace(regexp_replace({_event}, '[\\x{{10000}}-\\x{{10FFFF}}]', '............', 'g'), '[^\\x00-\\x7F]', '......', 'g'))"
+
+
+@query(
+    f"""WITH RECURSIVE h AS (SELECT doc_id, lang, repeat('é', (doc_id * 37) % 12000) AS note, CASE WHEN length(text) > 8000 THEN substr(text, 1, 8000) || '… [truncated]' ELSE text END AS body, 0 AS k FROM documents
+UNION ALL SELECT doc_id, lang, note, CASE WHEN length(body) // 2 >= 100 THEN substr(body, 1, length(body) // 2) || '… [truncated]' ELSE '' END, k + 1 FROM h WHERE body <> '' AND {_event_chars} > 60000),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k DESC) AS r FROM h)
+SELECT doc_id AS item_id, sha256(body) AS body_sha256, {_event_chars} AS event_chars FROM l WHERE r = 1"""
+)
 def bounded_events(spark, sf):
-    rows = b.table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), F.lit("finance").alias("target"), F.to_json(F.struct(F.col("text").alias("body_text"), "lang")).alias("payload"))
-    return routing.bounded_events(rows, "signal_ready")
+    """Documents as signals, whose notes take up to more than all the room of an event."""
+    note = F.repeat(F.lit("é"), (F.col("doc_id") * 37 % 12000).cast("int"))
+    rows = b.table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), F.lit("finance").alias("target"), F.struct(F.col("text").alias("body_text"), "lang", note.alias("note")).alias("signal"))
+    made = routing.bounded_events(rows, "signal_ready")
+    return made.select("item_id", F.sha2(F.get_json_object("event", "$.client_payload.signal.body_text"), 256).alias("body_sha256"), "event_chars")
 
 
 # -- keys and de-duplication --
@@ -152,7 +166,9 @@ def item_id_hash(spark, sf):
 
 @query("SELECT text, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
 def raw_dedup_first(spark, sf):
-    return dedup.first_wins(b.table(spark, sf, "documents"), ["text"], F.col("doc_id")).select("text", "doc_id", "source")
+    """Texts are told apart by a digest, so that no long key is sorted."""
+    rows = b.table(spark, sf, "documents").withColumn("digest", F.sha2("text", 256))
+    return dedup.first_wins(rows, ["digest"], F.col("doc_id")).select("text", "doc_id", "source")
 
 
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
@@ -167,10 +183,12 @@ def upsert_by_key(spark, sf):
     return dedup.upsert(old, third.unionByName(third.withColumn("c_custkey", F.lit(-1) - F.col("c_custkey"))), ["c_custkey"])
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'absent' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0")
+@query("SELECT 2 * c_custkey AS c_custkey, c_mktsegment FROM customer UNION ALL SELECT 3 * c_custkey, 'absent' FROM customer WHERE 3 * c_custkey NOT IN (SELECT 2 * c_custkey FROM customer)")
 def insert_absent(spark, sf):
+    """Rows with keys of 2 and of 3 times the customer's, some of which are the same."""
     c = b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return dedup.insert_absent(c.where("c_custkey % 2 = 0"), c.where("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("absent")), ["c_custkey"])
+    times = lambda n: F.lit(n) * F.col("c_custkey")
+    return dedup.insert_absent(c.withColumn("c_custkey", times(2)), c.select(times(3).alias("c_custkey"), F.lit("absent").alias("c_mktsegment")), ["c_custkey"])
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'patched' ELSE s_name END AS s_name, s_nationkey FROM supplier")
@@ -185,15 +203,16 @@ def feed_slug_ids(spark, sf):
     return rows.select("p_name", text.upper_slug(F.col("p_name"), "SRC-RSS-").alias("source_id"), text.slug(F.col("p_name")).alias("slug"), "n")
 
 
-@query("SELECT doc_id, lower(strip_accents(left(text, 200))) AS folded, trim(regexp_replace(lower(strip_accents(left(text, 200))), '[^a-z0-9]+', ' ', 'g')) AS words FROM documents")
+@query("SELECT doc_id, sha256(lower(strip_accents(text))) AS folded, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g'))) AS words FROM documents")
 def fold_texts(spark, sf):
-    start = F.substring("text", 1, 200)
-    return b.table(spark, sf, "documents").select("doc_id", text.fold(start).alias("folded"), text.fold_words(start).alias("words"))
+    """Whole texts, of which digests are compared."""
+    whole = F.col("text")
+    return b.table(spark, sf, "documents").select("doc_id", F.sha2(text.fold(whole), 256).alias("folded"), F.sha2(text.fold_words(whole), 256).alias("words"))
 
 
-@query("SELECT o_orderkey, 'PR-CONTRACT-' || strftime(o_orderdate, '%Y%m%d') || '-' || lower(o_orderpriority[3:]) || '-' || o_custkey AS matter, lower('mat-' || o_custkey) || '::contract-record::' || o_orderkey AS key FROM (SELECT *, replace(o_orderpriority, ' ', '-') AS p FROM orders) WHERE NOT contains(o_orderpriority, ' ')")
+@query("SELECT o_orderkey, 'PR-CONTRACT-' || strftime(o_orderdate, '%Y%m%d') || '-' || lower(replace(o_orderpriority[3:], ' ', '-')) || '-' || o_custkey AS matter, lower('mat-' || o_custkey) || '::contract-record::' || o_orderkey AS key FROM orders")
 def matter_keys(spark, sf):
-    o = b.table(spark, sf, "orders").where(~F.contains("o_orderpriority", F.lit(" ")))
+    o = b.table(spark, sf, "orders")
     title = F.concat(F.expr("substring(o_orderpriority, 3)"), F.lit(" !"), "o_custkey")
     return o.select("o_orderkey", keys.matter_id(F.lit("contract"), title, F.col("o_orderdate").cast("string")).alias("matter"), keys.record_key(F.concat(F.lit("mat-"), "o_custkey"), F.lit("Contract record"), F.lit(""), F.col("o_orderkey").cast("string")).alias("key"))
 
@@ -295,11 +314,12 @@ def stream_observations(spark, sf):
 # -- joins and look-ups --
 
 
-@query("SELECT s_suppkey, coalesce(CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 5 = 1 THEN NULL ELSE n_name END, 'unknown') AS n_name, CAST(coalesce(n_regionkey, -1) AS VARCHAR) AS n_regionkey FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON s_nationkey = n_nationkey")
+@query("SELECT s_suppkey, coalesce(CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 5 = 1 THEN NULL ELSE n_name END, 'unknown') AS n_name, CAST(coalesce(n_regionkey, -1) AS VARCHAR) AS n_regionkey FROM supplier LEFT JOIN nation ON s_nationkey = CASE WHEN n_nationkey % 6 = 5 THEN -n_nationkey ELSE n_nationkey END")
 def registry_left_join_default(spark, sf):
-    n = b.table(spark, sf, "nation").where("n_nationkey < 20")
-    name = F.when(F.col("n_nationkey") % 5 == 0, "").when(F.col("n_nationkey") % 5 != 1, F.col("n_name"))
-    dimension = n.select(F.col("n_nationkey").cast("int").alias("s_nationkey"), name.alias("n_name"), "n_regionkey")
+    """Some nations go by a key that no supplier names."""
+    n, key = b.table(spark, sf, "nation"), F.col("n_nationkey")
+    name = F.when(key % 5 == 0, "").when(key % 5 != 1, F.col("n_name"))
+    dimension = n.select(F.when(key % 6 == 5, -key).otherwise(key).cast("int").alias("s_nationkey"), name.alias("n_name"), "n_regionkey")
     rows = lookup.with_defaults(b.table(spark, sf, "supplier"), dimension, "s_nationkey", {"n_name": F.lit("unknown"), "n_regionkey": F.lit("-1")})
     return rows.select("s_suppkey", "n_name", "n_regionkey")
 
@@ -311,28 +331,38 @@ def nested_signals(spark, sf):
     return rows.select("c_custkey", F.array_join(F.transform("orders", lambda x: x["o_orderkey"].cast("string")), ",").alias("orders"), F.size("orders").cast("long").alias("n"))
 
 
-@query("WITH d AS (SELECT doc_id, text, source FROM documents), k AS (SELECT text, min(doc_id) AS m FROM d WHERE doc_id % 2 = 0 GROUP BY text), s AS (SELECT source, n_chars, min(doc_id) AS m FROM documents WHERE doc_id % 2 = 0 AND n_chars > 100 GROUP BY ALL) SELECT doc_id, coalesce(k.m, s.m) AS duplicate_of FROM documents LEFT JOIN k USING (text) LEFT JOIN s USING (source, n_chars)")
+_old_text = "sha256(text || CASE WHEN doc_id % 3 = 0 THEN '#' ELSE '' END)"
+
+
+@query(f"WITH d AS (SELECT *, {_old_text} AS old_digest FROM documents), k AS (SELECT old_digest, min(doc_id) AS m FROM d GROUP BY 1), s AS (SELECT source, n_chars, min(doc_id) AS m FROM documents WHERE n_chars > 100 GROUP BY ALL) SELECT doc_id, coalesce(k.m, s.m) AS duplicate_of FROM documents LEFT JOIN k ON old_digest = sha256(text) LEFT JOIN s USING (source, n_chars)")
 def duplicate_guard(spark, sf):
-    d = b.table(spark, sf, "documents")
-    rows = lookup.first_match(d.select("doc_id", "text", "source", "n_chars"), d.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "old"), [(["text"], None), (["source", "n_chars"], F.col("n_chars") > 100)], "old", "duplicate_of")
+    """All documents against all, some of which are spelled so on the other side that their text can't match."""
+    d = b.table(spark, sf, "documents").select("doc_id", "text", "source", "n_chars")
+    spelled = F.concat("text", F.when(F.col("doc_id") % 3 == 0, "#").otherwise(""))
+    left, right = d.withColumn("digest", F.sha2("text", 256)), d.select(F.col("doc_id").alias("old"), "source", "n_chars", F.sha2(spelled, 256).alias("digest"))
+    rows = lookup.first_match(left, right, [(["digest"], None), (["source", "n_chars"], F.col("n_chars") > 100)], "old", "duplicate_of")
     return rows.select("doc_id", "duplicate_of")
 
 
-@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)")
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END FROM customer)")
 def registry_anti(spark, sf):
-    known = b.table(spark, sf, "customer").where("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("o_custkey"))
+    key = F.col("c_custkey")
+    known = b.table(spark, sf, "customer").select(F.when(key % 7 == 0, -key).otherwise(key).alias("o_custkey"))
     return lookup.missing_references(b.table(spark, sf, "orders"), known, "o_custkey")
 
 
-GAZETTEER = "f AS (SELECT c_custkey AS id, 'Río ' || (c_custkey % 500) AS name FROM customer WHERE c_custkey % 500 < 450 AND c_custkey < 950), i AS (SELECT 'rio ' || (id % 500) AS key, count(*) AS n, min(id) AS id FROM f GROUP BY 1)"
+#: Of three customers one is a place of its own, one shares its name with its neighbours, and one is never asked for.
+GAZETTEER = "f AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'rio ' || c_custkey WHEN 1 THEN 'lago ' || (c_custkey // 10) ELSE 'monte ' || c_custkey END AS key FROM customer), i AS (SELECT key, count(*) AS n, min(id) AS id FROM f GROUP BY 1)"
 
 
-@query(f"WITH {GAZETTEER} SELECT o_orderkey, CASE WHEN n IS NULL THEN 'unresolved' WHEN n > 1 THEN 'collision_review_required' ELSE 'resolved' END AS resolution_status, CASE WHEN n = 1 THEN id END AS canonical_id, CASE WHEN n > 1 THEN n END AS candidate_count FROM orders LEFT JOIN i ON key = 'rio ' || (o_custkey % 600)")
+@query(f"WITH {GAZETTEER} SELECT o_orderkey, CASE WHEN n IS NULL THEN 'unresolved' WHEN n > 1 THEN 'collision_review_required' ELSE 'resolved' END AS resolution_status, CASE WHEN n = 1 THEN id END AS canonical_id, CASE WHEN n > 1 THEN n END AS candidate_count FROM orders LEFT JOIN i ON key = CASE o_orderkey % 3 WHEN 0 THEN 'rio ' || o_custkey WHEN 1 THEN 'lago ' || (o_custkey // 10) ELSE 'nowhere ' || o_custkey END")
 def gazetteer_resolve(spark, sf):
-    c = b.table(spark, sf, "customer").where("c_custkey % 500 < 450 and c_custkey < 950")
-    name = F.concat(F.lit("Río "), F.col("c_custkey") % 500)
-    features = c.select(F.col("c_custkey").alias("canonical_id"), name.alias("canonical_name"), F.upper(name).alias("normalized_name"), F.lit("river").alias("feature_type"), F.lit("hydro").alias("group"))
-    o = b.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit(" RIO--"), F.col("o_custkey") % 600).alias("place"))
+    key = F.col("c_custkey")
+    name = F.when(key % 3 == 0, F.concat(F.lit("Río "), key)).when(key % 3 == 1, F.concat(F.lit("Lago "), F.floor(key / 10))).otherwise(F.concat(F.lit("Monte "), key))
+    features = b.table(spark, sf, "customer").select(key.alias("canonical_id"), name.alias("canonical_name"), F.upper(name).alias("normalized_name"), F.lit("river").alias("feature_type"), F.lit("hydro").alias("group"))
+    of, at = F.col("o_orderkey") % 3, F.col("o_custkey")
+    place = F.when(of == 0, F.concat(F.lit(" RIO--"), at)).when(of == 1, F.concat(F.lit("Lágo "), F.floor(at / 10))).otherwise(F.concat(F.lit("nowhere "), at))
+    o = b.table(spark, sf, "orders").select("o_orderkey", place.alias("place"))
     return lookup.resolve_places(o, features, "place").select("o_orderkey", "resolution_status", "canonical_id", "candidate_count")
 
 
@@ -441,12 +471,12 @@ def entity_mentions(spark, sf):
 @query(f"WITH {b.SIGNALS}, m AS (SELECT agency AS name, 'agency' AS type, signal_id, 0 AS part, line, 0 AS place FROM sig UNION ALL SELECT municipality, 'entity', signal_id, 0, line, 1 FROM sig WHERE municipality IS NOT NULL UNION ALL SELECT s_name, 'person', NULL, 1, s_suppkey, 1 FROM supplier UNION ALL SELECT 'Líow', 'person', NULL, 1, s_suppkey, 1.5 FROM supplier), k AS (SELECT *, replace({b.sql_norm('name')}, ' ', '-') AS slug FROM m) SELECT slug, arg_min(name, (part, line, place)) AS name, CASE WHEN bool_or(type = 'agency') THEN 'agency' ELSE arg_min(type, (part, line, place)) END AS type, count(*) AS mention_count, count(DISTINCT signal_id) AS n_signals FROM k WHERE slug <> '' GROUP BY slug")
 def entity_rollup(spark, sf):
     rows = entities.profiles(entity_mentions(spark, sf))
-    return rows.select("slug", "name", "type", "mention_count", F.size("signal_ids").cast("long").alias("n_signals")).orderBy(F.desc("mention_count"), "name")
+    return rows.select("slug", "name", "type", "mention_count", "n_signals").orderBy(F.desc("mention_count"), "name")
 
 
 @query(f"WITH {b.SIGNALS} SELECT line, signal_id FROM sig WHERE signal_id IN (SELECT signal_id FROM sig WHERE {b.sql_norm('agency')} = 'low')")
 def entity_semi(spark, sf):
-    return entities.signals_of(b.signals(spark, sf), entities.profiles(entity_mentions(spark, sf)), "low").select("line", "signal_id")
+    return entities.signals_of(b.signals(spark, sf), entity_mentions(spark, sf), "low").select("line", "signal_id")
 
 
 # -- sets, quality, scores and JSON --
@@ -484,10 +514,10 @@ def json_props(spark, sf):
     return b.table(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("SELECT event_id, round(value / 100, 3) AS confidence, least(greatest(value / 100, 0), 1) AS clamped FROM events WHERE value = round(value, 1)")
+@query("SELECT event_id, CAST(round(CAST(value AS DECIMAL(18, 6)) * CAST(0.01 AS DECIMAL(3, 2)), 3) AS DOUBLE) AS confidence, least(greatest(value / 100, 0), 1) AS clamped FROM events")
 def score_scales(spark, sf):
-    e = b.table(spark, sf, "events").where(F.col("value") == F.round("value", 1))
-    return e.select("event_id", F.round(F.col("value") / 100, 3).alias("confidence"), keys.clamp(F.col("value") / 100).alias("clamped"))
+    e = b.table(spark, sf, "events")
+    return e.select("event_id", keys.per_hundred(F.col("value")).alias("confidence"), keys.clamp(F.col("value") / 100).alias("clamped"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalloom.functions.keys import item_id
@@ -32,6 +35,25 @@ def json_files(spark: SparkSession, path: str, schema: str, strict: bool = True)
     return reader.json(path).withColumn("file_name", F.col("_metadata.file_name"))
 
 
+def directory_counts(spark: SparkSession, **folders: str) -> DataFrame:
+    """stage and n: how many files each folder holds (0 where there is none), by the names given."""
+    out = spark.createDataFrame([], "stage string, n long")
+    for stage, path in folders.items():
+        files = spark.read.format("binaryFile").load(path).select("path") if exists(spark, path) else spark.createDataFrame([], "path string")
+        out = out.unionByName(files.agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("n")))
+    return out
+
+
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """rows just read from files, with line: their numbers from 0, file after file by path. Only splits are counted; rows stay where they are read."""
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    numbered = rows.select("*", split.alias("_split"), F.monotonically_increasing_id().alias("_id"))
+    sizes = numbered.groupBy("_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_split", "_first", before.alias("_before"))
+    return numbered.join(starts, "_split").select(*rows.columns, (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"))
+
+
 def ledger(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Signals, one JSON object per line; blank lines are none. Strict: a bad line is an error; else it is left out."""
     return spark.read.schema(SIGNAL).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
@@ -39,16 +61,16 @@ def ledger(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
 
 def ledger_lines(spark: SparkSession, path: str) -> DataFrame:
     """line (from 0) and value of a ledger's lines, for audits; lines of several files are numbered through."""
-    lines = spark.read.text(path)
-    return lines.rdd.zipWithIndex().map(lambda r: (r[1], r[0].value)).toDF("line long, value string")
+    return in_file_order(spark.read.text(path)).select("line", "value")
 
 
-def numbered(signals: list[DataFrame]) -> DataFrame:
-    """Ledgers put together, in order: line orders rows by ledger, then place."""
-    out = None
-    for i, df in enumerate(signals):
-        rows = df.withColumn("line", F.lit(i).cast("long") * (1 << 60) + F.monotonically_increasing_id())
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+def ledgers(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
+    """Ledgers put together, in order; a path that isn't there is left out. line orders rows by ledger, then place."""
+    out = spark.createDataFrame([], SIGNAL + ", line long")
+    for i, path in enumerate(paths):
+        if exists(spark, path):
+            rows = in_file_order(ledger(spark, path, strict))
+            out = out.unionByName(rows.withColumn("line", F.lit(i).cast("long") * (1 << 48) + F.col("line")))
     return out
 
 
@@ -56,13 +78,13 @@ def source_registry(spark: SparkSession, path: str) -> DataFrame:
     """The source registry from CSV; of repeated ids the last row counts, a missing file is an empty registry."""
     if not exists(spark, path):
         return spark.createDataFrame([], REGISTRY)
-    rows = spark.read.schema(REGISTRY).option("header", True).csv(path).withColumn("_at", F.monotonically_increasing_id())
-    return first_wins(rows, ["source_id"], F.desc("_at")).drop("_at")
+    rows = in_file_order(spark.read.schema(REGISTRY).option("header", True).csv(path))
+    return first_wins(rows, ["source_id"], F.desc("line")).drop("line")
 
 
 def feed_registry(spark: SparkSession, feeds: list[dict]) -> DataFrame:
-    """name, url, tier and order of feeds, as read from configuration."""
-    rows = [(i, f["name"], f["url"], f.get("tier", "T2")) for i, f in enumerate(feeds)]
+    """name, url, tier and order of feeds, as read from configuration; a feed without a name goes by its url."""
+    rows = [(i, f.get("name") or f.get("url", ""), f.get("url", ""), f.get("tier", "T2")) for i, f in enumerate(feeds)]
     return spark.createDataFrame(rows, "feed_order int, source_name string, url string, tier string")
 
 
@@ -86,11 +108,59 @@ def feed_items(entries: DataFrame, now: Column) -> DataFrame:
     return first_wins(items, ["item_id"], F.col("feed_order"), F.col("entry_order")).drop("feed_order", "entry_order")
 
 
-def feed_entries(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
-    """Entries of landed feed files (RSS by default), as strings, with the file they came from."""
-    schema = "title string, link string, description string, pubDate string, updated string"
-    rows = spark.read.schema(schema).option("rowTag", row_tag).option("mode", "PERMISSIVE").format("xml").load(path)
-    return rows.select(F.col("_metadata.file_name").alias("file_name"), "title", "link", F.col("description").alias("summary"), F.lit(None).cast("string").alias("content"), F.col("pubDate").alias("published"), "updated")
+ENTRY = "title string, link string, summary string, content string, published string, updated string"
+FIELDS = {"title": "title", "description": "summary", "summary": "summary", "encoded": "content", "content": "content", "pubDate": "published", "published": "published", "date": "published", "updated": "updated"}
+
+
+def entries_of(xml: str | None) -> tuple[list[dict], str | None]:
+    """The entries of a feed (RSS items, Atom entries) and why it can't be read, if so. Documents with declarations of their own are refused."""
+    if not xml or "<!DOCTYPE" in xml or "<!ENTITY" in xml:
+        return [], "no feed document"
+    try:
+        root = ElementTree.fromstring(xml.encode())
+    except (ElementTree.ParseError, ValueError) as e:
+        return [], str(e)
+    local = lambda e: e.tag.rsplit("}", 1)[-1] if isinstance(e.tag, str) else ""
+    out = []
+    for entry in (e for e in root.iter() if local(e) in ("item", "entry")):
+        found: dict = dict.fromkeys(["title", "link", "summary", "content", "published", "updated"])
+        for e in entry:
+            text, name = "".join(e.itertext()), local(e)
+            if name == "link":
+                address = text.strip() or (e.get("href") if e.get("rel", "alternate") == "alternate" else None)
+                found["link"] = found["link"] or address
+            elif (field := FIELDS.get(name)) and not found[field]:
+                found[field] = text
+        out.append(found)
+    return out, None
+
+
+def feed_entries(documents: DataFrame) -> DataFrame:
+    """Entries of landed feed documents (feed_order, source_name, tier, xml), with entry_order. A document that can't be read has none, which leaves the others as they are."""
+    return _parsed(documents).select("feed_order", "source_name", "tier", F.posexplode("feed.entries").alias("entry_order", "entry")).select("feed_order", "entry_order", "source_name", "tier", "entry.*")
+
+
+def feed_failures(documents: DataFrame) -> DataFrame:
+    """feed_order, source_name and error of feed documents that can't be read."""
+    return _parsed(documents).where("feed.error is not null").select("feed_order", "source_name", F.col("feed.error").alias("error"))
+
+
+def _parsed(documents: DataFrame) -> DataFrame:
+    @F.pandas_udf(f"entries array<struct<{ENTRY.replace(' string', ':string')}>>, error string")
+    def parse(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([entries_of(t) for t in texts], columns=["entries", "error"])
+
+    return documents.withColumn("feed", parse("xml"))
+
+
+def poll(feeds: DataFrame, landed: DataFrame, now: Column) -> DataFrame:
+    """Raw items of all feeds (as feed_registry gives them) whose documents have landed (url, xml), in order of feeds and places."""
+    return feed_items(feed_entries(feeds.join(landed, "url")), now)
+
+
+def poll_feed(spark: SparkSession, landed: DataFrame, url: str, now: Column, source_name: str = "", tier: str = "T2") -> DataFrame:
+    """Raw items of one feed, which goes by its url unless it is named."""
+    return poll(feed_registry(spark, [{"name": source_name, "url": url, "tier": tier}]), landed, now)
 
 
 def gazetteer(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +177,11 @@ def grid(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     return df.toDF(*found)
 
 
-def outbound(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
-    """Payloads written by target; only one target's, if named, which prunes the others' folders."""
-    df = spark.read.text(path)
-    return df if only is None else df.where(F.col("target") == only)
+def outbound(spark: SparkSession, path: str, only: str | None = None, item: str | None = None) -> DataFrame:
+    """Payloads written by target (target, item_id, payload), in order of both; only one target's, if named, which prunes the others' folders, or one item's."""
+    df = spark.read.schema("item_id string, payload string, target string").json(path)
+    if only is not None:
+        df = df.where(F.col("target") == only)
+    if item is not None:
+        df = df.where(F.col("item_id") == item)
+    return df.where(F.col("payload").isNotNull()).select("target", "item_id", "payload").orderBy("target", "item_id")

@@ -1,14 +1,16 @@
-"""Writers of items, dispatches, ledgers and packages."""
+"""Writers of items, dispatches, ledgers, stores and packages."""
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.operators.dedup import upsert
-from signalloom.operators.ledger import check_ledger, refuse_synthetic
+from signalloom.operators.ledger import check_ledger, refuse_synthetic, streams
+from signalloom.sources import readers
 from signalloom.sources.readers import exists
 
 
@@ -30,10 +32,16 @@ def latest(spark: SparkSession, path: str, before: str | None = None) -> DataFra
     return spark.read.parquet(f"{path}/version={names[-1]}") if names else None
 
 
-def write_payloads(payloads: DataFrame, path: str, dry_run: bool = False) -> None:
-    """Payloads (target, item_id, payload as JSON) as text by target; nothing in a dry run."""
+def write_dispatches(records: DataFrame, path: str, version: str) -> DataFrame:
+    """Dispatch records, one per item: those of an item that has one take its place."""
+    return merge_into(records, path, ["item_id"], version)
+
+
+def write_payloads(payloads: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
+    """Payloads (target, item_id, payload as JSON) as JSON lines by target; nothing in a dry run. The targets and items that are, or would be, written."""
     if not dry_run:
-        payloads.select("target", F.col("payload").alias("value")).write.mode("overwrite").partitionBy("target").text(path)
+        payloads.select("target", "item_id", "payload").write.mode("overwrite").partitionBy("target").json(path)
+    return payloads.select("target", "item_id")
 
 
 def write_ledger(signals: DataFrame, path: str) -> None:
@@ -42,28 +50,66 @@ def write_ledger(signals: DataFrame, path: str) -> None:
     signals.select(*sorted(signals.columns)).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_store(store: dict[str, DataFrame], path: str, version: str) -> None:
+    """A snapshot of all tables of a store."""
+    for name, df in store.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}/version={version}")
+
+
+def read_store(spark: SparkSession, path: str, seed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The latest snapshot of each table, or the seed's rows where there is none."""
+    return seed | {name: df for name in seed if (df := latest(spark, f"{path}/{name}")) is not None}
+
+
+def reset_store(spark: SparkSession, path: str) -> None:
+    """Delete all snapshots, so that the seed's rows count again."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def digest_of(rows: DataFrame) -> tuple[int, str]:
+    """How many rows (value) there are, and a digest that doesn't depend on their order: the sums of eight parts of their hashes. One row comes to the driver."""
+    hashed = rows.select(F.sha2("value", 256).alias("h"))
+    part = lambda i: F.conv(F.substring("h", 1 + 8 * i, 8), 16, 10).cast("decimal(30,0)")
+    one = hashed.agg(F.count(F.lit(1)).alias("n"), *(F.sum(part(i)).alias(f"s{i}") for i in range(8))).first()
+    return one.n, "".join(f"{int(one[f's{i}'] or 0) % 2**32:08x}" for i in range(8))
+
+
 def write_package(parts: dict[str, DataFrame], path: str, mode: str, now: str, producer: str) -> dict:
-    """Streams that aren't empty as JSON lines, and a manifest with their counts and digests.
+    """Streams that aren't empty as JSON lines, and beside them a manifest with their counts and digests, which is also returned.
 
-    A stream's digest is that of its rows' digests in sorted order, so it doesn't depend on how rows are spread over files. It is
-    made by hashing within rows and then over 256 groups of rows, so the driver sees 256 digests.
+    Neither a stream's digest nor the package's depends on how rows are spread over files.
     """
     if mode == "production":
         refuse_synthetic(parts)
     files = []
     for name, df in parts.items():
         rows = df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value"))
-        hashed = rows.select(F.sha2("value", 256).alias("h")).groupBy(F.substring("h", 1, 2).alias("part"))
-        # addition of digests doesn't depend on order and needs no list of them
-        sums = hashed.agg(F.count(F.lit(1)).alias("n"), *(F.sum(F.conv(F.substring("h", 1 + 8 * i, 8), 16, 10).cast("decimal(30,0)")).alias(f"s{i}") for i in range(8))).orderBy("part").collect()
-        n = sum(r.n for r in sums)
-        if not n:
-            continue
-        rows.write.mode("overwrite").text(f"{path}/{name}")
-        digest = hashlib.sha256("|".join(",".join(map(str, r)) for r in sums).encode()).hexdigest()
-        files.append({"filename": name, "stream": name, "record_count": n, "sha256": digest})
-    package = hashlib.sha256(("|".join(f"{f['filename']}:{f['sha256']}" for f in files) + f"|{mode}").encode()).hexdigest()[:32]
-    return {"package_id": f"pkg_{package}", "producer": producer, "mode": mode, "created_at": now, "files": files}
+        n, digest = digest_of(rows)
+        if n:
+            rows.write.mode("overwrite").text(f"{path}/{name}")
+            files.append({"filename": name, "stream": name, "record_count": n, "digest": digest})
+    identity = hashlib.blake2b(json.dumps([mode, producer, {f["stream"]: [f["record_count"], f["digest"]] for f in files}], sort_keys=True).encode(), digest_size=20).hexdigest()
+    manifest = {"package_id": f"package-{identity}", "producer": producer, "mode": mode, "created_at": now, "files": files}
+    spark = next(iter(parts.values())).sparkSession
+    spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+    return manifest
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/manifest").first().value)
+
+
+def stream_counts(manifest: dict) -> dict[str, int]:
+    return {f["stream"]: f["record_count"] for f in manifest["files"]}
+
+
+def export(spark: SparkSession, ledgers: list[str], registry: str, path: str, now: str, producer: str, mode: str = "test") -> dict:
+    """Read ledgers and the source registry, make the streams and write them as a package. Mode production refuses synthetic rows, test doesn't."""
+    if mode not in ("test", "production"):
+        raise ValueError(f"mode {mode}")
+    signals = readers.ledgers(spark, ledgers)
+    return write_package(streams(signals, readers.source_registry(spark, registry), F.lit(now).cast("timestamp")), path, mode, now, producer)
 
 
 def write_findings(findings: DataFrame, path: str) -> None:
