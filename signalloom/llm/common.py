@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +37,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/signalloom-{context.applicationId}"
 
 
+#: Whether Spark deletes the shuffle files of a query once it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back, so that lost executors cost no recomputation of it."""
+    """Write df once to the shared folder and read it back, so that lost executors cost no recomputation of it. What was shuffled for it goes at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._kept_at = path
     return kept
@@ -67,10 +80,33 @@ def one_model(make, *args):
     key = (make, *args)
     if key not in _MODEL:
         _MODEL.clear()
+        give_back()
         _MODEL[key] = make(*args)
+        gc.freeze()  # a model's many small objects stay, and needn't be looked through
     return _MODEL[key]
 
 
+def give_back() -> None:
+    """Return memory that is free, but kept for later, to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(f):
+    """f, a function over a task's batches that needs no model of one_model's: the worker, which may hold one of an earlier stage, drops it, and gives memory back when the task has ended."""
+
+    def run(batches):
+        _MODEL.clear()
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def id_crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")

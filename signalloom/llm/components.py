@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import keep
+from signalloom.llm.common import discard, keep
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,4 +27,5 @@ def components(links: DataFrame) -> DataFrame:
         large = keep(large.where("u <> v").distinct(), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = keep(small.where("u <> v").distinct(), "links")
+        before, edges = edges, keep(small.where("u <> v").distinct(), "links")
+        discard(before, large)

@@ -8,6 +8,7 @@ don't see sets the temperature by which the scores are calibrated. Every text is
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import id_crc_mod
+from signalloom.llm.common import id_crc_mod, tidy
 
 #: Lengths of the n-grams, and the number of buckets (as a power of two) that they are hashed to.
 ORDERS, BUCKET_BITS = (1, 2, 3), 15
@@ -109,7 +110,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
         at = np.flatnonzero(df)
         yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(df[at], n)})
 
-    df = {r.bucket: r.n for r in rows.select("text").mapInPandas(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    df = {r.bucket: r.n for r in rows.select("text").mapInPandas(tidy(frequencies), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = df.pop(-1, 0)
     idf = np.full(1 << BUCKET_BITS, math.log(1 + total) + 1)
     for b, n in df.items():
@@ -126,7 +127,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
         got = [grams(t) if t else (np.zeros(0, np.int64), np.zeros(0)) for t in texts]
         return pd.DataFrame({"at": [a.astype(np.int32) for a, _ in got], "tf": [f.astype(np.float32) for _, f in got]})
 
-    picked = rows.where(draw < share).limit(2 * sample).select(F.xxhash64("id", "text").alias("order"), "lang", features("text").alias("f")).collect()
+    picked = rows.where(draw < share).orderBy(draw, F.xxhash64("id", "text", "lang")).limit(2 * sample).select(F.xxhash64("id", "text").alias("order"), "lang", features("text").alias("f")).collect()
     label = {lang: i for i, lang in enumerate(langs)}
     picked = [(label[r.lang], np.array(r.f["at"], np.int64), np.array(r.f["tf"])) for r in sorted(picked, key=lambda r: (r.order, r.lang))]
     picked = [(y, at, weighed(at, tf, idf)) for y, at, tf in picked if len(at)]
@@ -144,7 +145,10 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
 
     @F.pandas_udf("lang_pred string, score double")
-    def label(texts: pd.Series) -> pd.DataFrame:
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from tidy(lambda of: map(labels, of))(batches)
+
+    def labels(texts: pd.Series) -> pd.DataFrame:
         m, out = shared.value, []
         for t in texts:
             if not t or not m["langs"] or not LETTER.search(t):

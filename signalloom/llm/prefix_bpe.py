@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from signalloom.llm.common import Remembered, one_model
 
 #: Distinct pieces whose ids a worker remembers, and as many of those before; token pairs whose fit it remembers.
-REMEMBERED, FITS = 400_000, 200_000
+REMEMBERED, FITS = 200_000, 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -47,7 +47,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir), size=400).drop("kept")
+    return remove_repeats(documents(spark, sf_dir), size=400, words=51).drop("kept")
 
 
 def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:

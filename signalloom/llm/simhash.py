@@ -6,16 +6,18 @@ distance decides. Only distinct fingerprints are joined. A key that many fingerp
 fingerprints go by all values within d / 2 bits instead (for d = 2, themselves and their one-bit neighbours), which any two linked ones have in common, and
 which can't gather more than 65 of them.
 
-For texts that are alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say) fingerprints
-don't do. There the sets of shingles themselves are compared. With all shingles in one order, two sets so much alike share one of the
-first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key that many
-share are compared with two of them first; afterwards those that aren't in one component yet are compared with each other.
+Texts may be alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say), at which fingerprints of 64 bits
+differ in about 10, and no number of blocks finds all pairs. There fingerprints are linked first, as above, and each link is verified by the sets of
+shingles; what they miss is found from the sets themselves. With all shingles in one order, two sets so much alike share one of the
+first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key
+are compared with one or two of them first; afterwards those that aren't in one component yet are compared with each other.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -23,10 +25,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import keep
+from signalloom.llm.common import discard, keep, tidy
 from signalloom.llm.components import components
 
 BLOCKS = 4
@@ -115,7 +117,7 @@ def as_hex(fp: Column) -> Column:
 
 #: One text in so many is looked at to tell which shingles are common: those in LEAST_COMMON of its texts and in one of COMMON_SHARE, so that there are at most so many times the shingles of a text.
 COMMON_OF, LEAST_COMMON, COMMON_SHARE = 16, 8, 2000
-#: Members of a bucket that are compared with each other at once; those of a larger one go to two of them first.
+#: Members of a bucket that have one leader; a larger one has two.
 BUCKET = 8
 #: What sums of similarities may be off by, which aren't whole numbers.
 SLACK = 1e-9
@@ -141,38 +143,47 @@ def may_be_alike(n: np.ndarray, at: np.ndarray, m: np.ndarray, bt: np.ndarray, s
     return shared * (1 + similarity) >= similarity * (n + m) - SLACK
 
 
+def leaders(nodes: np.ndarray, n: np.ndarray) -> list[int]:
+    """The places of a bucket's first node, and, if it is large, of the first of middling size: near copies share most buckets, and in most of them these two."""
+    first = int(nodes.argmin())
+    if len(nodes) <= BUCKET:
+        return [first]
+    low, high = np.percentile(n, [40, 60], method="nearest")
+    middle = np.flatnonzero((n >= low) & (n <= high))
+    return list({first: None, int(middle[nodes[middle].argmin()]): None})
+
+
+def spans_of(keys: np.ndarray):
+    """First place and size of each bucket of rows sorted by key."""
+    _, starts, sizes = np.unique(keys, return_index=True, return_counts=True)
+    return zip(starts.tolist(), sizes.tolist())
+
+
 def first_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by key: pairs of each small bucket that may be alike, and those of a large bucket's members with its first one and with the first of middling size."""
+    """Of rows sorted by key: the pairs of each bucket's leaders with its members that may be alike."""
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    starts, sizes = np.unique(keys, return_index=True, return_counts=True)[1:]
-    for s, k in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
-        of, size = nodes[s : s + k], n[s : s + k]
-        low, high = np.percentile(size, [40, 60], method="nearest")
-        middle = np.flatnonzero((size >= low) & (size <= high))
-        for leader in {int(of.argmin()), int(middle[of[middle].argmin()])}:
-            hit = np.minimum(size, size[leader]) >= similarity * np.maximum(size, size[leader]) - SLACK
-            a.append(np.full(hit.sum(), of[leader]))
+    for s, k in spans_of(keys):
+        of, size, place = nodes[s : s + k], n[s : s + k], at[s : s + k]
+        for i in leaders(of, size):
+            hit = may_be_alike(size[i], place[i], size, place, similarity)
+            a.append(np.full(hit.sum(), of[i]))
             b.append(of[hit])
-    small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= BUCKET), sizes))
-    keys, nodes, n, at = keys[small], nodes[small], n[small], at[small]
-    for d in range(1, BUCKET):
-        same = np.flatnonzero(keys[:-d] == keys[d:]) if len(keys) > d else []
-        if not len(same):
-            break
-        hit = same[may_be_alike(n[same], at[same], n[same + d], at[same + d], similarity)]
-        a.append(nodes[hit])
-        b.append(nodes[hit + d])
     return np.concatenate(a), np.concatenate(b)
 
 
 def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, roots: np.ndarray, similarity: float):
-    """Of large buckets' rows sorted by key: all pairs that may be alike and don't have the same root, in parts."""
-    for s, k in zip(*np.unique(keys, return_index=True, return_counts=True)[1:]):
-        by = np.argsort(roots[s : s + k], kind="stable") + s
+    """Of rows sorted by key: all other pairs of a bucket that may be alike and don't have the same root, in parts."""
+    for s, k in spans_of(keys):
+        done = np.zeros(k, bool)
+        done[leaders(nodes[s : s + k], n[s : s + k])] = True  # these have met all members
+        rest = np.flatnonzero(~done) + s
+        by = rest[np.argsort(roots[rest], kind="stable")]
+        if not len(by):
+            continue
         of, m, place, root = nodes[by], n[by], at[by], roots[by]
         _, first, count = np.unique(root, return_index=True, return_counts=True)
         most = int(count.argmax())  # members of the largest group are looked at from the others only
-        outside = np.flatnonzero((np.arange(k) < first[most]) | (np.arange(k) >= first[most] + count[most]))
+        outside = np.flatnonzero((np.arange(len(by)) < first[most]) | (np.arange(len(by)) >= first[most] + count[most]))
         for i in outside.tolist():
             hit = (root != root[i]) & may_be_alike(m[i], place[i], m, place, similarity)
             if hit.any():
@@ -215,7 +226,7 @@ def common_shingles(texts: DataFrame, width: int) -> np.ndarray:
 
     part = texts.where(F.pmod("text_hash", F.lit(COMMON_OF)) == 0).dropDuplicates(["text_hash"])
     least = max(LEAST_COMMON, part.select("text_hash").count() // COMMON_SHARE)
-    counted = part.select("text").mapInArrow(of, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    counted = part.select("text").mapInArrow(tidy(of), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     return np.sort(np.array([r.h for r in counted.select("h").collect()], np.int64).view(np.uint64))
 
 
@@ -229,15 +240,30 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
 
-    @F.pandas_udf("node long, n int, prefix array<long>")
-    def sets(of: pd.Series) -> pd.DataFrame:
-        found = [shingle_set(t, width) for t in of]
+    @F.pandas_udf("node long, also long, fp long, n int, prefix array<long>")
+    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from tidy(lambda texts: map(of_texts, texts))(batches)
+
+    def of_texts(texts: pd.Series) -> pd.DataFrame:
+        whole = [shingle_hashes(t, width) for t in texts]
+        found = list(map(np.unique, whole))
         prefixes = [prefix_of(h, common.value, similarity).view(np.int64) for h in found]
-        return pd.DataFrame({"node": np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], np.uint64).view(np.int64), "n": [len(h) for h in found], "prefix": prefixes})
+        ids = lambda seed: np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed) for h in found], np.uint64).view(np.int64)
+        return pd.DataFrame({"node": ids(0), "also": ids(1), "fp": [fingerprint_of(h) for h in whole], "n": [len(h) for h in found], "prefix": prefixes})
 
     rows = keep(texts.select("doc_id", "text_hash", sets("text").alias("s")).select("doc_id", "text_hash", "s.*"), "copies-rows")
+    # of sets that share a node by chance all but the first get another
+    clash = rows.groupBy("node").agg(F.min("also").alias("first"), F.max("also").alias("last")).where("first <> last").drop("last")
+    if not clash.isEmpty():
+        apart = F.when(F.col("also") != F.col("first"), F.xxhash64("node", "also")).otherwise(F.col("node"))
+        rows = keep(rows.join(clash, "node", "left").withColumn("node", apart).select(rows.columns), "copies-rows-apart")
     one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "text_hash")).alias("one")
-    nodes = keep(rows.groupBy("node").agg(one).select("node", "one.doc_id", "one.text_hash"), "copies-nodes")
+    nodes = keep(rows.groupBy("node").agg(one, F.min("fp").alias("fp")).select("node", "fp", "one.doc_id", "one.text_hash"), "copies-nodes")
+    by_fp = keep(nodes.groupBy("fp").agg(F.min("node").alias("a")), "copies-fingerprints")
+    near = links(by_fp.select("fp")).withColumnsRenamed({"a": "x", "b": "y"})
+    near = near.join(by_fp.select(F.col("fp").alias("x"), "a"), "x").join(by_fp.select(F.col("fp").alias("y"), F.col("a").alias("b")), "y").select("a", "b")
+    near = near.unionByName(nodes.join(by_fp, "fp").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")))
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     keyed = rows.select("node", "n", F.posexplode("prefix").alias("at", "key")).select("key", "node", "n", "at")
     columns = ["key", "node", "n", "at"]
@@ -250,7 +276,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             many = size[at] > 1
             yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (*whole, size[at])], names=[*columns, "size"])
 
-    met = keep(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(shared, "key long, node long, n int, at int, size long"), "copies-met")
+    met = keep(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(shared), "key long, node long, n int, at int, size long"), "copies-met")
 
     def first(batches):
         for key, node, n, at in buckets(batches, columns):
@@ -269,7 +295,10 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array([zlib.compress(t.encode()) for t in got.values()], pa.binary())], names=["node", "packed"])
 
     @F.pandas_udf("boolean")
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        yield from tidy(lambda pairs: (verdicts(*pair) for pair in pairs))(batches)
+
+    def verdicts(x: pd.Series, y: pd.Series) -> pd.Series:
         of, out = lru_cache(256)(lambda z: shingle_set(zlib.decompress(z).decode(), width)), []
         for p, q in zip(map(of, x), map(of, y)):
             both = len(np.intersect1d(p, q, assume_unique=True))
@@ -279,33 +308,36 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition("key").sortWithinPartitions("key", "node")
 
-    pairs = keep(dealt(met.select(columns)).mapInArrow(first, "a long, b long").distinct(), "copies-pairs")
-    large = met.where(F.col("size") > BUCKET).drop("size")
+    pairs = keep(dealt(met.select(columns)).mapInArrow(tidy(first), "a long, b long").unionByName(near).distinct(), "copies-pairs")
+    large = met.where(F.col("size") > 2).drop("size")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
     wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    known = keep(found.select("node", "text").mapInArrow(packed, "node long, packed binary"), "copies-texts")
+    known = keep(found.select("node", "text").mapInArrow(tidy(packed), "node long, packed binary"), "copies-texts")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(known.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b").join(known.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
         return joined.where(alike("x", "y")).select("a", "b")
 
-    links = keep(links_of(pairs), "copies-links")
-    rooted = large.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found_links = keep(links_of(pairs), "copies-links")
+    rooted = large.join(components(found_links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = keep(rooted.select(*columns, "root"), "copies-rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    links = links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(others, "a long, b long").distinct()))
-    roots = components(links)
+    roots = components(found_links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(tidy(others), "a long, b long").distinct())))
     placed = nodes.select("node", F.col("doc_id").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.select("doc_id", "text_hash", "node").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "text_hash", "component_id")
+    out = keep(rows.select("doc_id", "text_hash", "node").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "text_hash", "component_id"), "copies")
+    discard(rows, nodes, by_fp, met, pairs, known, found_links, rooted)
+    return out
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs (with doc_id and text) less all but one of each group of near copies: that with the smallest id, and of equal ids the smallest hash of the text. Columns stay as they are."""
+    """docs (with doc_id and text) less all but one of each group of near copies: that with the smallest id, and of equal ids the smallest hash of the text. Rows alike in both are one. Columns stay as they are."""
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     groups = near_copies(docs, width, similarity)
     one = groups.groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "text_hash")).alias("one"))
     one = one.select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("_of"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
+    rows = docs.select("row", F.col("doc_id").cast("long").alias("_of"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
     rows = rows.join(one, F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return rows.select("row.*")
+    first = F.row_number().over(Window.partitionBy("_of", "_text").orderBy(F.xxhash64("row")))
+    return rows.withColumn("_nth", first).where("_nth = 1").select("row.*")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import keep
+from signalloom.llm.common import discard, keep, tidy
 
 #: Leading bytes of a suffix; as a power of two.
 LEAD_BITS = 5
@@ -33,6 +33,8 @@ LEAD = 1 << LEAD_BITS
 PLACE_BITS = 20
 #: Different suffixes of the same leading bytes that one bucket holds together.
 CROWD = 1000
+#: Parts that a crowd of equal suffixes is dealt to, and crowds that are few enough to go to every task.
+PARTS, FEW = 64, 100_000
 MIX = np.random.default_rng(0x5EED).integers(0, 1 << 63, 256, dtype=np.uint64)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,7 +156,7 @@ def choices(rows: DataFrame, size: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(dict(zip(("k1", "k2", "q", "lo", "hi", "lead", "scope"), map(np.concatenate, zip(*out)))))
 
-    return rows.select("k1", "k2", "text").mapInPandas(choose, "k1 long, k2 long, q long, lo long, hi long, lead long, scope long")
+    return rows.select("k1", "k2", "text").mapInPandas(tidy(choose), "k1 long, k2 long, q long, lo long, hi long, lead long, scope long")
 
 
 def contexts(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -172,7 +174,7 @@ def contexts(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     places = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("q", "lo", "hi", "lead")).alias("places"))
     joined = rows.select("k1", "k2", "text").join(places, KEY)
-    return joined.mapInPandas(cut, "k1 long, k2 long, q long, least long, most long, lead long, after binary, before binary")
+    return joined.mapInPandas(tidy(cut), "k1 long, k2 long, q long, least long, most long, lead long, after binary, before binary")
 
 
 def sorted_buckets(found: DataFrame, size: int) -> DataFrame:
@@ -198,14 +200,14 @@ def sorted_buckets(found: DataFrame, size: int) -> DataFrame:
     # the splitters' sample must not run what made the rows a second time, so these have been written
     leading = found.withColumn("leading", F.substring("after", 1, LEAD))
     ranged = leading.repartitionByRange("leading", "g1", "g2").sortWithinPartitions("leading", "g1", "g2").drop("leading")
-    return ranged.mapInPandas(compare, "k1 long, k2 long, lo long, hi long")
+    return ranged.mapInPandas(tidy(compare), "k1 long, k2 long, lo long, hi long")
 
 
-def halve_crowds(found: DataFrame, size: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Split crowds until none is left: suffixes in groups that are none, and repeated windows (k1, k2, lo, hi) found on the way."""
+def halve_crowds(found: DataFrame, size: int) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """Split crowds until none is left: suffixes in groups that are none, repeated windows (k1, k2, lo, hi) found on the way, and the tables kept for both."""
     width = 1 << (size - 1).bit_length()
     crowd = found.withColumn("base", F.lit(0).cast("long"))
-    calm, spans = [], []
+    calm, spans, kept = [], [], []
     while width > 1 and not crowd.isEmpty():
         width //= 2
         halves = crowd.drop("g1", "g2", "kinds").withColumn("base", F.explode(F.array(F.col("base"), F.col("base") + width)))
@@ -219,6 +221,8 @@ def halve_crowds(found: DataFrame, size: int) -> tuple[DataFrame, list[DataFrame
         groups = same.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("kinds"))
         same = keep(same.join(groups, ["g1", "g2"]).where("n > 1 or kinds > 1"), "suffix-same")
         marked = keep(halves.join(same, ["g1", "g2", "s1", "s2"]), "suffix-marked")
+        discard(halves, same)
+        kept.append(marked)
         spans.append(marked.where("n > 1").select("k1", "k2", (F.col("q") - F.col("most")).alias("lo"), (F.col("q") - F.col("least")).alias("hi")))
         ones = marked.where("kinds > 1").where(F.col("one") == F.struct("k1", "k2", "q")).drop("s1", "s2", "n", "one")
         calm.append(ones.where(F.col("kinds") <= CROWD).select(found.columns))
@@ -226,30 +230,49 @@ def halve_crowds(found: DataFrame, size: int) -> tuple[DataFrame, list[DataFrame
     out = calm[0] if calm else crowd.limit(0).select(found.columns)
     for c in calm[1:]:
         out = out.unionByName(c)
-    return out, spans
+    return out, spans, kept
+
+
+def scopes(every: DataFrame, alike: list[str]) -> DataFrame:
+    """Of chosen places (k1, k2, q, lo, hi): each kind (columns alike, the first of which is the lead) whose lead occurs elsewhere, with n (how many), one of them, and kinds (of that lead)."""
+    same = every.groupBy(*alike).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "q", "lo", "hi")).alias("one"))
+    leads = same.groupBy("lead").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where(F.col("all") > 1).drop("all")
+    return same.join(leads, "lead")
+
+
+def equal_rows(every: DataFrame, same: DataFrame, alike: list[str]) -> DataFrame:
+    """The rows of every whose kind occurs more than once. A passage in a third of all documents is one key: its rows are dealt over parts, and the key is in each of them."""
+    keys = same.where("n > 1").withColumn("part", F.explode(F.when(F.col("n") > CROWD, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(-1)))))
+    hot = same.where(F.col("n") > CROWD).select(*alike, F.lit(True).alias("hot"))
+    n_hot, part = hot.count(), F.lit(-1)
+    if n_hot:
+        every = every.join(F.broadcast(hot) if n_hot <= FEW else hot, alike, "left")
+        part = F.when(F.col("hot"), F.pmod(F.xxhash64("k1", "k2", "q"), F.lit(PARTS)).cast("int")).otherwise(-1)
+    return every.withColumn("part", part).join(keys.select(*alike, "part"), [*alike, "part"])
 
 
 def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     """k1, k2 and spans: per document the first and last starts of runs of windows that also start elsewhere."""
     every = keep(choices(rows, size).withColumns({"least": F.col("q") - F.col("hi"), "most": F.col("q") - F.col("lo")}), "suffix-choices")
     alike = ["lead", "scope", "least", "most"]
-    same = every.groupBy(*alike).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "q", "lo", "hi")).alias("one"))
-    leads = same.groupBy("lead").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where(F.col("all") > 1).drop("all")
-    same = keep(same.join(leads, "lead"), "suffix-scopes")
-    spans = [every.join(same.where("n > 1").select(*alike), alike).select("k1", "k2", "lo", "hi")]
+    same = keep(scopes(every, alike), "suffix-scopes")
+    spans = [equal_rows(every, same, alike).select("k1", "k2", "lo", "hi")]
 
     wanted = same.where("kinds > 1").select("lead", "kinds", "one.*")
     found = contexts(rows, wanted, size).join(wanted.select("k1", "k2", "q", "kinds"), ["k1", "k2", "q"])
     found = keep(found.withColumns({"g1": F.col("lead"), "g2": F.lit(0).cast("long")}), "suffix-contexts")
-    calm, more = halve_crowds(found.where(F.col("kinds") > CROWD), size)
+    calm, more, kept = halve_crowds(found.where(F.col("kinds") > CROWD), size)
     spans += more
     spans.append(sorted_buckets(found.where(F.col("kinds") <= CROWD), size))
     if more:
-        spans.append(sorted_buckets(keep(calm, "suffix-calm"), size))
+        kept.append(keep(calm, "suffix-calm"))
+        spans.append(sorted_buckets(kept[-1], size))
     out = spans[0]
     for x in spans[1:]:
         out = out.unionByName(x)
-    return keep(out.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
+    out = keep(out.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
+    discard(every, same, found, *kept)
+    return out
 
 
 def kept_bytes(raw: bytes, spans, size: int) -> tuple[bytes, int]:
@@ -279,19 +302,34 @@ def removal(text: Column, spans: Column, size: int) -> Column:
     return remove(text, spans)
 
 
-def remove_repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 400, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Remove each byte covered by a string of `size` bytes that also starts anywhere else, in the same text or another.
 
-    One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal runs removed), kept (the bytes left), kept_sha256.
+    One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal runs removed), kept (the bytes left), kept_sha256. If `words` is given, also
+    n_repeated_words: how many words stand in runs of so many that also start elsewhere, however many bytes they have; nothing is removed for them.
     Strings are judged on the input and don't cross texts; overlapping ones count. Null texts are empty ones; null ids are
     ids like any other; repeated rows lose all that is long enough. Texts shorter than `size` lose nothing. An empty table
-    gives an empty result; other columns are ignored. `size` is at least 64.
+    gives an empty result; other columns are ignored. `size` is at least 64, `words` at least 26.
     """
-    if size < 2 * LEAD:
-        raise ValueError(f"size must be at least {2 * LEAD}")
+    if size < 2 * LEAD or words is not None and words < GRAM:
+        raise ValueError(f"size must be at least {2 * LEAD}, words at least {GRAM}")
     rows = keyed(docs, id_col, text_col)
     joined = rows.join(repeated_windows(rows, size), KEY, "left")
-    return joined.select("doc_id", removal(F.col("text"), F.col("spans"), size).alias("r")).select("doc_id", "r.*")
+    if words is not None:
+        joined = joined.join(repeated_word_windows(rows, words).select(*KEY, covered(F.col("spans"), words).alias("n")), KEY, "left")
+    more = [] if words is None else [F.coalesce("n", F.lit(0)).cast("long").alias("n_repeated_words")]
+    return joined.select("doc_id", removal(F.col("text"), F.col("spans"), size).alias("r"), *more).select("doc_id", "r.*", *(["n_repeated_words"] if more else []))
+
+
+def covered(spans: Column, words: int) -> Column:
+    """How many words are in any of the windows of so many whose first words these spans (lo, hi) hold."""
+    first = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+
+    def step(s, x):
+        end = x["hi"] + F.lit(words)
+        return F.struct((s["n"] + F.greatest(F.lit(0), end - F.greatest(x["lo"], s["end"]))).alias("n"), F.greatest(s["end"], end).alias("end"))
+
+    return F.aggregate(F.array_sort(spans), first, step, lambda s: s["n"])
 
 
 #: Words that are hashed together to choose places in windows of words.
@@ -321,52 +359,66 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
         return out ^ (out >> np.uint64(29))
 
 
-def word_windows(raw: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window of so many words: a hash of them, the place of the GRAM words that it chooses (the least hash, the first on ties), and the hash of these."""
+def word_choices(raw: bytes, words: int) -> tuple[np.ndarray, ...]:
+    """Places that windows of so many words choose: the first of GRAM words (those of the least hash in a window, the first on ties), the first and the last window that choose it, the hash of the GRAM words, and the hashes of all words."""
     each = np.array([xxhash.xxh3_64_intdigest(w) for w in raw.split()], np.uint64)
     windows, step, parts = len(each) - words + 1, (1 << PLACE_BITS) - words, []
     for at in range(0, max(windows, 0), step):
-        h = each[at : min(at + step, windows) + words - 1]
-        grams = run_hashes(h, GRAM)
+        grams = run_hashes(each[at : min(at + step, windows) + words - 1], GRAM)
         place = least_places(grams, words - GRAM + 1)
-        parts.append((run_hashes(h, words).view(np.int64), place + at, grams[place].view(np.int64)))
-    return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, np.int64),) * 3
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        parts.append((place[first] + at, first + at, np.concatenate([first[1:], [len(place)]]) - 1 + at, grams[place[first]].view(np.int64)))
+    if not parts:
+        return *(np.zeros(0, np.int64),) * 4, each
+    q, lo, hi, h = map(np.concatenate, zip(*parts))
+    new = np.concatenate([[True], q[1:] != q[:-1]])  # a place may be chosen on both sides of a step
+    return q[new], lo[new], hi[np.concatenate([np.flatnonzero(new)[1:], [len(q)]]) - 1], h[new], each
 
 
 def repeated_word_windows(rows: DataFrame, words: int) -> DataFrame:
-    """k1, k2 and starts: per document (of rows: k1, k2, text) the first words of the windows of so many words that also start elsewhere.
+    """k1, k2 and spans: per document (of rows: k1, k2, text) the first and last first words (lo, hi) of runs of windows of so many words that also start elsewhere.
 
-    Equal windows choose alike, so only windows whose choice is made at two places at least are compared, by hashes.
+    Equal windows choose alike. Places that agree in all windows that chose them are found by hashes; of those that don't, one of each kind has its windows
+    compared one by one, by a hash of all their words and that of their choice.
     """
+    names, kind = ["k1", "k2", "q", "lo", "hi", "lead", "scope"], "k1 long, k2 long, q long, lo long, hi long, lead long, scope long"
 
     def choose(batches):
         for batch in batches:
             out = []
             for k1, k2, text in zip(batch.k1, batch.k2, batch.text):
-                _, place, lead = word_windows(text.encode(), words)
-                if len(place):
-                    lead = lead[np.concatenate([[True], place[1:] != place[:-1]])]
-                    out.append((np.full(len(lead), k1), np.full(len(lead), k2), lead))
+                q, lo, hi, lead, each = word_choices(text.encode(), words)
+                if len(q):
+                    scope = [xxhash.xxh3_64_intdigest(each[a : b + words].tobytes()) for a, b in zip(lo.tolist(), hi.tolist())]
+                    out.append((np.full(len(q), k1), np.full(len(q), k2), q, lo, hi, lead, np.array(scope, np.uint64).view(np.int64)))
             if out:
-                yield pd.DataFrame(dict(zip(("k1", "k2", "lead"), map(np.concatenate, zip(*out)))))
+                yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
 
-    every = keep(rows.select("k1", "k2", "text").mapInPandas(choose, "k1 long, k2 long, lead long"), "word-choices")
-    shared = every.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lead")
-    leads = every.distinct().join(shared, "lead").groupBy(*KEY).agg(F.collect_list("lead").alias("leads"))
+    every = rows.select("k1", "k2", "text").mapInPandas(tidy(choose), kind)
+    every = keep(every.withColumns({"least": F.col("q") - F.col("hi"), "most": F.col("q") - F.col("lo")}), "word-choices")
+    alike = ["lead", "scope", "least", "most"]
+    same = keep(scopes(every, alike), "word-scopes")
+    spans = equal_rows(every, same, alike).select("k1", "k2", "lo", "hi")
 
     def compare(batches):
         for batch in batches:
-            out = []
-            for k1, k2, text, wanted in zip(batch.k1, batch.k2, batch.text, batch.leads):
-                whole, _, lead = word_windows(text.encode(), words)
-                at = np.flatnonzero(np.isin(lead, wanted))
-                out.append((np.full(len(at), k1), np.full(len(at), k2), at, lead[at], whole[at]))
-            yield pd.DataFrame(dict(zip(("k1", "k2", "start", "lead", "whole"), map(np.concatenate, zip(*out)))))
+            out = [(np.zeros(0, np.int64),) * 5]
+            for k1, k2, text, places in zip(batch.k1, batch.k2, batch.text, batch.places):
+                each = np.array([xxhash.xxh3_64_intdigest(w) for w in text.encode().split()], np.uint64)
+                for p in places:
+                    at = np.arange(p["lo"], p["hi"] + 1)
+                    whole = run_hashes(each[p["lo"] : p["hi"] + words], words).view(np.int64)
+                    out.append((np.full(len(at), k1), np.full(len(at), k2), at, np.full(len(at), p["lead"]), whole))
+            yield pd.DataFrame(dict(zip(("k1", "k2", "lo", "lead", "whole"), map(np.concatenate, zip(*out)))))
 
-    looked = rows.select("k1", "k2", "text").join(leads, KEY).mapInPandas(compare, "k1 long, k2 long, start long, lead long, whole long")
+    wanted = same.where("kinds > 1").select("lead", "one.*").groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi", "lead")).alias("places"))
+    looked = rows.select("k1", "k2", "text").join(wanted, KEY).mapInPandas(tidy(compare), "k1 long, k2 long, lo long, lead long, whole long")
     looked = keep(looked, "word-windows")
-    alike = looked.groupBy("whole", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("whole", "lead")
-    return keep(looked.join(alike, ["whole", "lead"]).groupBy(*KEY).agg(F.collect_set("start").alias("starts")), "word-starts")
+    again = looked.groupBy("whole", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("whole", "lead")
+    spans = spans.unionByName(looked.join(again, ["whole", "lead"]).select("k1", "k2", "lo", F.col("lo").alias("hi")))
+    out = keep(spans.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "word-spans")
+    discard(every, same, looked)
+    return out
 
 
 def cut_repeats(docs: DataFrame, words: int = 51) -> DataFrame:
@@ -376,21 +428,23 @@ def cut_repeats(docs: DataFrame, words: int = 51) -> DataFrame:
     """
     if words < GRAM:
         raise ValueError(f"words must be at least {GRAM}")
-    whole = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    rows = whole.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"), *docs.columns)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(F.xxhash64("doc_id", text).alias("k1"), F.xxhash64(F.lit(7), text, "doc_id").alias("k2"), text.alias("text"), row)
     found = repeated_word_windows(rows, words)
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, each: pd.Series) -> pd.Series:
         out = []
-        for t, starts in zip(texts, each):
-            if starts is not None and len(starts):
-                raw, starts = t.encode(), np.sort(np.asarray(starts))
+        for t, of in zip(texts, each):
+            if of is not None and len(of):
+                raw = t.encode()
                 first, behind = word_places(raw)
-                spans = [{"lo": a, "hi": b} for a, b in zip(first[starts].tolist(), behind[starts + words - 1].tolist())]
-                t = kept_bytes(raw, spans, 0)[0].decode()
+                t = kept_bytes(raw, [{"lo": first[s["lo"]], "hi": behind[s["hi"] + words - 1]} for s in of], 0)[0].decode()
             out.append(t)
         return pd.Series(out)
 
-    left = rows.join(found, KEY, "left").withColumn("text", kept("text", "starts")).withColumn("n_chars", F.length("text").cast("long"))
-    return left.where(F.col("starts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+    left = rows.join(found, KEY, "left").select("row", "spans", kept("text", "spans").alias("left"))
+    left = left.where(F.col("spans").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    changed = F.col("row").withField("text", F.col("left")).withField("n_chars", F.length("left").cast("long"))
+    return left.select(changed.alias("row")).select("row.*")
