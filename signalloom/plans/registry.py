@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from signalloom.functions import extract, keys, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
-from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search
+from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search, views
 from signalloom.plans import bindings as b
-from signalloom.session import ship
+from signalloom.session import scratch, ship
+from signalloom.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -439,6 +440,81 @@ def handoff_accept(spark, sf):
     return done["records"].select("matter_id", "record_id", "sync_status", F.size("linked_signal_ids").cast("long").alias("n_signals"))
 
 
+@query("SELECT 'C-MAT-' || c_custkey AS candidate_id, 'rejected' AS status, CASE WHEN c_custkey % 20 = 7 THEN 'Rejected.' ELSE 'no' END AS reviewer_note FROM customer WHERE ('MAT-' || c_custkey) LIKE '%7'")
+def handoff_reject(spark, sf):
+    s = store(spark, sf)
+    note = F.when(F.substring_index("candidate_id", "-", -1).cast("long") % 20 == 7, "").otherwise("no")
+    return lifecycle.reject(s, s["candidates"].select("candidate_id", note.alias("reviewer_note")))["candidates"].select("candidate_id", "status", "reviewer_note")
+
+
+@query(
+    "WITH m AS (SELECT 'MAT-' || c_custkey AS matter_id, c_custkey AS k, c_name FROM customer) SELECT matter_id, CASE WHEN matter_id LIKE '%77' THEN 'R-' || matter_id ELSE 'S-' || k END AS record_id, CASE WHEN matter_id LIKE '%77' THEN 'updated_from_sync' ELSE 'created_from_sync' END AS sync_status, k * 1.5::DOUBLE AS amount_confirmed, CASE WHEN matter_id LIKE '%77' THEN 'SIG-old' ELSE '' END AS signals FROM m"
+)
+def handoff_sync(spark, sf):
+    """A record from elsewhere for every matter: it updates the one that is there, or is new."""
+    s = store(spark, sf)
+    key = F.substring_index("matter_id", "-", -1).cast("long")
+    new = s["matters"].select(F.concat(F.lit("S-"), key).alias("record_id"), "matter_id", F.lit("contract_record").alias("record_type"), "official_identifier", F.lit("").alias("official_source_url"), "title", (key * 1.5).alias("amount_confirmed"), F.lit(None).cast("array<string>").alias("linked_signal_ids"))
+    done = lifecycle.sync(s, new, F.expr(NOW))["records"]
+    return done.select("matter_id", "record_id", "sync_status", "amount_confirmed", F.array_join(F.coalesce("linked_signal_ids", F.array().cast("array<string>")), ",").alias("signals"))
+
+
+@query(
+    "SELECT (SELECT count(*) FROM orders) AS signals, (SELECT count(*) FROM customer) AS matters, (SELECT count(*) FROM customer WHERE ('MAT-' || c_custkey) LIKE '%7') AS ready, (SELECT count(*) FROM orders WHERE o_totalprice >= 85) AS high_confidence, (SELECT count(*) FROM supplier WHERE s_suppkey % 4 IN (0, 1, 2)) AS stale_sources"
+)
+def monitor_metrics(spark, sf):
+    price = b.table(spark, sf, "orders").select(F.concat(F.lit("SIG-"), "o_orderkey").alias("signal_id"), F.col("o_totalprice").alias("confidence_score"), F.lit("raw").alias("handoff_status"))
+    status = F.element_at(F.array(*map(F.lit, ["broken", "stale", "manual", "fine"])), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    sources = b.table(spark, sf, "supplier").select(F.col("s_name").alias("name"), status.alias("status"))
+    return views.monitor(store(spark, sf) | {"signals": price, "sources": sources})
+
+
+@query("WITH s AS (SELECT o_custkey, count(*) AS n, count(DISTINCT o_orderpriority) AS c FROM orders GROUP BY 1) SELECT 'MAT-' || c_custkey AS matter_id, coalesce(n, 0) AS n_signals, coalesce(c, 0) AS n_sources, CASE WHEN ('MAT-' || c_custkey) LIKE '%77' THEN 1 ELSE 0 END AS n_records FROM customer LEFT JOIN s ON o_custkey = c_custkey")
+def matter_counts(spark, sf):
+    s = store(spark, sf)
+    signals = b.table(spark, sf, "orders").select(F.concat(F.lit("MAT-"), "o_custkey").alias("matter_id"), F.col("o_orderpriority").alias("source_id"))
+    return views.matter_counts(s | {"signals": signals})
+
+
+# -- written and read again --
+
+
+@query(f"{b.BASE} SELECT item_id, unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS target FROM classified WHERE confidence >= 0.55")
+def payloads_written(spark, sf):
+    """Payloads written by target, and read back from there."""
+    rows = classify.with_flags(classify.enrich(classify.classify(b.items(spark, sf), b.DOMAINS)), b.URGENT, b.DOMAINS)
+    path = scratch(spark)
+    sinks.write_payloads(routing.payloads(routing.fan_out(rows), F.expr(NOW)), path)
+    back = readers.outbound(spark, path)
+    return back.select(F.get_json_object("payload", "$.item_id").alias("item_id"), "target")
+
+
+@query(f"{b.BASE}, {STATES} SELECT item_id, coalesce(status, 'new') AS status FROM classified LEFT JOIN st ON item_id = sid")
+def dispatches_upserted(spark, sf):
+    """Records of all items, and then those of the labelled ones in their place."""
+    path, records = scratch(spark), label_records(spark, sf)
+    sinks.write_dispatches(b.items(spark, sf).select("item_id", F.lit("new").alias("status")), path, "1")
+    return sinks.write_dispatches(records, path, "2").join(b.items(spark, sf).select("item_id"), "item_id", "left_semi").select("item_id", "status")
+
+
+@query("SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS line FROM customer")
+def lines_numbered(spark, sf):
+    """Lines of several files, numbered through in order of files."""
+    path = scratch(spark)
+    b.table(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("value")).repartitionByRange(7, "c_custkey").sortWithinPartitions("c_custkey").select("value").write.text(path)
+    return readers.ledger_lines(spark, path).select(F.col("value").cast("long").alias("c_custkey"), "line")
+
+
+@query(f"WITH {b.SIGNALS}, {ENTITIES} SELECT 'sources' AS stream, count(DISTINCT src) AS n FROM ids UNION ALL SELECT 'entities', count(DISTINCT entity_id) FROM m UNION ALL SELECT 'observations', count(DISTINCT signal_id) FROM ids")
+def package_counts(spark, sf):
+    """Streams written as a package; what its manifest says, and how many lines are there."""
+    path, made = scratch(spark), parts(spark, sf)
+    sinks.write_package({k: made[k] for k in ("sources", "entities", "observations")}, path, "production", "2026-01-01T00:00:00Z", "engine")
+    said = spark.createDataFrame(list(sinks.stream_counts(sinks.read_manifest(spark, path)).items()), "stream string, said long")
+    lines = [spark.read.text(f"{path}/{k}").agg(F.lit(k).alias("stream"), F.count(F.lit(1)).alias("n")) for k in ("sources", "entities", "observations")]
+    return lines[0].union(lines[1]).union(lines[2]).join(said, "stream").where("n = said").select("stream", "n")
+
+
 @query("SELECT c_custkey, CASE WHEN c_acctbal / 100 >= 95 THEN 'T1 confirmado' WHEN c_acctbal / 100 >= 85 THEN 'Oficial preliminar' WHEN c_acctbal / 100 >= 70 THEN 'Corroborado' WHEN c_acctbal / 100 >= 50 THEN 'Monitor' WHEN c_acctbal / 100 >= 30 THEN 'Débil' ELSE 'No publicar como hecho' END AS band FROM customer")
 def confidence_bands(spark, sf):
     return b.table(spark, sf, "customer").select("c_custkey", keys.band(F.col("c_acctbal") / 100).alias("band"))

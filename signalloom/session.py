@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -13,6 +14,23 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.exec
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
 
 
+#: Folders made for applications that name none, by application.
+LOCAL: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share, as spark.checkpoint.dir names it. Without one, only a session on one machine gets a folder of that machine."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in LOCAL:
+            LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="signalloom-")
+        found = LOCAL[context.applicationId]
+    return f"{found.rstrip('/')}/signalloom-{context.applicationId}/{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Give workers this package, so that Python functions run where it isn't installed (once per Spark application).
 
