@@ -9,8 +9,8 @@ which can't gather more than 65 of them.
 Texts may be alike to a wider degree (near_copies: a Jaccard similarity of 0.8 of five-word shingles, say), at which fingerprints of 64 bits
 differ in about 10, and no number of blocks finds all pairs. There fingerprints are linked first, as above, and each link is verified by the sets of
 shingles; what they miss is found from the sets themselves. With all shingles in one order, two sets so much alike share one of the
-first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key
-are compared with one or two of them first; afterwards those that aren't in one component yet are compared with each other.
+first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key that many
+share are compared with two of them first; afterwards those of any key that aren't in one component yet are compared with each other.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def as_hex(fp: Column) -> Column:
 
 #: One text in so many is looked at to tell which shingles are common: those in LEAST_COMMON of its texts and in one of COMMON_SHARE, so that there are at most so many times the shingles of a text.
 COMMON_OF, LEAST_COMMON, COMMON_SHARE = 16, 8, 2000
-#: Members of a bucket that have one leader; a larger one has two.
+#: Members of a bucket that has no leaders; a larger one has two.
 BUCKET = 8
 #: What sums of similarities may be off by, which aren't whole numbers.
 SLACK = 1e-9
@@ -144,10 +144,10 @@ def may_be_alike(n: np.ndarray, at: np.ndarray, m: np.ndarray, bt: np.ndarray, s
 
 
 def leaders(nodes: np.ndarray, n: np.ndarray) -> list[int]:
-    """The places of a bucket's first node, and, if it is large, of the first of middling size: near copies share most buckets, and in most of them these two."""
-    first = int(nodes.argmin())
+    """The places of a large bucket's first node and of its first of middling size: near copies share their large buckets, and in most of them these two. A small one has none."""
     if len(nodes) <= BUCKET:
-        return [first]
+        return []
+    first = int(nodes.argmin())
     low, high = np.percentile(n, [40, 60], method="nearest")
     middle = np.flatnonzero((n >= low) & (n <= high))
     return list({first: None, int(middle[nodes[middle].argmin()]): None})
@@ -160,7 +160,7 @@ def spans_of(keys: np.ndarray):
 
 
 def first_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by key: the pairs of each bucket's leaders with its members that may be alike."""
+    """Of rows sorted by key: the pairs of each large bucket's leaders with its members that may be alike."""
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for s, k in spans_of(keys):
         of, size, place = nodes[s : s + k], n[s : s + k], at[s : s + k]
@@ -308,26 +308,29 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition("key").sortWithinPartitions("key", "node")
 
-    pairs = keep(dealt(met.select(columns)).mapInArrow(tidy(first), "a long, b long").unionByName(near).distinct(), "copies-pairs")
-    large = met.where(F.col("size") > 2).drop("size")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
-    wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    known = keep(found.select("node", "text").mapInArrow(tidy(packed), "node long, packed binary"), "copies-texts")
-
-    def links_of(pairs: DataFrame) -> DataFrame:
+    def links_of(pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs that are alike, by the whole texts of their nodes."""
+        pairs = keep(pairs.distinct(), f"copies-{name}-pairs")
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+        known = keep(found.select("node", "text").mapInArrow(tidy(packed), "node long, packed binary"), f"copies-{name}-texts")
         joined = pairs.join(known.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b").join(known.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
-        return joined.where(alike("x", "y")).select("a", "b")
+        out = keep(joined.where(alike("x", "y")).select("a", "b"), f"copies-{name}-links")
+        discard(pairs, known)
+        return out
 
-    found_links = keep(links_of(pairs), "copies-links")
-    rooted = large.join(components(found_links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    large = met.where(F.col("size") > BUCKET).select(columns)
+    found_links = links_of(dealt(large).mapInArrow(tidy(first), "a long, b long").unionByName(near), "first")
+    rooted = met.drop("size").join(components(found_links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = keep(rooted.select(*columns, "root"), "copies-rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    roots = components(found_links.unionByName(links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(tidy(others), "a long, b long").distinct())))
+    other_links = links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(tidy(others), "a long, b long"), "other")
+    roots = components(found_links.unionByName(other_links))
     placed = nodes.select("node", F.col("doc_id").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     out = keep(rows.select("doc_id", "text_hash", "node").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "text_hash", "component_id"), "copies")
-    discard(rows, nodes, by_fp, met, pairs, known, found_links, rooted)
+    discard(rows, nodes, by_fp, met, found_links, other_links, rooted)
     return out
 
 
