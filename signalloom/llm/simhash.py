@@ -260,9 +260,10 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "text_hash")).alias("one")
     nodes = keep(rows.groupBy("node").agg(one, F.min("fp").alias("fp")).select("node", "fp", "one.doc_id", "one.text_hash"), "copies-nodes")
     by_fp = keep(nodes.groupBy("fp").agg(F.min("node").alias("a")), "copies-fingerprints")
-    near = links(by_fp.select("fp")).withColumnsRenamed({"a": "x", "b": "y"})
-    near = near.join(by_fp.select(F.col("fp").alias("x"), "a"), "x").join(by_fp.select(F.col("fp").alias("y"), F.col("a").alias("b")), "y").select("a", "b")
-    near = near.unionByName(nodes.join(by_fp, "fp").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")))
+    # whatever fingerprints link is compared with one of its component: as many pairs as nodes, however large a group is
+    linked = by_fp.join(components(links(by_fp.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = linked.join(linked.groupBy("root").agg(F.min("a").alias("b")), "root").select("fp", "b")
+    near = nodes.join(linked, "fp").where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b")
     near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     keyed = rows.select("node", "n", F.posexplode("prefix").alias("at", "key")).select("key", "node", "n", "at")
