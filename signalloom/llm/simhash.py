@@ -19,7 +19,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -173,7 +173,18 @@ def first_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarr
 
 def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, roots: np.ndarray, similarity: float):
     """Of rows sorted by key: all other pairs of a bucket that may be alike and don't have the same root, in parts."""
+    _, place_of, size = np.unique(keys, return_inverse=True, return_counts=True)
+    few = size[place_of] <= BUCKET
+    key, of, m, place, root = keys[few], nodes[few], n[few], at[few], roots[few]
+    for d in range(1, BUCKET):  # small buckets all at once, by how far their rows lie apart
+        same = key[d:] == key[:-d]
+        if not same.any():
+            break
+        hit = same & (root[d:] != root[:-d]) & may_be_alike(m[d:], place[d:], m[:-d], place[:-d], similarity)
+        yield of[:-d][hit], of[d:][hit]
     for s, k in spans_of(keys):
+        if k <= BUCKET:
+            continue
         done = np.zeros(k, bool)
         done[leaders(nodes[s : s + k], n[s : s + k])] = True  # these have met all members
         rest = np.flatnonzero(~done) + s
@@ -190,6 +201,19 @@ def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarr
                 yield np.full(hit.sum(), of[i]), of[hit]
 
 
+def gathered(parts, most: int = 1 << 16):
+    """Pairs (two arrays each) put together until there are so many."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= most:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, n = [], 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def buckets(batches, columns: list[str]):
     """Arrays of the columns, key first, of whole buckets from batches sorted by key. Parts of one that goes on are put together once."""
     held: list = []
@@ -284,9 +308,9 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             yield as_pairs(*first_pairs(key, node, n.astype(np.int64), at.astype(np.int64), similarity))
 
     def others(batches):
-        for key, node, n, at, root in buckets(batches, [*columns, "root"]):
-            for a, b in other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity):
-                yield as_pairs(a, b)
+        found = (other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity) for key, node, n, at, root in buckets(batches, [*columns, "root"]))
+        for a, b in gathered(chain.from_iterable(found)):
+            yield as_pairs(a, b)
 
     def packed(batches):
         seen: set[int] = set()  # repeated rows of one id come once
