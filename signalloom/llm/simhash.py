@@ -119,6 +119,8 @@ def as_hex(fp: Column) -> Column:
 COMMON_OF, LEAST_COMMON, COMMON_SHARE = 16, 8, 2000
 #: Members of a bucket that has no leaders; a larger one has two.
 BUCKET = 8
+#: Bits of a set's sketch.
+SKETCH = 1024
 #: What sums of similarities may be off by, which aren't whole numbers.
 SLACK = 1e-9
 
@@ -137,6 +139,18 @@ def prefix_of(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.n
     return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - SLACK) + 1]
 
 
+def sketch_of(hashes: np.ndarray) -> np.ndarray:
+    """Of each of SKETCH classes of hashes, whether a set has an odd number of them, as longs. Two sketches differ in no more bits than the sets in hashes."""
+    odd = np.bincount((hashes % SKETCH).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def sketches_allow(n: Column, x: Column, m: Column, y: Column, similarity: float) -> Column:
+    """If sets of n and m hashes with the sketches x and y can be alike to this degree: those that are differ in (1 - similarity) / (1 + similarity) of n + m at most."""
+    apart = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, k: s + k)
+    return apart * F.lit(1 + similarity) <= F.lit(1 - similarity) * (n + m) + F.lit(SLACK)
+
+
 def may_be_alike(n: np.ndarray, at: np.ndarray, m: np.ndarray, bt: np.ndarray, similarity: float) -> np.ndarray:
     """If sets of n and m hashes, the first that they share being in place at and bt of their orders, can be alike to this degree."""
     shared = np.minimum(n - at, m - bt)
@@ -264,7 +278,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
 
-    @F.pandas_udf("node long, also long, fp long, n int, prefix array<long>")
+    @F.pandas_udf("node long, also long, fp long, n int, prefix array<long>, sketch array<long>")
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from tidy(lambda texts: map(of_texts, texts))(batches)
 
@@ -273,7 +287,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         found = list(map(np.unique, whole))
         prefixes = [prefix_of(h, common.value, similarity).view(np.int64) for h in found]
         ids = lambda seed: np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed) for h in found], np.uint64).view(np.int64)
-        return pd.DataFrame({"node": ids(0), "also": ids(1), "fp": [fingerprint_of(h) for h in whole], "n": [len(h) for h in found], "prefix": prefixes})
+        return pd.DataFrame({"node": ids(0), "also": ids(1), "fp": [fingerprint_of(h) for h in whole], "n": [len(h) for h in found], "prefix": prefixes, "sketch": [sketch_of(h) for h in found]})
 
     rows = keep(texts.select("doc_id", "text_hash", sets("text").alias("s")).select("doc_id", "text_hash", "s.*"), "copies-rows")
     # of sets that share a node by chance all but the first get another
@@ -282,7 +296,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         apart = F.when(F.col("also") != F.col("first"), F.xxhash64("node", "also")).otherwise(F.col("node"))
         rows = keep(rows.join(clash, "node", "left").withColumn("node", apart).select(rows.columns), "copies-rows-apart")
     one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "text_hash")).alias("one")
-    nodes = keep(rows.groupBy("node").agg(one, F.min("fp").alias("fp")).select("node", "fp", "one.doc_id", "one.text_hash"), "copies-nodes")
+    alike_in_all = (F.first(c).alias(c) for c in ("n", "sketch"))
+    nodes = keep(rows.groupBy("node").agg(one, F.min("fp").alias("fp"), *alike_in_all).select("node", "fp", "one.doc_id", "one.text_hash", "n", "sketch"), "copies-nodes")
     by_fp = keep(nodes.groupBy("fp").agg(F.min("node").alias("a")), "copies-fingerprints")
     # whatever fingerprints link is compared with one of its component: as many pairs as nodes, however large a group is
     linked = by_fp.join(components(links(by_fp.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -334,8 +349,10 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         return df.repartition("key").sortWithinPartitions("key", "node")
 
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs that are alike, by the whole texts of their nodes."""
-        pairs = keep(pairs.distinct(), f"copies-{name}-pairs")
+        """Those of the pairs that are alike, by the whole texts of their nodes; pairs whose sketches are too far apart for it need no texts."""
+        sketched = lambda c, n, sketch: nodes.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(sketch))
+        pairs = pairs.distinct().join(sketched("a", "n", "x"), "a").join(sketched("b", "m", "y"), "b")
+        pairs = keep(pairs.where(sketches_allow(F.col("n"), F.col("x"), F.col("m"), F.col("y"), similarity)).select("a", "b"), f"copies-{name}-pairs")
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))

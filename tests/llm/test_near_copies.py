@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from signalloom.llm import simhash as module
 from signalloom.llm.simhash import near_copies
 
@@ -65,3 +67,30 @@ def test_similarities_about_the_limit(spark):
         rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(changed(rng, words, rng.uniform(0.8, 1)))), (3 * i + 2, " ".join(words[: round(len(words) * rng.uniform(0.7, 0.95))]))]
     rows += [(900, None), (901, ""), (902, " "), (903, "a b"), (904, "A  b"), (905, "a b c d e")]
     run(spark, rows)
+
+
+def test_sketches_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(3)
+    for n, m, both in [(0, 0, 0), (0, 1, 0), (1, 1, 1), (300, 280, 260), (300, 300, 0), (9000, 9000, 8000)]:
+        h = rng.integers(0, 1 << 63, n + m - both, dtype=np.uint64)
+        a, b = module.sketch_of(h[:n]), module.sketch_of(h[n - both :])
+        apart = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+        assert apart <= n + m - 2 * both and (apart - (n + m)) % 2 == 0
+
+
+def test_other_pairs_are_all_pairs_of_different_roots():
+    rng = np.random.default_rng(4)
+    for kinds in (3, 40, 300):
+        keys = np.sort(rng.integers(0, kinds, 600))
+        nodes, roots = rng.permutation(600), rng.integers(0, 4, 600)
+        n, at = rng.integers(20, 40, 600), rng.integers(0, 6, 600)
+        wanted = set()
+        for s, k in module.spans_of(keys):
+            led = [s + i for i in module.leaders(nodes[s : s + k], n[s : s + k])]
+            for i in range(s, s + k):
+                for j in range(s, i):
+                    fits = module.may_be_alike(n[i : i + 1], at[i : i + 1], n[j : j + 1], at[j : j + 1], 0.8)[0]
+                    if fits and roots[i] != roots[j] and i not in led and j not in led:
+                        wanted.add(frozenset((int(nodes[i]), int(nodes[j]))))
+        found = module.gathered(module.other_pairs(keys, nodes, n, at, roots, 0.8), 50)
+        assert {frozenset(p) for a, b in found for p in zip(a.tolist(), b.tolist())} == wanted
