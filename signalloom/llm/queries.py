@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.llm.common import documents
+from signalloom.llm.divergence import audit
 from signalloom.llm.language_id import identify
 from signalloom.llm.lattice_lm import score
 from signalloom.llm.mixing import mix
 from signalloom.llm.multiset_hash import edited_fingerprints
+from signalloom.llm.oracle import SQL
 from signalloom.llm.prefix_bpe import round_trip
+from signalloom.llm.quality_rules import judge
 from signalloom.llm.simhash import as_hex, near_duplicates
+from signalloom.llm.spelling import variants
 from signalloom.llm.suffix_dedup import remove_repeats
 from signalloom.llm.token_counts import count_tokens
 from signalloom.llm.vector_search import top_k
@@ -62,17 +66,22 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-OPERATORS = (op1_token_counts, op2_simhash, op3_top_k, op4_language_id, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(documents(spark, sf_dir))
 
 
-#: Where SQL can express an operator. The others are tested against brute force, exact round trips or held-out accuracy.
-SQL = {
-    "op3_top_k": """WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
-}
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir)).withColumn("failed", F.array_join("failed", " "))
+
+
+OPERATORS = (
+    op1_token_counts, op2_simhash, op3_top_k, op4_language_id, op5_multiset_hash, op6_mixing, op7_suffix_dedup, op8_wavelet, op9_lattice_lm, op10_prefix_bpe,
+    op11_spelling, op12_divergence, op13_quality_rules,
+)
 
 
 def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
