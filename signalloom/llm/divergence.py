@@ -3,7 +3,7 @@
 Pass one counts in how many documents of its language each term stands and keeps those with enough. Pass two builds
 automata of the kept terms, each between delimiters, runs them over every whole text and counts what they find per
 language and source. Texts stay where they are in both; workers add up terms before anything is shuffled, and hand over
-what they hold once it is `HELD` entries.
+what they hold before it grows large.
 
 An automaton holds up to `TERMS` terms. Languages are dealt to automata by buckets of their hashes; one with more terms
 has several automata, and its texts pass each of them. What the driver sees is one automaton's terms at a time.
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from operator import itemgetter
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ from signalloom.llm.common import keep, one_model, tidy
 
 #: Terms of one automaton, and buckets that languages are dealt to by a hash.
 TERMS, BUCKETS = 1 << 19, 1024
-#: Entries that a task counts before it hands them over.
-HELD = 1 << 19
+#: Entries that a task counts, and occurrences that it holds, before it hands them over.
+HELD, FOUND = 1 << 19, 1 << 22
 #: What a share of one is.
 WHOLE = 10**9
 #: Terms are runs of letters A-Z, a-z and all characters beyond ASCII. What each byte becomes: A-Z their small letters, what no term has a blank.
@@ -43,30 +44,25 @@ def read_as(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> D
     return docs.select(empty(lang_col).alias("lang"), empty(source_col).alias("source"), empty(text_col).cast("binary").alias("text"))
 
 
-def _handed_over(counts: dict, key_types: list[pa.Field]) -> pa.RecordBatch:
-    keys = [(*(key if isinstance(key, tuple) else (key,)), term, n) for key, terms in counts.items() for term, n in terms.items()]
-    columns = list(zip(*keys)) or [()] * (len(key_types) + 2)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, [*key_types, pa.field("term", pa.binary()), pa.field("n", pa.int64())])], [*(f.name for f in key_types), "term", "n"])
+def _handed_over(counts: dict[str, Counter]) -> pa.RecordBatch:
+    langs = pa.concat_arrays([pa.array([], pa.string()), *(pa.repeat(pa.scalar(lang, pa.string()), len(c)) for lang, c in counts.items())])
+    terms = pa.array([t for c in counts.values() for t in c], pa.binary())
+    return pa.RecordBatch.from_arrays([langs, terms, pa.array([n for c in counts.values() for n in c.values()], pa.int64())], ["lang", "term", "n"])
 
 
-def _added_up(batches: Iterator[pa.RecordBatch], keys: list[str], found) -> Iterator[pa.RecordBatch]:
-    """Rows (keys, term, n): how often found(lang, text) has each term, added up over documents of the same keys."""
-    counts, held, types = defaultdict(Counter), 0, [pa.field(k, pa.string()) for k in keys]
+def document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, term, n: in how many documents of the language a task has seen the term since it last handed over."""
+    counts, held = defaultdict(Counter), 0
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in keys]
-        for key, lang, text in zip(zip(*columns), batch.column("lang").to_pylist(), batch.column("text")):
-            mine = counts[key]
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            mine = counts[lang]
             before = len(mine)
-            mine.update(found(lang, text.as_py()))
+            mine.update(set(text.as_py().translate(TERM_BYTES).split()))
             held += len(mine) - before
             if held >= HELD:
-                yield _handed_over(counts, types)
+                yield _handed_over(counts)
                 counts, held = defaultdict(Counter), 0
-    yield _handed_over(counts, types)
-
-
-def document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _added_up(batches, ["lang"], lambda lang, text: set(text.translate(TERM_BYTES).split()))
+    yield _handed_over(counts)
 
 
 def kept_terms(rows: DataFrame, least_docs: int) -> DataFrame:
@@ -75,37 +71,40 @@ def kept_terms(rows: DataFrame, least_docs: int) -> DataFrame:
     return keep(counted.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= least_docs).select("lang", "term"), "audit-terms")
 
 
-def automata(sent: bytes) -> dict[str, tuple[ahocorasick.Automaton, list[bytes]]]:
-    """For each language the automaton of its terms (sent as an Arrow stream), delimiters around them, and the terms. Bytes are taken for characters."""
-    terms = pa.ipc.open_stream(sent).read_all()
-    by_lang = defaultdict(list)
-    for lang, term in zip(terms.column("lang").to_pylist(), terms.column("term").to_pylist()):
-        by_lang[lang].append(term)
-    made = {}
-    for lang, has in by_lang.items():
-        found = ahocorasick.Automaton()
-        for i, term in enumerate(has):
-            found.add_word(f" {term.decode('latin-1')} ", i)
+def automata(sent: bytes) -> tuple[dict[str, ahocorasick.Automaton], pa.Array]:
+    """For each language the automaton of its terms, with delimiters around them, that says each one's place among all terms sent (an Arrow stream); and these. Bytes are taken for characters."""
+    table = pa.ipc.open_stream(sent).read_all().combine_chunks()
+    made = defaultdict(ahocorasick.Automaton)
+    for i, (lang, term) in enumerate(zip(table.column("lang").to_pylist(), table.column("term").to_pylist())):
+        made[lang].add_word(f" {term.decode('latin-1')} ", i)
+    for found in made.values():
         found.make_automaton()
-        made[lang] = found, has
-    return made
+    return dict(made), pa.concat_arrays([pa.array([], pa.binary()), *table.column("term").chunks])
 
 
 def _recounted(sent):
-    """A function over a task's batches that counts the terms sent (Arrow, broadcast) in texts of their languages."""
+    """A function over a task's batches (lang, source, text) that counts the terms sent (Arrow, broadcast) in texts of their languages: lang, source, term, n."""
+
+    def added_up(keys: dict, found: list, terms: pa.Array) -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
+        of, names = pa.array(codes >> 32), list(zip(*keys)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(names[0], pa.string()).take(of), pa.array(names[1], pa.string()).take(of), terms.take(pa.array(codes & 0xFFFFFFFF)), pa.array(n, pa.int64())], ["lang", "source", "term", "n"])
 
     def run(batches):
-        by_lang = one_model(automata, sent.value)
+        by_lang, terms = one_model(automata, sent.value)
         place = itemgetter(1)
-
-        def found(lang, text):
-            if lang not in by_lang:
-                return ()
-            automaton, has = by_lang[lang]
-            padded = b" ".join([b"", *text.translate(TERM_BYTES).split(), b""]).decode("latin-1")
-            return Counter({has[i]: n for i, n in Counter(map(place, automaton.iter(padded))).items()})
-
-        yield from _added_up(batches, ["lang", "source"], found)
+        keys, found, held = {}, [], 0  # keys are numbered as they come; what is found is number of key and place of term
+        for batch in batches:
+            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")):
+                if lang in by_lang:
+                    padded = f" {text.as_py().translate(TERM_BYTES).decode('latin-1')} "
+                    places = np.fromiter(map(place, by_lang[lang].iter(padded)), np.int64)
+                    found.append(places + (keys.setdefault((lang, source), len(keys)) << 32))
+                    held += len(places) + 1
+                    if held >= FOUND:
+                        yield added_up(keys, found, terms)
+                        keys, found, held = {}, [], 0
+        yield added_up(keys, found, terms)
 
     return run
 
@@ -152,8 +151,9 @@ def postings(rows: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(WHOLE * (count + 1) / (total + terms)), exact."""
-    return (F.lit(1) + F.call_function("div", (count + 1).cast("decimal(20,0)") * F.lit(WHOLE).cast("decimal(10,0)"), (total + terms).cast("decimal(20,0)"))).cast("long")
+    """1 + floor(WHOLE * (count + 1) / (total + terms)), exact: in 64 bits where they hold the product."""
+    wide = F.call_function("div", (count + 1).cast("decimal(20,0)") * F.lit(WHOLE).cast("decimal(10,0)"), (total + terms).cast("decimal(20,0)")).cast("long")
+    return F.lit(1).cast("long") + F.when(count < F.lit((1 << 63) // WHOLE - 1), F.call_function("div", (count + 1).cast("long") * F.lit(WHOLE).cast("long"), total + terms)).otherwise(wide)
 
 
 def gap(p: Column, q: Column) -> Column:
@@ -178,10 +178,12 @@ def pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
 
     q, absent = F.col("q"), F.col("other")
     one, other = shares.select("lang", "term", "source", "p", "absent"), shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("absent").alias("other"))
-    moved = lambda x, x0, y, y0: gap(x, y) - gap(x, y0) - gap(x0, y) + gap(x0, y0)
+    moved = lambda x, x0, y, y0: F.sum(gap(x, y) - gap(x, y0) - gap(x0, y))
     p, none = F.col("p"), F.col("absent")
-    met = one.join(other, ["lang", "term"]).where(F.col("source") < F.col("item")).groupBy("lang", "source", "item")
-    both_have = met.agg(F.sum(moved(p, none, q, absent)).alias("there"), F.sum(moved(q, absent, p, none)).alias("back")).select("lang", each("there", "back"))
+    met = one.join(other, ["lang", "term"]).where(F.col("source") < F.col("item")).groupBy("lang", "source", "item", "absent", "other")
+    met = met.agg(F.count(F.lit(1)).alias("times"), moved(p, none, q, absent).alias("there"), moved(q, absent, p, none).alias("back"))
+    met = met.withColumn("there", F.col("there") + F.col("times") * gap(none, absent)).withColumn("back", F.col("back") + F.col("times") * gap(absent, none))
+    both_have = met.select("lang", each("there", "back"))
 
     return start.unionByName(one_has).unionByName(both_have).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 

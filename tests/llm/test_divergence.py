@@ -56,6 +56,8 @@ def test_equals_brute_force(spark, seed):
 
 def test_several_automata_and_small_hand_overs(spark, monkeypatch):
     monkeypatch.setattr(divergence, "TERMS", 20)
+    monkeypatch.setattr(divergence, "HELD", 30)
+    monkeypatch.setattr(divergence, "FOUND", 100)
     rows = some(3, 150, langs=("en", "de", "fr", "es", None)) + [("far away far away", "nl", "z")] * 3
     terms = divergence.kept_terms(divergence.read_as(spark.createDataFrame(rows, "text string, lang string, source string"), "text", "lang", "source"), 3)
     automaton, serves = divergence.dealt_terms(terms)
