@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from signalloom.functions import vocabulary as v
+from signalloom.functions.numbers import round_exact
 from signalloom.functions.text import filled, slug
 
 
@@ -63,9 +64,10 @@ def clamp(x: Column) -> Column:
 
 
 def per_hundred(score: Column, digits: int = 3) -> Column:
-    """A score from 0 to 100 as one from 0 to 1, rounded half away from zero as a decimal number; none counts as 0."""
-    return F.round(F.coalesce(score, F.lit(0)).cast("decimal(18,6)") * F.lit("0.01").cast("decimal(3,2)"), digits).cast("double")
+    """A score from 0 to 100 as one from 0 to 1, rounded by its exact value, ties to even; none counts as 0."""
+    return round_exact(F.coalesce(score.cast("double"), F.lit(0.0)) / 100.0, digits)
 
 
 def percent(confidence: Column) -> Column:
-    return F.round(confidence * 100, 1)
+    """A confidence as a percentage with one place, rounded by its exact value, ties to even."""
+    return round_exact(confidence.cast("double") * 100.0, 1)

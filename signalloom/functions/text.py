@@ -59,6 +59,14 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def xml_text(text: Column) -> Column:
+    """Text as it stands in an XML document; characters that no document may have are left out."""
+    bare = F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        bare = F.replace(bare, F.lit(char), F.lit(name))
+    return bare
+
+
 def filled(*values: Column) -> Column:
     """The first that is neither null nor empty."""
     return F.coalesce(*(F.nullif(v, F.lit("")) for v in values))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalloom.functions import vocabulary as v
+from signalloom.functions.numbers import fixed_exact
 from signalloom.functions.keys import iso
 from signalloom.functions.text import bind, truncated
 from signalloom.operators.dedup import last_wins
@@ -62,7 +63,7 @@ def dispatch_records(items: DataFrame, dispatched_at: Column, errors: DataFrame
         failed = errors.groupBy("item_id").agg(F.collect_set("target").alias("_failed"), F.array_join(F.array_sort(F.collect_list(F.concat_ws(": ", "target", "error"))), "; ").alias("_error"))
         rows = items.join(failed, "item_id", "left").withColumn("_failed", F.coalesce("_failed", F.array().cast("array<string>")))
     fine = passes(threshold)
-    why = F.format_string("confidence %.2f below %.2f", F.coalesce("confidence", F.lit(0.0)), F.lit(threshold))
+    why = F.concat(F.lit("confidence "), fixed_exact(F.coalesce("confidence", F.lit(0.0)), 2), F.lit(f" below {threshold:.2f}"))
     return rows.select(
         "item_id", F.when(fine, F.array_except(to, "_failed")).otherwise(F.array().cast("array<string>")).alias("dispatched_to"), dispatched_at.alias("dispatched_at"),
         F.when(~fine, "skipped").when(F.size("_failed") > 0, "failed").otherwise("ok").alias("status"), F.when(fine, F.col("_error")).otherwise(why).alias("error"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.functions.lexicon import folded_term
+from signalloom.functions.text import xml_text
 
 #: Words that the driver's documents have, under the engine's labels.
 DOMAINS = {
@@ -88,7 +89,29 @@ def sql_norm(x: str) -> str:
 
 
 SIGNALS = f"""sig AS (SELECT o_orderkey AS line, 'SIG-' || (o_orderkey // 2) AS signal_id, 'MAT-' || o_custkey AS matter_id, lower(o_orderstatus) || '_signal' AS signal_type, c_name AS title,
-  'SRC-' || (o_custkey % 40) AS source_id, o_orderdate AS captured_at, lower(c_mktsegment) AS beat, n_name AS municipality, substr(o_orderpriority, 3) AS agency, round(round(o_totalprice % 100, 0) / 100, 3) AS confidence
+  'SRC-' || (o_custkey % 40) AS source_id, o_orderdate AS captured_at, lower(c_mktsegment) AS beat, n_name AS municipality, substr(o_orderpriority, 3) AS agency, CAST(printf('%.3f', CAST(round(o_totalprice % 100, 0) AS DOUBLE) / 100) AS DOUBLE) AS confidence
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
 reg AS (SELECT 'SRC-' || CASE WHEN s_suppkey % 4 = 3 THEN 'none-' ELSE '' END || s_suppkey AS ref, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' WHEN s_suppkey % 3 = 1 THEN 'family' END AS family FROM supplier),
 ids AS (SELECT *, {sql_fid('src', 'source_id')} AS src, {sql_fid('ent', "'matter'", 'matter_id')} AS ent FROM sig)"""
+
+
+#: Documents of one feed whose ids fall into the same range are on a page.
+FEED_PAGE = 512
+FEEDS = [{"name": f"src{i}", "url": f"https://src{i}/feed", "tier": f"T{1 + i % 3}"} for i in range(20)] + [{"name": "silent", "url": "https://silent/feed"}]
+
+
+def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages of their sources' feeds: url, page, xml. Entries of ids divisible by 10 stand on the next page too; second pages of three of sources ending in 7 are cut off."""
+    docs = items(spark, sf_dir).withColumn("id", F.col("item_id").cast("long"))
+    pages = F.filter(F.array(F.floor(F.col("id") / FEED_PAGE), F.when(F.col("id") % 10 == 0, F.floor(F.col("id") / FEED_PAGE) + 1)), lambda x: x.isNotNull())
+    when = F.concat(F.date_format("published_at", "dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+    entry = tag("item", F.concat(tag("title", xml_text(F.coalesce("title", F.lit("")))), tag("link", xml_text(F.col("source_url"))), tag("description", xml_text(F.coalesce("body_text", F.lit("")))), tag("pubDate", when)))
+    rows = docs.select("source_name", F.explode(pages).alias("page"), "id", entry.alias("entry")).groupBy("source_name", "page")
+    pages = rows.agg(tag("rss", tag("channel", F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "entry"))), lambda x: x["entry"]), ""))).alias("xml"))
+    cut = F.endswith("source_name", F.lit("7")) & (F.col("page") % 3 == 1)
+    return pages.select(F.concat(F.lit("https://"), "source_name", F.lit("/feed")).alias("url"), "page", F.when(cut, F.substring("xml", F.lit(1), F.length("xml") - 9)).otherwise(F.col("xml")).alias("xml"))
+
+
+FEED_ENTRIES = f"""{ITEMS}, paged AS (SELECT *, unnest(CASE WHEN CAST(item_id AS BIGINT) % 10 = 0 THEN [CAST(item_id AS BIGINT) // {FEED_PAGE}, CAST(item_id AS BIGINT) // {FEED_PAGE} + 1] ELSE [CAST(item_id AS BIGINT) // {FEED_PAGE}] END) AS page FROM items),
+marked AS (SELECT *, source_name LIKE '%7' AND page % 3 = 1 AS cut FROM paged)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.functions import extract, keys, text
+from signalloom.functions import extract, keys, numbers, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
 from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search, views
@@ -59,7 +59,7 @@ def critical_flag_by_lang(spark, sf):
     return b.items(spark, sf).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_critical(whole_text(), b.URGENT)).alias("critical"))
 
 
-@query(f"{b.BASE} SELECT item_id, array_to_string(labels, ',') AS labels, confidence, round(confidence * 100, 1) AS score FROM classified")
+@query(f"{b.BASE} SELECT item_id, array_to_string(labels, ',') AS labels, confidence, CAST(printf('%.1f', CAST(confidence AS DOUBLE) * 100) AS DOUBLE) AS score FROM classified")
 def classify_tiers(spark, sf):
     return classify.classify(b.items(spark, sf), b.DOMAINS).select("item_id", joined("labels"), F.col("confidence"), keys.percent(F.col("confidence")).alias("score"))
 
@@ -259,7 +259,7 @@ def html_title_paragraphs(spark, sf):
 
 @query(
     f"""{b.BASE} SELECT 'SIG-' || item_id AS signal_id, lower(labels[1]) || '_signal' AS signal_type, title, substr(body_text, 1, 500) AS summary,
-CASE WHEN source_name = 'src1' THEN 'KNOWN-1' ELSE 'SRC-RSS-' || upper(source_name) END AS source_id, captured_at, lower(labels[1]) AS beat, round(confidence * 100, 1) AS confidence_score, array_to_string(labels, ',') AS labels FROM classified"""
+CASE WHEN source_name = 'src1' THEN 'KNOWN-1' ELSE 'SRC-RSS-' || upper(source_name) END AS source_id, captured_at, lower(labels[1]) AS beat, CAST(printf('%.1f', CAST(confidence AS DOUBLE) * 100) AS DOUBLE) AS confidence_score, array_to_string(labels, ',') AS labels FROM classified"""
 )
 def signal_projection(spark, sf):
     known = spark.createDataFrame([("src1", "KNOWN-1")], "source_name string, source_id string")
@@ -590,12 +590,46 @@ def json_props(spark, sf):
     return b.table(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("SELECT event_id, CAST(round(CAST(value AS DECIMAL(18, 6)) * CAST(0.01 AS DECIMAL(3, 2)), 3) AS DOUBLE) AS confidence, least(greatest(value / 100, 0), 1) AS clamped FROM events")
+@query("SELECT event_id, CAST(printf('%.3f', value / 100) AS DOUBLE) AS confidence, least(greatest(value / 100, 0), 1) AS clamped FROM events")
 def score_scales(spark, sf):
     e = b.table(spark, sf, "events")
     return e.select("event_id", keys.per_hundred(F.col("value")).alias("confidence"), keys.clamp(F.col("value") / 100).alias("clamped"))
 
 
+@query("""SELECT o_orderkey, printf('%.2f', CAST(o_totalprice AS DOUBLE) / 8) AS shown, CAST(printf('%.2f', CAST(o_totalprice AS DOUBLE) / 8) AS DOUBLE) AS eighth, CAST(printf('%.1f', CAST(o_totalprice AS DOUBLE) / 7) AS DOUBLE) AS seventh,
+CAST(printf('%.3f', CAST(o_totalprice AS DOUBLE) / -1000) AS DOUBLE) AS thousandth FROM orders""")
+def rounded_exact(spark, sf):
+    """Numbers of which many lie on, or next to, the middle of two places."""
+    price = F.col("o_totalprice").cast("double")
+    return b.table(spark, sf, "orders").select(
+        "o_orderkey", numbers.fixed_exact(price / 8, 2).alias("shown"), numbers.round_exact(price / 8, 2).alias("eighth"), numbers.round_exact(price / 7, 1).alias("seventh"), numbers.round_exact(price / -1000, 3).alias("thousandth")
+    )
+
+
+# -- feeds that have landed --
+
+
+def landed(spark, sf):
+    path = scratch(spark)
+    readers.land_feeds(b.feed_pages(spark, sf), path)
+    return path
+
+
+@query(f"""WITH {b.FEED_ENTRIES} SELECT DISTINCT substr(sha256(source_url || '|' || strftime(published_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'), 1, 16) AS item_id, source_name, source_url, regexp_replace(title, '^\\s+|\\s+$', '', 'g') AS title,
+md5(body_text) AS body, published_at, 'T' || (1 + CAST(substr(source_name, 4) AS INT) % 3) AS evidence_tier FROM marked WHERE NOT cut""")
+def feeds_polled(spark, sf):
+    """All feeds as they landed, read by the data source; what stands on two pages counts once, and pages that are cut off leave the others."""
+    items = readers.poll_all(spark, landed(spark, sf), b.FEEDS, F.timestamp_seconds(F.lit(0)))
+    return items.select("item_id", "source_name", "source_url", "title", F.md5("body_text").alias("body"), "published_at", "evidence_tier")
+
+
+@query(f"WITH {b.FEED_ENTRIES} SELECT source_name, count(DISTINCT page) AS failures FROM marked WHERE cut GROUP BY source_name UNION ALL SELECT 'silent', 1")
+def feed_failures(spark, sf):
+    """Files that can't be read, and a feed of which nothing has landed, are rows."""
+    found = readers.scan_feeds(spark, landed(spark, sf), b.FEEDS).where("error is not null")
+    return found.groupBy("source_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

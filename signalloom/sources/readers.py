@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from xml.etree import ElementTree
+import json
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalloom.functions.keys import item_id
 from signalloom.functions.text import filled, strip
 from signalloom.operators.dedup import first_wins
+from signalloom.sources import feeds as landed_feeds
+from signalloom.sources.feeds import ENTRY, entries_of, feed_key
 
 RAW_ITEM = "item_id string, source_url string, source_name string, title string, body_text string, published_at timestamp, captured_at timestamp, evidence_tier string"
 CLASSIFIED_ITEM = RAW_ITEM + ", labels array<string>, confidence double, classifier_reasoning string, municipalities array<string>, recipients array<string>, agencies array<string>, estimated_value double, signal_stage string, beat string"
@@ -108,33 +111,6 @@ def feed_items(entries: DataFrame, now: Column) -> DataFrame:
     return first_wins(items, ["item_id"], F.col("feed_order"), F.col("entry_order")).drop("feed_order", "entry_order")
 
 
-ENTRY = "title string, link string, summary string, content string, published string, updated string"
-FIELDS = {"title": "title", "description": "summary", "summary": "summary", "encoded": "content", "content": "content", "pubDate": "published", "published": "published", "date": "published", "updated": "updated"}
-
-
-def entries_of(xml: str | None) -> tuple[list[dict], str | None]:
-    """The entries of a feed (RSS items, Atom entries) and why it can't be read, if so. Documents with declarations of their own are refused."""
-    if not xml or "<!DOCTYPE" in xml or "<!ENTITY" in xml:
-        return [], "no feed document"
-    try:
-        root = ElementTree.fromstring(xml.encode())
-    except (ElementTree.ParseError, ValueError) as e:
-        return [], str(e)
-    local = lambda e: e.tag.rsplit("}", 1)[-1] if isinstance(e.tag, str) else ""
-    out = []
-    for entry in (e for e in root.iter() if local(e) in ("item", "entry")):
-        found: dict = dict.fromkeys(["title", "link", "summary", "content", "published", "updated"])
-        for e in entry:
-            text, name = "".join(e.itertext()), local(e)
-            if name == "link":
-                address = text.strip() or (e.get("href") if e.get("rel", "alternate") == "alternate" else None)
-                found["link"] = found["link"] or address
-            elif (field := FIELDS.get(name)) and not found[field]:
-                found[field] = text
-        out.append(found)
-    return out, None
-
-
 def feed_entries(documents: DataFrame) -> DataFrame:
     """Entries of landed feed documents (feed_order, source_name, tier, xml), with entry_order. A document that can't be read has none, which leaves the others as they are."""
     return _parsed(documents).select("feed_order", "source_name", "tier", F.posexplode("feed.entries").alias("entry_order", "entry")).select("feed_order", "entry_order", "source_name", "tier", "entry.*")
@@ -153,6 +129,27 @@ def _parsed(documents: DataFrame) -> DataFrame:
     return documents.withColumn("feed", parse("xml"))
 
 
+def scan_feeds(spark: SparkSession, path: str, feeds: list[dict]) -> DataFrame:
+    """Entries of all feeds ({name, url, tier}, as read from configuration) whose documents have landed under path, in file after file; a feed or file that can't be read is a row with its error instead. Turns on, for the session, that Spark hands filters to Python data sources."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    cloudpickle.register_pickle_by_value(landed_feeds)
+    spark.dataSource.register(landed_feeds.FeedSource)
+    return spark.read.format("feeds").option("path", path).option("feeds", json.dumps(feeds)).load()
+
+
+def poll_all(spark: SparkSession, path: str, feeds: list[dict], now: Column) -> DataFrame:
+    """Raw items of all feeds that have landed under path: the first of each id by feed, file and place. Feeds and files that can't be read have none."""
+    return feed_items(scan_feeds(spark, path, feeds).where("error is null"), now)
+
+
+def land_feeds(documents: DataFrame, path: str) -> None:
+    """Write feed documents (url, page, xml), each to a file of its own below its feed's folder. Documents of one feed are read in the order of their pages."""
+    key = F.substring(F.sha2("url", 256), 1, 16)
+    rows = documents.select(key.alias("feed"), F.col("page"), F.col("xml").alias("value"))
+    # tasks write in the order of pages, and a file's name has its task's number first
+    rows.repartitionByRange("feed", "page").sortWithinPartitions("feed", "page").select("feed", "value").write.option("maxRecordsPerFile", 1).partitionBy("feed").text(path)
+
+
 def poll(feeds: DataFrame, landed: DataFrame, now: Column) -> DataFrame:
     """Raw items of all feeds (as feed_registry gives them) whose documents have landed (url, xml), in order of feeds and places."""
     return feed_items(feed_entries(feeds.join(landed, "url")), now)
