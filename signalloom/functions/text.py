@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from functools import cache
+from itertools import chain
+from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,33 +17,94 @@ def bind(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def _accents() -> tuple[str, str]:
-    """Accented lower-case letters and what they are without; combining marks, which have no partner, go last and are dropped."""
-    letters = {}
-    for point in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        plain = [c for c in unicodedata.normalize("NFKD", chr(point)) if not unicodedata.combining(c)]
-        if chr(point) == chr(point).lower() and len(plain) == 1 and plain[0] != chr(point):
-            letters[chr(point)] = plain[0].lower()
-    return "".join(letters) + "".join(map(chr, range(0x300, 0x370))), "".join(letters.values())
+def _folded(char: str) -> str:
+    """The rule: compatibility decomposition without combining marks, in lower case. Capital sigma stays, since its small form depends on where it stands."""
+    return "".join(c if c == "Σ" else c.lower() for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
 
 
-ACCENTED, PLAIN = _accents()
+def _ranges(points: list[int]) -> str:
+    """Code points, in order, as ranges of a character class."""
+    out, at = [], 0
+    while at < len(points):
+        end = at
+        while end + 1 < len(points) and points[end + 1] == points[end] + 1:
+            end += 1
+        out.append(f"\\x{{{points[at]:X}}}-\\x{{{points[end]:X}}}")
+        at = end + 1
+    return "".join(out)
 
 
-def fold(text: Column) -> Column:
-    """Lower case without accents, within Spark's own functions (letters of the Latin blocks). Texts of ASCII alone, one byte a character, have none."""
-    return bind(F.lower(text), lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(F.translate(t, ACCENTED, PLAIN)))
+#: Hangul syllables decompose by arithmetic into a first, a middle and perhaps a last sound.
+HANGUL = range(0xAC00, 0xD7A4)
+LEADS, VOWELS, TAILS = "".join(map(chr, range(0x1100, 0x1113))), "".join(map(chr, range(0x1161, 0x1176))), "".join(map(chr, range(0x11A8, 0x11C3)))
+
+
+#: Where characters are that change; unified ideographs and what is unassigned never do.
+CHANGING = (range(0x80, 0x3400), range(0xA000, 0xAC00), range(0xF900, 0x20000), range(0x2F800, 0x2FA20), range(0xE0000, 0xE0200))
+
+
+class Tables(NamedTuple):
+    """marked, plain: characters that become one letter or none, as translate takes them; several: those that become more; latin: a class of all that F.lower and the translation by latin_marked and latin_plain get right; parted: a class of those that become more, and Hangul."""
+
+    marked: str
+    plain: str
+    several: dict[str, str]
+    parted: str
+    latin: str
+    latin_marked: str
+    latin_plain: str
+
+
+@cache
+def tables() -> Tables:
+    one, none, several, latin = {}, [], {}, [*range(0x80)]
+    is_latin = lambda point: point < 0x250 or 0x300 <= point < 0x370 or 0x1E00 <= point < 0x1F00 or 0x2010 <= point < 0x2027
+    for point in chain(*CHANGING):
+        char = chr(point)
+        plain = _folded(char)
+        if len(plain) > 1:
+            several[char] = plain
+            continue
+        if not plain:
+            none.append(char)
+        elif plain != char:
+            one[char] = plain
+        if is_latin(point):
+            latin.append(point)
+    few, gone = {c: p for c, p in one.items() if is_latin(ord(c))}, [c for c in none if is_latin(ord(c))]
+    parted = _ranges(sorted(map(ord, several))) + _ranges([*HANGUL])
+    return Tables("".join(one) + "".join(none), "".join(one.values()), several, parted, _ranges(latin), "".join(few) + "".join(gone), "".join(few.values()))
 
 
-def fold_exact(text: Column) -> Column:
-    """The same for every script: compatibility decomposition, combining marks dropped, lower case."""
+def _parted(text: Column) -> Column:
+    """Text in which characters that become several have become them."""
+    several, parted = tables().several, f"[{tables().parted}]"
+    known = F.split(F.lit("\0".join(several.values())), "\\x00", -1)
+
+    def letter(table: str, at: Column) -> Column:
+        return F.substring(F.lit(table), at + 1, F.lit(1))
+
+    def syllable(char: Column) -> Column:
+        at = F.ascii(char) - HANGUL.start
+        return F.concat(letter(LEADS, F.floor(at / 588).cast("int")), letter(VOWELS, F.floor(at % 588 / 28).cast("int")), F.when(at % 28 > 0, letter(TAILS, at % 28 - 1)).otherwise(""))
+
+    def whole(token: Column) -> Column:
+        place = F.instr(F.lit("".join(several)), token)
+        return F.when((F.length(token) > 1) | ~F.rlike(token, F.lit(parted)), token).when(place > 0, F.get(known, place - 1)).otherwise(syllable(token))
+
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s)[^{tables().parted}]+|{parted}"), F.lit(0))
+    return F.when(F.rlike(text, F.lit(parted)), F.array_join(F.transform(tokens, whole), "")).otherwise(text)
+
+
+def fold(text: Column) -> Column:
+    """Compatibility decomposition without combining marks, in lower case, for every script. Texts of ASCII alone only need the latter, those of Latin letters one translation."""
+    t = tables()
 
-    @F.pandas_udf("string")
-    def folded(texts: pd.Series) -> pd.Series:
-        plain = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()
-        return texts.map(plain, na_action="ignore")
+    def folded(x: Column) -> Column:
+        latin = F.translate(F.lower(x), t.latin_marked, t.latin_plain)
+        return F.when(F.octet_length(x) == F.length(x), F.lower(x)).when(~F.rlike(x, F.lit(f"[^{t.latin}]")), latin).otherwise(F.lower(F.translate(_parted(x), t.marked, t.plain)))
 
-    return folded(text)
+    return bind(text, folded)
 
 
 def fold_words(text: Column) -> Column:
