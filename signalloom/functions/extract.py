@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,73 +80,3 @@ def enrichment(title: Column, body: Column, source: Column) -> dict[str, Column]
         "municipalities": F.array().cast("array<string>"), "recipients": recipients(title, body, source), "agencies": agencies(text),
         "estimated_value": headline_amount(text), "signal_stage": stage(text), "beat": beat(text),
     }
-
-
-class _Page(HTMLParser):
-    """Title, og:title, and the texts of paragraphs, inside articles and altogether. A paragraph ends where another one starts."""
-
-    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.og, self.title, self.all, self.inside = None, "", [], []
-        self.open: list[tuple[str, bool]] = []
-        self.now: list[str] | None = None
-        self.quiet = False
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag == "meta" and a.get("property") == "og:title" and self.og is None:
-            self.og = a.get("content") or ""
-        if tag in self.VOID:
-            return
-        if tag == "p":
-            self.end_paragraph()
-            self.now = []
-        self.quiet = tag in ("script", "style")
-        self.open.append((tag, tag == "article" or "article" in (a.get("class") or "")))
-
-    def end_paragraph(self):
-        if self.now is not None:
-            text = " ".join("".join(self.now).split())
-            self.all.append(text)
-            if any(article for _, article in self.open):
-                self.inside.append(text)
-            self.now = None
-
-    def handle_endtag(self, tag):
-        if tag in ("p", "article", "div", "section", "body", "html"):
-            self.end_paragraph()
-        self.quiet = False
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                break
-
-    def handle_data(self, data):
-        if self.quiet:
-            return
-        if self.open and self.open[-1][0] == "title":
-            self.title += data
-        elif self.now is not None:
-            self.now.append(data)
-
-
-def page_texts(html: Column, most: int = 30) -> Column:
-    """title and body of a page: og:title or else <title>; the first paragraphs of its articles, or else of the page, joined by spaces. Null stays null."""
-
-    @F.pandas_udf("title string, body string")
-    def parse(pages: pd.Series) -> pd.DataFrame:
-        rows = []
-        for html in pages:
-            if html is None:
-                rows.append((None, None))
-                continue
-            page = _Page()
-            page.feed(html)
-            page.close()
-            page.end_paragraph()
-            rows.append(((page.og if page.og is not None else page.title).strip(), " ".join((page.inside or page.all)[:most])))
-        return pd.DataFrame(rows, columns=["title", "body"])
-
-    return parse(html)

@@ -117,9 +117,12 @@ def slug(text: Column) -> Column:
     return F.replace(fold_words(text), F.lit(" "), F.lit("-"))
 
 
+SPACE = r"[\x09-\x0D\x1C-\x20\x85\p{Z}]"
+
+
 def strip(text: Column) -> Column:
-    """Without white space of any kind at the ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Without white space of any kind, no-break spaces and separators of other scripts included, at the ends."""
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 
 
 def xml_text(text: Column) -> Column:

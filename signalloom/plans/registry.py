@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.functions import extract, keys, numbers, text
+from signalloom.functions import extract, keys, numbers, pages, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
 from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search, views
@@ -249,9 +249,16 @@ def recipients_extract(spark, sf):
     return b.table(spark, sf, "customer").select("c_custkey", F.array_join(extract.recipients(title, body, source), ",").alias("recipients"), extract.stage(whole).alias("stage"), extract.beat(whole).alias("beat"), F.array_join(agencies(whole), ",").alias("agencies"))
 
 
-@query()
+# texts between tags are stripped and joined; what the table's pages leave unfinished at their end is cut off
+@query(r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)>', '<!>', 'g'), '<[^>]*$', '') AS html FROM pages),
+a AS (SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, CASE WHEN html LIKE '%<article>%' THEN regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1) ELSE html END AS html FROM c),
+p AS (SELECT page_id, title, list_transform(string_split(html, '<p>')[2:31], lambda x: string_split_regex(string_split_regex(x, '</(?:p|article|div|section|body|html)>')[1], '<[^>]*>')) AS parts FROM a),
+s AS (SELECT page_id, title, list_aggregate(list_transform(parts, lambda x: coalesce(list_aggregate(list_filter(list_transform(x, lambda y: trim(y, E' \t\n\r\x0b\x0c')), lambda y: y <> ''), 'string_agg', ' '), '')), 'string_agg', ' ') AS body FROM p),
+u AS (SELECT page_id, unnest([{'part': 'title', 'text': trim(title)}, {'part': 'body', 'text': coalesce(body, '')}], recursive := true) FROM s),
+e AS (SELECT page_id, part, regexp_replace(replace(replace(replace(replace(replace(text, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS text FROM u)
+SELECT page_id, max(text) FILTER (part = 'title') AS title, max(text) FILTER (part = 'body') AS body FROM e GROUP BY page_id""")
 def html_title_paragraphs(spark, sf):
-    return b.table(spark, sf, "pages").select("page_id", extract.page_texts(F.col("html")).alias("t")).select("page_id", "t.title", "t.body")
+    return b.table(spark, sf, "pages").select("page_id", pages.page_texts(F.col("html")).alias("t")).select("page_id", "t.title", "t.body")
 
 
 # -- ledger and streams --

@@ -3,7 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from signalloom.functions import extract, keys, lexicon, text
+from signalloom.functions import extract, keys, lexicon, pages, text
 from signalloom.functions import vocabulary as v
 
 
@@ -61,9 +61,9 @@ def test_recipients(spark, title, body, source, names):
 
 def test_pages(spark):
     html = '<html><head><meta property="og:title" content=" Best "><title>Other</title></head><body><p>out</p><div class="my-article"><p>One <b>bold</b><p>Two &amp; three</div><script>var p="<p>no</p>"</script></body></html>'
-    assert tuple(one(spark, extract.page_texts(F.col("h")), h=html)) == ("Best", "One bold Two & three")
-    assert tuple(one(spark, extract.page_texts(F.col("h")), h="<title> T </title><p>a</p><p>b</p>")) == ("T", "a b")
-    assert tuple(one(spark, extract.page_texts(F.col("h")), h="")) == ("", "")
+    assert tuple(one(spark, pages.page_texts(F.col("h")), h=html)) == ("Best", "One bold Two & three")
+    assert tuple(one(spark, pages.page_texts(F.col("h")), h="<title> T </title><p>a</p><p>b</p>")) == ("T", "a b")
+    assert tuple(one(spark, pages.page_texts(F.col("h")), h="")) == ("", "")
 
 
 def test_text(spark):
