@@ -115,3 +115,37 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FEED_ENTRIES = f"""{ITEMS}, paged AS (SELECT *, unnest(CASE WHEN CAST(item_id AS BIGINT) % 10 = 0 THEN [CAST(item_id AS BIGINT) // {FEED_PAGE}, CAST(item_id AS BIGINT) // {FEED_PAGE} + 1] ELSE [CAST(item_id AS BIGINT) // {FEED_PAGE}] END) AS page FROM items),
 marked AS (SELECT *, source_name LIKE '%7' AND page % 3 = 1 AS cut FROM paged)"""
+
+
+#: What a payload of an order must look like; the tables break each of its rules somewhere.
+ORDER_SCHEMA = {
+    "type": "object", "required": ["order", "placed", "customer", "lines"], "additionalProperties": False,
+    "properties": {
+        "order": {"type": "integer", "minimum": 0}, "placed": {"type": "string", "format": "date-time"}, "priority": {"enum": ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]},
+        "customer": {"type": "object", "required": ["id", "segment"], "properties": {"id": {"type": "integer"}, "segment": {"type": ["string", "null"], "pattern": "^[A-Z]{1,9}$"}}},
+        "lines": {"type": "array", "minItems": 2, "items": {"$ref": "#/$defs/line"}},
+    },
+    "$defs": {"line": {"type": "object", "required": ["shipped"], "properties": {"quantity": {"type": "number", "maximum": 45}, "flag": {"type": "string", "enum": ["A", "R"]}, "discount": {"type": "number", "minimum": 0.01}, "shipped": {"type": "string", "format": "date"}}}},
+}
+
+
+def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines and customers as JSON: o_orderkey, payload."""
+    o, c, li = (table(spark, sf_dir, t) for t in ("orders", "customer", "lineitem"))
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"), F.col("l_discount").alias("discount"), F.when(F.col("l_partkey") % 10 > 0, F.date_format("l_shipdate", "yyyy-MM-dd")).alias("shipped"))
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    rows = o.join(c, o.o_custkey == c.c_custkey, "left").join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    key = F.col("o_orderkey")
+    placed = F.when(key % 7 > 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    who = F.struct(F.col("o_custkey").alias("id"), F.when(key % 5 > 0, F.col("c_mktsegment")).alias("segment"))
+    payload = F.to_json(F.struct(key.alias("order"), placed.alias("placed"), F.col("o_orderpriority").alias("priority"), who.alias("customer"), F.col("lines"), F.when(key % 13 == 0, 1).alias("extra")))
+    return rows.select("o_orderkey", payload.alias("payload"))
+
+
+ORDER_FINDINGS = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_discount, l_shipdate) - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS lines FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+o AS (SELECT o_orderkey, o_orderpriority, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
+SELECT o_orderkey, '$.placed' AS path, 'format' AS rule FROM o WHERE o_orderkey % 7 = 0 UNION ALL SELECT o_orderkey, '$.priority', 'enum' FROM o WHERE o_orderpriority = '4-NOT SPECIFIED' UNION ALL SELECT o_orderkey, '$.extra', 'additionalProperties' FROM o WHERE o_orderkey % 13 = 0
+UNION ALL SELECT o_orderkey, '$.customer.segment', 'required' FROM o WHERE o_orderkey % 5 = 0 OR c_mktsegment IS NULL UNION ALL SELECT o_orderkey, '$.customer.segment', 'pattern' FROM o WHERE o_orderkey % 5 > 0 AND length(c_mktsegment) > 9
+UNION ALL SELECT o_orderkey, '$.lines', 'required' FROM o WHERE o_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT l_orderkey, '$.lines', 'minItems' FROM n WHERE lines = 1
+UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].quantity', 'maximum' FROM n WHERE l_quantity > 45 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].flag', 'enum' FROM n WHERE l_returnflag NOT IN ('A', 'R')
+UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].discount', 'minimum' FROM n WHERE l_discount < 0.01 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].shipped', 'required' FROM n WHERE l_partkey % 10 = 0"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from signalloom.functions import extract, keys, numbers, pages, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
-from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search, views
+from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, schemas, search, views
 from signalloom.plans import bindings as b
 from signalloom.session import scratch, ship
 from signalloom.sources import readers, sinks
@@ -603,6 +603,23 @@ def score_scales(spark, sf):
     return e.select("event_id", keys.per_hundred(F.col("value")).alias("confidence"), keys.clamp(F.col("value") / 100).alias("clamped"))
 
 
+@query(b.ORDER_FINDINGS)
+def order_payload_findings(spark, sf):
+    """What of nested payloads breaks a schema, with the path to it."""
+    return schemas.with_findings(b.order_payloads(spark, sf), "payload", b.ORDER_SCHEMA).select("o_orderkey", F.inline("findings"))
+
+
+@query("""WITH p AS (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN left(props, length(props) - 1) WHEN event_id % 9 = 1 THEN '[' || props || ']' ELSE props END AS props, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT rule, path, count(*) AS n FROM (SELECT unnest(CASE WHEN event_id % 9 = 0 THEN [{'path': '$', 'rule': 'json'}] WHEN event_id % 9 = 1 THEN [{'path': '$', 'rule': 'type'}]
+  WHEN k > 90 THEN [{'path': '$.k', 'rule': 'exclusiveMaximum'}, {'path': '$.j', 'rule': 'required'}] WHEN k = 90 THEN [{'path': '$.k', 'rule': 'exclusiveMaximum'}, {'path': '$.j', 'rule': 'required'}] ELSE [{'path': '$.j', 'rule': 'required'}] END, recursive := true) FROM p) GROUP BY ALL""")
+def event_props_findings(spark, sf):
+    """Findings on the events' JSON, some of which is cut off or wrapped in an array, by rule and path."""
+    cut = F.when(F.col("event_id") % 9 == 0, F.expr("left(props, length(props) - 1)")).when(F.col("event_id") % 9 == 1, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(F.col("props"))
+    rows = b.table(spark, sf, "events").select(cut.alias("props"))
+    schema = {"type": "object", "required": ["k", "j"], "properties": {"k": {"type": "integer", "minimum": 0, "exclusiveMaximum": 90}}}
+    return schemas.with_findings(rows, "props", schema).select(F.inline("findings")).groupBy("rule", "path").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT o_orderkey, printf('%.2f', CAST(o_totalprice AS DOUBLE) / 8) AS shown, CAST(printf('%.2f', CAST(o_totalprice AS DOUBLE) / 8) AS DOUBLE) AS eighth, CAST(printf('%.1f', CAST(o_totalprice AS DOUBLE) / 7) AS DOUBLE) AS seventh,
 CAST(printf('%.3f', CAST(o_totalprice AS DOUBLE) / -1000) AS DOUBLE) AS thousandth FROM orders""")
 def rounded_exact(spark, sf):
