@@ -13,7 +13,7 @@ from signalloom.functions.lexicon import agencies, is_critical, tags
 from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, schemas, search, views
 from signalloom.plans import bindings as b
 from signalloom.session import scratch, ship
-from signalloom.sources import readers, sinks
+from signalloom.sources import events, readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -630,6 +630,35 @@ def rounded_exact(spark, sf):
     )
 
 
+# -- outbound events --
+
+def sent_twice(spark, sf):
+    """Documents as events for two targets, of which long ones are refused; then all again with their texts cut, and once more."""
+    path, docs = scratch(spark), b.table(spark, sf, "documents")
+    event = lambda text: F.to_json(F.struct(F.lit("signal_ready").alias("event_type"), text.alias("text")))
+    rows = lambda text: docs.select(F.col("doc_id").cast("string").alias("item_id"), F.explode(F.array(F.lit("finance"), F.lit("hub"))).alias("target"), F.when(F.length(text) <= 4000, event(text)).otherwise(F.lit("cut off in {")).alias("event"))
+    events.emit(rows(F.col("text")), path)  # a dry run
+    for text in (F.col("text"), F.substring("text", 1, 4000), F.substring("text", 1, 4000)):
+        events.emit(rows(text), path, live=True)
+    return path
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS item_id, unnest(['finance', 'hub']) AS target, sha256(left(text, 4000)) AS text FROM documents")
+def events_emitted(spark, sf):
+    """Every event is listed once, though some were refused at first and all were sent again."""
+    back = events.delivered(spark, sent_twice(spark, sf))
+    return back.select("item_id", "target", F.sha2(F.get_json_object("event", "$.text"), 256).alias("text"))
+
+
+@query("SELECT 2 * count(*) AS emitted, 2 * count(*) FILTER (length(text) > 4000) AS failed, 4 AS writes, 2 * count(*) AS outcomes_ok FROM documents")
+def events_summary(spark, sf):
+    """What all writes together delivered and had refused: nothing is delivered twice."""
+    path = sent_twice(spark, sf)
+    total = events.summary(spark, path)
+    ok = events.outcomes(spark, path).where("error is null").count()
+    return total.select("emitted", "failed", F.lit(events.commits(spark, path).count()).alias("writes"), F.lit(ok).alias("outcomes_ok"))
+
+
 # -- feeds that have landed --
 
 
