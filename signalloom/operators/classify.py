@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,9 @@ from signalloom.functions import vocabulary as v
 from signalloom.functions.extract import enrichment
 from signalloom.functions.lexicon import is_critical, tags
 
+#: From titles and bodies to an answer each: a dict, or JSON text, with labels and perhaps confidence and reasoning.
+Scorer = Callable[[list[str], list[str]], list]
+
 
 def item_text() -> Column:
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("body_text", F.lit("")))
@@ -32,6 +39,68 @@ def classify(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS, predic
         rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
     else:
         rows = rows.join(predictions.select("item_id", "model_labels", "model_confidence", "model_reasoning"), "item_id", "left")
+    return _decided(rows, lexicon)
+
+
+def classify_with_scorer(items: DataFrame, make: Callable[[], Scorer], lexicon: dict[str, list[str]] = v.DOMAINS, most: int | None = 800) -> DataFrame:
+    """The same with a scorer that may fail, and scorer_error: why it had no answer for an item, null where it had one or wasn't asked.
+
+    make() gives the scorer, once for each task: from titles and bodies (their first `most` characters; None: whole) to an answer each, a dict or JSON text with labels, and perhaps confidence
+    and reasoning. Only items with fewer than two keyword labels are asked for. If it raises for several items it is asked for each half of them, so an item that it can't
+    take, or that it answers with something else, falls back to its keyword label alone and leaves the others as they are; so do all items of a task in which it can't be made.
+    """
+    rows = with_keyword_labels(items, lexicon)
+    ask = F.size("keyword_labels") < 2
+    body = F.coalesce("body_text", F.lit(""))
+    asked = F.struct(ask.alias("ask"), F.when(ask, F.coalesce("title", F.lit(""))).alias("title"), F.when(ask, body if most is None else F.substring(body, 1, most)).alias("body"))
+
+    @F.pandas_udf("model_labels array<string>, model_confidence double, model_reasoning string, scorer_error string")
+    def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, broken = None, None
+        try:
+            scorer = make()
+        except Exception as e:  # noqa: BLE001  whatever the scorer raises
+            broken = f"{type(e).__name__}: {e}"
+        for batch in batches:
+            todo = [*zip(batch["title"][batch["ask"]], batch["body"][batch["ask"]])]
+            found = iter([(None, None, None, broken)] * len(todo) if scorer is None else answered(scorer, todo))
+            yield pd.DataFrame([next(found) if ask else (None, None, None, None) for ask in batch["ask"]], columns=["model_labels", "model_confidence", "model_reasoning", "scorer_error"])
+
+    rows = rows.withColumn("_answer", answers(asked))
+    rows = rows.select(*items.columns, "keyword_labels", "_answer.*")
+    decided = _decided(rows, lexicon)
+    failed = F.col("scorer_error").isNotNull()
+    return decided.withColumn("classifier_reasoning", F.when(failed, F.concat("classifier_reasoning", F.lit(" (no answer: "), "scorer_error", F.lit(")"))).otherwise(F.col("classifier_reasoning")))
+
+
+def answered(scorer: Scorer, todo: list[tuple[str, str]]) -> list[tuple]:
+    """(labels, confidence, reasoning, error) for each title and body. Where the scorer raises, halves are asked for, down to single items."""
+    if not todo:
+        return []
+    try:
+        found = list(scorer([t for t, _ in todo], [b for _, b in todo]))
+        if len(found) != len(todo):
+            raise ValueError(f"{len(found)} answers for {len(todo)} items")
+    except Exception as e:  # noqa: BLE001  whatever the scorer raises
+        if len(todo) == 1:
+            return [(None, None, None, f"{type(e).__name__}: {e}")]
+        half = len(todo) // 2
+        return answered(scorer, todo[:half]) + answered(scorer, todo[half:])
+    return [*map(understood, found)]
+
+
+def understood(answer: dict | str) -> tuple:
+    """An answer's labels, confidence, reasoning, and why it can't be understood, if so."""
+    try:
+        said = json.loads(answer) if isinstance(answer, str) else answer
+        labels, confidence = said.get("labels") or [], said.get("confidence")
+        return [x for x in labels if isinstance(x, str)], None if confidence is None else float(confidence), str(said.get("reasoning", "")), None
+    except (ValueError, TypeError, AttributeError) as e:
+        return None, None, None, f"{type(e).__name__}: {e}"
+
+
+def _decided(rows: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
+    """rows with keyword labels and a model's answer (null where there is none) with labels, confidence and classifier_reasoning instead."""
     known = F.array(*map(F.lit, [*lexicon, v.UNCLASSIFIED]))
     model = F.array_intersect("model_labels", known)
     model = F.when(F.size(model) > 0, model).otherwise(F.array(F.lit(v.UNCLASSIFIED)))

@@ -149,3 +149,15 @@ UNION ALL SELECT o_orderkey, '$.customer.segment', 'required' FROM o WHERE o_ord
 UNION ALL SELECT o_orderkey, '$.lines', 'required' FROM o WHERE o_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT l_orderkey, '$.lines', 'minItems' FROM n WHERE lines = 1
 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].quantity', 'maximum' FROM n WHERE l_quantity > 45 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].flag', 'enum' FROM n WHERE l_returnflag NOT IN ('A', 'R')
 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].discount', 'minimum' FROM n WHERE l_discount < 0.01 UNION ALL SELECT l_orderkey, '$.lines[' || pos || '].shipped', 'required' FROM n WHERE l_partkey % 10 = 0"""
+
+
+def length_scorer():
+    """A scorer that goes by the length of a body, and can't take some: their number of characters ends in 7."""
+
+    def answers(titles: list[str], bodies: list[str]) -> list:
+        if any(len(x) % 10 == 7 for x in bodies):
+            raise ValueError("a length that ends in 7")
+        kinds = (["FINANCIAL", "NO_SUCH_LABEL"], ["NO_SUCH_LABEL"], ["POLITICAL", "SAFETY_COMPLIANCE"])
+        return ["no JSON" if len(x) % 10 == 3 else {"labels": kinds[len(x) % 3], "confidence": None if len(x) % 10 == 0 else len(x) % 100 / 100} for x in bodies]
+
+    return answers

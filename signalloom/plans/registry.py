@@ -75,6 +75,18 @@ def classify_with_predictions(spark, sf):
     return classify.classify(b.items(spark, sf), b.DOMAINS, predictions).select("item_id", joined("labels"), "confidence")
 
 
+@query(
+    f"""{b.BASE}, s AS (SELECT *, length(body_text) AS n, len(kw) < 2 AND length(body_text) % 10 NOT IN (3, 7) AS scored,
+  CASE length(body_text) % 3 WHEN 0 THEN ['FINANCIAL'] WHEN 1 THEN ['UNCLASSIFIED'] ELSE ['POLITICAL', 'SAFETY_COMPLIANCE'] END AS model FROM classified)
+SELECT item_id, array_to_string(CASE WHEN scored THEN list_concat(model, list_filter(kw, lambda x: NOT list_contains(model, x))) ELSE labels END, ',') AS labels,
+CASE WHEN scored THEN CASE WHEN n % 10 = 0 THEN 0.5 ELSE CAST(n % 100 AS DOUBLE) / 100 END ELSE confidence END AS confidence, len(kw) < 2 AND n % 10 IN (3, 7) AS failed FROM s"""
+)
+def classify_with_scorer(spark, sf):
+    """Whole texts scored; the scorer raises for batches with an item that it can't take, and answers some with what isn't JSON."""
+    rows = classify.classify_with_scorer(b.items(spark, sf), b.length_scorer, b.DOMAINS, most=None)
+    return rows.select("item_id", joined("labels"), "confidence", F.col("scorer_error").isNotNull().alias("failed"))
+
+
 @query(f"{b.BASE}, t AS (SELECT unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS target FROM classified WHERE confidence >= 0.55) SELECT target, count(*) AS n FROM t GROUP BY target")
 def route_fanout_counts(spark, sf):
     routed = routing.fan_out(classify.classify(b.items(spark, sf), b.DOMAINS))
