@@ -26,6 +26,8 @@ MOD = 1 << 32
 RANGE = 64
 #: Ranges of ids that are looked through together for the next one in use.
 SPAN = 4096
+#: Spans, and ranges of them, that one window looks through, and how many such levels there are.
+FAN, LEVELS = 1 << 16, 2
 #: Documents beyond which a range is split (many of one id, or without one), and split ranges that are few enough to go to every task.
 HOT, FEW = 1024, 100_000
 #: Stands for the range of null ids, below all others.
@@ -94,6 +96,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return got.withColumn("fingerprint", hex_lanes(F.col("checks")))
 
 
+def next_tops(tops: DataFrame, at: str, levels: int) -> DataFrame:
+    """at, next_top: the top of the next lower `at` (a long) of tops (at, top) that there is; that of the highest for the lowest.
+
+    They are laid out by ranges of FAN, these by ranges of FAN again, and so on for so many levels, so no window has more rows than FAN, however far apart they are; what is left after the last level is
+    as few as there are ranges of FAN ** levels: some 2^14 of all ids that fit in 64 bits.
+    """
+    if not levels:
+        down = Window.orderBy(F.desc(at))
+        everything = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        last = F.row_number().over(down) == F.count(F.lit(1)).over(everything)
+        return tops.select(at, F.when(last, F.first("top").over(everything)).otherwise(F.lead("top").over(down)).alias("next_top"))
+    up = f"{at}_{levels}"
+    rows = tops.withColumn(up, F.floor(F.col(at) / F.lit(FAN)).cast("long"))
+    above = next_tops(rows.groupBy(up).agg(F.max_by("top", at).alias("top")), up, levels - 1)
+    rows = rows.withColumn("below", F.lead("top").over(Window.partitionBy(up).orderBy(F.desc(at))))
+    return rows.join(above, up).select(at, F.coalesce("below", "next_top").alias("next_top"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with part, sub, rn (which tell rows apart), next_text (that of the row that follows by descending doc_id, and of rows of one id by a hash of the text; the first row's follows the last) and is_last (of its part and sub).
 
@@ -120,13 +140,10 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     used = rows.join(F.broadcast(hot) if n_hot <= FEW else hot, "part", "left_semi").select(*group).distinct() if n_hot else None
     calm = sizes.where(F.col("n") <= HOT).select("part", F.lit(0).cast("long").alias("sub"))
-    used = (calm if used is None else calm.unionByName(used)).withColumn("span", F.floor(F.col("part") / F.lit(SPAN)).cast("long"))
+    used = keep((calm if used is None else calm.unionByName(used)).withColumn("span", F.floor(F.col("part") / F.lit(SPAN)).cast("long")), "fingerprint-used")
     key = F.struct("part", "sub")
     spans = used.groupBy("span").agg(F.max(F.struct("part", (-F.col("sub")).alias("above"))).alias("top")).select("span", F.struct("top.part", (-F.col("top.above")).alias("sub")).alias("top"))
-    by_span = Window.orderBy(F.desc("span"))
-    everything = by_span.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_last = F.row_number().over(by_span) == F.count(F.lit(1)).over(everything)
-    tops = spans.select("span", F.when(is_last, F.first("top").over(everything)).otherwise(F.lead("top").over(by_span)).alias("next_top"))
+    tops = next_tops(spans, "span", LEVELS)
     in_span = Window.partitionBy("span").orderBy(F.desc("part"), "sub")
     links = used.withColumn("below", F.lead(key).over(in_span)).join(tops, "span")
     links = links.select(*group, F.coalesce("below", "next_top").alias("next")).select(*group, F.col("next.part").alias("next_part"), F.col("next.sub").alias("next_sub"))

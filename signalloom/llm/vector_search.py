@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalloom.llm.common import keep
+
 #: Queries and candidates that meet in one task at most, and dimensions that are added at a time.
 QUERY_BLOCK, TILE, DIMS = 4096, 32768, 16
 
@@ -24,13 +26,18 @@ def tail_norms(rows: np.ndarray) -> np.ndarray:
     return np.sqrt(np.concatenate([squares[:, ::DIMS], np.zeros((len(rows), 1))], axis=1))
 
 
-def best_in_tile(q_ids, queries, ids, rows, k):
-    """For each query (id, vector) its k best of a tile: yields ids and scores, ties to smaller ids. Rows with the query's id are its own."""
+def best_in_tile(q_ids, q_of, queries, ids, of, rows, times, k):
+    """For each query (id, hash of its vector, vector) its k best of a tile of different rows, which occur so many times: yields ids, scores and times, ties to smaller ids. Of rows like the query in id and vector one is its own."""
     order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
+    ids, of, rows, times = ids[order], of[order], rows[order], times[order]
     across, tails, q_tails = np.ascontiguousarray(rows.T), tail_norms(rows), tail_norms(queries)
-    for qid, q, q_tail in zip(q_ids, queries, q_tails):
-        left = np.flatnonzero(ids != qid)
+    for qid, hashed, q, q_tail in zip(q_ids, q_of, queries, q_tails):
+        here = slice(*np.searchsorted(ids, [qid, qid + 1]))
+        count = times
+        if (own := (of[here] == hashed) & (rows[here] == q).all(axis=1)).any():
+            count = times.copy()
+            count[here] -= own
+        left = np.flatnonzero(count > 0)
         score = np.zeros(len(left), np.int64)
         for b, d in enumerate(range(0, len(q), DIMS)):
             score += q[d : d + DIMS] @ across[d : d + DIMS, left]
@@ -40,7 +47,7 @@ def best_in_tile(q_ids, queries, ids, rows, k):
                 stay = score + room >= least
                 left, score = left[stay], score[stay]
         top = np.lexsort((ids[left], -score))[:k]
-        yield ids[left[top]], score[top]
+        yield ids[left[top]], score[top], np.minimum(count[left[top]], k)
 
 
 def square(vectors) -> np.ndarray:
@@ -54,33 +61,37 @@ def top_k(vectors: DataFrame, every: int, k: int = 5, scale: int = 256, id_col:
 
     Components become floor(scale * x), x as double. Result: query_id, rank (from 1), vec_id, score; ties go to the
     smaller id, and a query with fewer than k others gets them all. Rows with a null id, a null vector, or a null or
-    non-finite component take no part. Of a repeated id every row counts: each as a candidate, each, if it is asked for, with a list of its own; rows of one id are no
-    candidates of each other. Vectors may differ in length: missing components count as 0. An empty table gives an empty result; other columns are ignored.
+    non-finite component take no part. Of a repeated id every row counts: each as a candidate of all others, each, if it is asked for, with a list of its own.
+    Rows alike in id and vector are held once, with their number. Vectors may differ in length: missing components count as 0. An empty table gives an empty result; other columns are ignored.
     """
     whole = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
     fine = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(fine).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
-    # of queries that are alike in id and vector one is looked up, for all of them
-    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times"))
+    # of rows that are alike in id and vector one is held, and looked up, for all of them
+    rows = keep(rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times")).withColumn("of", F.xxhash64("v", F.size("v"))), "vectors")
+    asked = rows.where(F.col("vec_id") % every == 0)
     number = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.lit(n))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    size = vectors.count()
+    size = rows.count()
     tiles = max(1, -(-size // TILE), min(vectors.sparkSession.sparkContext.defaultParallelism, size // 1024))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
     across = rows.withColumn("tile", number(tiles)).withColumn("block", each(blocks))
-    asked = asked.withColumns({"of": F.xxhash64("v"), "block": number(blocks)}).withColumn("tile", each(tiles))
+    asked = asked.withColumn("block", number(blocks)).withColumn("tile", each(tiles))
 
     def search(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out: list = [(np.zeros(0, np.int64),) * 5]
+        out: list = [(np.zeros(0, np.int64),) * 6]
         if len(queries) and len(found):
             both = square([*queries.v, *found.v])
             ids = queries.vec_id.to_numpy()
-            for qid, of, times, (near, scores) in zip(ids, queries["of"], queries.times, best_in_tile(ids, both[: len(ids)], found.vec_id.to_numpy(), both[len(ids) :], k)):
-                out.append((np.full(len(near), qid), np.full(len(near), of), np.full(len(near), times), near, scores))
-        return pd.DataFrame(dict(zip(("query_id", "of", "times", "vec_id", "score"), map(np.concatenate, zip(*out)))))
+            best = best_in_tile(ids, queries["of"].to_numpy(), both[: len(ids)], found.vec_id.to_numpy(), found["of"].to_numpy(), both[len(ids) :], found.times.to_numpy(), k)
+            for qid, of, times, (near, scores, counts) in zip(ids, queries["of"], queries.times, best):
+                out.append((np.full(len(near), qid), np.full(len(near), of), np.full(len(near), times), near, scores, counts))
+        return pd.DataFrame(dict(zip(("query_id", "of", "times", "vec_id", "score", "count"), map(np.concatenate, zip(*out)))))
 
-    schema = "query_id long, of long, times long, vec_id long, score long"
+    schema = "query_id long, of long, times long, vec_id long, score long, count long"
     parts = asked.groupBy("block", "tile").cogroup(across.groupBy("block", "tile")).applyInPandas(search, schema)
+    each_time = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))
+    parts = parts.withColumn("which", each_time("count"))
     best = Window.partitionBy("query_id", "of").orderBy(F.desc("score"), "vec_id")
     found = parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("again")).drop("again")
+    return found.select("query_id", "rank", "vec_id", "score", each_time("times").alias("again")).drop("again")

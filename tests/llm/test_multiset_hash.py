@@ -105,3 +105,21 @@ def test_likeness_follows_shared_sentences(spark):
     got = run(spark, list(enumerate(texts)))
     assert all(0.25 < r.near_edited < 0.75 for r in got)
     assert all(r.near_next < 0.3 for r in got)
+
+
+def test_next_tops_of_ids_far_apart(spark, monkeypatch):
+    """Against sorting, with levels that are used; windows without a partition see a few ranges alone."""
+    rng = np.random.default_rng(8)
+    ids = sorted({int(x) for x in rng.integers(-(1 << 45), 1 << 45, 3000)} | {-(1 << 50), 0, 1, 2, 70_000, 1 << 40})
+    for fan in (1 << 16, 1 << 12):
+        monkeypatch.setattr(multiset_hash, "FAN", fan)
+        df = spark.createDataFrame([(i, f"t{i}") for i in ids], "at long, top string")
+        got = {r["at"]: r.next_top for r in multiset_hash.next_tops(df, "at", 2).collect()}
+        assert got == {i: f"t{ids[k - 1]}" for k, i in enumerate(ids)}
+    assert len({i >> 32 for i in ids}) > 1000 and max(abs(i >> 32) for i in ids if i > -(1 << 50)) <= 1 << 13
+    assert [r.next_top for r in multiset_hash.next_tops(spark.createDataFrame([(5, "a")], "at long, top string"), "at", 2).collect()] == ["a"]
+
+
+def test_hashed_ids(spark):
+    rng = np.random.default_rng(9)
+    run(spark, [(int(i), f"Text {k}. More {k}.\n") for k, i in enumerate(rng.integers(-(1 << 62), 1 << 62, 400))])

@@ -15,9 +15,9 @@ def brute(rows, every, k):
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             ok.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
-    for q, v in ok:
+    for row, (q, v) in enumerate(ok):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q)[:k]
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for other, (i, w) in enumerate(ok) if other != row)[:k]
             out += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
     return sorted(out)
 
@@ -48,6 +48,20 @@ def test_repeated_ids_agree_with_the_sql(spark, tmp_path):
     assert sorted(tuple(r) for r in top_k(df, 50, 5).collect()) == want == brute(rows, 50, 5)
 
 
+def test_a_row_repeated_often_is_held_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(30)] + [(40, [1.0, 0.0]), (40, [1.0]), (40, [1.0]), (10, [2.0])]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA)
+    hot = spark.createDataFrame([(77, [3.0] * 8, 1, 2), (50, [3.0] * 8, 1, 2)], SCHEMA).crossJoin(spark.range(40_000)).drop("id")
+    got = [tuple(r) for r in top_k(df.unionByName(hot), 10, 5).where("query_id <> 50").collect()]
+    assert sorted(got) == [r for r in brute(rows + [(77, [3.0] * 8)] * 7 + [(50, [3.0] * 8)] * 7, 10, 5) if r[0] != 50]
+    own = top_k(df.unionByName(hot), 50, 5).where("query_id = 50").groupBy("rank", "vec_id", "score").count().orderBy("rank").collect()
+    assert [(r.rank, r.vec_id, r["count"]) for r in own] == [(i, 50, 40_000) for i in range(1, 6)]
+    tile = np.array([[1, 2], [3, 4], [3, 4]])
+    found = list(vector_search.best_in_tile(np.array([7]), np.array([2]), tile[1:2], np.array([9, 7, 7]), np.array([1, 2, 3]), tile, np.array([4, 1, 40_000]), 5))
+    assert [x.tolist() for x in found[0]] == [[7, 9], [25, 11], [5, 4]]
+
+
 def test_few_rows(spark):
     assert run(spark, []) == []
     assert run(spark, [(50, [1.0])]) == []
