@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalloom.functions.text import slug, strip
+from signalloom.operators.search import by_locale, placed
 
 
 def mentions(signals: DataFrame, matters: DataFrame) -> DataFrame:
@@ -38,3 +39,8 @@ def profiles(mentioned: DataFrame) -> DataFrame:
 def signals_of(signals: DataFrame, mentioned: DataFrame, name_slug: str) -> DataFrame:
     """The signals that mention a name."""
     return signals.join(mentioned.where(F.col("slug") == name_slug).select("signal_id"), "signal_id", "left_semi")
+
+
+def by_mentions(profiled: DataFrame) -> DataFrame:
+    """profiles with place, from 0: most mentions first, then by name as people sort names."""
+    return placed(profiled, F.desc("mention_count"), by_locale(F.col("name")), F.col("name"), F.col("slug"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalloom.session import scratch
+
 
 def criteria(df: DataFrame, wanted: dict) -> DataFrame:
     """Rows that meet all criteria: a value is equalled (null by null alone), a list has the value in it."""
@@ -45,3 +47,19 @@ def latest_items(items: DataFrame, domain: str | None = None, status: str | None
     if status:
         rows = rows.where(F.col("dispatch_status") == status)
     return page(rows, "-captured_at", "item_id", limit)
+
+
+def by_locale(text: Column) -> Column:
+    """Text as people sort it: letters before their accents, these before case. For sorting only; equal keys may be different texts, so another column should follow."""
+    return F.collate(text, "UNICODE")
+
+
+def placed(rows: DataFrame, *order: Column) -> DataFrame:
+    """rows with place: their numbers from 0 in an order, which must be total. Rows are sorted by ranges and written once to the shared folder; only ranges are counted, so no task sees all rows."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession)
+    rows.orderBy(*order).select("*", F.monotonically_increasing_id().alias("_id")).write.parquet(path)
+    written = spark.read.parquet(path).withColumn("_range", F.shiftright("_id", 33))
+    sizes = written.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    starts = sizes.select("_range", before.alias("_before"))
+    return written.join(starts, "_range").select(*rows.columns, (F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("place"))

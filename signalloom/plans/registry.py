@@ -508,6 +508,30 @@ def payloads_written(spark, sf):
     return back.select(F.get_json_object("payload", "$.item_id").alias("item_id"), "target")
 
 
+@query(f"WITH {b.SIGNALS} SELECT line, signal_id, title, captured_at, coalesce(municipality, '') AS municipalities, round(o_totalprice % 100, 0) AS confidence_score FROM sig JOIN orders ON o_orderkey = line")
+def ledger_read_back(spark, sf):
+    """Signals written as a ledger, to which lines are added that are no JSON, and read back by a tolerant scan. Their titles end in their line."""
+    path = scratch(spark)
+    signals = b.signals(spark, sf)
+    sinks.write_ledger(signals.withColumn("title", F.concat_ws("|", "title", "line")).drop("line"), path)
+    b.table(spark, sf, "nation").select(F.concat(F.lit('{"signal_id": "cut off '), "n_name").alias("value")).write.mode("append").text(path)
+    back = readers.ledger(spark, path, strict=False)
+    line = F.element_at(F.split("title", r"\|"), -1).cast("long")
+    return back.select(line.alias("line"), "signal_id", F.split("title", r"\|")[0].alias("title"), "captured_at", F.array_join("municipalities", ",").alias("municipalities"), "confidence_score")
+
+
+@query("SELECT 'S-' || s_suppkey AS source_id, CASE WHEN s_suppkey % 3 = 0 THEN 'again, ' || s_name ELSE s_name END AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'es' ELSE 'en' END AS language, s_acctbal AS reliability_default FROM supplier")
+def registry_csv_read_back(spark, sf):
+    """A registry written as CSV in which a third of the sources stand twice; of these the later row counts."""
+    s, path = b.table(spark, sf, "supplier"), scratch(spark)
+    row = lambda turn, name, language: F.struct(F.lit(turn).alias("turn"), name.alias("name"), F.lit(language).alias("language"))
+    turns = F.when(F.col("s_suppkey") % 3 == 0, F.array(row(0, F.col("s_name"), "en"), row(1, F.concat(F.lit("again, "), "s_name"), "es"))).otherwise(F.array(row(0, F.col("s_name"), "en")))
+    rows = s.select(F.concat(F.lit("S-"), "s_suppkey").alias("source_id"), F.col("s_acctbal").alias("reliability_default"), F.inline(turns)).orderBy("turn", "source_id")
+    empty = [F.lit(None).cast("string").alias(c) for c in ("scrape_method", "active", "notes")]
+    rows.select("source_id", "name", "language", F.lit("family").alias("source_family"), "reliability_default", *empty).write.option("header", True).csv(path)
+    return readers.source_registry(spark, path).select("source_id", "name", "language", "reliability_default")
+
+
 @query(f"{b.BASE}, {STATES} SELECT item_id, coalesce(status, 'new') AS status FROM classified LEFT JOIN st ON item_id = sid")
 def dispatches_upserted(spark, sf):
     """Records of all items, and then those of the labelled ones in their place."""
@@ -569,6 +593,19 @@ def entity_rollup(spark, sf):
     return rows.select("slug", "name", "type", "mention_count", "n_signals").orderBy(F.desc("mention_count"), "name")
 
 
+@query(f"WITH r AS (WITH {b.SIGNALS}, m AS (SELECT agency AS name, 'agency' AS type, signal_id, 0 AS part, line, 0 AS place FROM sig UNION ALL SELECT municipality, 'entity', signal_id, 0, line, 1 FROM sig WHERE municipality IS NOT NULL UNION ALL SELECT s_name, 'person', NULL, 1, s_suppkey, 1 FROM supplier UNION ALL SELECT 'Líow', 'person', NULL, 1, s_suppkey, 1.5 FROM supplier), k AS (SELECT *, replace({b.sql_norm('name')}, ' ', '-') AS slug FROM m) SELECT slug, arg_min(name, (part, line, place)) AS name, CASE WHEN bool_or(type = 'agency') THEN 'agency' ELSE arg_min(type, (part, line, place)) END AS type, count(*) AS mention_count, count(DISTINCT signal_id) AS n_signals FROM k WHERE slug <> '' GROUP BY slug) SELECT row_number() OVER (ORDER BY mention_count DESC, icu_sort_key(name, 'und'), name, slug) - 1 AS place, slug, name, mention_count FROM r")
+def entities_by_mentions(spark, sf):
+    """The order itself: each profile's place."""
+    return entities.by_mentions(entities.profiles(entity_mentions(spark, sf))).select("place", "slug", "name", "mention_count")
+
+
+@query("SELECT row_number() OVER (ORDER BY icu_sort_key(left(text, 40), 'und'), left(text, 40), doc_id) - 1 AS place, doc_id FROM documents")
+def titles_in_locale_order(spark, sf):
+    """Documents by their first characters, with accents and case where people look for them."""
+    rows = b.table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 40).alias("title"))
+    return search.placed(rows, search.by_locale(F.col("title")), F.col("title"), F.col("doc_id")).select("place", "doc_id")
+
+
 @query(f"WITH {b.SIGNALS} SELECT line, signal_id FROM sig WHERE signal_id IN (SELECT signal_id FROM sig WHERE {b.sql_norm('agency')} = 'low')")
 def entity_semi(spark, sf):
     return entities.signals_of(b.signals(spark, sf), entity_mentions(spark, sf), "low").select("line", "signal_id")
