@@ -26,4 +26,4 @@ def test_names_in_the_order_of_people(spark):
     names = ["Zorra", "zorra", "ñandú", "Nube", "nube", "Ábaco", "abaco", "Abaco", "ábaco", "oso", "Éxito", "exito", "_x", "10", "9"]
     rows = spark.createDataFrame([(n, f"s{i}", 1 if n != "oso" else 5) for i, n in enumerate(names)], "name string, slug string, mention_count long")
     got = [r.name for r in sorted(entities.by_mentions(rows).collect(), key=lambda r: r.place)]
-    assert got == ["oso", "_x", "10", "9", "abaco", "Abaco", "ábaco", "Ábaco", "exito", "Éxito", "nube", "Nube", "ñandú", "zorra", "Zorra"]
+    assert got == ["oso", "_x", "10", "9", "abaco", "Abaco", "ábaco", "Ábaco", "exito", "Éxito", "ñandú", "nube", "Nube", "zorra", "Zorra"]
