@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from signalloom.functions import extract, keys, numbers, pages, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
-from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, schemas, search, views
+from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, overlay, quality, routing, schemas, search, views
 from signalloom.plans import bindings as b
 from signalloom.session import scratch, ship
 from signalloom.sources import events, readers, sinks
@@ -679,6 +679,21 @@ def rounded_exact(spark, sf):
     )
 
 
+@query("""WITH n AS (SELECT user_id % 120 AS cell, count(*) AS n FROM events WHERE user_id % 120 % 10 <> 9 GROUP BY 1),
+w AS (SELECT c_custkey % 97 AS cell, n_name AS label, sum(1 + c_custkey % 7) AS weight FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+a AS (SELECT n.cell, n.n, label, weight, sum(weight) OVER (PARTITION BY n.cell) AS total FROM n LEFT JOIN w ON n.cell = w.cell),
+p AS (SELECT *, n * weight // total AS part, n * weight % total AS rest FROM a),
+d AS (SELECT cell, label, CASE WHEN weight IS NULL THEN n ELSE part + CASE WHEN row_number() OVER (PARTITION BY cell ORDER BY rest DESC, label) <= n - sum(part) OVER (PARTITION BY cell) THEN 1 ELSE 0 END END AS n FROM p)
+SELECT label, CAST(sum(n) AS BIGINT) AS n, count(DISTINCT cell) AS n_cells FROM d WHERE n > 0 GROUP BY label""")
+def overlay_rollup(spark, sf):
+    """Events in cells of a grid, of which some are left out, rolled up to the nations whose customers lie there; each event counts once."""
+    seen = b.table(spark, sf, "events").select((F.col("user_id") % 120).alias("cell_id"))
+    cells = seen.distinct().withColumn("kind", F.when(F.col("cell_id") % 10 == 9, "water").otherwise("land"))
+    c, n = b.table(spark, sf, "customer"), b.table(spark, sf, "nation")
+    lies = c.join(n, c.c_nationkey == n.n_nationkey).select((F.col("c_custkey") % 97).alias("cell_id"), F.col("n_name").alias("label"), (1 + F.col("c_custkey") % 7).alias("weight"))
+    return overlay.rollup(seen, lies, cells, F.col("kind") == "land")
+
+
 # -- outbound events --
 
 def sent_twice(spark, sf):
