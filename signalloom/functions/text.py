@@ -76,35 +76,25 @@ def tables() -> Tables:
     return Tables("".join(one) + "".join(none), "".join(one.values()), several, parted, _ranges(latin), "".join(few) + "".join(gone), "".join(few.values()))
 
 
-def _parted(text: Column) -> Column:
-    """Text in which characters that become several have become them."""
-    several, parted = tables().several, f"[{tables().parted}]"
-    known = F.split(F.lit("\0".join(several.values())), "\\x00", -1)
-
-    def letter(table: str, at: Column) -> Column:
-        return F.substring(F.lit(table), at + 1, F.lit(1))
-
-    def syllable(char: Column) -> Column:
-        at = F.ascii(char) - HANGUL.start
-        return F.concat(letter(LEADS, F.floor(at / 588).cast("int")), letter(VOWELS, F.floor(at % 588 / 28).cast("int")), F.when(at % 28 > 0, letter(TAILS, at % 28 - 1)).otherwise(""))
-
-    def whole(token: Column) -> Column:
-        place = F.instr(F.lit("".join(several)), token)
-        return F.when((F.length(token) > 1) | ~F.rlike(token, F.lit(parted)), token).when(place > 0, F.get(known, place - 1)).otherwise(syllable(token))
-
-    tokens = F.regexp_extract_all(text, F.lit(f"(?s)[^{tables().parted}]+|{parted}"), F.lit(0))
-    return F.when(F.rlike(text, F.lit(parted)), F.array_join(F.transform(tokens, whole), "")).otherwise(text)
+@cache
+def _fold_of_t() -> str:
+    """Folding as a lambda of SQL. It is a long expression that many columns use: as text, it is handed to Spark in one call."""
+    t, text = tables(), lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    parted, several, at = text(f"[{t.parted}]"), text("".join(t.several)), f"(ascii(k) - {HANGUL.start})"
+    known = f"split({text(chr(0).join(t.several.values()))}, {text(chr(92) + 'x00')}, -1)"
+    tail = f"CASE WHEN {at} % 28 > 0 THEN substring({text(TAILS)}, {at} % 28, 1) ELSE '' END"
+    syllable = f"concat(substring({text(LEADS)}, cast({at} div 588 AS int) + 1, 1), substring({text(VOWELS)}, cast({at} % 588 div 28 AS int) + 1, 1), {tail})"
+    # tokens are runs of characters that stay one, and single others: known ones, or syllables
+    token = f"CASE WHEN length(k) > 1 OR NOT rlike(k, {parted}) THEN k WHEN instr({several}, k) > 0 THEN get({known}, instr({several}, k) - 1) ELSE {syllable} END"
+    tokens = text(f"(?s)[^{t.parted}]+|[{t.parted}]")
+    whole = f"CASE WHEN rlike(t, {parted}) THEN array_join(transform(regexp_extract_all(t, {tokens}, 0), k -> {token}), '') ELSE t END"
+    latin = f"translate(lower(t), {text(t.latin_marked)}, {text(t.latin_plain)})"
+    return f"t -> CASE WHEN octet_length(t) = length(t) THEN lower(t) WHEN NOT rlike(t, {text(f'[^{t.latin}]')}) THEN {latin} ELSE lower(translate({whole}, {text(t.marked)}, {text(t.plain)})) END"
 
 
 def fold(text: Column) -> Column:
     """Compatibility decomposition without combining marks, in lower case, for every script. Texts of ASCII alone only need the latter, those of Latin letters one translation."""
-    t = tables()
-
-    def folded(x: Column) -> Column:
-        latin = F.translate(F.lower(x), t.latin_marked, t.latin_plain)
-        return F.when(F.octet_length(x) == F.length(x), F.lower(x)).when(~F.rlike(x, F.lit(f"[^{t.latin}]")), latin).otherwise(F.lower(F.translate(_parted(x), t.marked, t.plain)))
-
-    return bind(text, folded)
+    return F.element_at(F.call_function("transform", F.array(text), F.expr(_fold_of_t())), 1)
 
 
 def fold_words(text: Column) -> Column:
