@@ -6,8 +6,8 @@ What it takes is dealt to output shards by a splitting tree: a node holds how ma
 get together, and its children draw theirs by a multivariate hypergeometric draw, so that every count stays exact. Within a
 source, permuted blocks go to shards by these quotas; within a shard, documents are shuffled.
 
-Draws come from hashes, so reruns agree. What grows with the number of sources (the list of weights) is held in one
-row; what grows with documents is not.
+Draws come from hashes, so reruns agree. Sources are rows like documents: nothing that grows with their number is held
+in one row or sorted in one task.
 """
 
 from __future__ import annotations
@@ -15,12 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import WORD, keep
+from signalloom.llm.common import WORD, discard, keep
+from signalloom.operators.search import placed
 
 #: Documents that a leaf, which is filled one document at a time, holds on average.
 LEAF = 64
 #: Words that a shard is to hold, and the fewest shards.
 SHARD_WORDS, LEAST_SHARDS = 1 << 24, 16
+#: Sources that are summed up in order in one task, and blocks of a node that are ranked in one.
+RUN, PART = 1 << 12, 1 << 12
+#: Nodes (a row each) that are broadcast; of more, the rows of a node are joined with it.
+FEW_NODES = 1 << 16
 
 
 def uniform(*of) -> Column:
@@ -39,19 +44,23 @@ def targets(sizes: DataFrame, weights: list[float], most: float) -> DataFrame:
 
     A source's share of all sizes is by weight, but at most `most` times its size; what that leaves goes to the others by
     weight. That is one level, at which every source that isn't full stands: the highest of those that result if the
-    sources full first are taken to be full.
+    sources full first are taken to be full. Sources are put in order by ranges, and summed up by runs of RUN of them, so no task sees all.
     """
     per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"), F.count(F.lit(1)).alias("n"))
-    per = per.withColumn("rank", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))))
+    per = placed(per, F.asc_nulls_last("source")).withColumn("rank", (F.col("place") + 1).cast("int")).drop("place")
     per = per.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1))
     per = per.withColumn("cap", F.lit(float(most)) * F.col("source_size"))
-    by_full = Window.orderBy(F.col("cap") / F.col("weight"), "rank")
-    whole = Window.partitionBy()
-    before = F.coalesce(F.sum("cap").over(by_full.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rest = F.sum("weight").over(by_full.rowsBetween(0, Window.unboundedFollowing))
-    per = per.withColumn("level", (F.sum("source_size").over(whole) - before) / rest)
-    per = per.withColumn("target", F.least(F.col("cap"), F.max("level").over(whole) * F.col("weight")))
-    return per.select("source", "rank", "source_size", "n", "target")
+    per = placed(per, F.col("cap") / F.col("weight"), F.col("rank")).withColumn("run", F.floor(F.col("place") / F.lit(RUN)))
+    total = per.agg(F.sum("source_size").alias("n")).first().n or 0
+    before, behind = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    runs, within = Window.orderBy("run"), Window.partitionBy("run").orderBy("place")
+    summed = lambda c, over: F.coalesce(F.sum(c).over(over), F.lit(0.0))
+    sums = per.groupBy("run").agg(F.sum("cap").alias("caps"), F.sum("weight").alias("weights"))
+    sums = sums.select("run", summed("caps", runs.rowsBetween(*before)).alias("caps"), summed("weights", runs.rowsBetween(*behind)).alias("weights"))
+    full = F.col("caps") + summed("cap", within.rowsBetween(*before))
+    rest = F.col("weights") + F.col("weight") + summed("weight", within.rowsBetween(*behind))
+    level = per.join(sums, "run").select(((F.lit(total) - full) / rest).alias("level")).agg(F.max("level").alias("level")).first().level
+    return per.select("source", "rank", "source_size", "n", F.least(F.col("cap"), F.lit(level or 0.0) * F.col("weight")).alias("target"))
 
 
 def fill(blocks: DataFrame, by: list[str], block: str, seed: int) -> DataFrame:
@@ -68,35 +77,39 @@ def fill(blocks: DataFrame, by: list[str], block: str, seed: int) -> DataFrame:
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """Deal each source's blocks (rank, quota) to shards: shard, rank, quota.
+    """Deal each source's blocks (rank, quota) to shards: a written table of rank, quota, where that isn't 0, and first (the shard).
 
-    From the root, each node's shards are halved and the left half's blocks drawn from the node's: source after source,
-    block after block, each with the chance of what is still to be drawn in what is left.
+    From the root, each node's shards are halved and the left half's blocks drawn from the node's. All levels hold rows
+    (first and number of a node's shards, rank, quota); each is written, so that the next reads it.
     """
-    node = quotas.groupBy().agg(F.array_sort(F.collect_list(F.struct("rank", "quota"))).alias("has"), F.lit(0).alias("first"), F.lit(shards).alias("k"))
-    for _ in range(max(1, shards - 1).bit_length()):
-        total = F.aggregate("has", F.lit(0).cast("long"), lambda s, x: s + x["quota"])
-        half = F.floor(F.col("k") / F.lit(2)).cast("int")
-        start = F.struct(total.alias("rest"), F.floor(total * half / F.col("k")).cast("long").alias("draw"), F.array().cast("array<struct<rank:int,quota:bigint>>").alias("out"))
+    node = keep(quotas.where("quota > 0").select("rank", "quota", F.lit(0).alias("first"), F.lit(shards).alias("k")), "mix-nodes")
+    for level in range((shards - 1).bit_length()):
+        node, above = keep(halved(node, 1 << level, seed), "mix-nodes"), node
+        discard(above)
+    return node
 
-        def one_source(acc, x):
-            none = F.struct(acc["rest"].alias("rest"), acc["draw"].alias("draw"), F.lit(0).cast("long").alias("got"))
 
-            def one_block(a, i):
-                hit = (uniform(F.col("first"), F.col("k"), x["rank"], i, F.lit(seed)) * a["rest"] < a["draw"]).cast("long")
-                return F.struct((a["rest"] - 1).alias("rest"), (a["draw"] - hit).alias("draw"), (a["got"] + hit).alias("got"))
+def halved(node: DataFrame, nodes: int, seed: int) -> DataFrame:
+    """The two children of each node (rank, quota, first, k); nodes of one shard stay. At most `nodes` nodes.
 
-            turns = F.when(x["quota"] > 0, F.sequence(F.lit(1).cast("long"), F.greatest(x["quota"], F.lit(1).cast("long")))).otherwise(F.array().cast("array<bigint>"))
-            drawn = F.aggregate(turns, none, one_block)
-            return F.struct(drawn["rest"].alias("rest"), drawn["draw"].alias("draw"), F.concat(acc["out"], F.array(F.struct(x["rank"].alias("rank"), drawn["got"].alias("quota")))).alias("out"))
-
-        node = node.withColumn("half", half).withColumn("left", F.when(F.col("half") > 0, F.aggregate("has", start, one_source)["out"]))
-        right = F.zip_with("has", "left", lambda x, y: F.struct(x["rank"].alias("rank"), (x["quota"] - y["quota"]).alias("quota")))
-        child = lambda has, first, k: F.struct(has.alias("has"), first.alias("first"), k.alias("k"))
-        split = F.array(child(F.col("left"), F.col("first"), F.col("half")), child(right, F.col("first") + F.col("half"), F.col("k") - F.col("half")))
-        whole = F.array(child(F.col("has"), F.col("first"), F.col("k")))
-        node = node.select(F.inline(F.when(F.col("half") > 0, split).otherwise(whole)))
-    return node.select(F.col("first").alias("shard"), F.inline("has"))
+    A multivariate hypergeometric draw: every block of a node has a number by hash, and the left half gets those with the
+    least. Numbers fall into parts of some PART blocks; only parts are summed up in order, and blocks within one.
+    """
+    half = F.floor(F.col("k") / F.lit(2)).cast("int")
+    totals = node.where("k > 1").groupBy("first", "k").agg(F.sum("quota").alias("all"))
+    draw = F.floor(F.col("all") * half / F.col("k")).cast("long")
+    totals = totals.select("first", half.alias("half"), draw.alias("draw"), F.ceil(F.col("all") / F.lit(PART)).alias("parts"))
+    blocks = node.where("k > 1").join(F.broadcast(totals) if nodes <= FEW_NODES else totals, "first")
+    blocks = blocks.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota")))).withColumn("number", uniform("first", "k", "rank", "i", F.lit(seed)))
+    blocks = blocks.withColumn("part", F.floor(F.col("number") * F.col("parts")))
+    upto = Window.partitionBy("first").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = blocks.groupBy("first", "part").agg(F.count(F.lit(1)).alias("n")).select("first", "part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("first", "part").orderBy("number", "rank", "i"))
+    drawn = blocks.join(parts, ["first", "part"]).withColumn("left", F.col("before") + place <= F.col("draw"))
+    quotas = drawn.groupBy("first", "k", "half", "rank").agg(F.count_if("left").alias("left"), F.count(F.lit(1)).alias("all"))
+    child = lambda first, k, quota: F.struct(first.alias("first"), k.alias("k"), quota.alias("quota"))
+    both = F.array(child(F.col("first"), F.col("half"), F.col("left")), child(F.col("first") + F.col("half"), F.col("k") - F.col("half"), F.col("all") - F.col("left")))
+    return quotas.select("rank", F.inline(both)).where("quota > 0").select("rank", "quota", "first", "k").unionByName(node.where("k = 1"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int | None = None, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -110,7 +123,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     table gives an empty result; other columns are ignored.
     """
     sizes = keep(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    per = keep(targets(sizes, list(weights), most), "mix-targets")
+    aims = per = keep(targets(sizes, list(weights), most), "mix-targets")
     has = F.col("source_size") > 0
     passes = F.when(has, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(int(most)))).otherwise(0).cast("int")
     per = per.withColumn("passes", passes).withColumn("need", F.when(has & (F.col("passes") < most), F.col("target") - F.col("passes") * F.col("source_size")).otherwise(0.0))
@@ -147,17 +160,20 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     if shards is None:
         words = per.agg(F.sum("source_size").alias("n")).first().n or 0
         shards = max(LEAST_SHARDS, min(-(-words // SHARD_WORDS), drawn.count()))
-    quotas = keep(split_quotas(drawn.groupBy("rank").agg(F.count(F.lit(1)).alias("quota")), shards, seed + 5), "mix-quotas")
-    ends = quotas.withColumn("end", F.sum("quota").over(Window.partitionBy("rank").orderBy("shard"))).groupBy("rank").agg(F.array_sort(F.collect_list("end")).alias("ends"))
-    place = F.row_number().over(Window.partitionBy("rank").orderBy(F.xxhash64("rank", "block", "turn", F.lit(seed + 6)), "block", "turn"))
-    dealt = drawn.withColumn("place", place).join(ends, "rank").select("rank", "block", "turn", F.size(F.filter("ends", lambda e: e < F.col("place"))).alias("shard"))
+    quotas = split_quotas(drawn.groupBy("rank").agg(F.count(F.lit(1)).alias("quota")), shards, seed + 5)
+    end = F.sum("quota").over(Window.partitionBy("rank").orderBy("first"))
+    spots = quotas.withColumn("end", end).select("rank", F.col("first").alias("shard"), F.explode(F.sequence(F.col("end") - F.col("quota") + 1, F.col("end"))).alias("place"))
+    place = F.row_number().over(Window.partitionBy("rank").orderBy(F.xxhash64("rank", "block", "turn", F.lit(seed + 6)), "block", "turn")).cast("long")
+    dealt = drawn.withColumn("place", place).join(spots, ["rank", "place"]).select("rank", "block", "turn", "shard")
     dealt = dealt.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "shard")))["shard"].alias("block_shards"))
     copies = F.col("passes") + F.col("extra")
     rows = rows.join(dealt, ["rank", "block"], "left").withColumn("copies", copies).withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     taken = F.when(F.col("copies") > 0, F.slice("block_shards", 1, F.greatest("copies", F.lit(1)))).otherwise(F.array().cast("array<int>"))
     orders = F.transform("shards", lambda shard, copy: F.xxhash64("doc_id", "source", copy, F.lit(seed + 7)))
     rows = rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), taken.alias("shards"))
-    return rows.withColumn("orders", orders)
+    mixed = keep(rows.withColumn("orders", orders), "mix")
+    discard(sizes, aims, blocks, quotas)
+    return mixed
 
 
 def deal(mixed: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
+from signalloom.llm import mixing
 from signalloom.llm.mixing import deal, mix, mixed_documents, split_quotas, targets
 
 SCHEMA = "doc_id long, text string, source string, n_chars long, size long, words long"
@@ -144,8 +145,8 @@ def test_quotas_stay_exact_and_shards_even(spark):
     for r in got:
         assert r.quota >= 0
         of[r["rank"]] += r.quota
-        shard[r.shard] += r.quota
-    assert dict(of) == dict(quotas) and sorted(shard) == list(range(6))
+        shard[r.first] += r.quota
+    assert dict(of) == {r: q for r, q in quotas if q} and sorted(shard) == list(range(6))
     assert max(shard.values()) - min(shard.values()) <= 2
 
 
@@ -160,3 +161,38 @@ def test_full_sources_hand_on_what_they_leave(spark):
     got = {r.source: r.target for r in targets(spark.createDataFrame(sizes, "doc_id long, source string, size long, times long"), [5, 2, 1], 3).collect()}
     want = brute_targets({s: n for _, s, n, _ in sizes})
     assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
+def test_draws_do_not_depend_on_how_blocks_fall_into_parts(spark, monkeypatch):
+    quotas = spark.createDataFrame([(r, 1 + r * r % 40) for r in range(1, 200)], "rank int, quota long")
+    rows = lambda: sorted(map(tuple, split_quotas(quotas, 7, 3).collect()))
+    want = rows()
+    monkeypatch.setattr(mixing, "PART", 5)
+    monkeypatch.setattr(mixing, "FEW_NODES", 0)
+    assert rows() == want
+
+
+def test_draws_are_hypergeometric(spark):
+    """Of 60 and 20 blocks 40 are drawn: 30 of the first on average, with a variance of 40 * 3/4 * 1/4 * 40/79."""
+    nodes = [(r, q, 2 * i, 2) for i in range(1000) for r, q in ((1, 60), (2, 20))]
+    rows = mixing.halved(spark.createDataFrame(nodes, "rank int, quota long, first int, k int"), 1000, 3).collect()
+    got = [r.quota for r in rows if r["rank"] == 1 and r.first % 2 == 0]
+    mean = sum(got) / len(got)
+    assert len(got) == 1000 and abs(mean - 30) < 0.25 and 3.1 < sum((x - mean) ** 2 for x in got) / len(got) < 4.5
+
+
+def test_targets_by_runs_of_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 3)
+    rng = random.Random(8)
+    size = {f"s{i}": rng.choice([1, 5, 70, 2000]) for i in range(50)}
+    rows = [(i, s, n, 1) for i, (s, n) in enumerate(size.items())]
+    got = {r.source: r.target for r in targets(spark.createDataFrame(rows, "doc_id long, source string, size long, times long"), [5, 2, 1], 3).collect()}
+    want = brute_targets(size)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
+
+
+def test_a_hundred_thousand_sources(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id % 7 as int))").alias("text"), F.expr("concat('s', id % 100000)").alias("source"))
+    per = mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"), F.max(F.size("shards")).alias("copies"))
+    n, words, taken, over = per.agg(F.count(F.lit(1)), F.sum("size"), F.sum("taken"), F.count_if((F.col("taken") > F.col("target") + 1e-6) | (F.col("copies") > 3))).first()
+    assert n == 100_000 and over == 0 and 0.7 * words < taken <= words
