@@ -3,7 +3,8 @@
 A word, its start marked, is a lattice whose arcs are pieces of a given vocabulary; the model gives it the probability of all paths
 together, by forward recursion in log space, and a text the product of its words' and its end's. Each arc weighs by its
 piece's unigram score, whatever the word: the vocabulary's own scores are the prior, and training text adds how often it has
-each piece (its distinct words, cut by the vocabulary's tokenizer, weighed by how often they occur). A word's
+each piece (its distinct words, weighed by how often they occur, over all their segmentations: ROUNDS rounds of
+expectation, from the prior alone on). A word's
 probability depends on the word alone, so it is worked out once for each distinct word of the corpus, not for each place where it stands.
 
 Documents stay where they are read. They are laid out in chunks: rows with the chunk's distinct words and each
@@ -16,7 +17,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +31,10 @@ from signalloom.llm.common import discard, id_crc_mod, keep, one_model
 CHUNK = 8 << 20
 #: What the prior adds to the pieces' counts, as a mean over pieces.
 PRIOR = 0.5
+#: Times that counts of pieces are worked out anew, over all segmentations.
+ROUNDS = 4
+#: Letters of words whose lattices are held at once (some 200 bytes a letter; a longer word is held whole), and the unit of expected counts, whole numbers of which add up alike in any order.
+LETTERS, UNIT = 1 << 17, 1 << 16
 #: Words of which one task works out the probability.
 WORDS = 50_000
 MARK = "▁"
@@ -56,7 +60,7 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """The tokenizer; ids of pieces that stand for text, by piece; ids of the 256 byte pieces; the prior of each id, 1 in sum.
+    """Ids of pieces that stand for text, by piece; ids of the 256 byte pieces; the prior of each id, 1 in sum.
 
     A file's scores are logarithms of probabilities, or, if it was made by merging, the merges' ranks with a minus; then a piece of rank r
     has a prior in proportion to 1 / (r + 1). Bytes, and pieces without a rank of their own, have that of the last rank.
@@ -65,7 +69,7 @@ class Vocabulary:
     def __init__(self, path: str):
         import sentencepiece
 
-        self.tokenizer = sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.whole = {sp.id_to_piece(i): i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
         self.of_byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -77,6 +81,25 @@ class Vocabulary:
         text[ids] = text[self.of_byte] = True
         prior[self.of_byte] = prior[ids].min() if ids else 1.0
         self.prior = np.where(text, prior, 0.0) / prior[text].sum()
+        # a tree of the pieces' beginnings, and its steps as one sorted list of (node, code)
+        nodes, steps, piece_at = {"": 0}, {}, [-1]
+        for piece, i in self.whole.items():
+            for k, letter in enumerate(piece):
+                if piece[: k + 1] not in nodes:
+                    steps[nodes[piece[:k]] << 21 | ord(letter)] = nodes[piece[: k + 1]] = len(nodes)
+                    piece_at.append(-1)
+            piece_at[nodes[piece]] = i
+        self.piece_at, self.steps = np.array(piece_at), np.array(sorted(steps), np.int64)
+        self.into = np.array([steps[s] for s in self.steps.tolist()], np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes that codes lead to from nodes; -1 if there is none."""
+        key = node << 21 | code
+        at = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+        return np.where(self.steps[at] == key, self.into[at], -1)
+
+    def bytes_of(self, code: int) -> list[int]:
+        return [self.of_byte[b] for b in chr(code).encode("utf-8", "surrogatepass")]
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -84,38 +107,96 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Lattice:
-    """log_weights: natural logarithms by piece id."""
+    """log_weights: natural logarithms by piece id. Lattices of many words are worked out together, one place of all of them at a time."""
 
     def __init__(self, known: Vocabulary, log_weights: np.ndarray):
-        self.arcs = ahocorasick.Automaton()
-        for piece, i in known.whole.items():
-            self.arcs.add_word(piece, (len(piece), float(log_weights[i])))
-        self.arcs.make_automaton()
-        self.of_byte = [float(log_weights[i]) for i in known.of_byte]
-
-    def log_probability(self, word: str) -> float:
-        """Of all ways to make the word, its start marked, from pieces. A character that is no piece is made of its bytes."""
-        text = MARK + word
-        upto, at, ways, alone = [0.0], 0, [], False
-        for end, (size, weight) in self.arcs.iter(text):
-            while end > at:
-                upto.append(self._sum(text[at], ways, alone, upto[at]))
-                at, ways, alone = at + 1, [], False
-            ways.append(upto[end + 1 - size] + weight)
-            alone = alone or size == 1
-        for at in range(at, len(text)):
-            upto.append(self._sum(text[at], ways, alone, upto[at]))
-            ways, alone = [], False
-        return upto[-1]
-
-    def _sum(self, character: str, ways: list[float], alone: bool, before: float) -> float:
-        """The logarithm of the sum over ways to end behind a character; alone: whether it is a piece."""
-        if not alone:
-            ways.append(before + sum([self.of_byte[b] for b in character.encode("utf-8", "surrogatepass")]))
-        if len(ways) == 1:
-            return ways[0]
-        top = max(ways)
-        return top + math.log(sum([math.exp(x - top) for x in ways]))
+        self.known, self.log_weights = known, log_weights
+
+    def log_probabilities(self, words: list[str]) -> np.ndarray:
+        """Of all ways to make each word, its start marked, from pieces. A character that is no piece is made of its bytes."""
+        return np.concatenate([np.zeros(0), *(lattice.forward()[lattice.last] for _, lattice in self._parts(words))])
+
+    def expected(self, words: list[str], times: np.ndarray) -> np.ndarray:
+        """How often words that occur so many times have each piece, by id: over all ways to make them, by their probability, in units of 1 / UNIT."""
+        got = np.zeros(len(self.log_weights), np.int64)
+        for at, lattice in self._parts(words):
+            upto, behind = lattice.forward(), lattice.backward()
+            share = np.exp(upto[lattice.start] + lattice.weight + behind[lattice.end] - upto[lattice.last][lattice.word])
+            n = np.rint(share * times[at : at + len(lattice.last)][lattice.word] * UNIT).astype(np.int64)
+            whole = lattice.piece >= 0
+            np.add.at(got, lattice.piece[whole], n[whole])
+            for code, of in zip(lattice.piece[~whole], n[~whole], strict=True):
+                np.add.at(got, self.known.bytes_of(~int(code)), of)
+        return got
+
+    def _parts(self, words: list[str]) -> Iterator[tuple[int, Lattices]]:
+        """Words in runs of some LETTERS letters: the first's number, and their lattices."""
+        at = size = 0
+        for i, w in enumerate(words):
+            if size and size + len(w) > LETTERS:
+                yield at, Lattices(self.known, self.log_weights, words[at:i])
+                at, size = i, 0
+            size += len(w) + 1
+        if size:
+            yield at, Lattices(self.known, self.log_weights, words[at:])
+
+
+class Lattices:
+    """Arcs of some words: word, the places that they start and end at, piece (of a character made of its bytes, its code's complement) and weight. A word has a place before each letter and one at its end."""
+
+    def __init__(self, known: Vocabulary, log_weights: np.ndarray, words: list[str]):
+        text = "".join([MARK + w for w in words])
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        of = np.repeat(np.arange(len(words)), sizes)
+        upto = np.cumsum(sizes)[of]
+        first, node, found, alone = np.arange(len(codes)), np.zeros(len(codes), np.int64), [], np.zeros(len(codes), bool)
+        depth = 0
+        while len(first):
+            node = known.step(node, codes[first + depth])
+            on = node >= 0
+            first, node, depth = first[on], node[on], depth + 1
+            piece = known.piece_at[node]
+            ends = piece >= 0
+            found.append((first[ends], first[ends] + depth, piece[ends]))
+            if depth == 1:
+                alone[first[ends]] = True
+            on = first + depth < upto[first]
+            first, node = first[on], node[on]
+        bare = np.flatnonzero(~alone)
+        start, end, self.piece = (np.concatenate(x) for x in zip(*found, (bare, bare + 1, ~codes[bare]), strict=True))
+        self.word = of[start]
+        self.start, self.end, self.last = start + self.word, end + self.word, np.cumsum(sizes + 1) - 1
+        self.weight = np.empty(len(start))
+        whole = self.piece >= 0
+        self.weight[whole] = log_weights[self.piece[whole]]
+        some, which = np.unique(self.piece[~whole], return_inverse=True)
+        self.weight[~whole] = np.array([log_weights[known.bytes_of(~int(code))].sum() for code in some])[which]
+        self.n, self.offsets = len(codes) + len(words), (np.cumsum(sizes + 1) - sizes - 1)[self.word]
+
+    def forward(self) -> np.ndarray:
+        """By place: the logarithm of the sum over ways from the word's start to it."""
+        return self._summed(self.start, self.end, 1)
+
+    def backward(self) -> np.ndarray:
+        """By place: the logarithm of the sum over ways from it to the word's end."""
+        return self._summed(self.end, self.start, -1)
+
+    def _summed(self, source: np.ndarray, to: np.ndarray, way: int) -> np.ndarray:
+        level = (to - self.offsets) * way
+        order = np.lexsort((to, level))
+        source, to, level, weight = source[order], to[order], level[order], self.weight[order]
+        new = np.flatnonzero(np.diff(to, prepend=-1))
+        places = to[new]
+        levels = np.append(np.flatnonzero(np.diff(level[new], prepend=level[0] - 1)), len(new))
+        bounds = np.append(new, len(to))
+        out = np.zeros(self.n)
+        for a, b in zip(levels[:-1], levels[1:], strict=True):
+            lo, hi = bounds[a], bounds[b]
+            ways, cuts = out[source[lo:hi]] + weight[lo:hi], bounds[a:b] - lo
+            top = np.maximum.reduceat(ways, cuts)
+            out[places[a:b]] = top + np.log(np.add.reduceat(np.exp(ways - np.repeat(top, np.diff(bounds[a : b + 1]))), cuts))
+        return out
 
 
 def laid_out(rows: DataFrame) -> DataFrame:
@@ -149,25 +230,21 @@ def laid_out(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(lay, schema)
 
 
-def piece_counts(words: DataFrame, path: str) -> dict[int, int]:
-    """How often pieces occur in training text, its words (word, c) cut by the vocabulary's tokenizer. What comes to the driver is bounded by the vocabulary."""
+def expected_counts(words: DataFrame, path: str, weights) -> dict[int, float]:
+    """How often pieces occur in training text (word, c) on average, all segmentations of each word counted by their probability under the weights (a broadcast array). What comes to the driver is bounded by the vocabulary, a row a piece."""
 
-    def cut(batches):
-        sp = vocabulary(path).tokenizer
-        got = np.zeros(sp.get_piece_size(), np.int64)
+    def expect(batches):
+        lattice = Lattice(vocabulary(path), weights.value)
+        got = np.zeros(len(weights.value), np.int64)
         for batch in batches:
-            c = batch.column("c").to_numpy()
-            each = sp.encode([w.decode(errors="replace") for w in batch.column("word").to_pylist()], num_threads=1)
-            sizes = np.fromiter(map(len, each), np.int64, len(each))
-            ids = np.fromiter((i for ids in each for i in ids), np.int64, int(sizes.sum()))
-            np.add.at(got, ids, np.repeat(c, sizes))
+            got += lattice.expected([w.decode(errors="replace") for w in batch.column("word").to_pylist()], batch.column("c").to_numpy())
         some = np.flatnonzero(got)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(got[some])], names=["piece", "n"])
 
-    return {r.piece: r.n for r in words.where("c > 0").mapInArrow(cut, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+    return {r.piece: r.n / UNIT for r in words.where("c > 0").mapInArrow(expect, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
 
 
-def unigram(known: Vocabulary, counts: dict[int, int], ends: int) -> tuple[np.ndarray, float]:
+def unigram(known: Vocabulary, counts: dict[int, float], ends: int) -> tuple[np.ndarray, float]:
     """Log weights by piece id, and that of a text's end, which is a piece as well: counts and prior, over the sum of all."""
     weights = known.prior * PRIOR * np.count_nonzero(known.prior)
     for piece, times in counts.items():
@@ -195,16 +272,20 @@ def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col:
     n, v = of.n + ends, of.v + (ends > 0)
 
     known = Vocabulary(path)
-    weights, end = unigram(known, piece_counts(words, path), ends)
-    learnt, end_score = spark.sparkContext.broadcast(weights), end / math.log(10)  # as long as the vocabulary
+    weights, end = unigram(known, {}, ends)
+    parts = max(1, -(-of["all"] // WORDS))
+    for _ in range(ROUNDS if of.v else 0):
+        learnt = spark.sparkContext.broadcast(weights)  # as long as the vocabulary
+        weights, end = unigram(known, expected_counts(words.repartition(parts), path, learnt), ends)
+    learnt, end_score = spark.sparkContext.broadcast(weights), end / math.log(10)
 
     @F.pandas_udf("double")
     def log10_probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lattice = Lattice(vocabulary(path), learnt.value)
         for batch in batches:
-            yield pd.Series([lattice.log_probability(w.decode(errors="replace")) / math.log(10) for w in batch], dtype="float64")
+            yield pd.Series(lattice.log_probabilities([w.decode(errors="replace") for w in batch]) / math.log(10))
 
-    scored = keep(words.repartition(max(1, -(-of["all"] // WORDS))).select("word", "c", log10_probability("word").alias("p")), "lm-scored")
+    scored = keep(words.repartition(parts).select("word", "c", log10_probability("word").alias("p")), "lm-scored")
     discard(words)
     local = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word")).join(scored, "word").select("of", "number", "c", "p")
 
@@ -229,4 +310,7 @@ def score(docs: DataFrame, path: str, folds: int = 10, add: float = 0.1, id_col:
         return pa.concat_tables(out)
 
     laid = chunks.select("chunk", "doc_ids", "held_out", "sizes", "numbers")
-    return laid.groupBy("chunk").cogroup(local.groupBy("of")).applyInArrow(score_chunk, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scores = laid.groupBy("chunk").cogroup(local.groupBy("of")).applyInArrow(score_chunk, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    done = keep(scores, "lm")
+    discard(chunks, scored)
+    return done

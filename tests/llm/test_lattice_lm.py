@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from signalloom.llm import lattice_lm
-from signalloom.llm.lattice_lm import PRIOR, Lattice, Vocabulary, score, words_of
+from signalloom.llm.lattice_lm import PRIOR, ROUNDS, UNIT, Lattice, Vocabulary, score, words_of
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 KNOWN = Vocabulary(PATH)
@@ -26,13 +26,49 @@ def total(logs, s):
     return p
 
 
+def cuts(s):
+    """All segmentations, as lists of ids."""
+    if not s:
+        yield []
+    for k in range(1, len(s) + 1):
+        if s[:k] in KNOWN.whole:
+            yield from ([KNOWN.whole[s[:k]], *rest] for rest in cuts(s[k:]))
+    if s and s[0] not in KNOWN.whole:
+        yield from ([*(KNOWN.of_byte[b] for b in s[0].encode()), *rest] for rest in cuts(s[1:]))
+
+
+def expected(logs, counts):
+    """Each piece's mean number in words, all segmentations by their probability."""
+    got = np.zeros(len(logs))
+    for w, times in counts.items():
+        every = list(cuts("▁" + w))
+        p = [math.exp(sum(logs[i] for i in ids)) for ids in every]
+        for ids, x in zip(every, p, strict=True):
+            for i in ids:
+                got[i] += times * x / sum(p)
+    return got
+
+
+def test_expected_counts_are_means_over_all_segmentations(monkeypatch):
+    rng = np.random.default_rng(6)
+    logs = np.log(rng.random(32_000) * 1e-3)
+    words = {"the": 5, "nation": 3, "étionre": 2, "x": 1, "🙂a": 4, "a🙂あ": 1, "▁a▁": 7, "nations": 100_000}
+    want = expected(logs, words)
+    for letters in (1 << 17, 1, 9):
+        monkeypatch.setattr(lattice_lm, "LETTERS", letters)
+        got = Lattice(KNOWN, logs).expected(list(words), np.array(list(words.values()))) / UNIT
+        assert np.abs(got - want).max() < 1e-3 and (got > 0).sum() > 30
+        assert Lattice(KNOWN, logs).log_probabilities(["the", "", "nation"]) == pytest.approx([math.log(total(logs, "▁" + w)) for w in ("the", "", "nation")])
+    assert Lattice(KNOWN, logs).log_probabilities([]).tolist() == []
+
+
 def test_forward_recursion_is_the_sum_over_all_segmentations():
     rng = np.random.default_rng(4)
     logs = np.log(rng.random(32_000) * 1e-3)
     lattice = Lattice(KNOWN, logs)
     for w in ("the", "nation", "étionre", "x", "", "🙂a", "あ\u0000b", "a🙂あ", "▁a▁"):
-        assert math.isclose(lattice.log_probability(w), math.log(total(logs, "▁" + w)), rel_tol=1e-9), w
-    assert math.isfinite(lattice.log_probability("ab" * 20_000))
+        assert math.isclose(lattice.log_probabilities([w])[0], math.log(total(logs, "▁" + w)), rel_tol=1e-9), w
+    assert math.isfinite(lattice.log_probabilities(["x", "ab" * 20_000, "the"])[1])
 
 
 def words(text):
@@ -63,16 +99,16 @@ def run(spark, rows):
         want.append((i, held(i), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), 6)))
     key = lambda r: (r[0] is not None, r)
     assert sorted(((*tuple(r)[:5], round(r.base_score, 6)) for r in got), key=key) == sorted(want, key=key)
-    # scores: the prior and the pieces of training words, then the sum over segmentations of each word
-    weights = KNOWN.prior * PRIOR * np.count_nonzero(KNOWN.prior)
-    for w, times in c.items():
-        for i in KNOWN.tokenizer.encode(w.decode()) if w is not None else ():
-            weights[i] += times
-    whole = weights.sum() + c[None] + PRIOR
-    logs, end = np.log(np.where(weights > 0, weights, 1) / whole), math.log10((c[None] + PRIOR) / whole)
+    # scores: from the prior on, the mean numbers of pieces in training words; then the sum over segmentations of each word
+    prior, learnt = KNOWN.prior * PRIOR * np.count_nonzero(KNOWN.prior), np.zeros(len(KNOWN.prior))
+    for last in range(ROUNDS + 1):
+        weights = prior + learnt
+        logs = np.log(np.where(weights > 0, weights, 1) / (weights.sum() + c[None] + PRIOR))
+        learnt = expected(logs, {w.decode(): n for w, n in c.items() if w is not None}) if last < ROUNDS else learnt
+    end = math.log10((c[None] + PRIOR) / (weights.sum() + c[None] + PRIOR))
     of = {w: math.log10(total(logs, "▁" + w.decode())) for _, t in rows for w in words(t or "") if len(w) < 100}
     scores = sorted(sum(of[w] for w in words(t or "")) + end for _, t in rows if all(w in of for w in words(t or "")))
-    assert sorted(r.score for r in got if r.score > -5000) == pytest.approx(scores, rel=1e-9)
+    assert sorted(r.score for r in got if r.score > -5000) == pytest.approx(scores, rel=1e-6)  # expected counts are whole units
     return got
 
 
@@ -80,7 +116,7 @@ def test_scores(spark, monkeypatch):
     monkeypatch.setattr(lattice_lm, "WORDS", 100)
     rng = random.Random(1)
     rows = [(i * 7, " ".join(rng.choices(["The", "of", "straße", "nation", "rare%d" % i], [5, 4, 2, 2, 1], k=rng.randint(0, 50)))) for i in range(900)]
-    rows += [(1, None), (2, ""), (3, "x" * 20_000), (7, rows[1][1]), (7, rows[1][1])]
+    rows += [(1, None), (2, ""), (next(i for i in range(1, 100) if held(i) and i % 7), "x" * 20_000), (7, rows[1][1]), (7, rows[1][1])]
     got = run(spark, rows)
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
