@@ -177,6 +177,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def only_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """docs (with doc_id, text, lang) less those whose language is `und` or less sure than `least`; its columns stay as they are."""
+    """docs (with doc_id, text, lang) less those whose language is `und` or less sure than `least`; its columns stay as they are.
+
+    Null and empty texts, and those without letters, are `und` and go. Rows alike in text are judged alike, whatever their ids, so repeated rows stay or go
+    together. Null ids and labels are no error: a row without a label teaches nothing. An empty table gives an empty result.
+    """
     labelled = predict(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").alias("text")), train(docs))
     return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -183,7 +183,11 @@ def deal(mixed: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int | None = None) -> DataFrame:
-    """docs (with doc_id, text, source), each row as often as the mix takes it, dealt to shards and shuffled within them; columns stay as they are, whatever their names."""
+    """docs (with doc_id, text, source), each row as often as the mix takes it, dealt to shards and shuffled within them; columns stay as they are, whatever their names.
+
+    Null texts have no words; they are taken with the blocks that they fall into. Null sources are a source, null ids ids like any other. Rows alike in id, source and size are
+    taken alike, each as often. An empty table gives an empty result.
+    """
     mixed = mix(docs, weights, most, shards).where("copies > 0").select("doc_id", "source", "size", "shards", "orders").distinct()
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), size.alias("of_size"))

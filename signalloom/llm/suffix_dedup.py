@@ -424,7 +424,9 @@ def repeated_word_windows(rows: DataFrame, words: int) -> DataFrame:
 def cut_repeats(docs: DataFrame, words: int = 51) -> DataFrame:
     """docs (with doc_id, text and n_chars) less each word of a run of so many words that also starts elsewhere, in the same text or another, and the blanks within such runs; texts that lost all their words go with their rows.
 
-    Words are told apart by their bytes, whatever blanks lie between them. `words` is at least GRAM.
+    Words are told apart by their bytes, whatever blanks lie between them. `words` is at least GRAM. Every place of a repeated
+    run goes, the first included, so there are no ties to settle; rows repeated whole lose all such runs alike. Null texts stay null, with their n_chars, and like
+    empty or blank ones stay rows. Null ids are ids like any other. An empty table gives an empty result; other columns stay as they are, whatever their names.
     """
     if words < GRAM:
         raise ValueError(f"words must be at least {GRAM}")
@@ -447,4 +449,4 @@ def cut_repeats(docs: DataFrame, words: int = 51) -> DataFrame:
     left = rows.join(found, KEY, "left").select("row", "spans", kept("text", "spans").alias("left"))
     left = left.where(F.col("spans").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col("row").withField("text", F.col("left")).withField("n_chars", F.length("left").cast("long"))
-    return left.select(changed.alias("row")).select("row.*")
+    return left.select(F.when(F.col("row.text").isNull(), F.col("row")).otherwise(changed).alias("row")).select("row.*")

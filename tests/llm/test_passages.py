@@ -23,7 +23,7 @@ def brute(rows, words):
                 gone[a:b] = b"\1" * (b - a)
         left = "".join(c for c, g in zip(text or "", gone) if not g)
         if not any(gone) or WORD.search(left):
-            out.append((doc_id, left, len(left)))
+            out.append((doc_id, None if text is None else left, len(left)))
     return out
 
 
@@ -59,3 +59,12 @@ def test_against_brute_force(spark, monkeypatch):
         monkeypatch.setattr(module, "PLACE_BITS", bits)
         got = cut_repeats(frame(spark, rows), words=30).select("doc_id", "text", "n_chars").collect()
         assert sorted(map(tuple, got), key=str) == sorted(brute(rows, 30), key=str)
+
+
+def test_null_texts_and_other_columns_stay(spark):
+    rows = [(1, None, 7, "a"), (1, None, 7, "a"), (None, "x " * 60, 9, "b"), (2, "y z", 3, None), (3, "", 0, "c"), (4, " \t", 2, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
+    got = cut_repeats(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((r for r in rows if r[0] is not None), key=str)
+    assert cut_repeats(docs.limit(0)).collect() == []
