@@ -145,6 +145,31 @@ def payload_fields(spark, sf):
     return made.select("item_id", "target", extra.alias("extra"), F.get_json_object("payload", "$.title").alias("title"))
 
 
+@query(
+    f"""{b.BASE} SELECT item_id, t AS target, t AS routed_to, '1.0' AS schema_version, source_url, source_name, body_text, strftime(published_at, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at,
+strftime(captured_at, '%Y-%m-%dT%H:%M:%S+00:00') AS captured_at, '2026-01-01T00:00:00+00:00' AS routed_at, evidence_tier, array_to_string(labels, ',') AS labels, confidence, {b.sql_has("folded", b.URGENT)} AS is_critical,
+CASE WHEN list_contains(['water', 'hub'], t) THEN array_to_string(kw, ',') END AS domain_tags FROM (SELECT *, unnest({b.sql_targets(v.TARGETS, v.HUB)}) AS t FROM classified WHERE confidence >= 0.55)"""
+)
+def payload_contents(spark, sf):
+    """What payloads say, read back from their JSON."""
+    rows = classify.with_flags(classify.classify(b.items(spark, sf), b.DOMAINS), b.URGENT, b.DOMAINS)
+    for name, kind in {"municipalities": "array<string>", "recipients": "array<string>", "agencies": "array<string>", "estimated_value": "double", "signal_stage": "string", "beat": "string"}.items():
+        rows = rows.withColumn(name, F.lit(None).cast(kind))  # amounts and names have queries of their own
+    made = routing.payloads(routing.fan_out(rows), F.lit("2026-01-01 00:00:00").cast("timestamp")).select("item_id", "target", F.from_json("payload", routing.PAYLOAD).alias("p"))
+    plain = ["routed_to", "schema_version", "source_url", "source_name", "body_text", "published_at", "captured_at", "routed_at", "evidence_tier", "confidence", "is_critical"]
+    return made.select("item_id", "target", *(F.col(f"p.{c}") for c in plain), *(F.array_join(f"p.{c}", ",").alias(c) for c in ("labels", "domain_tags")))
+
+
+@query(
+    f"""WITH {b.ITEMS}, r AS (SELECT CAST(user_id AS VARCHAR) AS rid, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC, event_id DESC) AS place FROM events)
+SELECT item_id, coalesce(event_type, 'pending') AS dispatch_status, event_id FROM items LEFT JOIN r ON item_id = rid AND place = 1"""
+)
+def dispatch_last_record(spark, sf):
+    """Items with the last of many records each."""
+    records = b.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("item_id"), F.col("event_type").alias("status"), "event_id", F.col("ts").alias("dispatched_at"))
+    return routing.dispatch_state(b.items(spark, sf), records).select("item_id", "dispatch_status", "dispatch.event_id")
+
+
 @query("SELECT doc_id, CASE WHEN length(text) > 8000 THEN substr(text, 1, 8000) || '… [truncated]' ELSE text END AS body FROM documents")
 def payload_bound(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", routing.bounded_body(F.col("text")).alias("body"))
