@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from signalloom.functions import extract, keys, numbers, pages, text
 from signalloom.functions import vocabulary as v
 from signalloom.functions.lexicon import agencies, is_critical, tags
-from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, overlay, quality, routing, schemas, search, views
+from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, overlay, quality, records, routing, schemas, search, views
 from signalloom.plans import bindings as b
 from signalloom.session import scratch, ship
 from signalloom.sources import events, readers, sinks
@@ -235,6 +235,59 @@ def patch_rows(spark, sf):
     return dedup.patch(s, s.where("s_suppkey % 4 = 0").select("s_suppkey", F.lit("patched").alias("s_name"), F.lit(None).cast("int").alias("s_nationkey")), "s_suppkey")
 
 
+CLIENTS = "c AS (SELECT c_custkey AS place, CAST(c_custkey AS VARCHAR) AS id, 'N' || c_nationkey AS customer_id, c_acctbal FROM customer)"
+WANTED = "a AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN 'N' || (o_custkey % 40) ELSE 'X' || o_custkey END AS key FROM orders)"
+MEANT = "m AS (SELECT a.o_orderkey, a.key, min(c.place) AS place FROM a LEFT JOIN (SELECT id AS value, place FROM c UNION ALL SELECT customer_id, place FROM c) c ON c.value = a.key GROUP BY ALL)"
+
+
+def clients(spark, sf):
+    """Customers by number and, not unique, by nation."""
+    return b.table(spark, sf, "customer").select(F.col("c_custkey").alias("place"), F.col("c_custkey").cast("string").alias("id"), F.concat(F.lit("N"), "c_nationkey").alias("customer_id"), "c_acctbal")
+
+
+def wanted(spark, sf):
+    turn, cust = F.col("o_orderkey") % 3, F.col("o_custkey")
+    key = F.when(turn == 0, cust.cast("string")).when(turn == 1, F.concat(F.lit("N"), cust % 40)).otherwise(F.concat(F.lit("X"), cust))
+    return b.table(spark, sf, "orders").select("o_orderkey", key.alias("key"))
+
+
+@query(f"WITH {CLIENTS}, {WANTED}, {MEANT} SELECT o_orderkey, key, c.id AS found_id, c.c_acctbal AS balance, CASE WHEN m.place IS NULL THEN 'Customer not found: ' || key END AS error FROM m LEFT JOIN c ON c.place = m.place")
+def records_fetched(spark, sf):
+    got = records.fetched(wanted(spark, sf), "key", clients(spark, sf), ["id", "customer_id"], "Customer")
+    return got.select("o_orderkey", "key", F.col("row.id").alias("found_id"), F.col("row.c_acctbal").alias("balance"), "error")
+
+
+@query(
+    f"""WITH {CLIENTS}, {WANTED}, {MEANT}, p AS (SELECT place, max(o_orderkey) AS turn, max(o_orderkey) FILTER (o_orderkey % 2 = 0) AS note FROM m WHERE place IS NOT NULL GROUP BY place)
+SELECT c.place, id, c_acctbal, note, turn IS NOT NULL AS changed FROM c LEFT JOIN p ON p.place = c.place"""
+)
+def records_updated(spark, sf):
+    """Many patches of one row, by either id: of each column the last value counts."""
+    patches = wanted(spark, sf).select("key", F.col("o_orderkey").alias("turn"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("note"))
+    out, _ = records.updated(patches, "key", clients(spark, sf), ["id", "customer_id"], "Customer", F.lit("2026-01-01").cast("timestamp"))
+    return out.select("place", "id", "c_acctbal", "note", F.col("updated_date").isNotNull().alias("changed"))
+
+
+@query(f"WITH {CLIENTS}, {WANTED}, {MEANT} SELECT 'answer' AS part, o_orderkey AS number, place IS NOT NULL AS deleted, CAST(place AS VARCHAR) AS id FROM m UNION ALL SELECT 'left', place, false, id FROM c WHERE place NOT IN (SELECT place FROM m WHERE place IS NOT NULL)")
+def records_deleted(spark, sf):
+    left, answers = records.deleted(wanted(spark, sf), "key", clients(spark, sf), ["id", "customer_id"])
+    return answers.select(F.lit("answer").alias("part"), F.col("o_orderkey").alias("number"), "deleted", "id").unionByName(left.select(F.lit("left").alias("part"), F.col("place").alias("number"), F.lit(False).alias("deleted"), "id"))
+
+
+@query(
+    """WITH r AS (SELECT o_orderkey AS place, CAST(o_orderkey // 3 AS VARCHAR) AS candidate_id, 'M' || o_custkey AS matter_id, o_orderdate FROM orders),
+one AS (SELECT candidate_id, place FROM r QUALIFY row_number() OVER (PARTITION BY candidate_id ORDER BY o_orderdate DESC, place) = 1), two AS (SELECT matter_id, place FROM r QUALIFY row_number() OVER (PARTITION BY matter_id ORDER BY o_orderdate DESC, place) = 1),
+a AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey * 16 AS VARCHAR) ELSE '' END AS candidate, 'M' || c_custkey AS matter FROM customer)
+SELECT c_custkey, coalesce(one.place, two.place) AS place FROM a LEFT JOIN one ON one.candidate_id = a.candidate LEFT JOIN two ON two.matter_id = a.matter"""
+)
+def records_prioritized(spark, sf):
+    """By candidate, else by matter; the newest of each."""
+    rows = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("place"), F.expr("cast(o_orderkey div 3 as string)").alias("candidate_id"), F.concat(F.lit("M"), "o_custkey").alias("matter_id"), F.col("o_orderdate").alias("created_date"))
+    key = F.col("c_custkey")
+    asked = b.table(spark, sf, "customer").select("c_custkey", F.when(key % 2 == 0, (key * 16).cast("string")).otherwise("").alias("candidate"), F.concat(F.lit("M"), key).alias("matter"))
+    return records.prioritized(asked, rows, [("candidate", "candidate_id"), ("matter", "matter_id")]).select("c_custkey", "place")
+
+
 @query("SELECT p_name, 'SRC-RSS-' || trim(regexp_replace(upper(p_name), '[^A-Z0-9]+', '-', 'g'), '-') AS source_id, trim(regexp_replace(lower(strip_accents(p_name)), '[^a-z0-9]+', '-', 'g'), '-') AS slug, count(*) AS n FROM part GROUP BY p_name")
 def feed_slug_ids(spark, sf):
     rows = b.table(spark, sf, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
