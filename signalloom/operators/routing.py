@@ -96,8 +96,10 @@ MARKER = "… [truncated]"
 
 
 def ascii_length(text: Column) -> Column:
-    """Characters of a JSON text in which all beyond ASCII are written as \\u and four digits."""
-    return F.length(text) + 5 * F.regexp_count(text, F.lit(r"[^\x00-\x7F]")) + 6 * F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+    """Characters of a JSON text in which all beyond ASCII are written as \\u and four digits, once or, beyond the first plane, twice. Runs of other characters are taken out at once, so no character is a match of its own."""
+    count = lambda t, others: F.length(F.regexp_replace(t, others, ""))
+    other = lambda t: 6 * F.length(t) - 5 * count(t, r"[^\x00-\x7F]+") + 6 * count(t, r"[^\x{10000}-\x{10FFFF}]+")
+    return bind(text, lambda t: F.when(F.octet_length(t) == F.length(t), F.length(t)).otherwise(other(t)))
 
 
 def bounded_events(rows: DataFrame, event_type: str, most: int = MOST_EVENT) -> DataFrame:
@@ -106,21 +108,28 @@ def bounded_events(rows: DataFrame, event_type: str, most: int = MOST_EVENT) ->
     Bodies are cut to MOST_BODY characters. If the payload is still longer than `most`, the first of the body's halves, marked, half of that, and so on, that fits
     stays; one under LEAST_BODY characters isn't worth sending and is empty.
     """
-    payload = lambda body: F.struct("item_id", F.col("target").alias("repo"), F.col("signal").withField("body_text", body).alias("signal"))
-    size = lambda body: ascii_length(F.to_json(payload(body), {"ignoreNullFields": "false"}))
+    whole = F.struct("item_id", F.col("target").alias("repo"), "signal")
+    as_json = lambda of: F.to_json(of, {"ignoreNullFields": "false"})
+    # a body adds to the payload what it takes as JSON itself: the rest is written out once, however many bodies are tried
+    size = lambda body: ascii_length(as_json(F.struct(F.coalesce(body, F.lit("")).alias("b")))) - len('{"b":""}')
+    rest = ascii_length(as_json(F.struct("item_id", F.col("target").alias("repo"), F.col("signal").withField("body_text", F.lit("")).alias("signal"))))
     half = lambda t: F.floor(F.length(t) / 2).cast("int")
     shorter = lambda t: F.when(half(t) >= LEAST_BODY, F.concat(F.substring(t, F.lit(1), half(t)), F.lit(MARKER))).otherwise("")
     turns = F.sequence(F.lit(1), F.lit(MOST_BODY.bit_length()))
 
-    def chosen(body: Column) -> Column:
+    def chosen(body: Column, room: Column) -> Column:
         smaller = F.aggregate(turns, F.array(body), lambda done, _: F.concat(done, F.array(shorter(F.element_at(done, -1)))))
-        fitting = F.try_element_at(F.filter(smaller, lambda t: size(t) <= most), F.lit(1))
-        return F.when(body.isNull() | (size(body) <= most), body).otherwise(F.coalesce(fitting, F.lit("")))
-
-    rows = rows.withColumn("signal", F.col("signal").withField("body_text", bind(bounded_body(F.col("signal.body_text")), chosen)))
-    whole = F.struct("item_id", F.col("target").alias("repo"), "signal")
-    event = F.to_json(F.struct(F.lit(event_type).alias("event_type"), whole.alias("client_payload")), {"ignoreNullFields": "false"})
-    return rows.select("item_id", "target", event.alias("event"), ascii_length(F.to_json(whole, {"ignoreNullFields": "false"})).cast("long").alias("event_chars"))
+        fitting = F.try_element_at(F.filter(smaller, lambda t: size(t) <= room), F.lit(1))
+        return F.when(body.isNull() | (size(body) <= room), body).otherwise(F.coalesce(fitting, F.lit("")))
+
+    tried = F.struct(bounded_body(F.col("signal.body_text")).alias("body"), (F.lit(most) - rest).alias("room"))
+    # a null body takes no text but the word null, which is two characters more than an empty one
+    both = bind(tried, lambda t: F.struct(chosen(t["body"], t["room"]).alias("body"), (F.lit(most) - t["room"]).alias("rest")))
+    rows = rows.select("item_id", "target", "signal", F.explode(F.array(both)).alias("_has"))
+    chars = F.col("_has.rest") + F.when(F.col("signal").isNull(), 0).when(F.col("_has.body").isNull(), 2).otherwise(size(F.col("_has.body")))
+    rows = rows.select("item_id", "target", F.col("signal").withField("body_text", F.col("_has.body")).alias("signal"), chars.cast("long").alias("event_chars"))
+    event = as_json(F.struct(F.lit(event_type).alias("event_type"), whole.alias("client_payload")))
+    return rows.select("item_id", "target", event.alias("event"), "event_chars")
 
 
 def bounded_body(text: Column, most: int = MOST_BODY) -> Column:

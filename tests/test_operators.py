@@ -83,6 +83,16 @@ def test_events_are_bounded(spark):
     assert got["j"]["signal"]["body_text"] == "" and got["k"]["signal"]["body_text"] is None and len(got["l"]["signal"]["body_text"]) == 3013 and len(got["m"]["signal"]["body_text"]) == 8013
 
 
+def test_lengths_of_events(spark):
+    """A payload is written out once for its length and once to be sent, not again for each body that is tried."""
+    rows = spark.createDataFrame([("a", "t", ("é🙂" * 5000, "é" * 9_990)), ("b", "t", ('\n"\\' * 9000, "🙂a" * 2000)), ("c", "t", None)], "item_id string, target string, signal struct<body_text:string,k:string>")
+    made = routing.bounded_events(rows, "e")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("repo, target#") == 2
+    for r in made.collect():
+        assert r.event_chars == len(json.dumps(json.loads(r.event)["client_payload"], separators=(",", ":"))) <= 60_000
+
+
 def test_dedup_and_patches(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, "C"), (None, "N")], "k int, v string")
