@@ -125,6 +125,18 @@ def test_search(spark):
         search.latest_items(df, limit=0)
 
 
+def test_streams_of_a_package_are_worked_out_once(spark, tmp_path):
+    """Rows that differ each time they are worked out: the manifest says what stands in the files."""
+    path, made = str(tmp_path / "p"), spark.range(500).withColumns({"x": F.randstr(F.lit(8)), "synthetic": F.lit(False)})
+    said = sinks.write_package({"a": made, "none": made.limit(0)}, path, "production", "now", "me")
+    n, digest, _ = sinks.digest_of(spark.read.text(f"{path}/a"))
+    assert [(f["record_count"], f["digest"]) for f in said["files"]] == [(n, digest)] == [(500, digest)]
+    with pytest.raises(ValueError):  # what is refused leaves an earlier package as it was
+        sinks.write_package({"a": made.withColumn("synthetic", F.col("id") == 7)}, path, "production", "now", "me")
+    assert sinks.digest_of(spark.read.text(f"{path}/a"))[:2] == (n, digest) and sinks.read_manifest(spark, path) == said
+    assert sorted(p.name for p in (tmp_path / "p").iterdir()) == ["a", "manifest"]
+
+
 @pytest.fixture(scope="module")
 def signals(spark, items):
     rows = ledger.to_signals(classify.classify(items))
