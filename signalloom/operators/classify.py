@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from signalloom.functions import vocabulary as v
 from signalloom.functions.extract import enrichment
-from signalloom.functions.lexicon import is_critical, tags
+from signalloom.functions.lexicon import mentions, tags_of_folded
+from signalloom.functions.text import fold
 
 #: From titles and bodies to an answer each: a dict, or JSON text, with labels and perhaps confidence and reasoning.
 Scorer = Callable[[list[str], list[str]], list]
@@ -21,9 +22,19 @@ def item_text() -> Column:
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("body_text", F.lit("")))
 
 
+#: Title and body of an item, folded.
+FOLDED = "_folded"
+
+
+def with_folded(items: DataFrame) -> DataFrame:
+    """items with their folded text, worked out once for all that looks for words in it, as it is the dearest part: a generator of one row, which the optimizer doesn't copy into the filters and columns that use it."""
+    return items if FOLDED in items.columns else items.select("*", F.explode(F.array(fold(item_text()))).alias(FOLDED))
+
+
 def with_keyword_labels(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS) -> DataFrame:
-    """items with keyword_labels, worked out once: a generator of one row, which the optimizer doesn't copy into the filters and columns that use it."""
-    return items.select("*", F.explode(F.array(tags(item_text(), lexicon))).alias("keyword_labels"))
+    """items with keyword_labels, worked out once, by a generator too."""
+    rows = with_folded(items).select("*", F.explode(F.array(tags_of_folded(F.col(FOLDED), lexicon))).alias("keyword_labels"))
+    return rows.select(*items.columns, "keyword_labels")
 
 
 def classify(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS, predictions: DataFrame | None = None) -> DataFrame:
@@ -113,9 +124,16 @@ def _decided(rows: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
 
 def enrich(items: DataFrame) -> DataFrame:
     """items (title, body_text, source_name) with amounts, agencies, recipients, stage and beat."""
-    return items.withColumns(enrichment(F.col("title"), F.col("body_text"), F.col("source_name")))
+    rows = with_folded(items).withColumns(enrichment(F.col("title"), F.col("body_text"), F.col("source_name"), F.col(FOLDED)))
+    return rows if FOLDED in items.columns else rows.drop(FOLDED)
 
 
 def with_flags(items: DataFrame, urgent: list[str] = v.URGENT, water: dict[str, list[str]] = v.WATER_TAGS) -> DataFrame:
     """items with is_critical and domain_tags."""
-    return items.withColumns({"is_critical": is_critical(item_text(), urgent), "domain_tags": tags(item_text(), water)})
+    rows = with_folded(items).withColumns({"is_critical": mentions(F.col(FOLDED), urgent), "domain_tags": tags_of_folded(F.col(FOLDED), water)})
+    return rows if FOLDED in items.columns else rows.drop(FOLDED)
+
+
+def described(items: DataFrame, lexicon: dict[str, list[str]] = v.DOMAINS, predictions: DataFrame | None = None, urgent: list[str] = v.URGENT, water: dict[str, list[str]] = v.WATER_TAGS) -> DataFrame:
+    """items classified, enriched and flagged; each text is folded once for all of it."""
+    return with_flags(enrich(classify(with_folded(items), lexicon, predictions)), urgent, water).drop(FOLDED)

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -90,3 +91,19 @@ def test_keys(spark):
     assert one(spark, keys.record_key(F.col("m"), F.lit(None).cast("string"), F.lit(""), F.col("t")), m="M1", t="A b") == "M1::official-record::a-b"
     assert one(spark, keys.record_type(F.col("t")), t="audit") == "audit_record" and one(spark, keys.record_type(F.col("t")), t="x") == "contract_record"
     assert [one(spark, keys.band(F.col("s").cast("double")), s=s) for s in ("95", "94.9", "70", "50", "30", "0", None)] == [v.BANDS[i][1] for i in (0, 1, 2, 3, 4, 5, 5)]
+
+
+def test_terms_tried_by_their_first_character(spark):
+    texts = ["boil water", "boils", "a boil-water", "reboil", "#tag here", "x#tag", "e. coli", "e  coli", "rfps", "rfpx", "café rfp", "", "rf", "p rfp"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for terms in (["boil", "boil-water", "rfp"], ["#tag", "e. coli"], ["Café", "request for proposal", "rfp"], ["r", "rf", "rfp"], []):
+        for plural in (True, False):
+            plain = r"\b(?:" + "|".join(re.escape(lexicon.folded_term(t)) for t in terms) + ")" + ("s?" if plural else "") + r"\b"
+            got = rows.select(F.col("t").rlike(lexicon.pattern(terms, plural)).alias("got"), F.col("t").rlike(plain).alias("want")).collect()
+            assert [r.got for r in got] == [r.want for r in got], terms
+
+
+def test_amounts_where_only_a_word_tells_of_dollars(spark):
+    assert one(spark, extract.headline_amount(F.col("t")), t="3 millones de dólares") == 3e6
+    assert one(spark, extract.headline_amount(F.col("t")), t="2 BILLION USD") == 2e9
+    assert one(spark, extract.amounts(F.col("t")), t="3 millones de euros, 12,000") == []

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from signalloom.functions import extract
 from signalloom.operators import classify, dedup, entities, ledger, lifecycle, lookup, quality, routing, search, views
 from signalloom.sources import readers, sinks
 from signalloom.streaming import ingest
@@ -337,3 +338,18 @@ def test_streaming_intake(spark, tmp_path):
         ingest.intake(ingest.raw_items(spark, str(src)), str(tmp_path / "table"), str(tmp_path / "cp")).awaitTermination()
         (src / "2.json").write_text(line("c", "three") + "\n")
     assert by(sinks.latest(spark, str(tmp_path / "table")), "item_id", "title") == {"a": "one", "b": "two", "c": "three"}
+
+
+def folds(df):
+    """How often a plan folds texts."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("octet_length")
+
+
+def test_items_are_described_from_one_folded_text(spark):
+    items = spark.createDataFrame([("a", "Flood: PRASA to award contract", "El señor paga $1,500 de emergencia", "PRASA"), ("b", None, None, None)], "item_id string, title string, body_text string, source_name string")
+    for lexicon in ({"X": ["flood"], "Y": ["señor"]}, {"X": ["flood"]}):
+        apart = classify.with_flags(classify.enrich(classify.classify(items, lexicon)))
+        whole = classify.described(items, lexicon)
+        assert whole.columns == apart.columns and sorted(map(str, whole.collect())) == sorted(map(str, apart.collect()))
+    assert folds(classify.with_flags(items)) == 1
+    assert folds(whole) == folds(classify.enrich(items)) == 4  # the text, and for recipients title, source and names
