@@ -17,6 +17,8 @@ from signalloom.llm.simhash import drop_near_copies
 from signalloom.llm.suffix_dedup import cut_repeats
 from signalloom.session import ship
 
+#: Distinct pieces that a worker remembers while it encodes: fewer than for encoding alone, since the stages before leave executors with less memory. Ids don't depend on it.
+REMEMBERED = 50_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -47,7 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and digests of them and of what they decode to."""
     ship(spark)
-    return encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", F.col("source"), "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    return encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, remembered=REMEMBERED).select("doc_id", F.col("source"), "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

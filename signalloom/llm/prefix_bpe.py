@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -21,6 +22,8 @@ from signalloom.llm.common import Remembered, one_model
 
 #: Distinct pieces whose ids a worker remembers, and as many of those before; token pairs whose fit it remembers.
 REMEMBERED, FITS = 200_000, 150_000
+#: Characters of texts, or one longer text, that are cut into pieces at once.
+AT_ONCE = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -31,8 +34,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixEncoder(Remembered):
     """Piece -> ids as decimal text joined by commas, worked out when first asked for."""
 
-    def __init__(self, path: str, pattern: str):
-        super().__init__(REMEMBERED)
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
+        super().__init__(remembered)
         self.ranks = read_ranks(path)
         self.token = {r: t for t, r in self.ranks.items()}
         self.size = {r: len(t) for r, t in self.token.items()}
@@ -144,8 +147,17 @@ class PrefixEncoder(Remembered):
                     known = ",".join([names[t] for t in self.walk(piece, last)])
             self[text] = known
 
-    def encode_all(self, texts: list[str]) -> list[str]:
-        """Each text's ids as decimal text joined by commas."""
+    def encode_all(self, texts: list[str]) -> Iterator[str]:
+        """Each text's ids as decimal text joined by commas. Pieces, which take many times the room of their text, are held for some texts at a time."""
+        at = 0
+        while at < len(texts):
+            end, room = at + 1, AT_ONCE - len(texts[at])
+            while end < len(texts) and (room := room - len(texts[end])) >= 0:
+                end += 1
+            yield from self.encode_some(texts[at:end])
+            at = end
+
+    def encode_some(self, texts: list[str]) -> list[str]:
         cut = [self.pattern.findall(t) for t in texts]
         pieces = set().union(*cut)
         self.learn(pieces)
@@ -156,7 +168,7 @@ class PrefixEncoder(Remembered):
         return out
 
     def encode(self, text: str) -> str:
-        return self.encode_all([text])[0]
+        return self.encode_some([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -166,8 +178,8 @@ class PrefixEncoder(Remembered):
         return b"".join(map(self.said.__getitem__, said))
 
 
-def encoder(path: str, pattern: str) -> PrefixEncoder:
-    return one_model(PrefixEncoder, path, pattern)
+def encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> PrefixEncoder:
+    return one_model(PrefixEncoder, path, pattern, remembered)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -192,9 +204,9 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     return raw(ids)
 
 
-def digests(path: str, pattern: str, texts: pd.Series, with_ids: bool) -> pd.DataFrame:
+def digests(path: str, pattern: str, texts: pd.Series, with_ids: bool, remembered: int = REMEMBERED) -> pd.DataFrame:
     """What each text (none null) is encoded to and decoded from."""
-    of, rows = encoder(path, pattern), []
+    of, rows = encoder(path, pattern, remembered), []
     for said in of.encode_all(texts.tolist()):
         ids = said.split(",") if said else []
         row = (len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(of.decode_said(ids)).hexdigest())
@@ -202,12 +214,12 @@ def digests(path: str, pattern: str, texts: pd.Series, with_ids: bool) -> pd.Dat
     return pd.DataFrame(rows, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """docs with ids (array<int>), n_tokens, ids_sha256 (of the ids as decimal text joined by commas) and decoded_sha256 (of the bytes that they decode to)."""
+def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+    """docs with ids (array<int>), n_tokens, ids_sha256 (of the ids as decimal text joined by commas) and decoded_sha256 (of the bytes that they decode to). remembered: as REMEMBERED, where workers have less memory or more."""
 
     @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
     def made(texts: pd.Series) -> pd.DataFrame:
-        return digests(path, pattern, texts, True)
+        return digests(path, pattern, texts, True, remembered)
 
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), made(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("bpe"))
     return rows.select("row.*", "bpe.ids", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")

@@ -72,3 +72,13 @@ def test_round_trip_rows(spark, library):
     assert round_trip(df.limit(0), RANKS, PATTERN).collect() == []
     plain = df.select("doc_id", "text")
     assert [r.ids for r in encoded(plain, RANKS, PATTERN).collect()] == [library.encode_ordinary(t or "") for _, t in rows]
+
+
+def test_pieces_of_few_texts_are_held_at_once(library, monkeypatch):
+    encoder, seen, cut = PrefixEncoder(RANKS, PATTERN, remembered=50), [], PrefixEncoder.encode_some
+    monkeypatch.setattr("signalloom.llm.prefix_bpe.AT_ONCE", 1000)
+    monkeypatch.setattr(PrefixEncoder, "encode_some", lambda self, of: seen.append(of) or cut(self, of))
+    many = texts(500)
+    assert [*encoder.encode_all(many)] == [",".join(map(str, library.encode_ordinary(t))) for t in many]
+    assert sum(seen, []) == many and max(sum(map(len, of)) for of in seen if len(of) > 1) <= 1000 and len(seen) < len(many) / 5
+    assert [*encoder.encode_all([])] == []
