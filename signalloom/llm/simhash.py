@@ -10,7 +10,8 @@ Texts may be alike to a wider degree (near_copies: a Jaccard similarity of 0.8 o
 differ in about 10, and no number of blocks finds all pairs. There fingerprints are linked first, as above, and each link is verified by the sets of
 shingles; what they miss is found from the sets themselves. With all shingles in one order, two sets so much alike share one of the
 first few of each (the prefix filter, which misses nothing); each of these is a key, and rare ones come first in the order. Members of a key that many
-share are compared with two of them first; afterwards those of any key that aren't in one component yet are compared with each other.
+share stand in an order, most typical ones first, and are compared with the first of it; then those that aren't in one component yet with the next, a
+longer stretch in each round, until no key has members of different components that haven't met. So a group costs rows in proportion to its size.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import chain, combinations
 
 import numpy as np
@@ -119,6 +120,8 @@ def as_hex(fp: Column) -> Column:
 COMMON_OF, LEAST_COMMON, COMMON_SHARE = 16, 8, 2000
 #: Members of a bucket that has no leaders; a larger one has two.
 BUCKET = 8
+#: How many of a bucket's other members, in order, those of other components are compared with in the first round after the leaders, and how many times as many by the end of each further round.
+STRETCH = 16
 #: Bits of a set's sketch.
 SKETCH = 1024
 #: What sums of similarities may be off by, which aren't whole numbers.
@@ -158,13 +161,11 @@ def may_be_alike(n: np.ndarray, at: np.ndarray, m: np.ndarray, bt: np.ndarray, s
 
 
 def leaders(nodes: np.ndarray, n: np.ndarray) -> list[int]:
-    """The places of a large bucket's first node and of its first of middling size: near copies share their large buckets, and in most of them these two. A small one has none."""
+    """The places of a large bucket's first member and of its first of middling size: near copies share their large buckets, and in most of them these two. A small one has none."""
     if len(nodes) <= BUCKET:
         return []
-    first = int(nodes.argmin())
     low, high = np.percentile(n, [40, 60], method="nearest")
-    middle = np.flatnonzero((n >= low) & (n <= high))
-    return list({first: None, int(middle[nodes[middle].argmin()]): None})
+    return list({0: None, int(((n >= low) & (n <= high)).argmax()): None})
 
 
 def spans_of(keys: np.ndarray):
@@ -185,34 +186,50 @@ def first_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarr
     return np.concatenate(a), np.concatenate(b)
 
 
-def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, roots: np.ndarray, similarity: float):
-    """Of rows sorted by key: all other pairs of a bucket that may be alike and don't have the same root, in parts."""
-    _, place_of, size = np.unique(keys, return_inverse=True, return_counts=True)
-    few = size[place_of] <= BUCKET
-    key, of, m, place, root = keys[few], nodes[few], n[few], at[few], roots[few]
-    for d in range(1, BUCKET):  # small buckets all at once, by how far their rows lie apart
-        same = key[d:] == key[:-d]
-        if not same.any():
-            break
-        hit = same & (root[d:] != root[:-d]) & may_be_alike(m[d:], place[d:], m[:-d], place[:-d], similarity)
-        yield of[:-d][hit], of[d:][hit]
+def other_pairs(keys: np.ndarray, nodes: np.ndarray, n: np.ndarray, at: np.ndarray, roots: np.ndarray, similarity: float, sketches: np.ndarray | None = None, low: int = 0, high: int | None = None):
+    """Of rows sorted by key: the other pairs of a bucket that may be alike and don't have the same root, in parts.
+
+    In a large bucket, those whose former one is from place low up to high of its members less the leaders; small buckets are looked at when low is 0. With sketches, these must allow it too.
+    """
+
+    def fit(i, j):
+        hit = (roots[i] != roots[j]) & may_be_alike(n[i], at[i], n[j], at[j], similarity)
+        if sketches is not None and hit.any():
+            i, j = i if np.isscalar(i) else i[hit], j[hit]
+            apart = np.bitwise_count((sketches[i] ^ sketches[j]).view(np.uint64)).sum(axis=1, dtype=np.int64)  # of signed numbers it counts the absolute value's bits
+            hit[hit] = apart * (1 + similarity) <= (1 - similarity) * (n[i] + n[j]) + SLACK
+        return hit
+
+    if low == 0:
+        _, place_of, size = np.unique(keys, return_inverse=True, return_counts=True)
+        few = np.flatnonzero(size[place_of] <= BUCKET)
+        for d in range(1, BUCKET):  # small buckets all at once, by how far their rows lie apart
+            same = np.flatnonzero(keys[few[d:]] == keys[few[:-d]])
+            if not len(same):
+                break
+            i, j = few[same], few[same + d]
+            hit = fit(i, j)
+            yield nodes[i[hit]], nodes[j[hit]]
     for s, k in spans_of(keys):
         if k <= BUCKET:
             continue
         done = np.zeros(k, bool)
         done[leaders(nodes[s : s + k], n[s : s + k])] = True  # these have met all members
         rest = np.flatnonzero(~done) + s
-        by = rest[np.argsort(roots[rest], kind="stable")]
-        if not len(by):
+        end = len(rest) if high is None else min(high, len(rest))
+        if low >= end:
+            continue
+        kinds, kind, count = np.unique(roots[rest], return_inverse=True, return_counts=True)
+        if len(kinds) == 1:
             continue
-        of, m, place, root = nodes[by], n[by], at[by], roots[by]
-        _, first, count = np.unique(root, return_index=True, return_counts=True)
-        most = int(count.argmax())  # members of the largest group are looked at from the others only
-        outside = np.flatnonzero((np.arange(len(by)) < first[most]) | (np.arange(len(by)) >= first[most] + count[most]))
-        for i in outside.tolist():
-            hit = (root != root[i]) & may_be_alike(m[i], place[i], m, place, similarity)
-            if hit.any():
-                yield np.full(hit.sum(), of[i]), of[hit]
+        outside = kind != count.argmax()  # members of the largest group are looked at from the others only
+        for place in np.flatnonzero(outside).tolist():
+            former = np.arange(low, min(place, end))
+            met = rest[former[~outside[former]]] if len(former) else rest[:0]  # others look at this one themselves
+            if low <= place < end:
+                met = np.concatenate([met, rest[place + 1 :]])
+            if len(met) and (hit := fit(int(rest[place]), met)).any():
+                yield np.full(hit.sum(), nodes[rest[place]]), nodes[met[hit]]
 
 
 def gathered(parts, most: int = 1 << 16):
@@ -228,11 +245,16 @@ def gathered(parts, most: int = 1 << 16):
         yield tuple(map(np.concatenate, zip(*held)))
 
 
+def array_of(column: pa.Array) -> np.ndarray:
+    """A column of numbers; lists, all of one length, give a row each."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if pa.types.is_list(column.type) and len(column) else column.to_numpy(zero_copy_only=False)
+
+
 def buckets(batches, columns: list[str]):
     """Arrays of the columns, key first, of whole buckets from batches sorted by key. Parts of one that goes on are put together once."""
     held: list = []
     for batch in batches:
-        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+        now = [array_of(batch.column(c)) for c in columns]
         if not len(now[0]):
             continue
         if held and now[0][0] == now[0][-1] == held[-1][0][-1]:
@@ -318,14 +340,23 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
 
     met = keep(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(shared), "key long, node long, n int, at int, size long"), "copies-met")
 
+    # the fewer of its first shingles are its own alone, the more typical a text is of those that it shares the others with: one order for all keys
+    own = met.groupBy("node").agg((F.first("n") - F.ceil(similarity * F.first("n") - SLACK) + 1 - F.count(F.lit(1))).alias("own"))
+    columns.append("own")
+    ranked = keep(met.join(own, "node").select(*columns, "size"), "copies-ranked")
+
     def first(batches):
-        for key, node, n, at in buckets(batches, columns):
+        for key, node, n, at, _ in buckets(batches, columns):
             yield as_pairs(*first_pairs(key, node, n.astype(np.int64), at.astype(np.int64), similarity))
 
-    def others(batches):
-        found = (other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity) for key, node, n, at, root in buckets(batches, [*columns, "root"]))
-        for a, b in gathered(chain.from_iterable(found)):
-            yield as_pairs(a, b)
+    def others(low: int, high: int):
+        def of(batches):
+            whole = buckets(batches, [*columns, "root", "sketch"])
+            found = (other_pairs(key, node, n.astype(np.int64), at.astype(np.int64), root, similarity, sketch, low, high) for key, node, n, at, _, root, sketch in whole)
+            for a, b in gathered(chain.from_iterable(found)):
+                yield as_pairs(a, b)
+
+        return tidy(of)
 
     def packed(batches):
         seen: set[int] = set()  # repeated rows of one id come once
@@ -346,13 +377,17 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         return pd.Series(out, dtype=bool)
 
     def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition("key").sortWithinPartitions("key", "node")
+        return df.repartition("key").sortWithinPartitions("key", "own", "node")
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs whose sketches aren't too far apart; the others need no texts."""
+        of = lambda c, n, sketch: nodes.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(sketch))
+        pairs = pairs.distinct().join(of("a", "n", "x"), "a").join(of("b", "m", "y"), "b")
+        return pairs.where(sketches_allow(F.col("n"), F.col("x"), F.col("m"), F.col("y"), similarity)).select("a", "b")
 
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs that are alike, by the whole texts of their nodes; pairs whose sketches are too far apart for it need no texts."""
-        sketched = lambda c, n, sketch: nodes.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(sketch))
-        pairs = pairs.distinct().join(sketched("a", "n", "x"), "a").join(sketched("b", "m", "y"), "b")
-        pairs = keep(pairs.where(sketches_allow(F.col("n"), F.col("x"), F.col("m"), F.col("y"), similarity)).select("a", "b"), f"copies-{name}-pairs")
+        """Those of the pairs that are alike, by the whole texts of their nodes."""
+        pairs = keep(pairs, f"copies-{name}-pairs")
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
@@ -362,17 +397,26 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         discard(pairs, known)
         return out
 
-    large = met.where(F.col("size") > BUCKET).select(columns)
-    found_links = links_of(dealt(large).mapInArrow(tidy(first), "a long, b long").unionByName(near), "first")
-    rooted = met.drop("size").join(components(found_links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = keep(rooted.select(*columns, "root"), "copies-rooted")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    other_links = links_of(dealt(rooted.join(mixed, "key", "left_semi")).mapInArrow(tidy(others), "a long, b long"), "other")
-    roots = components(found_links.unionByName(other_links))
+    large = ranked.where(F.col("size") > BUCKET).select(columns)
+    found = [links_of(sketched(dealt(large).mapInArrow(tidy(first), "a long, b long").unionByName(near)), "first")]
+    left, rooted, low, high = ranked.drop("size"), None, 0, STRETCH
+    while True:
+        roots = components(reduce(DataFrame.unionByName, found))
+        before, rooted = rooted, keep(left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select(*columns, "root"), "copies-rooted")
+        if before is not None:
+            discard(before)
+        by_key = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"))
+        mixed = by_key.where("least <> most").where((F.lit(low) == 0) | (F.col("size") > max(low, BUCKET))).select("key")
+        left = rooted.join(mixed, "key", "left_semi")
+        if left.isEmpty():
+            break
+        met_now = dealt(left.join(nodes.select("node", "sketch"), "node").select(*columns, "root", "sketch"))
+        found.append(links_of(met_now.mapInArrow(others(low, high), "a long, b long").distinct(), "other"))
+        left, low, high = left.drop("root"), high, high * STRETCH
     placed = nodes.select("node", F.col("doc_id").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     out = keep(rows.select("doc_id", "text_hash", "node").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "text_hash", "component_id"), "copies")
-    discard(rows, nodes, by_fp, met, found_links, other_links, rooted)
+    discard(rows, nodes, by_fp, met, ranked, rooted, *found)
     return out
 
 

@@ -94,3 +94,41 @@ def test_other_pairs_are_all_pairs_of_different_roots():
                         wanted.add(frozenset((int(nodes[i]), int(nodes[j]))))
         found = module.gathered(module.other_pairs(keys, nodes, n, at, roots, 0.8), 50)
         assert {frozenset(p) for a, b in found for p in zip(a.tolist(), b.tolist())} == wanted
+
+
+def test_stretches_of_a_bucket_make_up_all_its_pairs_that_sketches_allow():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, 40, dtype=np.uint64)) for _ in range(4)]
+    sets = [np.unique(np.concatenate([sets[i % 4][: rng.integers(30, 41)], rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)])) for i in range(300)]
+    keys, nodes, roots = np.sort(rng.integers(0, 12, 300)), rng.permutation(300), rng.integers(0, 5, 300)
+    n, at, sketches = np.array([len(x) for x in sets]), np.zeros(300, np.int64), np.stack([module.sketch_of(x) for x in sets])
+    whole = {frozenset(map(int, p)) for a, b in module.other_pairs(keys, nodes, n, at, roots, 0.8) for p in zip(a, b)}
+    place = {int(x): i for i, x in enumerate(nodes)}
+    apart = lambda p: sum((int(x) & (1 << 64) - 1).bit_count() for x in np.bitwise_xor(*(sketches[place[i]] for i in p)))
+    wanted = {p for p in whole if apart(p) * 1.8 <= 0.2 * sum(int(n[place[i]]) for i in p) + module.SLACK}
+    for stretches in ([(0, None)], [(0, 2), (2, 17), (17, 400)]):
+        parts = [list(module.other_pairs(keys, nodes, n, at, roots, 0.8, sketches, low, high)) for low, high in stretches]
+        found = [frozenset(map(int, p)) for part in parts for a, b in part for p in zip(a, b)]
+        assert set(found) == wanted and len(found) == len(wanted) and 0 < len(wanted) < len(whole)
+
+
+def test_pairs_compared_in_a_group_grow_with_its_size_only(spark, monkeypatch):
+    """Texts that differ from one, which isn't among them, in a few words each; many of their pairs are alike."""
+    compared, keep = [], module.keep
+
+    def counted(df, name):
+        kept = keep(df, name)
+        if name.endswith("-pairs"):
+            compared.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(module, "keep", counted)
+    monkeypatch.setattr(module, "STRETCH", 4, raising=False)
+    rng, rows = random.Random(9), []
+    for i in range(400):
+        words = [f"w{i}" for i in range(150)]
+        for j in rng.sample(range(150), min(8, max(1, round(rng.gauss(2.4, 1.4))))):
+            words[j] = f"x{rng.getrandbits(40)}"
+        rows.append((i, " ".join(words)))
+    run(spark, rows)
+    assert sum(compared) < 12 * len(rows), compared
