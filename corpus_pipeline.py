@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalloom.llm.common import discard, keep
 from signalloom.llm.language_id import only_known
 from signalloom.llm.mixing import mixed_documents
 from signalloom.llm.prefix_bpe import encoded
@@ -18,7 +19,7 @@ from signalloom.llm.suffix_dedup import cut_repeats
 from signalloom.session import ship
 
 #: Distinct pieces that a worker remembers while it encodes: fewer than for encoding alone, since the stages before leave executors with less memory. Ids don't depend on it.
-REMEMBERED = 50_000
+REMEMBERED = 150_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -60,13 +61,21 @@ STAGES = [
     ("byte-pair encoding", byte_pairs),
 ]
 
+#: Stages whose result is read once at most.
+READ_ONCE = {"mixing", "byte-pair encoding"}
+
 #: The stages learn models, sort suffixes and encode texts, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows, from the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The last stage's rows, from the documents table. What a stage reads again and again is written once; the mix is read once, by the stage behind it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name not in READ_ONCE:
+            docs = keep(docs, "pipeline")
+            if before is not None:
+                discard(before)
+            before = docs
     return docs

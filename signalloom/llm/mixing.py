@@ -176,10 +176,24 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     return mixed
 
 
-def deal(mixed: DataFrame) -> DataFrame:
-    """The mix itself, from rows with shards and orders: a row per copy with its shard and order, each shard's rows together and shuffled."""
+def shards_of(mixed: DataFrame) -> int:
+    """How many shards the copies go to."""
+    last = mixed.agg(F.max(F.array_max("shards")).alias("last")).first().last
+    return 1 if last is None else last + 1
+
+
+def deal(mixed: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mix itself, from rows with shards and orders: a row per copy with its shard and order, each shard's rows together and shuffled.
+
+    Shards follow one another, and so do the parts of one, if there are fewer shards than a shuffle has partitions: orders are hashes, so each
+    partition gets an equal stretch of them, whatever shards there are.
+    """
+    shards = shards or shards_of(mixed)
+    parts = max(shards, int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = mixed.select("*", F.posexplode(F.arrays_zip("shards", "orders")).alias("copy", "to")).select("*", F.col("to.shards").alias("shard"), F.col("to.orders").alias("order")).drop("to")
-    return rows.repartition("shard").sortWithinPartitions("shard", "order", "copy")
+    place = (F.col("shard") + F.col("order") / F.lit(float(1 << 64)) + F.lit(0.5)) / F.lit(float(shards))
+    part = F.least(F.floor(place * F.lit(float(parts))), F.lit(parts - 1)).cast("int")
+    return rows.repartitionById(parts, part).sortWithinPartitions("shard", "order", "copy")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3, shards: int | None = None) -> DataFrame:
@@ -188,8 +202,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     Null texts have no words; they are taken with the blocks that they fall into. Null sources are a source, null ids ids like any other. Rows alike in id, source and size are
     taken alike, each as often. An empty table gives an empty result.
     """
-    mixed = mix(docs, weights, most, shards).where("copies > 0").select("doc_id", "source", "size", "shards", "orders").distinct()
+    mixed = mix(docs, weights, most, shards).where("copies > 0").select("doc_id", "source", "size", "shards", "orders")
+    shards, mixed = shards_of(mixed), mixed.distinct()
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), size.alias("of_size"))
     same = F.col("of_id").eqNullSafe(F.col("doc_id")) & F.col("of_source").eqNullSafe(F.col("source")) & (F.col("of_size") == F.col("size"))
-    return deal(rows.join(mixed, same).select("row", "shards", "orders")).select("row.*")
+    return deal(rows.join(mixed, same).select("row", "shards", "orders"), shards).select("row.*")

@@ -23,7 +23,11 @@ from signalloom.llm.common import Remembered, one_model
 #: Distinct pieces whose ids a worker remembers, and as many of those before; token pairs whose fit it remembers.
 REMEMBERED, FITS = 200_000, 150_000
 #: Characters of texts, or one longer text, that are cut into pieces at once.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 20
+#: New pieces of up to LONG bytes are encoded together, up to ROWS of them; longer ones one by one.
+LONG, ROWS = 32, 1 << 14
+#: Slots of a look-up table, as a power of two.
+SLOT_BITS = 21
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -31,6 +35,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Lookup:
+    """Values (from 0) of many keys (whole numbers, all different) at once; -1 for others."""
+
+    def __init__(self, of: dict[int, int]):
+        self.keys, self.values = np.array([*of], np.int64), np.array([*of.values()], np.int64)
+        order = np.argsort(self.keys)
+        self.keys, self.values = self.keys[order], self.values[order]
+        self.slots = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.slots[self.slot(self.keys)] = np.arange(len(order))
+
+    @staticmethod
+    def slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slots[self.slot(keys)]
+        some = np.flatnonzero(at >= 0)
+        out, at, wanted = np.full(len(keys), -1, np.int64), at[some], keys[some]
+        out[some] = np.where(same := self.keys[at] == wanted, self.values[at], -1)
+        if not same.all():  # the slot is another key's
+            some, wanted = some[~same], wanted[~same]
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            out[some] = np.where(self.keys[at] == wanted, self.values[at], -1)
+        return out
+
+
 class PrefixEncoder(Remembered):
     """Piece -> ids as decimal text joined by commas, worked out when first asked for."""
 
@@ -57,6 +87,22 @@ class PrefixEncoder(Remembered):
         for token, rank in usable.items():
             self.ends.add_word(token.decode("latin-1"), (len(token), rank))
         self.ends.make_automaton()
+        # the same for many pieces at once: the trie of all tokens (0 is its root) and the token of each of its nodes, halves by token and what two are joined to
+        trie: dict[int, int] = {}
+        node_of: dict[int, int] = {}
+        for token, rank in usable.items():
+            at = 0
+            for byte in token:
+                at = trie.setdefault(at << 8 | byte, len(trie) + 1)
+            node_of[at] = rank
+        self.step, self.token_at = Lookup(trie), np.full(len(trie) + 1, -1, np.int64)
+        self.token_at[[*node_of]] = [*node_of.values()]
+        self.half = np.full((2, max(self.ranks.values(), default=0) + 1), -1, np.int64)
+        for rank, parts in self.halves.items():
+            self.half[:, rank] = parts
+        self.sizes = np.zeros(self.half.shape[1], np.int64)
+        self.sizes[[*self.size]] = [*self.size.values()]
+        self.join = Lookup({a << 32 | b: rank for (a, b), rank in self.joined.items()})
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one, or None if merging its bytes never gets there."""
@@ -100,6 +146,62 @@ class PrefixEncoder(Remembered):
                 done += 1
         return last
 
+    def fit_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """fit of many pairs of tokens."""
+        out, rows, x, y, before = np.ones(len(a), bool), np.arange(len(a)), a, b, np.full(len(a), 1 << 60)
+        while len(rows):
+            made = self.join(x << 32 | y)
+            apart = (made < 0) | (made >= before)
+            out[rows[~apart]] = False
+            left, right = self.half[1, x], self.half[0, y]
+            first = (left >= 0) & ((right < 0) | (x > y))
+            on = np.flatnonzero(apart & (first | (right >= 0)))
+            x, y, first, left, right, rows = x[on], y[on], first[on], left[on], right[on], rows[on]
+            before = np.where(first, x, y + 1)
+            x, y = np.where(first, left, x), np.where(first, y, right)
+        return out
+
+    def extend_all(self, pieces: list[bytes]) -> np.ndarray:
+        """The last token of each shorter prefix, a row for each place and a column for each of some sorted pieces. What a piece shares with the one before is taken from there."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width, n = int(size.max()), len(pieces)
+        raw = np.zeros((n, width), np.uint8)
+        raw[np.arange(width) < size[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        same = np.zeros(n, np.int64)
+        same[1:] = np.minimum(np.logical_and.accumulate(raw[1:] == raw[:-1], axis=1).sum(axis=1), np.minimum(size[1:], size[:-1]))
+        raw, last = np.ascontiguousarray(raw.T).astype(np.int64), np.full((width, n), -1, np.int64)
+        for start in range(width):
+            # tokens from here on, by a walk down the trie; of those that end at a place longer ones have come before
+            rows = np.flatnonzero(size > start)
+            node = np.zeros(len(rows), np.int64)
+            for end in range(start, width):
+                node = self.step(node << 8 | raw[end, rows])
+                on = node >= 0
+                t = self.token_at[node]
+                new = np.flatnonzero(on & (t >= 0) & (same[rows] <= end) & (last[end, rows] < 0))
+                if start:
+                    new = new[self.fit_all(last[start - 1, rows[new]], t[new])]
+                last[end, rows[new]] = t[new]
+                on &= size[rows] > end + 1
+                rows, node = rows[on], node[on]
+                if not len(rows):
+                    break
+            last[start] = last[start, np.maximum.accumulate(np.where(same <= start, np.arange(n), 0))]
+        return last
+
+    def walk_all(self, pieces: list[bytes], last: np.ndarray) -> Iterator[list[int]]:
+        """walk of each of the pieces."""
+        end, rows, out = np.fromiter(map(len, pieces), np.int64, len(pieces)), np.arange(len(pieces)), []
+        while len(rows):
+            t = last[end - 1, rows]
+            out.append((rows, t))
+            end = end - self.sizes[t]
+            rows, end = rows[end > 0], end[end > 0]
+        rows, t = (np.concatenate(c[::-1]) for c in zip(*out))
+        order = np.argsort(rows, kind="stable")
+        t, ends = t[order].tolist(), np.cumsum(np.bincount(rows, minlength=len(pieces))).tolist()
+        yield from (t[a:b] for a, b in zip([0, *ends], ends))
+
     def edit(self, piece: bytes, last: list[int], at: int, removed: int, added: bytes) -> tuple[bytes, list[int]]:
         """The piece with some bytes replaced, and its last tokens. Prefixes before the edit stay; behind it, work ends once as many tokens as the longest token has bytes agree with the old ones."""
         new = piece[:at] + added + piece[at + removed :]
@@ -128,24 +230,30 @@ class PrefixEncoder(Remembered):
         return ",".join([self.name[t] for t in self.encode_piece(piece.encode())])
 
     def learn(self, pieces: set[str]) -> None:
-        """Have pieces ready. New ones come in order, so that each goes on from the prefix that it shares with the one before."""
-        new, last, before = sorted([p.encode() for p in pieces if p not in self]), [], b""
+        """Have pieces ready. New ones come in order, so that what each shares with the one before is worked out once."""
+        new = sorted([p for p in pieces if p not in self])  # in order of their bytes, too
         self.make_room(len(new))
-        older, names = self.older, self.name
+        older, ranks, names, short, long = self.older, self.ranks, self.name, [], []
         for piece in new:
-            text = piece.decode()
-            if (known := older.get(text)) is None:
-                if (whole := self.ranks.get(piece)) is not None:
-                    known = names[whole]
-                else:
-                    same = 0
-                    for a, b in zip(before, piece):
-                        if a != b:
-                            break
-                        same += 1
-                    before, last = piece, self.extend(piece, last[:same])
-                    known = ",".join([names[t] for t in self.walk(piece, last)])
-            self[text] = known
+            if (known := older.get(piece)) is not None:
+                self[piece] = known
+            elif (whole := ranks.get(raw := piece.encode())) is not None:
+                self[piece] = names[whole]
+            else:
+                (short if len(raw) <= LONG else long).append((piece, raw))
+        for at in range(0, len(short), ROWS):
+            some, raws = zip(*short[at : at + ROWS])
+            for piece, ids in zip(some, self.walk_all(raws, self.extend_all(raws))):
+                self[piece] = ",".join([names[t] for t in ids])
+        last, before = [], b""
+        for piece, raw in long:
+            same = 0
+            for a, b in zip(before, raw):
+                if a != b:
+                    break
+                same += 1
+            before, last = raw, self.extend(raw, last[:same])
+            self[piece] = ",".join([names[t] for t in self.walk(raw, last)])
 
     def encode_all(self, texts: list[str]) -> Iterator[str]:
         """Each text's ids as decimal text joined by commas. Pieces, which take many times the room of their text, are held for some texts at a time."""

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from signalloom.llm.common import discard, keep, tidy
 from signalloom.llm.components import components
+from signalloom.llm.suffix_dedup import ODD, run_hashes, word_places
 
 BLOCKS = 4
 #: Fingerprints of one key that are joined pair by pair.
@@ -128,8 +129,34 @@ SKETCH = 1024
 SLACK = 1e-9
 
 
+#: A number for each byte, A-Z the same as a-z; none for blanks.
+BYTES = np.array([0 if b in b" \t\n\v\f\r" else xxhash.xxh64_intdigest(LOWER[b : b + 1], 42) for b in range(256)], np.uint64)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each of a text's lower-cased words, all worked out together."""
+    raw = text.encode()
+    starts, behind = word_places(raw)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    data = BYTES[np.frombuffer(raw, np.uint8)[starts[0] : behind[-1]]]
+    place = np.arange(starts[0], behind[-1]) - np.repeat(starts, np.diff(starts, append=behind[-1]))
+    powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full((behind - starts).max(), ODD))])
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(data * powers[np.minimum(place, len(powers) - 1)], starts - starts[0])
+        h ^= h >> np.uint64(32)
+        h *= ODD
+        return h ^ (h >> np.uint64(29))
+
+
+def run_of_words(text: str, width: int) -> np.ndarray:
+    """A 64-bit hash of each of a text's shingles, as shingle_hashes has them, for a use that doesn't fix which hash: without a loop over words."""
+    words = word_hashes(text)
+    return run_hashes(words, min(width, len(words))) if len(words) else words
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text or "", width))
+    return np.unique(run_of_words(text or "", width))
 
 
 def prefix_of(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
@@ -305,7 +332,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         yield from tidy(lambda texts: map(of_texts, texts))(batches)
 
     def of_texts(texts: pd.Series) -> pd.DataFrame:
-        whole = [shingle_hashes(t, width) for t in texts]
+        whole = [run_of_words(t, width) for t in texts]
         found = list(map(np.unique, whole))
         prefixes = [prefix_of(h, common.value, similarity).view(np.int64) for h in found]
         ids = lambda seed: np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed) for h in found], np.uint64).view(np.int64)

@@ -82,3 +82,19 @@ def test_pieces_of_few_texts_are_held_at_once(library, monkeypatch):
     assert [*encoder.encode_all(many)] == [",".join(map(str, library.encode_ordinary(t))) for t in many]
     assert sum(seen, []) == many and max(sum(map(len, of)) for of in seen if len(of) > 1) <= 1000 and len(seen) < len(many) / 5
     assert [*encoder.encode_all([])] == []
+
+
+def test_pieces_encoded_together_equal_those_one_by_one(library, monkeypatch):
+    encoder, rng = PrefixEncoder(RANKS, PATTERN), random.Random(4)
+    alphabets = ["ab", "the ing", "aä€😀", "".join(map(chr, range(1, 600)))]
+    pieces = sorted({"".join(rng.choices(rng.choice(alphabets), k=rng.randint(1, 30))).encode() for _ in range(3000)})
+    pieces += [p[:-1] for p in pieces[:50] if len(p) > 1]
+    pieces = sorted(set(pieces))
+    last = encoder.extend_all(pieces)
+    assert [last[: len(p), i].tolist() for i, p in enumerate(pieces)] == [encoder.extend(p, []) for p in pieces]
+    assert [*encoder.walk_all(pieces, last)] == [encoder.walk(p, encoder.extend(p, [])) for p in pieces]
+    monkeypatch.setattr("signalloom.llm.prefix_bpe.ROWS", 7)
+    for text in texts(300):
+        assert encoder.encode(text) == ",".join(map(str, library.encode_ordinary(text)))
+    monkeypatch.setattr(PrefixEncoder, "extend", None)  # pieces that aren't long don't go one by one
+    assert encoder.encode(" unheardofwords zyxwvut") == ",".join(map(str, library.encode_ordinary(" unheardofwords zyxwvut")))

@@ -196,3 +196,18 @@ def test_a_hundred_thousand_sources(spark):
     per = mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"), F.max(F.size("shards")).alias("copies"))
     n, words, taken, over = per.agg(F.count(F.lit(1)), F.sum("size"), F.sum("taken"), F.count_if((F.col("taken") > F.col("target") + 1e-6) | (F.col("copies") > 3))).first()
     assert n == 100_000 and over == 0 and 0.7 * words < taken <= words
+
+
+def test_few_shards_are_dealt_to_all_partitions(spark):
+    rows = [(i, "w " * (1 + i % 40), "ab"[i % 2]) for i in range(4000)]
+    mixed = mix(spark.createDataFrame(make(rows), SCHEMA), shards=2).cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        dealt = deal(mixed).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    per = Counter(r.part for r in dealt)
+    assert len(per) == 16 and max(per.values()) < 1.5 * len(dealt) / 16
+    assert [(r.shard, r.order) for r in sorted(dealt, key=lambda r: r.at)] == sorted((r.shard, r.order) for r in dealt)
+    assert sorted(r.shard for r in dealt) == sorted(s for r in mixed.collect() for s in r.shards)

@@ -132,3 +132,16 @@ def test_pairs_compared_in_a_group_grow_with_its_size_only(spark, monkeypatch):
         rows.append((i, " ".join(words)))
     run(spark, rows)
     assert sum(compared) < 12 * len(rows), compared
+
+
+def test_hashes_of_word_runs_tell_shingles_apart():
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abAB1é", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["", " \t\n", "a", "A\x0bb  c\n", "x" * 3000, "\u00a0 a\x1cb", "ab ba", "ba ab"]
+    lower = lambda t: module.shingle_hashes(t, 5).tolist()
+    names = {}
+    for t in texts:
+        got = module.run_of_words(t, 5).tolist()
+        assert len(got) == len(lower(t))
+        for ours, theirs in zip(got, lower(t)):
+            assert names.setdefault(ours, theirs) == theirs
+    assert len(set(names.values())) == len(names) > 5000

@@ -66,3 +66,23 @@ def test_empty(spark):
     for _, f in corpus_pipeline.STAGES:
         docs = f(spark, docs, "")
     assert docs.collect() == []
+
+
+def test_run_works_out_each_stage_once(spark, tmp_path, monkeypatch):
+    """A stage behind that reads its input twice doesn't have the stages before it work twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(spark, docs, sf_dir):
+        def each(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return docs.mapInArrow(each, docs.schema)
+
+    twice = lambda spark, docs, sf_dir: docs.join(docs.groupBy("source").count(), "source").select(docs.columns)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("counted", counted), ("twice", twice), ("again", twice), ("mixing", twice)])
+    rows = [(i, f"text {i}", "en", f"src{i % 3}", 6) for i in range(100)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == rows
+    assert seen.value == 100
